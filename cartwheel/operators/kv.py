@@ -20,8 +20,10 @@ from cartwheel.schema import KV_FAMILY
 def _as_text(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return python_text(F.col(name))
-    return F.col(name).cast("string")
+        text = python_text(F.col(name))
+    else:
+        text = F.col(name).cast("string")
+    return F.coalesce(text, F.lit("None"))  # str(None)
 
 
 def to_cells(df: DataFrame, table: str, row_key: Column, cells: Mapping[str, str]) -> DataFrame:

@@ -48,3 +48,230 @@ def register(name: str, sql: str | None = None):
 def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = op.derive_catalog(standin.catalog_events(spark, sf_dir), order_by=("event_id",))
     return op.revenue_by_category(standin.items(spark, sf_dir), catalog)
+
+
+@register(
+    "revenue_by_city",
+    """
+    SELECT n.n_name AS city, r.r_name AS state,
+           round(sum(o.o_totalprice), 2) AS revenue, count(*) AS orders
+    FROM orders o
+    JOIN customer c ON o.o_custkey = c.c_custkey
+    JOIN nation n ON c.c_nationkey = n.n_nationkey
+    JOIN region r ON n.n_regionkey = r.r_regionkey
+    GROUP BY 1, 2
+    """,
+)
+def revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Orders are summed per customer before the place join: the join and its
+    # shuffle see one row per customer, and a customer with a third of all
+    # orders is combined inside each task first.
+    per_customer = standin.orders(spark, sf_dir).groupBy("customer_id").agg(
+        F.sum("total").alias("total"), F.count(F.lit(1)).alias("n_orders")
+    )
+    placed = per_customer.join(standin.places(spark, sf_dir), "customer_id")
+    return op.revenue_by_city(placed, amount="total", orders="n_orders")
+
+
+@register(
+    "abandonment",
+    """
+    WITH s AS (
+      SELECT user_id, CAST(ts AS DATE) AS d,
+             bool_or(event_type = 'click') AS cart,
+             bool_or(event_type = 'purchase') AS bought
+      FROM events WHERE event_type IN ('click', 'purchase')
+      GROUP BY 1, 2)
+    SELECT count(*) AS sessions_with_cart,
+           CAST(sum(CASE WHEN bought THEN 1 ELSE 0 END) AS BIGINT) AS sessions_bought,
+           round(100 * (1 - sum(CASE WHEN bought THEN 1 ELSE 0 END) / count(*)), 2) AS abandonment_pct
+    FROM s WHERE cart
+    """,
+)
+def abandonment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.abandonment(standin.events(spark, sf_dir), cart_type="click", purchase_type="purchase")
+
+
+@register(
+    "delivery_status",
+    "SELECT o_orderstatus AS delivery_status, count(*) AS total FROM orders GROUP BY 1",
+)
+def delivery_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.delivery_status_counts(standin.orders(spark, sf_dir), event_type=None)
+
+
+@register(
+    "derived_catalog",
+    """
+    SELECT json_extract_string(props, '$.k') AS product_id, arg_min(event_type, event_id) AS category
+    FROM events WHERE event_type IN ('click', 'view') GROUP BY 1
+    """,
+)
+def derived_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = standin.events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
+    return op.derive_catalog(src.withColumn("category", F.col("event_type")), order_by=("event_id",))
+
+
+# Re-sent events: every purchase event arrives twice.
+_RAW_SQL = "(SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'purchase')"
+
+
+def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = standin.table(spark, sf_dir, "events")
+    return e.unionByName(e.where(F.col("event_type") == "purchase"))
+
+
+@register(
+    "dedup_stats",
+    f"""
+    SELECT count(*) AS rows_read,
+           (SELECT count(*) FROM (SELECT DISTINCT event_id FROM {_RAW_SQL})) AS rows_after,
+           count(*) - (SELECT count(*) FROM (SELECT DISTINCT event_id FROM {_RAW_SQL})) AS duplicates_removed,
+           CAST(0 AS BIGINT) AS corrupt
+    FROM {_RAW_SQL}
+    """,
+)
+def dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.dedup_stats(_raw_events(spark, sf_dir))
+
+
+@register("dedup_events", f"SELECT DISTINCT * FROM {_RAW_SQL}")
+def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.dedup_events(_raw_events(spark, sf_dir))
+
+
+@register(
+    "dedup_events_preferred",
+    """
+    SELECT event_id, ts, user_id, event_type, value, props FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
+      FROM events) WHERE rn = 1
+    """,
+)
+def dedup_events_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # de-duplicate on a non-unique key with a deterministic survivor: the
+    # first event of each (user, type)
+    e = standin.table(spark, sf_dir, "events").withColumn(
+        "_key", F.concat_ws("|", F.col("user_id").cast("string"), "event_type")
+    )
+    return op.dedup_events(e, key="_key", prefer=("ts", "event_id")).drop("_key")
+
+
+# --- items and orders -----------------------------------------------------
+
+
+@register(
+    "order_total",
+    """
+    SELECT o.o_orderkey AS order_id,
+           CAST(round(s.t, 2) AS DOUBLE) AS items_total,
+           o.o_totalprice AS total,
+           CAST(round(s.t, 2) AS DOUBLE) = round(o.o_totalprice, 2) AS total_matches
+    FROM (SELECT l_orderkey, sum(CAST(l_quantity * l_extendedprice AS DECIMAL(38, 6))) AS t
+          FROM lineitem GROUP BY 1) s
+    JOIN orders o ON o.o_orderkey = s.l_orderkey
+    """,
+)
+def order_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.order_totals_from_items(standin.items(spark, sf_dir), standin.orders(spark, sf_dir))
+
+
+@register(
+    "item_subtotals",
+    """
+    SELECT l_orderkey AS order_id, l_partkey AS product_id, l_quantity AS quantity,
+           l_extendedprice AS price, l_quantity * l_extendedprice AS subtotal
+    FROM lineitem
+    """,
+)
+def item_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.with_subtotal(standin.items(spark, sf_dir))
+
+
+@register(
+    "cart_state",
+    """
+    SELECT user_id, product_id, value FROM (
+      SELECT user_id, json_extract_string(props, '$.k') AS product_id, value,
+             row_number() OVER (PARTITION BY user_id, json_extract_string(props, '$.k')
+                                ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events WHERE event_type = 'click') WHERE rn = 1
+    """,
+)
+def cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.cart_state(
+        standin.events(spark, sf_dir),
+        session="user_id",
+        product="product_id",
+        values=("value",),
+        order_by=("event_time", "event_id"),
+        cart_type="click",
+    )
+
+
+# --- trending windows -----------------------------------------------------
+# The event table is sparse for 60 s windows, so the stand-in queries use
+# 1-day windows sliding by 12 hours; the operator is the same.
+
+STANDIN_SIZE, STANDIN_SLIDE = "1 day", "12 hours"
+_WINDOWS_SQL = """
+    SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, product_id, count(*) AS events
+    FROM (SELECT json_extract_string(props, '$.k') AS product_id,
+                 time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') - i * INTERVAL 12 HOUR AS ws
+          FROM events, range(2) AS t(i)
+          WHERE event_type IN ('click', 'view'))
+    GROUP BY 1, 2, 3
+"""
+_CLOSED_SQL = f"""
+    SELECT * FROM ({_WINDOWS_SQL})
+    WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type IN ('click', 'view')) - INTERVAL 40 SECOND
+"""
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        standin.events(spark, sf_dir)
+        .where(F.col("event_type").isin("click", "view"))
+        .select("event_type", "product_id", "event_time")
+    )
+
+
+def _ntz(counts: DataFrame) -> DataFrame:
+    return counts.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "product_id",
+        "events",
+    )
+
+
+@register("trending", _WINDOWS_SQL)
+def trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE))
+
+
+@register(
+    "alerts",
+    f"""
+    SELECT product_id || '-' || CAST(epoch_ms(window_start) AS VARCHAR) AS row_key,
+           product_id, events,
+           strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') AS window_start_iso,
+           strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') AS window_end_iso
+    FROM ({_WINDOWS_SQL}) WHERE events >= 5
+    """,
+)
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.alerts(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE), 5)
+
+
+@register(
+    "trending_lines",
+    f"""
+    SELECT 'janela=[' || strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') || ' -> '
+           || strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') || '] produto=' || product_id
+           || ' eventos=' || CAST(events AS VARCHAR) AS value
+    FROM ({_WINDOWS_SQL})
+    """,
+)
+def trending_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.trending_text(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE))

@@ -85,3 +85,38 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("product_id"),
         "value",
     )
+
+
+# --- JSON-lines events derived from the driver tables ------------------------
+# For the queries that exercise the file sources, the landing stream and the
+# text-line trending stream: the event table written out as event JSON lines
+# (click -> click, view -> add_to_cart, others keep their type; times as ISO
+# instants with microseconds and "Z").
+
+STANDIN_TYPES = {"view": "add_to_cart"}
+
+
+def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value`` = one JSON event line per row of the event table."""
+    e = events(spark, sf_dir)
+    kind = F.col("event_type")
+    for src, dst in STANDIN_TYPES.items():
+        kind = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(kind)
+    iso = F.date_format(F.col("event_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    rec = F.struct(
+        F.col("event_id").cast("string").alias("event_id"),
+        kind.alias("event_type"),
+        iso.alias("event_time"),
+        iso.alias("ingest_time"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("session_id"),
+        F.col("product_id"),
+        F.col("value").alias("price"),
+    )
+    return e.select(F.to_json(rec).alias("value"))
+
+
+def write_lines(df: DataFrame, path: str) -> str:
+    """Write a one-string-column frame as text files under ``path``."""
+    df.write.mode("overwrite").text(path)
+    return path
