@@ -61,7 +61,9 @@ def python_text(x: Column | str) -> Column:
         mant_short,
         F.lit("e"),
         F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(exp).cast("string"), 2, "0"),
+        F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(
+            F.abs(exp).cast("string")
+        ),
     )
     has_exp = body.rlike(r"^[0-9.]+E-?[0-9]+$")
     formatted = (

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
+from cartwheel.config import shared_dir
+from cartwheel.functions.text import python_text
 from cartwheel.plans import standin
+from cartwheel.sinks.kvstore import KeyValueStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -275,3 +278,203 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def trending_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.trending_text(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE))
+
+
+# --- delivery check -------------------------------------------------------
+# Source: every event, purchases sent twice.  Sink: error events lost,
+# signup events also arriving under a foreign id (-id - 1).
+
+_SRC_IDS_SQL = "(SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_type = 'purchase')"
+_SINK_IDS_SQL = (
+    "(SELECT event_id FROM events WHERE event_type <> 'error' "
+    "UNION ALL SELECT -event_id - 1 AS event_id FROM events WHERE event_type = 'signup')"
+)
+
+
+def _source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_events(spark, sf_dir).select("event_id")
+
+
+def _sink_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = standin.table(spark, sf_dir, "events")
+    return (
+        e.where(F.col("event_type") != "error")
+        .select("event_id")
+        .unionByName(e.where(F.col("event_type") == "signup").select((-F.col("event_id") - 1).alias("event_id")))
+    )
+
+
+@register(
+    "id_multiplicity",
+    f"""
+    SELECT coalesce(s.event_id, k.event_id) AS event_id,
+           coalesce(s.n, 0) AS source_n, coalesce(k.n, 0) AS sink_n
+    FROM (SELECT event_id, count(*) AS n FROM {_SRC_IDS_SQL} GROUP BY 1) s
+    FULL OUTER JOIN (SELECT event_id, count(*) AS n FROM {_SINK_IDS_SQL} GROUP BY 1) k
+      ON s.event_id = k.event_id
+    """,
+)
+def id_multiplicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.id_multiplicity(_source_ids(spark, sf_dir), _sink_ids(spark, sf_dir))
+
+
+@register(
+    "reconcile_ids",
+    f"""
+    WITH s AS (SELECT event_id, count(*) AS n FROM {_SRC_IDS_SQL} GROUP BY 1),
+         k AS (SELECT event_id, count(*) AS n FROM {_SINK_IDS_SQL} GROUP BY 1)
+    SELECT (SELECT count(*) FROM k WHERE event_id NOT IN (SELECT event_id FROM s)) AS foreign_ids,
+           (SELECT CAST(coalesce(sum(greatest(0, s.n - coalesce(k.n, 0))), 0) AS BIGINT)
+              FROM s LEFT JOIN k ON s.event_id = k.event_id) AS missing_rows
+    """,
+)
+def reconcile_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.reconcile_ids(_source_ids(spark, sf_dir), _sink_ids(spark, sf_dir))
+
+
+@register(
+    "missing_rows_except_all",
+    f"""
+    SELECT count(*) AS missing_rows FROM (
+      SELECT event_id FROM {_SRC_IDS_SQL} EXCEPT ALL SELECT event_id FROM {_SINK_IDS_SQL})
+    """,
+)
+def missing_rows_except_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # JN4 written as a multiset difference
+    diff = _source_ids(spark, sf_dir).exceptAll(_sink_ids(spark, sf_dir))
+    return diff.agg(F.count(F.lit(1)).alias("missing_rows"))
+
+
+@register(
+    "foreign_ids_anti_join",
+    f"""
+    SELECT DISTINCT event_id FROM {_SINK_IDS_SQL} k
+    WHERE NOT EXISTS (SELECT 1 FROM {_SRC_IDS_SQL} s WHERE s.event_id = k.event_id)
+    """,
+)
+def foreign_ids_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # JN3 as a left anti join of the distinct sink ids
+    src = _source_ids(spark, sf_dir).distinct()
+    return _sink_ids(spark, sf_dir).distinct().join(src, "event_id", "left_anti")
+
+
+@register(
+    "growth",
+    """
+    WITH d AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS sample_ts,
+                      count(*) AS s, count(*) FILTER (WHERE event_type <> 'error') AS k
+               FROM events GROUP BY 1),
+         c AS (SELECT sample_ts,
+                      CAST(sum(s) OVER (ORDER BY sample_ts) AS BIGINT) AS source_rows,
+                      CAST(sum(k) OVER (ORDER BY sample_ts) AS BIGINT) AS sink_rows
+               FROM d)
+    SELECT sample_ts, source_rows, sink_rows, source_rows - sink_rows AS difference,
+           CASE WHEN lag(sink_rows) OVER (ORDER BY sample_ts) IS NULL THEN 'first sample'
+                WHEN sink_rows > lag(sink_rows) OVER (ORDER BY sample_ts) THEN 'growing'
+                ELSE 'stalled' END AS state
+    FROM c
+    """,
+)
+def growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Daily samples of the running source and sink counts.  The per-day
+    # aggregation is distributed; the running sums and the lag then run
+    # over the day series (one row per day).
+    e = standin.events(spark, sf_dir)
+    daily = e.groupBy(F.to_date("event_time").cast("timestamp_ntz").alias("sample_ts")).agg(
+        F.count(F.lit(1)).alias("s"), F.count(F.when(F.col("event_type") != "error", 1)).alias("k")
+    )
+    upto = Window.orderBy("sample_ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    samples = daily.select(
+        "sample_ts",
+        F.sum("s").over(upto).cast("bigint").alias("source_rows"),
+        F.sum("k").over(upto).cast("bigint").alias("sink_rows"),
+    )
+    return op.growth_report(samples)
+
+
+@register(
+    "growth_ok",
+    """
+    WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) FILTER (WHERE event_type <> 'error') AS k
+               FROM events GROUP BY 1)
+    SELECT coalesce(bool_and(k > 0) FILTER (WHERE day > (SELECT min(day) FROM d)), true) AS ok FROM d
+    """,
+)
+def growth_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.growth_ok(growth(spark, sf_dir))
+
+
+# --- key-value cells --------------------------------------------------------
+
+_LATEST_SQL = """
+    SELECT user_id, event_type, value FROM (
+      SELECT user_id, event_type, value,
+             row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events WHERE event_type IN ('click', 'view')) WHERE rn = 1
+"""
+
+
+@register(
+    "kv_upsert",
+    f"""
+    SELECT 'user_last_value' AS "table", CAST(user_id AS VARCHAR) AS row_key,
+           'cf:' || event_type AS "column", CAST(value AS VARCHAR) AS value
+    FROM ({_LATEST_SQL})
+    """,
+)
+def kv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every click / view event is a put of cell cf:<type> under its user;
+    # the newest put per cell wins
+    e = standin.events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
+    cells = e.select(
+        F.lit("user_last_value").alias("table"),
+        F.col("user_id").cast("string").alias("row_key"),
+        F.concat(F.lit("cf:"), "event_type").alias("column"),
+        python_text("value").alias("value"),
+        "event_time",
+        "event_id",
+    )
+    return op.latest_cells(cells, ["event_time", "event_id"])
+
+
+def _kv_store(spark: SparkSession, name: str) -> KeyValueStore:
+    return KeyValueStore(spark, shared_dir(spark, "kv", name, unique=True))
+
+
+@register(
+    "kv_store",
+    f"""
+    WITH l AS ({_LATEST_SQL})
+    SELECT 'user_value' AS "table", CAST(user_id AS VARCHAR) AS row_key, 'cf:last' AS "column",
+           CAST(coalesce(max(value) FILTER (WHERE event_type = 'view'),
+                         max(value) FILTER (WHERE event_type = 'click')) AS VARCHAR) AS value
+    FROM l GROUP BY user_id
+    """,
+)
+def kv_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two puts into one key-value table: the newest click value per user,
+    # then the newest view value per user under the same cell.  The second
+    # put replaces the cell where a user has a view and leaves it otherwise;
+    # replaying the second batch changes nothing.
+    latest = kv_upsert(spark, sf_dir)
+    store = _kv_store(spark, "user_value")
+    for batch, kind in ((1, "cf:click"), (2, "cf:view"), (2, "cf:view")):
+        cells = latest.where(F.col("column") == kind).select(
+            "row_key", F.lit("cf:last").alias("column"), "value"
+        )
+        store.put(cells, "user_value", batch=batch)
+    return store.read("user_value")
+
+
+@register(
+    "kv_row_count",
+    """
+    SELECT 'user_value' AS "table", count(DISTINCT user_id) AS rows
+    FROM events WHERE event_type IN ('click', 'view')
+    """,
+)
+def kv_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _kv_store(spark, "count")
+    store.create_table("user_value")
+    store.put(kv_upsert(spark, sf_dir).select("row_key", "column", "value"), "user_value")
+    return store.row_count("user_value")

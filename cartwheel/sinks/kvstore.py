@@ -108,6 +108,12 @@ class KeyValueStore:
             return 0
         return self.read(table).select("row_key").distinct().count()
 
+    def row_count(self, table: str) -> DataFrame:
+        """SNK10 as a one-row frame ``table, rows`` (0 for a missing table)."""
+        return self.read(table).agg(F.count_distinct("row_key").alias("rows")).select(
+            F.lit(table).alias("table"), "rows"
+        )
+
     def rows(self, table: str) -> DataFrame:
         """Wide view: one row per key, one map entry per column."""
         cells = self.read(table)

@@ -14,15 +14,18 @@ INSIGHT_TABLES = {
 }
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
-def create_external_table(spark: SparkSession, database: str, name: str, columns: str, location: str) -> None:
+def create_external_table(
+    spark: SparkSession, database: str, name: str, columns: str, location: str, db_location: str | None = None
+) -> None:
     """``CREATE TABLE IF NOT EXISTS`` over an existing Parquet folder; the
     data stays where it is.  ``REFRESH TABLE`` makes a reader see files that
     were rewritten after the table was first read."""
-    create_database(spark, database)
+    create_database(spark, database, db_location)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING PARQUET LOCATION '{location}'"
     )
