@@ -9,8 +9,10 @@ accept trailing text after an object and the check must not.
 from __future__ import annotations
 
 import json
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +57,10 @@ def project_stream_fields(line: Column | str) -> Column:
 # ---------------------------------------------------------------------------
 # Exact JSON check for the delivery report.
 
+# Ship this module's code inside the pickled UDF, so Python workers need no
+# installed copy of the package (true on a cluster as well as locally).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 INSPECT_SCHEMA = T.StructType(
     [
         T.StructField("id_ok", T.BooleanType()),

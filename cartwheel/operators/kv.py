@@ -50,17 +50,14 @@ def latest_cells(cells: DataFrame, version: Sequence[str]) -> DataFrame:
     return cells.groupBy("table", "row_key", "column").agg(newest.alias("value"))
 
 
-def row_payloads(cells: DataFrame) -> DataFrame:
-    """FN12: one REST JSON body per (table, row_key), as data (no HTTP call).
+def row_payloads(df: DataFrame, table: str, row_key: Column, cells: Mapping[str, str]) -> DataFrame:
+    """FN12: the REST JSON body of each row put, as data (no HTTP call).
 
-    Output: ``table, row_key, payload``.  The cells of one key are gathered
-    into one array: a row has a fixed, small set of columns.
+    Output: ``table, row_key, payload``; the cells appear in the order of
+    ``cells`` (a DataFrame column -> qualifier mapping), values as text.
     """
-    grouped = cells.groupBy("table", "row_key").agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(F.regexp_replace("column", f"^{KV_FAMILY}:", "").alias("column"), F.col("value"))
-            )
-        ).alias("_cells")
+    entries = F.array(
+        *[F.struct(F.lit(q).alias("column"), _as_text(df, c).alias("value")) for c, q in cells.items()]
     )
-    return grouped.select("table", "row_key", kv_payload(F.col("row_key"), F.col("_cells")).alias("payload"))
+    key = row_key.cast("string")
+    return df.select(F.lit(table).alias("table"), key.alias("row_key"), kv_payload(key, entries).alias("payload"))

@@ -478,3 +478,284 @@ def kv_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.create_table("user_value")
     store.put(kv_upsert(spark, sf_dir).select("row_key", "column", "value"), "user_value")
     return store.row_count("user_value")
+
+
+# --- files, landing and streams over JSON lines derived from the tables ----
+
+
+def _lines_dir(spark: SparkSession, df: DataFrame, name: str) -> str:
+    return standin.write_lines(df, shared_dir(spark, "standin", name, unique=True))
+
+
+def _event_lines(spark: SparkSession, sf_dir: str) -> str:
+    return _lines_dir(spark, standin.event_json(spark, sf_dir), "events_json")
+
+
+_TYPE_COUNTS_SQL = """
+    SELECT CASE event_type WHEN 'view' THEN 'add_to_cart' ELSE event_type END AS event_type,
+           count(*) AS count
+    FROM events GROUP BY 1
+"""
+
+
+@register("event_type_counts", _TYPE_COUNTS_SQL)
+def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.sources.lines import read_lines
+
+    lines = op.inspect_lines(read_lines(spark, _event_lines(spark, sf_dir)))
+    return op.event_type_counts(lines)
+
+
+def _delivery_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Source: every event line, purchases twice.  Sink: error events arrive
+    cut short (broken lines), signup events also arrive under a foreign id."""
+    e = standin.events(spark, sf_dir)
+    src = standin.event_json_from(e.unionByName(e.where(F.col("event_type") == "purchase")))
+    good = standin.event_json_from(e.where(F.col("event_type") != "error"))
+    cut = standin.event_json_from(e.where(F.col("event_type") == "error")).select(
+        F.expr("substring(value, 1, length(value) - 2)").alias("value")
+    )
+    foreign = standin.event_json_from(
+        e.where(F.col("event_type") == "signup").withColumn("event_id", -F.col("event_id") - 1)
+    )
+    return _lines_dir(spark, src, "source"), _lines_dir(spark, good.unionByName(cut).unionByName(foreign), "sink")
+
+
+def _delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.plans.verify import check
+
+    source, sink = _delivery_dirs(spark, sf_dir)
+    return check(spark, source, sink)[0]
+
+
+# The full report; sink_files depends on how many files the writer made, so
+# this one has no SQL form (the totals below do).
+register("delivery_report")(_delivery_report)
+
+
+@register(
+    "delivery_report_totals",
+    """
+    SELECT count(*) + count(*) FILTER (WHERE event_type = 'purchase') AS source_rows,
+           count(*) + count(*) FILTER (WHERE event_type = 'signup') AS sink_rows,
+           count(*) FILTER (WHERE event_type = 'error') AS bad_lines,
+           count(*) FILTER (WHERE event_type = 'signup') AS foreign_ids,
+           count(*) FILTER (WHERE event_type IN ('purchase', 'error')) AS missing_rows,
+           false AS ok
+    FROM events
+    """,
+)
+def delivery_report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _delivery_report(spark, sf_dir)
+    return r.select(
+        "source_rows",
+        "sink_rows",
+        (F.col("invalid") + F.col("incomplete_last")).alias("bad_lines"),
+        "foreign_ids",
+        "missing_rows",
+        "ok",
+    )
+
+
+@register("landed_event_counts", _TYPE_COUNTS_SQL)
+def landed_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.sources.lines import read_lines
+    from cartwheel.streaming.landing import start_landing
+
+    src = _event_lines(spark, sf_dir)
+    landing = shared_dir(spark, "landing", unique=True)
+    q = start_landing(spark, src, f"{landing}/out", f"{landing}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return op.event_type_counts(op.inspect_lines(read_lines(spark, f"{landing}/out")))
+
+
+@register("stream_trending", _CLOSED_SQL)
+def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Event-time windows over a parquet stream of the event table with a
+    # 40 s watermark; only windows the watermark closed are emitted.
+    from cartwheel.streaming.trending import per_window_late_rule
+
+    per_window_late_rule(spark)
+    schema = standin.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    e = stream.select(
+        "event_type",
+        F.get_json_object("props", "$.k").alias("product_id"),
+        F.col("ts").cast("timestamp").alias("event_time"),
+    ).where(F.col("event_type").isin("click", "view"))
+    counts = op.trending_counts(e, STANDIN_SIZE, STANDIN_SLIDE, watermark="40 seconds")
+    out = shared_dir(spark, "stream_trending", unique=True)
+    q = (
+        counts.writeStream.outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{out}/data")
+    )
+    q.awaitTermination()
+    return _ntz(spark.read.schema(counts.schema).parquet(f"{out}/data"))
+
+
+def _run_trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]:
+    """The full trending job (text lines -> windows -> lines + alerts)."""
+    from cartwheel.streaming.trending import start_trending
+
+    src = _event_lines(spark, sf_dir)
+    out = shared_dir(spark, "trending_job", unique=True)
+    kv = KeyValueStore(spark, f"{out}/kv")
+    q = start_trending(
+        spark,
+        src,
+        f"{out}/lines",
+        f"{out}/checkpoint",
+        kv=kv,
+        size=STANDIN_SIZE,
+        slide=STANDIN_SLIDE,
+        delay="40 seconds",
+        threshold=5,
+        available_now=True,
+    )
+    q.awaitTermination()
+    return f"{out}/lines", kv
+
+
+_LINE_SQL = """
+    SELECT 'janela=[' || strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') || ' -> '
+           || strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') || '] produto=' || product_id
+           || ' eventos=' || CAST(events AS VARCHAR) AS value
+"""
+
+
+@register("stream_lines", f"{_LINE_SQL} FROM ({_CLOSED_SQL})")
+def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, _ = _run_trending_job(spark, sf_dir)
+    return spark.read.text(lines).select("value")
+
+
+_ALERT_CELLS_SQL = """
+    SELECT 'flink_alertas' AS "table", product_id || '-' || CAST(epoch_ms(window_start) AS VARCHAR) AS row_key,
+           'cf:' || c AS "column",
+           CASE c WHEN 'produto' THEN product_id
+                  WHEN 'eventos' THEN CAST(events AS VARCHAR)
+                  WHEN 'janela_inicio' THEN strftime(window_start, '%Y-%m-%dT%H:%M:%SZ')
+                  ELSE strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') END AS value
+    FROM ({windows}) w, (VALUES ('produto'), ('eventos'), ('janela_inicio'), ('janela_fim')) AS t(c)
+    WHERE events >= 5
+"""
+
+
+@register("stream_alert_cells", _ALERT_CELLS_SQL.format(windows=_CLOSED_SQL))
+def stream_alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, kv = _run_trending_job(spark, sf_dir)
+    return kv.read("flink_alertas")
+
+
+@register("alert_cells", _ALERT_CELLS_SQL.format(windows=_WINDOWS_SQL))
+def alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.streaming.trending import alert_cells as cells
+
+    return cells(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE), 5)
+
+
+def _b64(x: str) -> str:
+    return f"to_base64(encode({x}))"
+
+
+@register(
+    "alert_payloads",
+    f"""
+    SELECT 'flink_alertas' AS "table", row_key,
+           json_object('Row', [json_object('key', {_b64('row_key')}, 'Cell', [
+               json_object('column', {_b64("'cf:produto'")}, '$', {_b64('product_id')}),
+               json_object('column', {_b64("'cf:eventos'")}, '$', {_b64('CAST(events AS VARCHAR)')}),
+               json_object('column', {_b64("'cf:janela_inicio'")}, '$', {_b64('s')}),
+               json_object('column', {_b64("'cf:janela_fim'")}, '$', {_b64('e')})])])::VARCHAR AS payload
+    FROM (SELECT product_id || '-' || CAST(epoch_ms(window_start) AS VARCHAR) AS row_key, product_id, events,
+                 strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') AS s, strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') AS e
+          FROM ({_WINDOWS_SQL}) WHERE events >= 5)
+    """,
+)
+def alert_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.schema import ALERT_CELLS, KV_TABLE_ALERTS
+
+    rows = op.alerts(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE), 5)
+    return op.row_payloads(rows, KV_TABLE_ALERTS, rows["row_key"], ALERT_CELLS)
+
+
+# --- insight outputs: Parquet + catalog table, CSV, key-value rows --------
+
+
+@register("insight_table_category", ORACLE_SQL["revenue_by_category"])
+def insight_table_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SNK1 + SNK11 + SRC6: one Parquet file, an external table over it, read
+    # back by name
+    from cartwheel.sinks.files import write_parquet_single
+    from cartwheel.sinks.tables import create_external_table
+    from cartwheel.sources.tables import read_table
+
+    root = shared_dir(spark, "insights", unique=True)
+    write_parquet_single(revenue_by_category(spark, sf_dir), f"{root}/revenue_by_category")
+    name = "revenue_by_category_" + root.rsplit("/", 1)[-1]
+    create_external_table(
+        spark,
+        "cartwheel_standin",
+        name,
+        "category string, revenue double, units double",
+        f"{root}/revenue_by_category",
+        db_location=shared_dir(spark, "warehouse", "cartwheel_standin.db"),
+    )
+    return read_table(spark, name, "cartwheel_standin")
+
+
+@register("csv_revenue_by_city", ORACLE_SQL["revenue_by_city"])
+def csv_revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SNK2: one CSV file with a header, read back with its schema
+    from cartwheel.schema import CITY_OUT
+    from cartwheel.sinks.files import write_csv_single
+
+    path = shared_dir(spark, "csv", "revenue_by_city", unique=True)
+    write_csv_single(revenue_by_city(spark, sf_dir), path)
+    return spark.read.schema(CITY_OUT).option("header", True).csv(path)
+
+
+_CAT_SQL = ORACLE_SQL["revenue_by_category"]
+_CITY_SQL = ORACLE_SQL["revenue_by_city"]
+
+
+@register(
+    "kv_category_cells",
+    f"""
+    SELECT 'insights_categoria' AS "table", category AS row_key, 'cf:faturamento' AS "column",
+           CAST(revenue AS VARCHAR) AS value FROM ({_CAT_SQL})
+    UNION ALL
+    SELECT 'insights_categoria', category, 'cf:unidades_vendidas', CAST(units AS VARCHAR) FROM ({_CAT_SQL})
+    """,
+)
+def kv_category_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SNK5: category insight upserted as key-value rows, read back
+    from cartwheel.schema import CATEGORY_CELLS, KV_TABLE_CATEGORY
+
+    cat = revenue_by_category(spark, sf_dir)
+    store = _kv_store(spark, "category")
+    store.put(op.to_cells(cat, KV_TABLE_CATEGORY, cat["category"], CATEGORY_CELLS), KV_TABLE_CATEGORY)
+    return store.read(KV_TABLE_CATEGORY)
+
+
+@register(
+    "kv_city_cells",
+    f"""
+    SELECT 'insights_cidade' AS "table", state || '#' || city AS row_key, 'cf:faturamento' AS "column",
+           CAST(revenue AS VARCHAR) AS value FROM ({_CITY_SQL})
+    UNION ALL
+    SELECT 'insights_cidade', state || '#' || city, 'cf:pedidos', CAST(orders AS VARCHAR) FROM ({_CITY_SQL})
+    """,
+)
+def kv_city_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SNK6: city insight under the key state#city
+    from cartwheel.schema import CITY_CELLS, KV_TABLE_CITY
+
+    city = revenue_by_city(spark, sf_dir)
+    key = F.concat(city["state"], F.lit("#"), city["city"])
+    store = _kv_store(spark, "city")
+    store.put(op.to_cells(city, KV_TABLE_CITY, key, CITY_CELLS), KV_TABLE_CITY)
+    return store.read(KV_TABLE_CITY)

@@ -98,7 +98,11 @@ STANDIN_TYPES = {"view": "add_to_cart"}
 
 def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value`` = one JSON event line per row of the event table."""
-    e = events(spark, sf_dir)
+    return event_json_from(events(spark, sf_dir))
+
+
+def event_json_from(e: DataFrame) -> DataFrame:
+    """JSON event lines from a frame shaped like ``events()``."""
     kind = F.col("event_type")
     for src, dst in STANDIN_TYPES.items():
         kind = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(kind)
