@@ -77,7 +77,9 @@ class KeyValueStore:
 
     def read(self, table: str) -> DataFrame:
         """Current cells ``table, row_key, column, value`` (empty if missing)."""
-        version, _ = self._head(table)
+        return self._read_version(table, self._head(table)[0])
+
+    def _read_version(self, table: str, version: int | None) -> DataFrame:
         if version is None:
             return self.spark.createDataFrame([], KV_CELL_SCHEMA)
         cells = self.spark.read.schema("row_key string, column string, value string").parquet(
@@ -87,15 +89,18 @@ class KeyValueStore:
 
     def put(self, cells: DataFrame, table: str, batch: int | None = None) -> bool:
         """SNK5-SNK8: upsert ``cells`` (``row_key, column, value``; a
-        ``table`` column is ignored).  Returns False when ``batch`` was
-        already applied."""
-        self.create_table(table)
+        ``table`` column is ignored); creates the table when missing.
+        Returns False when ``batch`` was already applied."""
         version, seen = self._head(table, batch)
         if seen:
             return False
-        current = self.read(table).select("row_key", "column", "value", F.lit(0).alias("_v"))
         new = cells.select("row_key", "column", "value", F.lit(1).alias("_v"))
-        merged = latest_cells(current.unionByName(new).withColumn("table", F.lit(table)), ["_v"])
+        if version is None:
+            merged = latest_cells(new.withColumn("table", F.lit(table)), ["_v"])
+            version = 0
+        else:
+            current = self._read_version(table, version).select("row_key", "column", "value", F.lit(0).alias("_v"))
+            merged = latest_cells(current.unionByName(new).withColumn("table", F.lit(table)), ["_v"])
         merged.select("row_key", "column", "value").write.mode("overwrite").parquet(
             self._data(table, version + 1)
         )

@@ -35,11 +35,22 @@ log = logging.getLogger(__name__)
 POLL_INTERVAL = "20 seconds"
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def per_window_late_rule(spark: SparkSession) -> None:
     """Judge late rows against the current watermark (read at each start)."""
     spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
 
 
+def large_state_store(spark: SparkSession) -> None:
+    """Keep window counts in RocksDB (off the JVM heap, spilled to local disk,
+    snapshotted to the checkpoint) unless the session already chose a state
+    store.  Fixed per checkpoint at its first start."""
+    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def trending_from_lines(
     lines: DataFrame,
     size: str = WINDOW_SIZE,
@@ -106,6 +117,7 @@ def start_trending(
 ) -> StreamingQuery:
     """Start the trending stream over a landing folder of JSON-lines files."""
     per_window_late_rule(spark)
+    large_state_store(spark)
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
