@@ -7,9 +7,17 @@ from cartwheel.operators.cart import (  # noqa: F401
     order_totals_from_items,
 )
 from cartwheel.operators.catalog import derive_catalog  # noqa: F401
-from cartwheel.operators.dedup import dedup_events, dedup_stats  # noqa: F401
+from cartwheel.operators.dedup import (  # noqa: F401
+    counted_stats,
+    dedup_events,
+    dedup_events_counted,
+    dedup_stats,
+)
 from cartwheel.operators.insights import (  # noqa: F401
     abandonment,
+    abandonment_by_join,
+    buying_sessions,
+    sessions_with_cart,
     delivery_status_counts,
     revenue_by_category,
     revenue_by_city,

@@ -50,3 +50,28 @@ def dedup_stats(raw: DataFrame, key: str = "event_id") -> DataFrame:
         (F.col("rows_read") - after).alias("duplicates_removed"),
         "corrupt",
     )
+
+
+def dedup_events_counted(raw: DataFrame, key: str = "event_id") -> DataFrame:
+    """``dedup_events`` that also keeps, per surviving row, how many raw rows
+    it stands for (``_copies``) and how many of them were malformed
+    (``_corrupt``).  The batch job gets the de-dup statistics from the same
+    single pass over the raw files (``counted_stats``)."""
+    has_corrupt = CORRUPT_COLUMN in raw.columns
+    others = [c for c in raw.columns if c not in (key, CORRUPT_COLUMN)]
+    corrupt = F.count(F.col(CORRUPT_COLUMN)) if has_corrupt else F.lit(0).cast("bigint")
+    return raw.groupBy(key).agg(
+        *[F.first(c).alias(c) for c in others],
+        F.count(F.lit(1)).alias("_copies"),
+        corrupt.alias("_corrupt"),
+    )
+
+
+def counted_stats(counted: DataFrame) -> DataFrame:
+    """``dedup_stats`` from the output of ``dedup_events_counted``."""
+    return counted.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("rows_read"),
+        F.count(F.lit(1)).alias("rows_after"),
+        F.coalesce(F.sum("_copies") - F.count(F.lit(1)), F.lit(0)).cast("bigint").alias("duplicates_removed"),
+        F.coalesce(F.sum("_corrupt"), F.lit(0)).cast("bigint").alias("corrupt"),
+    )

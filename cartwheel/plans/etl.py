@@ -5,9 +5,10 @@ tables and key-value rows.
                 -> revenue_by_category / revenue_by_city / abandonment /
                    delivery_status_counts -> sinks
 
-The de-duplicated events are persisted with only the columns the insights
-read (not the full event), and the four small results are persisted once,
-so each output and report reuses them instead of re-running the plan.
+The raw files are read once: the de-duplicated events, cut to the columns
+the insights read and carrying their copy counts, are written as Parquet to
+the shared checkpoint folder and every insight scans that table.  The four
+small results are persisted once, so each output and report reuses them.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
-from cartwheel.config import build_session
+from cartwheel.config import build_session, shared_dir
 from cartwheel.schema import (
     CATEGORY_CELLS,
+    CORRUPT_COLUMN,
     CITY_CELLS,
     KV_TABLE_CATEGORY,
     KV_TABLE_CITY,
@@ -66,14 +68,20 @@ class Insights:
         }
 
 
-def compute_insights(raw: DataFrame, unknown: str = UNKNOWN_CATEGORY) -> Insights:
-    """All four insights and the de-dup statistics from raw events (lazy)."""
-    events = op.dedup_events(raw.select(*INSIGHT_COLUMNS))
+def _project(raw: DataFrame) -> DataFrame:
+    keep = INSIGHT_COLUMNS + ([CORRUPT_COLUMN] if CORRUPT_COLUMN in raw.columns else [])
+    return raw.select(*keep)
+
+
+def insights_from(counted: DataFrame, unknown: str = UNKNOWN_CATEGORY) -> Insights:
+    """All four insights and the de-dup statistics from de-duplicated events
+    with copy counts (``dedup_events_counted``), lazily."""
+    events = counted.drop("_copies", "_corrupt")
     catalog = op.derive_catalog(events)
     bought = op.purchases(events)
     items = op.explode_items(bought)
     return Insights(
-        stats=op.dedup_stats(raw),
+        stats=op.counted_stats(counted),
         by_category=op.revenue_by_category(items, catalog, unknown),
         by_city=op.revenue_by_city(bought),
         abandonment=op.abandonment(events),
@@ -81,6 +89,21 @@ def compute_insights(raw: DataFrame, unknown: str = UNKNOWN_CATEGORY) -> Insight
     )
 
 
+def compute_insights(raw: DataFrame, unknown: str = UNKNOWN_CATEGORY) -> Insights:
+    """Insights straight from raw events (lazy; each action re-reads them)."""
+    return insights_from(op.dedup_events_counted(_project(raw)), unknown)
+
+
+def stage_events(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
+    """Read the raw files once: de-duplicate, keep only the columns the
+    insights use, write them as Parquet under the shared checkpoint folder
+    and continue from that table.  The lineage is cut there (a lost executor
+    costs a re-read of Parquet, not of the JSON), and every insight is a
+    column-pruned Parquet scan instead of another JSON parse."""
+    op.dedup_events_counted(_project(raw)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_insights(spark: SparkSession, ins: Insights, output: str, database: str | None = None) -> None:
     """SNK1 + SNK2 (+ SNK11 when ``database`` is given)."""
     out = output.rstrip("/")
@@ -112,9 +135,14 @@ def run(
     kv_root: str | None = None,
     database: str | None = None,
     show: bool = True,
+    staging: str | None = None,
 ) -> Insights:
-    raw = read_events(spark, input_path)
-    ins = compute_insights(raw)
+    """The whole batch job.  ``staging`` defaults to a fresh folder under
+    ``spark.checkpoint.dir``."""
+    staged = stage_events(
+        spark, read_events(spark, input_path), staging or shared_dir(spark, "etl", "events", unique=True)
+    )
+    ins = insights_from(staged)
     for df in (ins.stats, *ins.frames().values()):
         df.persist(StorageLevel.MEMORY_AND_DISK)
     s = ins.stats.first()

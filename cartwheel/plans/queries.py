@@ -759,3 +759,15 @@ def kv_city_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _kv_store(spark, "city")
     store.put(op.to_cells(city, KV_TABLE_CITY, key, CITY_CELLS), KV_TABLE_CITY)
     return store.read(KV_TABLE_CITY)
+
+
+@register("abandonment_join", ORACLE_SQL["abandonment"])
+def abandonment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # JN2: the same rate through distinct sessions and a flag join
+    return op.abandonment_by_join(standin.events(spark, sf_dir), cart_type="click", purchase_type="purchase")
+
+
+@register("dedup_stats_one_pass", ORACLE_SQL["dedup_stats"])
+def dedup_stats_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # AG1 + AG2 in one aggregation: survivors with their copy counts
+    return op.counted_stats(op.dedup_events_counted(_raw_events(spark, sf_dir)))

@@ -52,3 +52,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
             return spark.createDataFrame([], "path string")
         raise
+
+
+def files_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """SO5: the files under ``path`` in name order (a small listing)."""
+    return list_files(spark, path).orderBy("path")

@@ -129,3 +129,28 @@ def start_trending(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
     return writer.start()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run the trending stream until stopped, restarting after failures."""
+    import argparse
+
+    from cartwheel.config import build_session
+    from cartwheel.streaming.restart import run_with_restarts
+
+    ap = argparse.ArgumentParser(description="Trending products over a landing folder of JSON-lines events")
+    ap.add_argument("--input", required=True)
+    ap.add_argument("--output", required=True, help="folder for the trending lines")
+    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--kv-root", default=None)
+    ap.add_argument("--echo", action="store_true", help="also print each batch's lines")
+    args = ap.parse_args(argv)
+    spark = build_session(app_name="cartwheel-trending")
+    kv = KeyValueStore(spark, args.kv_root) if args.kv_root else None
+    run_with_restarts(
+        lambda: start_trending(spark, args.input, args.output, args.checkpoint, kv=kv, echo=args.echo)
+    )
+
+
+if __name__ == "__main__":
+    main()

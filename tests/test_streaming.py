@@ -110,3 +110,30 @@ def test_landing_copies_lines_once(spark, tmp_path):
     q = start_landing(spark, str(tmp_path / "src"), str(tmp_path / "land"), str(tmp_path / "ck"), available_now=True)
     q.awaitTermination()
     assert read_lines(spark, str(tmp_path / "land")) == first
+
+
+def test_restart_after_failure_resumes(spark, tmp_path):
+    from cartwheel.streaming.restart import run_with_restarts
+
+    write_files(str(tmp_path / "in"), FILES)
+    attempts = []
+
+    def start():
+        attempts.append(1)
+        reader = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(tmp_path / "in"))
+
+        def sink(df, batch_id):
+            if len(attempts) == 1 and batch_id == 1:
+                raise RuntimeError("injected failure")
+            df.write.mode("overwrite").text(str(tmp_path / "out" / f"batch={batch_id}"))
+
+        return (
+            reader.writeStream.foreachBatch(sink)
+            .option("checkpointLocation", str(tmp_path / "ck"))
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    assert run_with_restarts(start, delay_seconds=0.1, max_attempts=3) == 1
+    got = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
+    assert got == sorted(x.rstrip("\n") for f in FILES for x in f)
