@@ -487,8 +487,23 @@ def _lines_dir(spark: SparkSession, df: DataFrame, name: str) -> str:
     return standin.write_lines(df, shared_dir(spark, "standin", name, unique=True))
 
 
+# Folders derived from the tables are written once per application and
+# table folder, then shared by the queries that read them (as the jobs of
+# one run would share them).
+_DERIVED: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _DERIVED:
+        _DERIVED[key] = make()
+    return _DERIVED[key]
+
+
 def _event_lines(spark: SparkSession, sf_dir: str) -> str:
-    return _lines_dir(spark, standin.event_json(spark, sf_dir), "events_json")
+    return _once(
+        spark, sf_dir, "event_lines", lambda: _lines_dir(spark, standin.event_json(spark, sf_dir), "events_json")
+    )
 
 
 _TYPE_COUNTS_SQL = """
@@ -597,7 +612,12 @@ def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]:
-    """The full trending job (text lines -> windows -> lines + alerts)."""
+    """The full trending job (text lines -> windows -> lines + alerts), run
+    once per application; its two outputs are two queries."""
+    return _once(spark, sf_dir, "trending_job", lambda: _trending_job(spark, sf_dir))
+
+
+def _trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]:
     from cartwheel.streaming.trending import start_trending
 
     src = _event_lines(spark, sf_dir)
@@ -771,3 +791,90 @@ def abandonment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_stats_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     # AG1 + AG2 in one aggregation: survivors with their copy counts
     return op.counted_stats(op.dedup_events_counted(_raw_events(spark, sf_dir)))
+
+
+# --- the batch job over a JSON landing folder derived from the tables ------
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    return _once(
+        spark, sf_dir, "landing", lambda: _lines_dir(spark, standin.landing_events(spark, sf_dir), "landing")
+    )
+
+
+def _etl(spark: SparkSession, sf_dir: str):
+    # SRC1 -> one-pass dedup with copy counts -> staged Parquet -> insights
+    from cartwheel.plans.etl import insights_from, stage_events
+    from cartwheel.sources.events import read_events
+
+    def stage() -> DataFrame:
+        raw = read_events(spark, _landing(spark, sf_dir))
+        return stage_events(spark, raw, shared_dir(spark, "etl", "events", unique=True))
+
+    return insights_from(_once(spark, sf_dir, "etl_staged", stage))
+
+
+_ETL_CAT_SQL = """
+    WITH cat AS (
+      SELECT json_extract_string(e.props, '$.k') AS product_id, min(p.p_type) AS category
+      FROM events e JOIN part p ON CAST(p.p_partkey AS VARCHAR) = json_extract_string(e.props, '$.k')
+      WHERE e.event_type IN ('click', 'view') GROUP BY 1),
+    items AS (
+      SELECT json_extract_string(props, '$.k') AS product_id, value AS price
+      FROM events WHERE event_type = 'purchase')
+    SELECT coalesce(c.category, 'desconhecida') AS category,
+           round(sum(i.price), 2) AS revenue, count(*) AS units
+    FROM items i LEFT JOIN cat c ON i.product_id = c.product_id
+    GROUP BY 1
+"""
+
+
+@register("etl_revenue_by_category", _ETL_CAT_SQL)
+def etl_revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _etl(spark, sf_dir).by_category
+
+
+@register(
+    "etl_revenue_by_city",
+    """
+    SELECT n.n_name AS city, r.r_name AS state, round(sum(e.value), 2) AS revenue, count(*) AS orders
+    FROM events e
+    LEFT JOIN customer c ON c.c_custkey = e.user_id
+    LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+    LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+    WHERE e.event_type = 'purchase'
+    GROUP BY 1, 2
+    """,
+)
+def etl_revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _etl(spark, sf_dir).by_city
+
+
+@register("etl_abandonment", ORACLE_SQL["abandonment"].replace("'click'", "'view'"))
+def etl_abandonment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _etl(spark, sf_dir).abandonment
+
+
+@register("etl_delivery_status", ORACLE_SQL["delivery_status"])
+def etl_delivery_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _etl(spark, sf_dir).status
+
+
+@register(
+    "etl_dedup_stats",
+    """
+    WITH n AS (
+      SELECT count(*) AS all_events,
+             count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+             count(*) FILTER (WHERE event_type = 'error') AS errors
+      FROM events),
+    o AS (SELECT count(*) AS orders FROM orders)
+    SELECT all_events + purchases + orders AS rows_read,
+           all_events - errors + orders + CASE WHEN errors > 0 THEN 1 ELSE 0 END AS rows_after,
+           purchases + errors - CASE WHEN errors > 0 THEN 1 ELSE 0 END AS duplicates_removed,
+           errors AS corrupt
+    FROM n, o
+    """,
+)
+def etl_dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _etl(spark, sf_dir).stats

@@ -124,3 +124,86 @@ def write_lines(df: DataFrame, path: str) -> str:
     """Write a one-string-column frame as text files under ``path``."""
     df.write.mode("overwrite").text(path)
     return path
+
+
+# --- a landing folder of commerce events derived from the tables ------------
+
+
+def landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value`` = JSON event lines in the commerce vocabulary, built row by
+    row from the tables (no grouping):
+
+    * click -> click, view -> add_to_cart (quantity 1, price = value), with
+      product = props.k and category = the part type of that key;
+    * purchase -> purchase with a one-item ``items`` array (product k,
+      quantity 1, price value), total = value, place from the user's
+      customer row; sent twice (the copies must be removed);
+    * error -> a line cut short (a malformed record);
+    * signup -> signup (ignored by the insights);
+    * each order -> one delivery_status event with ``o_orderstatus``.
+    """
+    e = events(spark, sf_dir)
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_type").alias("category")
+    )
+    places_ = places(spark, sf_dir)
+    iso = F.date_format(F.col("event_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    common = [
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"),
+        iso.alias("event_time"),
+        iso.alias("ingest_time"),
+        F.col("user_id").cast("string").alias("user_id"),
+        "session_id",
+    ]
+
+    browse = (
+        e.where(F.col("event_type").isin("click", "view"))
+        .join(part, "product_id", "left")
+        .select(
+            *common,
+            F.when(F.col("event_type") == "view", F.lit("add_to_cart")).otherwise(F.lit("click")).alias("event_type"),
+            "product_id",
+            "category",
+            F.col("value").alias("price"),
+            F.when(F.col("event_type") == "view", F.lit(1).cast("bigint")).alias("quantity"),
+        )
+    )
+    item = F.struct(
+        F.col("product_id"), F.lit(1).cast("bigint").alias("quantity"), F.col("value").alias("price")
+    )
+    bought = (
+        e.where(F.col("event_type") == "purchase")
+        .join(places_, e.user_id == places_.customer_id, "left")
+        .select(
+            *common,
+            F.lit("purchase").alias("event_type"),
+            F.concat(F.lit("o"), F.col("event_id").cast("string")).alias("order_id"),
+            F.array(item).alias("items"),
+            F.col("value").alias("total"),
+            "city",
+            "state",
+        )
+    )
+    signup = e.where(F.col("event_type") == "signup").select(*common, F.lit("signup").alias("event_type"))
+    broken = e.where(F.col("event_type") == "error").select(*common, F.lit("error").alias("event_type"))
+    o = table(spark, sf_dir, "orders")
+    status = o.select(
+        F.concat(F.lit("d"), F.col("o_orderkey").cast("string")).alias("event_id"),
+        F.lit("delivery_status").alias("event_type"),
+        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"),
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_orderstatus").alias("delivery_status"),
+    )
+
+    def as_json(df: DataFrame) -> DataFrame:
+        return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+    cut = as_json(broken).select(F.expr("substring(value, 1, length(value) - 2)").alias("value"))
+    return (
+        as_json(browse)
+        .unionByName(as_json(bought))
+        .unionByName(as_json(bought))
+        .unionByName(as_json(signup))
+        .unionByName(cut)
+        .unionByName(as_json(status))
+    )
