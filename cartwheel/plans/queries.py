@@ -539,7 +539,7 @@ def _delivery_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 def _delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.plans.verify import check
 
-    source, sink = _delivery_dirs(spark, sf_dir)
+    source, sink = _once(spark, sf_dir, "delivery_dirs", lambda: _delivery_dirs(spark, sf_dir))
     return check(spark, source, sink)[0]
 
 
