@@ -43,15 +43,18 @@ def count_lines(spark: SparkSession, path: str) -> int:
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file under ``path`` (``path`` column), empty files included.
 
-    The binary-file source lists files; the ``content`` column is not
-    selected, so no file body is read.
+    File scans skip zero-length files, so the names come from the reader's
+    file index (the listing Spark keeps on the driver anyway); no file body
+    is read.  A missing path gives no rows.
     """
     try:
-        return spark.read.format("binaryFile").load(path).select("path")
+        names = spark.read.format("binaryFile").load(path).inputFiles()
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
-            return spark.createDataFrame([], "path string")
-        raise
+            names = []
+        else:
+            raise
+    return spark.createDataFrame([(n,) for n in names], "path string")
 
 
 def files_by_name(spark: SparkSession, path: str) -> DataFrame:

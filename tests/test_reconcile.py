@@ -90,3 +90,11 @@ def test_growth_states(spark):
         (31, "growing"),
     ]
     assert op.growth_ok(rep).first().ok is False
+
+
+def test_empty_rolled_file_counts_as_a_file(spark, tmp_path):
+    write(str(tmp_path / "src.log"), j("a", "click") + "\n")
+    write(str(tmp_path / "sink" / "f1.log"), j("a", "click") + "\n")
+    write(str(tmp_path / "sink" / "f2.log"), "")
+    r = check(spark, str(tmp_path / "src.log"), str(tmp_path / "sink"))[0].first()
+    assert (r.sink_files, r.sink_rows, r.ok) == (2, 1, True)
