@@ -7,6 +7,7 @@ that have one.  Column names are the same on both sides.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,8 +25,18 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Add a query (and its SQL).  The registered callable first pins the
+    session time zone to UTC: the driver tables hold time-zone-less
+    timestamps, and windows, days and ISO texts are defined in UTC."""
+
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql.strip()
         return fn
