@@ -14,10 +14,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every session of this library wants.  AQE re-plans joins at run
-# time from real shuffle sizes (that is the size check behind any broadcast),
-# coalesces small partitions and splits skewed join partitions.
+# time from the measured size of each shuffle: that measurement is the size
+# check behind every broadcast (static planning would trust compressed file
+# sizes, which under-state the in-memory size).  Above the threshold the join
+# stays a sort-merge join, and AQE splits skewed partitions of it.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -57,9 +57,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer -> (city, state) = (nation name, region name)."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
+    """customer -> (city, state) = (nation name, region name).
+
+    nation (25 rows) and region (5 rows) have the same size at every scale
+    factor, so they are broadcast; customer grows and is left to the planner.
+    """
+    nation = F.broadcast(table(spark, sf_dir, "nation"))
+    region = F.broadcast(table(spark, sf_dir, "region"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (
         customer.join(nation, customer.c_nationkey == nation.n_nationkey)
