@@ -17,7 +17,26 @@ from cartwheel import operators as op
 from cartwheel.config import shared_dir
 from cartwheel.functions.text import python_text
 from cartwheel.plans import standin
+from cartwheel.plans.etl import insights_from, stage_events
+from cartwheel.plans.verify import check
+from cartwheel.schema import (
+    ALERT_CELLS,
+    CATEGORY_CELLS,
+    CITY_CELLS,
+    CITY_OUT,
+    KV_TABLE_ALERTS,
+    KV_TABLE_CATEGORY,
+    KV_TABLE_CITY,
+)
+from cartwheel.sinks.files import write_csv_single, write_parquet_single
 from cartwheel.sinks.kvstore import KeyValueStore
+from cartwheel.sinks.tables import create_external_table
+from cartwheel.sources.events import read_events
+from cartwheel.sources.lines import read_lines
+from cartwheel.sources.tables import read_table
+from cartwheel.streaming.landing import start_landing
+from cartwheel.streaming.trending import alert_cells as trending_alert_cells
+from cartwheel.streaming.trending import per_window_late_rule, start_trending
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -526,8 +545,6 @@ _TYPE_COUNTS_SQL = """
 
 @register("event_type_counts", _TYPE_COUNTS_SQL)
 def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cartwheel.sources.lines import read_lines
-
     lines = op.inspect_lines(read_lines(spark, _event_lines(spark, sf_dir)))
     return op.event_type_counts(lines)
 
@@ -548,8 +565,6 @@ def _delivery_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def _delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cartwheel.plans.verify import check
-
     source, sink = _once(spark, sf_dir, "delivery_dirs", lambda: _delivery_dirs(spark, sf_dir))
     return check(spark, source, sink)[0]
 
@@ -585,9 +600,6 @@ def delivery_report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("landed_event_counts", _TYPE_COUNTS_SQL)
 def landed_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cartwheel.sources.lines import read_lines
-    from cartwheel.streaming.landing import start_landing
-
     src = _event_lines(spark, sf_dir)
     landing = shared_dir(spark, "landing", unique=True)
     q = start_landing(spark, src, f"{landing}/out", f"{landing}/checkpoint", available_now=True)
@@ -599,7 +611,6 @@ def landed_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Event-time windows over a parquet stream of the event table with a
     # 40 s watermark; only windows the watermark closed are emitted.
-    from cartwheel.streaming.trending import per_window_late_rule
 
     per_window_late_rule(spark)
     schema = standin.table(spark, sf_dir, "events").schema
@@ -629,8 +640,6 @@ def _run_trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueSt
 
 
 def _trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]:
-    from cartwheel.streaming.trending import start_trending
-
     src = _event_lines(spark, sf_dir)
     out = shared_dir(spark, "trending_job", unique=True)
     kv = KeyValueStore(spark, f"{out}/kv")
@@ -683,9 +692,7 @@ def stream_alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("alert_cells", _ALERT_CELLS_SQL.format(windows=_WINDOWS_SQL))
 def alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cartwheel.streaming.trending import alert_cells as cells
-
-    return cells(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE), 5)
+    return trending_alert_cells(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE), 5)
 
 
 def _b64(x: str) -> str:
@@ -707,8 +714,6 @@ def _b64(x: str) -> str:
     """,
 )
 def alert_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cartwheel.schema import ALERT_CELLS, KV_TABLE_ALERTS
-
     rows = op.alerts(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE), 5)
     return op.row_payloads(rows, KV_TABLE_ALERTS, rows["row_key"], ALERT_CELLS)
 
@@ -720,9 +725,6 @@ def alert_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insight_table_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     # SNK1 + SNK11 + SRC6: one Parquet file, an external table over it, read
     # back by name
-    from cartwheel.sinks.files import write_parquet_single
-    from cartwheel.sinks.tables import create_external_table
-    from cartwheel.sources.tables import read_table
 
     root = shared_dir(spark, "insights", unique=True)
     write_parquet_single(revenue_by_category(spark, sf_dir), f"{root}/revenue_by_category")
@@ -741,8 +743,6 @@ def insight_table_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("csv_revenue_by_city", ORACLE_SQL["revenue_by_city"])
 def csv_revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     # SNK2: one CSV file with a header, read back with its schema
-    from cartwheel.schema import CITY_OUT
-    from cartwheel.sinks.files import write_csv_single
 
     path = shared_dir(spark, "csv", "revenue_by_city", unique=True)
     write_csv_single(revenue_by_city(spark, sf_dir), path)
@@ -764,7 +764,6 @@ _CITY_SQL = ORACLE_SQL["revenue_by_city"]
 )
 def kv_category_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     # SNK5: category insight upserted as key-value rows, read back
-    from cartwheel.schema import CATEGORY_CELLS, KV_TABLE_CATEGORY
 
     cat = revenue_by_category(spark, sf_dir)
     store = _kv_store(spark, "category")
@@ -783,7 +782,6 @@ def kv_category_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def kv_city_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     # SNK6: city insight under the key state#city
-    from cartwheel.schema import CITY_CELLS, KV_TABLE_CITY
 
     city = revenue_by_city(spark, sf_dir)
     key = F.concat(city["state"], F.lit("#"), city["city"])
@@ -815,8 +813,6 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 
 def _etl(spark: SparkSession, sf_dir: str):
     # SRC1 -> one-pass dedup with copy counts -> staged Parquet -> insights
-    from cartwheel.plans.etl import insights_from, stage_events
-    from cartwheel.sources.events import read_events
 
     def stage() -> DataFrame:
         raw = read_events(spark, _landing(spark, sf_dir))
