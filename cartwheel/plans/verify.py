@@ -22,6 +22,7 @@ from cartwheel import operators as op
 from cartwheel.config import build_session, shared_dir
 from cartwheel.sinks.files import show_all
 from cartwheel.sources.lines import count_lines, list_files, read_lines
+from cartwheel.streaming.line_count import RunningLineCount
 
 
 def stage_inspected(spark: SparkSession, path: str, staging: str) -> DataFrame:
@@ -46,18 +47,32 @@ def check(
 
 
 def sample(spark: SparkSession, source: str, sink: str) -> tuple[datetime, int, int]:
-    """One growth sample: (UTC time, source lines, sink lines)."""
+    """One growth sample by full counts: (UTC time, source lines, sink lines)."""
     return datetime.now(timezone.utc).replace(tzinfo=None), count_lines(spark, source), count_lines(spark, sink)
 
 
 def monitor(spark: SparkSession, source: str, sink: str, minutes: float, interval: float = 15.0) -> DataFrame:
-    """WF2: sample the two line counts every ``interval`` seconds for
-    ``minutes``; the samples (one row each) go through ``growth_report``."""
-    end = time.time() + minutes * 60
-    rows = []
-    while time.time() < end:
-        rows.append(sample(spark, source, sink))
-        time.sleep(interval)
+    """WF2: sample the source and sink line counts every ``interval`` seconds
+    for ``minutes``; the samples (one row each) go through ``growth_report``.
+
+    The sink folder is counted incrementally by a running streaming count
+    (each trigger reads only newly landed files); the source is one log file
+    that grows in place, which a file stream cannot follow, so it is counted
+    whole at each sample.
+    """
+    sink_count = RunningLineCount(spark, sink, shared_dir(spark, "monitor", unique=True), interval)
+    try:
+        end = time.time() + minutes * 60
+        rows = []
+        while True:
+            sink_count.query.processAllAvailable()
+            now = datetime.now(timezone.utc).replace(tzinfo=None)
+            rows.append((now, count_lines(spark, source), sink_count.value))
+            if time.time() + interval > end:
+                break
+            time.sleep(interval)
+    finally:
+        sink_count.stop()
     samples = spark.createDataFrame(rows, "sample_ts timestamp_ntz, source_rows bigint, sink_rows bigint")
     return op.growth_report(samples)
 

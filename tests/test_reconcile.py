@@ -98,3 +98,30 @@ def test_empty_rolled_file_counts_as_a_file(spark, tmp_path):
     write(str(tmp_path / "sink" / "f2.log"), "")
     r = check(spark, str(tmp_path / "src.log"), str(tmp_path / "sink"))[0].first()
     assert (r.sink_files, r.sink_rows, r.ok) == (2, 1, True)
+
+
+def test_monitor_sees_the_sink_grow(spark, tmp_path):
+    import threading
+    import time
+
+    from cartwheel.plans.verify import monitor
+
+    write(str(tmp_path / "src.log"), "".join(j(f"i{n}", "click") + "\n" for n in range(6)))
+    write(str(tmp_path / "sink" / "f1.log"), j("i0", "click") + "\n" + j("i1", "click") + "\n")
+
+    def land_later():
+        time.sleep(6)
+        write(str(tmp_path / "stage.tmp"), j("i2", "click") + "\n\n" + j("i3", "click") + "\n")
+        os.replace(str(tmp_path / "stage.tmp"), str(tmp_path / "sink" / "f2.log"))  # atomic landing
+
+    t = threading.Thread(target=land_later)
+    t.start()
+    rep = monitor(spark, str(tmp_path / "src.log"), str(tmp_path / "sink"), minutes=12 / 60, interval=1.5)
+    t.join()
+    rows = [tuple(r) for r in rep.orderBy("sample_ts").select("source_rows", "sink_rows", "state").collect()]
+    assert rows[0][0] == 6 and rows[0][2] == "first sample"
+    assert rows[-1][:2] == (6, 4)
+    sinks = [r[1] for r in rows]
+    assert sinks == sorted(sinks)
+    if rows[0][1] == 2:  # the first sample came before the second file
+        assert "growing" in [r[2] for r in rows]
