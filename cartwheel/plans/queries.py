@@ -30,7 +30,7 @@ from cartwheel.schema import (
 )
 from cartwheel.sinks.files import write_csv_single, write_parquet_single
 from cartwheel.sinks.kvstore import KeyValueStore
-from cartwheel.sinks.tables import create_external_table
+from cartwheel.sinks.tables import create_external_table, register_original_names
 from cartwheel.sources.events import read_events
 from cartwheel.sources.lines import read_lines
 from cartwheel.sources.tables import read_table
@@ -885,3 +885,20 @@ def etl_delivery_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def etl_dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _etl(spark, sf_dir).stats
+
+
+@register(
+    "serving_view_city",
+    f"SELECT city, state, revenue AS faturamento, orders AS pedidos FROM ({ORACLE_SQL['revenue_by_city']})",
+)
+def serving_view_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SNK11 + SRC6 under the original names: external table over the Parquet
+    # output, a view with the original column names, read by name
+    root = shared_dir(spark, "serving", unique=True)
+    write_parquet_single(revenue_by_city(spark, sf_dir), f"{root}/revenue_by_city")
+    db = "cartwheel_serving_" + root.rsplit("/", 1)[-1]
+    create_external_table(
+        spark, db, "revenue_by_city", CITY_OUT, f"{root}/revenue_by_city", db_location=f"{root}/{db}.db"
+    )
+    register_original_names(spark, db, tables=["revenue_by_city"])
+    return read_table(spark, "faturamento_cidade", db)

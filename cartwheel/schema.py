@@ -19,6 +19,11 @@ from pyspark.sql import types as T
 #   trending line ...... janela=[<start> -> <end>] produto=<product> eventos=<n>
 #   alert threshold .... 5 events per window and product
 #   window / slide ..... 60 s / 30 s, watermark delay 40 s
+#   original insight table and column names (served as views):
+#     faturamento_categoria: category, faturamento, unidades_vendidas
+#     faturamento_cidade: city, state, faturamento, pedidos
+#     abandono_carrinho: sessoes_com_carrinho, sessoes_que_compraram, taxa_abandono_pct
+#     status_entrega: delivery_status, total
 # ---------------------------------------------------------------------------
 CLICK = "click"
 ADD_TO_CART = "add_to_cart"
@@ -39,6 +44,19 @@ ALERT_CELLS = {
     "window_start_iso": "janela_inicio",
     "window_end_iso": "janela_fim",
 }
+ORIGINAL_INSIGHT_NAMES = {
+    "revenue_by_category": ("faturamento_categoria", {"revenue": "faturamento", "units": "unidades_vendidas"}),
+    "revenue_by_city": ("faturamento_cidade", {"revenue": "faturamento", "orders": "pedidos"}),
+    "cart_abandonment": (
+        "abandono_carrinho",
+        {
+            "sessions_with_cart": "sessoes_com_carrinho",
+            "sessions_bought": "sessoes_que_compraram",
+            "abandonment_pct": "taxa_abandono_pct",
+        },
+    ),
+    "delivery_status": ("status_entrega", {}),
+}
 TRENDING_LINE_FORMAT = "janela=[%s -> %s] produto=%s eventos=%d"
 ALERT_THRESHOLD = 5
 WINDOW_SIZE = "60 seconds"

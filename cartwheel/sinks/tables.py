@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from cartwheel.schema import ABANDONMENT_OUT, CATEGORY_OUT, CITY_OUT, STATUS_OUT
+from cartwheel.schema import ABANDONMENT_OUT, CATEGORY_OUT, CITY_OUT, ORIGINAL_INSIGHT_NAMES, STATUS_OUT
 
 INSIGHT_TABLES = {
     "revenue_by_category": CATEGORY_OUT,
@@ -33,6 +33,22 @@ def create_external_table(
 
 
 def register_insights(spark: SparkSession, database: str, output_root: str) -> None:
-    """The four insight tables over ``<output_root>/<table>``."""
+    """The four insight tables over ``<output_root>/<table>``, plus views
+    under the original names."""
     for name, columns in INSIGHT_TABLES.items():
         create_external_table(spark, database, name, columns, f"{output_root.rstrip('/')}/{name}")
+    register_original_names(spark, database)
+
+
+def register_original_names(spark: SparkSession, database: str, tables=None) -> None:
+    """Views with the original table and column names over the insight
+    tables (all four, or the named ones), so existing SQL (``SELECT * FROM
+    faturamento_categoria ORDER BY faturamento DESC``) keeps working."""
+    for table, (view, renames) in ORIGINAL_INSIGHT_NAMES.items():
+        if tables is not None and table not in tables:
+            continue
+        columns = INSIGHT_TABLES[table].split(", ")
+        select = ", ".join(
+            f"`{c.split()[0]}` AS `{renames.get(c.split()[0], c.split()[0])}`" for c in columns
+        )
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT {select} FROM `{database}`.`{table}`")

@@ -125,6 +125,10 @@ def test_run_writes_all_outputs(spark, tmp_path, lines_writer):
     with open(os.path.join(out, "csv", "revenue_by_category", csv[0])) as f:
         assert f.read().splitlines() == ["category,revenue,units", "A,20.0,2", "desconhecida,7.0,1", "B,5.0,1"]
     assert rows(spark.sql("SELECT * FROM cw_test_etl.cart_abandonment")) == [(3, 1, 66.67)]
+    legacy = spark.sql("SELECT * FROM cw_test_etl.faturamento_categoria ORDER BY faturamento DESC")
+    assert legacy.columns == ["category", "faturamento", "unidades_vendidas"]
+    assert rows(legacy) == [("A", 20.0, 2), ("desconhecida", 7.0, 1), ("B", 5.0, 1)]
+    assert spark.table("cw_test_etl.abandono_carrinho").columns[2] == "taxa_abandono_pct"
     kv = KeyValueStore(spark, kv_root)
     cells = {(r.row_key, r.column): r.value for r in kv.read("insights_categoria").collect()}
     assert cells[("A", "cf:faturamento")] == "20.0"
