@@ -114,11 +114,18 @@ def start_trending(
     poll: str = POLL_INTERVAL,
     max_files_per_trigger: int | None = None,
     echo: bool = False,
+    source_options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Start the trending stream over a landing folder of JSON-lines files."""
+    """Start the trending stream over a landing folder of JSON-lines files.
+
+    ``max_files_per_trigger`` bounds each micro-batch after a backlog;
+    ``source_options`` go to the file source, e.g. ``{"cleanSource":
+    "archive", "sourceArchiveDir": ...}`` so that processed files leave the
+    landing folder and its listing does not grow without end.
+    """
     per_window_late_rule(spark)
     large_state_store(spark)
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").options(**(source_options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     counts = trending_from_lines(reader.load(input_dir), size, slide, delay)
