@@ -41,8 +41,12 @@ class KeyValueStore:
         return f"{self.root}/{table}/data/v={version}"
 
     def _commits(self, table: str) -> DataFrame | None:
+        # Read through a two-path list (the same folder twice; duplicates do
+        # not change a max): Spark probes a single path for stream-sink
+        # metadata and logs a stack trace when it does not exist yet.
+        log = self._log(table)
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(self._log(table))
+            return self.spark.read.schema(LOG_SCHEMA).json([log, log])
         except AnalysisException as err:
             if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
                 return None
