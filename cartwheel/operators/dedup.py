@@ -10,20 +10,25 @@ from pyspark.sql import functions as F
 from cartwheel.schema import CORRUPT_COLUMN
 
 
-def dedup_events(df: DataFrame, key: str = "event_id", prefer: Sequence[str] | None = None) -> DataFrame:
-    """Keep one row per ``key``; all NULL keys collapse into one row.
+def dedup_events(
+    df: DataFrame, key: str | Sequence[str] = "event_id", prefer: Sequence[str] | None = None
+) -> DataFrame:
+    """Keep one row per ``key`` (a column or several); all NULL keys collapse
+    into one row.
 
     Without ``prefer`` any survivor is kept (right for byte-identical
     repeats).  With ``prefer`` the row with the smallest ``prefer`` tuple
-    wins, deterministically.  Both forms are hash aggregations with a
-    map-side partial step, so a key repeated a billion times is collapsed
-    inside each task before the shuffle.
+    wins, deterministically.  Both forms are aggregations with a map-side
+    partial step, so a key repeated a billion times is collapsed inside each
+    task before the shuffle.  Columns keep their order.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if not prefer:
-        return df.dropDuplicates([key])
-    others = [c for c in df.columns if c != key]
+        return df.dropDuplicates(keys)
+    others = [c for c in df.columns if c not in keys]
     best = F.min_by(F.struct(*others), F.struct(*[F.col(c) for c in prefer]))
-    return df.groupBy(key).agg(best.alias("_row")).select(key, *[F.col("_row")[c].alias(c) for c in others])
+    picked = df.groupBy(*keys).agg(best.alias("_row"))
+    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def dedup_stats(raw: DataFrame, key: str = "event_id") -> DataFrame:

@@ -184,10 +184,8 @@ def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_events_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     # de-duplicate on a non-unique key with a deterministic survivor: the
     # first event of each (user, type)
-    e = standin.table(spark, sf_dir, "events").withColumn(
-        "_key", F.concat_ws("|", F.col("user_id").cast("string"), "event_type")
-    )
-    return op.dedup_events(e, key="_key", prefer=("ts", "event_id")).drop("_key")
+    e = standin.table(spark, sf_dir, "events")
+    return op.dedup_events(e, key=("user_id", "event_type"), prefer=("ts", "event_id"))
 
 
 # --- items and orders -----------------------------------------------------

@@ -1,19 +1,24 @@
 """SNK5-SNK10: key-value tables with upsert (merge by key, never delete).
 
 There is no key-value server here, so a table is a folder of immutable
-Parquet snapshots plus an append-only commit log:
+Parquet versions plus an append-only commit log:
 
-    <root>/<table>/data/v=<n>/   the full cell set after commit n
+    <root>/<table>/data/v=<n>/   version n: a delta (the cells of put n) or a
+                                 base (the full cell set as of version n)
     <root>/<table>/log/          one small JSON file per commit:
-                                 {"version": n, "batch": <id or null>}
-
-A put reads the newest snapshot, unions the new cells, keeps the newest cell
-per (row_key, column) (``latest_cells``) and writes snapshot n+1 to a *new*
-folder; only then is the commit appended to the log.  A reader takes the
-highest logged version, so a crash between the two steps leaves an unused
-folder and the table unchanged.  A ``batch`` id already in the log is
-skipped, which makes stream replays idempotent.  One writer per table.
-Each put rewrites the table -- right for insight- and alert-sized tables.
+                                 {"version": n, "batch": <id or null>, "base": bool}
+
+A put writes only its own cells as a new version and then appends the
+commit, so its cost follows the put, not the table -- an alert stream can
+run for months without rewriting its table every trigger.  A reader takes
+the newest base and the deltas after it (partition pruning on ``v``) and
+keeps the newest cell per (row_key, column).  Every ``compact_every``
+deltas a put also writes a new base, which bounds what a reader merges.
+
+A version folder is complete before its commit is logged, and readers only
+trust logged versions, so a crash in between leaves the table unchanged.  A
+``batch`` id already in the log is skipped, which makes stream replays
+idempotent.  Nothing is ever deleted.  One writer per table.
 """
 
 from __future__ import annotations
@@ -25,20 +30,22 @@ from pyspark.sql import functions as F
 from cartwheel.operators.kv import latest_cells
 from cartwheel.schema import KV_CELL_SCHEMA
 
-LOG_SCHEMA = "version bigint, batch bigint"
+LOG_SCHEMA = "version bigint, batch bigint, base boolean"
+CELLS = "row_key string, column string, value string"
 
 
 class KeyValueStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 32):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.compact_every = compact_every
 
     # -- layout -------------------------------------------------------------
     def _log(self, table: str) -> str:
         return f"{self.root}/{table}/log"
 
-    def _data(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/data/v={version}"
+    def _data(self, table: str) -> str:
+        return f"{self.root}/{table}/data"
 
     def _commits(self, table: str) -> DataFrame | None:
         # Read through a two-path list (the same folder twice; duplicates do
@@ -52,19 +59,40 @@ class KeyValueStore:
                 return None
             raise
 
-    def _head(self, table: str, batch: int | None = None) -> tuple[int | None, bool]:
-        """(newest version, whether ``batch`` is already in the log)."""
+    def _head(self, table: str, batch: int | None = None) -> tuple[int | None, int | None, bool]:
+        """(newest version, newest base version, whether ``batch`` is logged)."""
         log = self._commits(table)
         if log is None:
-            return None, False
+            return None, None, False
         seen = F.max(F.col("batch") == F.lit(batch)) if batch is not None else F.lit(False)
-        row = log.agg(F.max("version").alias("v"), F.coalesce(seen, F.lit(False)).alias("seen")).first()
-        return row["v"], bool(row["seen"])
-
-    def _commit(self, table: str, version: int, batch: int | None) -> None:
-        entry = self.spark.createDataFrame([(version, batch)], LOG_SCHEMA)
+        row = log.agg(
+            F.max("version").alias("v"),
+            F.max(F.when(F.col("base"), F.col("version"))).alias("b"),
+            F.coalesce(seen, F.lit(False)).alias("seen"),
+        ).first()
+        return row["v"], row["b"], bool(row["seen"])
+
+    def _write_version(self, table: str, cells: DataFrame, version: int, batch: int | None, base: bool) -> None:
+        cells.select("row_key", "column", "value").write.mode("overwrite").parquet(
+            f"{self._data(table)}/v={version}"
+        )
+        entry = self.spark.createDataFrame([(version, batch, base)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(self._log(table))
 
+    def _merged(self, table: str, head: int, base: int | None) -> DataFrame:
+        """Newest cell per (row_key, column) over versions base..head."""
+        lo = base if base is not None else 0
+        data = self._data(table)
+        # only the folders from the newest base on are listed and read, so a
+        # read costs at most ``compact_every`` + 1 versions however old the
+        # table is (older versions stay on disk for a retention rule)
+        versions = (
+            self.spark.read.schema(CELLS + ", v bigint")
+            .option("basePath", data)
+            .parquet(*[f"{data}/v={i}" for i in range(lo, head + 1)])
+        )
+        return latest_cells(versions.withColumn("table", F.lit(table)), ["v"])
+
     # -- API ----------------------------------------------------------------
     def exists(self, table: str) -> bool:
         return self._head(table)[0] is not None
@@ -74,43 +102,39 @@ class KeyValueStore:
         True when the table was created now."""
         if self.exists(table):
             return False
-        empty = self.spark.createDataFrame([], KV_CELL_SCHEMA).drop("table")
-        empty.write.mode("overwrite").parquet(self._data(table, 0))
-        self._commit(table, 0, None)
+        self._write_version(table, self.spark.createDataFrame([], CELLS), 0, None, True)
         return True
 
     def read(self, table: str) -> DataFrame:
         """Current cells ``table, row_key, column, value`` (empty if missing)."""
-        return self._read_version(table, self._head(table)[0])
-
-    def _read_version(self, table: str, version: int | None) -> DataFrame:
-        if version is None:
+        head, base, _ = self._head(table)
+        if head is None:
             return self.spark.createDataFrame([], KV_CELL_SCHEMA)
-        cells = self.spark.read.schema("row_key string, column string, value string").parquet(
-            self._data(table, version)
-        )
-        return cells.select(F.lit(table).alias("table"), "row_key", "column", "value")
+        return self._merged(table, head, base).select("table", "row_key", "column", "value")
 
     def put(self, cells: DataFrame, table: str, batch: int | None = None) -> bool:
         """SNK5-SNK8: upsert ``cells`` (``row_key, column, value``; a
         ``table`` column is ignored); creates the table when missing.
         Returns False when ``batch`` was already applied."""
-        version, seen = self._head(table, batch)
+        head, base, seen = self._head(table, batch)
         if seen:
             return False
-        new = cells.select("row_key", "column", "value", F.lit(1).alias("_v"))
-        if version is None:
-            merged = latest_cells(new.withColumn("table", F.lit(table)), ["_v"])
-            version = 0
-        else:
-            current = self._read_version(table, version).select("row_key", "column", "value", F.lit(0).alias("_v"))
-            merged = latest_cells(current.unionByName(new).withColumn("table", F.lit(table)), ["_v"])
-        merged.select("row_key", "column", "value").write.mode("overwrite").parquet(
-            self._data(table, version + 1)
-        )
-        self._commit(table, version + 1, batch)
+        if head is None:  # first put: these cells are the whole table
+            self._write_version(table, cells, 0, batch, True)
+            return True
+        version = head + 1
+        self._write_version(table, cells, version, batch, False)
+        if version - (base or 0) >= self.compact_every:
+            self.compact(table)
         return True
 
+    def compact(self, table: str) -> None:
+        """Write the merged table as a new base version."""
+        head, base, _ = self._head(table)
+        if head is None or head == base:
+            return
+        self._write_version(table, self._merged(table, head, base), head + 1, None, True)
+
     def count_rows(self, table: str) -> int:
         """SNK10: number of row keys; a missing table has 0."""
         if not self.exists(table):

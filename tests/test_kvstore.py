@@ -39,3 +39,17 @@ def test_replayed_batch_is_skipped(spark, tmp_path):
     assert table(kv, "t") == [("k", "cf:a", "1")]
     assert kv.put(cells(spark, [("k", "cf:a", "3")]), "t", batch=8) is True
     assert table(kv, "t") == [("k", "cf:a", "3")]
+
+
+def test_puts_are_deltas_and_compaction_keeps_the_merge(spark, tmp_path):
+    import os
+
+    kv = KeyValueStore(spark, str(tmp_path), compact_every=3)
+    for i in range(7):
+        kv.put(cells(spark, [("k", "cf:a", str(i)), (f"k{i}", "cf:b", "x")]), "t", batch=i)
+    versions = sorted(d for d in os.listdir(tmp_path / "t" / "data") if d.startswith("v="))
+    assert len(versions) > 7  # deltas plus compacted bases
+    assert table(kv, "t") == [("k", "cf:a", "6")] + [(f"k{i}", "cf:b", "x") for i in range(7)]
+    assert kv.count_rows("t") == 8
+    assert kv.put(cells(spark, [("k", "cf:a", "old")]), "t", batch=3) is False
+    assert table(kv, "t")[0] == ("k", "cf:a", "6")
