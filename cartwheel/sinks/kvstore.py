@@ -17,8 +17,11 @@ deltas a put also writes a new base, which bounds what a reader merges.
 
 A version folder is complete before its commit is logged, and readers only
 trust logged versions, so a crash in between leaves the table unchanged.  A
-``batch`` id already in the log is skipped, which makes stream replays
-idempotent.  Nothing is ever deleted.  One writer per table.
+``batch`` id not above the newest one in the log is skipped, which makes
+stream replays idempotent (a stream's batch ids only increase).  Nothing is
+ever deleted.  One writer per table; the log grows by one small file per
+put, which a table fed by a stream for months should eventually move to a
+table format with log checkpoints.
 """
 
 from __future__ import annotations
@@ -64,7 +67,9 @@ class KeyValueStore:
         log = self._commits(table)
         if log is None:
             return None, None, False
-        seen = F.max(F.col("batch") == F.lit(batch)) if batch is not None else F.lit(False)
+        # batch ids of one stream only increase, so anything up to the
+        # newest logged id has been applied
+        seen = F.max(F.col("batch") >= F.lit(batch)) if batch is not None else F.lit(False)
         row = log.agg(
             F.max("version").alias("v"),
             F.max(F.when(F.col("base"), F.col("version"))).alias("b"),
