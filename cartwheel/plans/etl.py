@@ -38,11 +38,14 @@ INSIGHT_COLUMNS = [
     "event_id",
     "event_type",
     "event_time",
+    "ingest_time",
     "session_id",
     "city",
     "state",
     "product_id",
     "category",
+    "price",
+    "quantity",
     "order_id",
     "user_id",
     "items",

@@ -814,14 +814,17 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
-def _etl(spark: SparkSession, sf_dir: str):
-    # SRC1 -> one-pass dedup with copy counts -> staged Parquet -> insights
-
+def _etl_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SRC1 -> one-pass dedup with copy counts -> staged Parquet, once per run
     def stage() -> DataFrame:
         raw = read_events(spark, _landing(spark, sf_dir))
         return stage_events(spark, raw, shared_dir(spark, "etl", "events", unique=True))
 
-    return insights_from(_once(spark, sf_dir, "etl_staged", stage))
+    return _once(spark, sf_dir, "etl_staged", stage)
+
+
+def _etl(spark: SparkSession, sf_dir: str):
+    return insights_from(_etl_staged(spark, sf_dir))
 
 
 _ETL_CAT_SQL = """
@@ -905,3 +908,32 @@ def serving_view_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     register_original_names(spark, db, tables=["revenue_by_city"])
     return read_table(spark, "faturamento_cidade", db)
+
+
+@register(
+    "etl_order_totals",
+    """
+    SELECT 'o' || CAST(event_id AS VARCHAR) AS order_id, round(value, 2) AS items_total,
+           value AS total, true AS total_matches
+    FROM events WHERE event_type = 'purchase'
+    """,
+)
+def etl_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # RA1 on purchase events that carry their items array (per row, no shuffle)
+    return op.order_totals_from_arrays(op.purchases(_etl_staged(spark, sf_dir)))
+
+
+@register(
+    "etl_cart_state",
+    """
+    SELECT session_id, product_id, quantity, price FROM (
+      SELECT CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
+             json_extract_string(props, '$.k') AS product_id, CAST(1 AS BIGINT) AS quantity, value AS price,
+             row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE), json_extract_string(props, '$.k')
+                                ORDER BY ts DESC, 'e' || CAST(event_id AS VARCHAR) DESC) AS rn
+      FROM events WHERE event_type = 'view') WHERE rn = 1
+    """,
+)
+def etl_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # RA2: the last add_to_cart per (session, product) by ingest time
+    return op.cart_state(_etl_staged(spark, sf_dir).drop("_copies", "_corrupt"))
