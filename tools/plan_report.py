@@ -80,6 +80,8 @@ SCALE_NOTES = {
     "etl_delivery_status": "staged delivery_status partition only, one column",
     "etl_dedup_stats": "sums of the staged copy counts",
     "serving_view_city": "insight-sized table and view",
+    "etl_order_totals": "per-row higher-order aggregate over each purchase's items array: map-only, no shuffle",
+    "etl_cart_state": "max_by partial per (session, product) over the staged add_to_cart partition",
 }
 
 
