@@ -676,7 +676,7 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALERT_CELLS_SQL = """
-    SELECT 'flink_alertas' AS "table", product_id || '-' || CAST(epoch_ms(window_start) AS VARCHAR) AS row_key,
+    SELECT '{table}' AS "table", product_id || '-' || CAST(epoch_ms(window_start) AS VARCHAR) AS row_key,
            'cf:' || c AS "column",
            CASE c WHEN 'produto' THEN product_id
                   WHEN 'eventos' THEN CAST(events AS VARCHAR)
@@ -687,13 +687,13 @@ _ALERT_CELLS_SQL = """
 """
 
 
-@register("stream_alert_cells", _ALERT_CELLS_SQL.format(windows=_CLOSED_SQL))
+@register("stream_alert_cells", _ALERT_CELLS_SQL.format(windows=_CLOSED_SQL, table=KV_TABLE_ALERTS))
 def stream_alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, kv = _run_trending_job(spark, sf_dir)
-    return kv.read("flink_alertas")
+    return kv.read(KV_TABLE_ALERTS)
 
 
-@register("alert_cells", _ALERT_CELLS_SQL.format(windows=_WINDOWS_SQL))
+@register("alert_cells", _ALERT_CELLS_SQL.format(windows=_WINDOWS_SQL, table=KV_TABLE_ALERTS))
 def alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trending_alert_cells(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE), 5)
 
@@ -705,7 +705,7 @@ def _b64(x: str) -> str:
 @register(
     "alert_payloads",
     f"""
-    SELECT 'flink_alertas' AS "table", row_key,
+    SELECT '{KV_TABLE_ALERTS}' AS "table", row_key,
            json_object('Row', [json_object('key', {_b64('row_key')}, 'Cell', [
                json_object('column', {_b64("'cf:produto'")}, '$', {_b64('product_id')}),
                json_object('column', {_b64("'cf:eventos'")}, '$', {_b64('CAST(events AS VARCHAR)')}),

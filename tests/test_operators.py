@@ -8,7 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
-from cartwheel.schema import ALERT_CELLS, EVENT_SCHEMA
+from cartwheel.schema import ALERT_CELLS, EVENT_SCHEMA, KV_TABLE_ALERTS
 from cartwheel.sources.lines import files_by_name
 
 
@@ -66,7 +66,7 @@ def test_row_payloads_keep_cell_order(spark):
         [("P1-60000", "P1", 6, "1970-01-01T00:01:00Z", "1970-01-01T00:02:00Z")],
         "row_key string, product_id string, events bigint, window_start_iso string, window_end_iso string",
     )
-    p = op.row_payloads(rows, "flink_alertas", rows["row_key"], ALERT_CELLS).first()
+    p = op.row_payloads(rows, KV_TABLE_ALERTS, rows["row_key"], ALERT_CELLS).first()
     body = json.loads(p.payload)
     cells = body["Row"][0]["Cell"]
     decode = lambda s: base64.b64decode(s).decode()

@@ -5,6 +5,7 @@ import json
 import os
 import time
 
+from cartwheel.schema import KV_TABLE_ALERTS
 from cartwheel.sinks.kvstore import KeyValueStore
 from cartwheel.streaming.landing import start_landing
 from cartwheel.streaming.trending import start_trending
@@ -90,15 +91,15 @@ def test_alerts_are_upserted_once(spark, tmp_path):
     write_files(str(tmp_path / "in"), [rows])
     kv = KeyValueStore(spark, str(tmp_path / "kv"))
     run(spark, tmp_path, kv=kv, threshold=5)
-    cells = {(r.row_key, r.column): r.value for r in kv.read("flink_alertas").collect()}
+    cells = {(r.row_key, r.column): r.value for r in kv.read(KV_TABLE_ALERTS).collect()}
     start_ms = 1782899970000  # 2026-07-01T09:59:30Z
     assert cells[(f"P9-{start_ms}", "cf:eventos")] == "6"
     assert cells[(f"P9-{start_ms}", "cf:janela_inicio")] == "2026-07-01T09:59:30Z"
     assert cells[(f"P9-{start_ms}", "cf:janela_fim")] == "2026-07-01T10:00:30Z"
     assert cells[(f"P9-{start_ms + 30000}", "cf:produto")] == "P9"
-    assert kv.count_rows("flink_alertas") == 2
+    assert kv.count_rows(KV_TABLE_ALERTS) == 2
     run(spark, tmp_path, kv=kv, threshold=5)  # restart: no new batch, no change
-    assert kv.count_rows("flink_alertas") == 2
+    assert kv.count_rows(KV_TABLE_ALERTS) == 2
 
 
 def test_landing_copies_lines_once(spark, tmp_path):
