@@ -30,7 +30,12 @@ from cartwheel.schema import (
 )
 from cartwheel.sinks.files import write_csv_single, write_parquet_single
 from cartwheel.sinks.kvstore import KeyValueStore
-from cartwheel.sinks.tables import create_external_table, register_original_names
+from cartwheel.sinks.tables import (
+    create_database,
+    create_external_table,
+    register_insights,
+    register_original_names,
+)
 from cartwheel.sources.events import read_events
 from cartwheel.sources.lines import read_lines
 from cartwheel.sources.tables import read_table
@@ -937,3 +942,73 @@ def etl_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def etl_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     # RA2: the last add_to_cart per (session, product) by ingest time
     return op.cart_state(_etl_staged(spark, sf_dir).drop("_copies", "_corrupt"))
+
+
+# --- the four serving queries, as written against the original table names --
+
+
+def _serving_db(spark: SparkSession, sf_dir: str) -> str:
+    """The four stand-in insights as single Parquet files, registered as
+    external tables of one database with views under the original names
+    (SNK1 + SNK11), once per application."""
+
+    def build() -> str:
+        root = shared_dir(spark, "serving_sql", unique=True)
+        cat = revenue_by_category(spark, sf_dir)
+        outputs = {
+            "revenue_by_category": cat.withColumn("units", F.col("units").cast("bigint")),
+            "revenue_by_city": revenue_by_city(spark, sf_dir),
+            "cart_abandonment": abandonment(spark, sf_dir),
+            "delivery_status": delivery_status(spark, sf_dir),
+        }
+        for name, df in outputs.items():
+            write_parquet_single(df, f"{root}/{name}")
+        db = "cartwheel_sql_" + root.rsplit("/", 1)[-1]
+        create_database(spark, db, f"{root}/{db}.db")
+        register_insights(spark, db, root)
+        return db
+
+    return _once(spark, sf_dir, "serving_db", build)
+
+
+@register(
+    "sql_faturamento_categoria",
+    f"""
+    SELECT category, revenue AS faturamento, CAST(units AS BIGINT) AS unidades_vendidas
+    FROM ({ORACLE_SQL['revenue_by_category']}) ORDER BY faturamento DESC
+    """,
+)
+def sql_faturamento_categoria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _serving_db(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM `{db}`.faturamento_categoria ORDER BY faturamento DESC")
+
+
+@register(
+    "sql_faturamento_cidade",
+    f"""
+    SELECT city, state, revenue AS faturamento, orders AS pedidos
+    FROM ({ORACLE_SQL['revenue_by_city']}) ORDER BY faturamento DESC
+    """,
+)
+def sql_faturamento_cidade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _serving_db(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM `{db}`.faturamento_cidade ORDER BY faturamento DESC")
+
+
+@register(
+    "sql_abandono_carrinho",
+    f"""
+    SELECT sessions_with_cart AS sessoes_com_carrinho, sessions_bought AS sessoes_que_compraram,
+           abandonment_pct AS taxa_abandono_pct
+    FROM ({ORACLE_SQL['abandonment']})
+    """,
+)
+def sql_abandono_carrinho(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _serving_db(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM `{db}`.abandono_carrinho")
+
+
+@register("sql_status_entrega", ORACLE_SQL["delivery_status"])
+def sql_status_entrega(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _serving_db(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM `{db}`.status_entrega")

@@ -34,7 +34,9 @@ def create_external_table(
 
 def register_insights(spark: SparkSession, database: str, output_root: str) -> None:
     """The four insight tables over ``<output_root>/<table>``, plus views
-    under the original names."""
+    under the original names.  A database created here is placed under
+    ``<output_root>/_catalog`` (it holds no data: the tables are external)."""
+    create_database(spark, database, f"{output_root.rstrip('/')}/_catalog/{database}.db")
     for name, columns in INSIGHT_TABLES.items():
         create_external_table(spark, database, name, columns, f"{output_root.rstrip('/')}/{name}")
     register_original_names(spark, database)

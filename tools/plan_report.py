@@ -82,6 +82,10 @@ SCALE_NOTES = {
     "serving_view_city": "insight-sized table and view",
     "etl_order_totals": "per-row higher-order aggregate over each purchase's items array: map-only, no shuffle",
     "etl_cart_state": "max_by partial per (session, product) over the staged add_to_cart partition",
+    "sql_faturamento_categoria": "scan of an insight-sized table through a view",
+    "sql_faturamento_cidade": "scan of an insight-sized table through a view",
+    "sql_abandono_carrinho": "scan of a one-row table through a view",
+    "sql_status_entrega": "scan of an insight-sized table through a view",
 }
 
 
