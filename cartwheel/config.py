@@ -8,6 +8,7 @@ UTC) and, for the trending stream only, the per-operator watermark rule set in
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -83,3 +84,11 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
         pieces.append(uuid.uuid4().hex[:12])
     # writers create missing folders themselves, on any file system
     return "/".join(p.strip("/") if i else p for i, p in enumerate(pieces))
+
+
+def job_dir(spark: SparkSession, job: str, *identity: str) -> str:
+    """A stable scratch path for one job's intermediate tables, derived from
+    what identifies the run (e.g. its input and output paths).  A rerun
+    overwrites the same folder instead of leaving a new one behind."""
+    digest = hashlib.sha1("\0".join(identity).encode("utf-8")).hexdigest()[:16]
+    return shared_dir(spark, job, digest)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
-from cartwheel.config import build_session, shared_dir
+from cartwheel.config import build_session, job_dir
 from cartwheel.schema import (
     CATEGORY_CELLS,
     CORRUPT_COLUMN,
@@ -144,10 +144,11 @@ def run(
     show: bool = True,
     staging: str | None = None,
 ) -> Insights:
-    """The whole batch job.  ``staging`` defaults to a fresh folder under
-    ``spark.checkpoint.dir``."""
+    """The whole batch job.  ``staging`` defaults to a folder under
+    ``spark.checkpoint.dir`` fixed by the input and output paths, so a rerun
+    replaces the previous run's staged table."""
     staged = stage_events(
-        spark, read_events(spark, input_path), staging or shared_dir(spark, "etl", "events", unique=True)
+        spark, read_events(spark, input_path), staging or job_dir(spark, "etl", input_path, output)
     )
     ins = insights_from(staged)
     for df in (ins.stats, *ins.frames().values()):

@@ -569,7 +569,9 @@ def _delivery_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def _delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, sink = _once(spark, sf_dir, "delivery_dirs", lambda: _delivery_dirs(spark, sf_dir))
-    return check(spark, source, sink)[0]
+    # each query stages its own copy, so no returned frame's files are
+    # replaced by the next query's run
+    return check(spark, source, sink, staging=shared_dir(spark, "verify", unique=True))[0]
 
 
 # The full report; sink_files depends on how many files the writer made, so

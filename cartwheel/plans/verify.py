@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
-from cartwheel.config import build_session, shared_dir
+from cartwheel.config import build_session, job_dir, shared_dir
 from cartwheel.sinks.files import show_all
 from cartwheel.sources.lines import count_lines, list_files, read_lines
 from cartwheel.streaming.line_count import RunningLineCount
@@ -39,8 +39,9 @@ def check(
     spark: SparkSession, source: str, sink: str, staging: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(report, counts by event type) for a source path and a sink folder.
-    ``staging`` defaults to a fresh folder under ``spark.checkpoint.dir``."""
-    root = staging or shared_dir(spark, "verify", unique=True)
+    ``staging`` defaults to a folder under ``spark.checkpoint.dir`` fixed by
+    the two paths (a rerun replaces it)."""
+    root = staging or job_dir(spark, "verify", source, sink)
     src = stage_inspected(spark, source, f"{root}/source")
     snk = stage_inspected(spark, sink, f"{root}/sink")
     return op.delivery_report(src, snk, list_files(spark, sink)), op.event_type_counts(snk)
