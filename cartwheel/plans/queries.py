@@ -522,7 +522,8 @@ def _lines_dir(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 # Folders derived from the tables are written once per application and
 # table folder, then shared by the queries that read them (as the jobs of
-# one run would share them).
+# one run would share them).  Only paths and names are kept here; frames
+# are built again in the calling session.
 _DERIVED: dict[tuple[str, str, str], object] = {}
 
 
@@ -646,10 +647,11 @@ def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]:
     """The full trending job (text lines -> windows -> lines + alerts), run
     once per application; its two outputs are two queries."""
-    return _once(spark, sf_dir, "trending_job", lambda: _trending_job(spark, sf_dir))
+    out = _once(spark, sf_dir, "trending_job", lambda: _trending_job(spark, sf_dir))
+    return f"{out}/lines", KeyValueStore(spark, f"{out}/kv")
 
 
-def _trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]:
+def _trending_job(spark: SparkSession, sf_dir: str) -> str:
     src = _event_lines(spark, sf_dir)
     out = shared_dir(spark, "trending_job", unique=True)
     kv = KeyValueStore(spark, f"{out}/kv")
@@ -666,7 +668,7 @@ def _trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]
         available_now=True,
     )
     q.awaitTermination()
-    return f"{out}/lines", kv
+    return out
 
 
 _LINE_SQL = """
@@ -823,11 +825,13 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 
 def _etl_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     # SRC1 -> one-pass dedup with copy counts -> staged Parquet, once per run
-    def stage() -> DataFrame:
-        raw = read_events(spark, _landing(spark, sf_dir))
-        return stage_events(spark, raw, shared_dir(spark, "etl", "events", unique=True))
+    def stage() -> tuple[str, object]:
+        path = shared_dir(spark, "etl", "events", unique=True)
+        staged = stage_events(spark, read_events(spark, _landing(spark, sf_dir)), path)
+        return path, staged.schema
 
-    return _once(spark, sf_dir, "etl_staged", stage)
+    path, schema = _once(spark, sf_dir, "etl_staged", stage)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _etl(spark: SparkSession, sf_dir: str):
