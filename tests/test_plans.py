@@ -85,3 +85,26 @@ def test_category_join_sees_one_row_per_product(spark):
     before_join = text.split("Join")[1] if "Join" in text else ""
     assert "partial_sum" in before_join
     assert F is not None
+
+
+def test_staged_insights_read_only_their_event_types(spark, tmp_path, lines_writer):
+    import json
+
+    from cartwheel.plans.etl import insights_from, stage_events
+    from cartwheel.sources.events import read_events
+
+    lines_writer(
+        str(tmp_path / "in"),
+        [
+            json.dumps({"event_id": "1", "event_type": "purchase", "city": "c", "state": "s", "total": 1.0}) + "\n",
+            json.dumps({"event_id": "2", "event_type": "delivery_status", "delivery_status": "ok"}) + "\n",
+        ],
+    )
+    staged = stage_events(spark, read_events(spark, str(tmp_path / "in")), str(tmp_path / "staged"))
+    ins = insights_from(staged)
+    status_plan = plan(ins.status)
+    assert "PartitionFilters: [isnotnull(event_type" in status_plan and "delivery_status)]" in status_plan
+    assert "ReadSchema: struct<delivery_status:string>" in status_plan
+    assert "event_type#" in plan(ins.by_city) and "= purchase)]" in plan(ins.by_city)
+    folders = sorted(d for d in os.listdir(tmp_path / "staged") if d.startswith("event_type="))
+    assert folders == ["event_type=delivery_status", "event_type=purchase"]
