@@ -138,3 +138,26 @@ def test_restart_after_failure_resumes(spark, tmp_path):
     assert run_with_restarts(start, delay_seconds=0.1, max_attempts=3) == 1
     got = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
     assert got == sorted(x.rstrip("\n") for f in FILES for x in f)
+
+
+def test_continuous_mode_with_files_arriving(spark, tmp_path):
+    os.makedirs(tmp_path / "in")
+    q = start_trending(
+        spark,
+        str(tmp_path / "in"),
+        str(tmp_path / "lines"),
+        str(tmp_path / "ckpt"),
+        poll="1 second",
+    )
+    try:
+        for i, rows in enumerate(FILES):
+            staged = tmp_path / f"f{i + 1}.tmp"
+            with open(staged, "w") as f:
+                f.write("".join(rows))
+            os.replace(staged, tmp_path / "in" / f"f{i + 1}.json")  # land atomically
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_lines(spark, str(tmp_path / "lines")) == expected_p1(
+        ["09:59:30", "10:00:00", "10:01:00", "10:01:30", "10:02:00"]
+    )
