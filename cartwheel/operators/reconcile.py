@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.parsing import inspect_json, inspect_json_plain, is_plain_json_line
+from cartwheel.functions.parsing import inspect_json
 
 REPORT_METRICS = (
     "source_rows",
@@ -24,18 +24,11 @@ REPORT_METRICS = (
 
 
 def inspect_lines(lines: DataFrame) -> DataFrame:
-    """Add ``id_ok, event_id, line_ok, event_type`` from the exact JSON test.
-
-    Plain lines (nearly all of them) are decided by built-in expressions in
-    the JVM; only odd lines (quotes, control characters, NaN, unusual id or
-    type fields) go through the Arrow-batched Python test.  The two branches
-    read the same input and are put back together with a union.
-    """
-    out = [*lines.columns, "_j.id_ok", "_j.event_id", "_j.line_ok", "_j.event_type"]
-    plain = is_plain_json_line(F.col("line"))
-    fast = lines.where(plain).withColumn("_j", inspect_json_plain(F.col("line"))).select(*out)
-    slow = lines.where(~plain).withColumn("_j", inspect_json(F.col("line"))).select(*out)
-    return fast.unionByName(slow)
+    """Add ``id_ok, event_id, line_ok, event_type`` from the exact JSON test
+    (``json.loads`` semantics, Arrow-batched Python)."""
+    return lines.withColumn("_j", inspect_json(F.col("line"))).select(
+        *lines.columns, "_j.id_ok", "_j.event_id", "_j.line_ok", "_j.event_type"
+    )
 
 
 def id_multiplicity(source_ids: DataFrame, sink_ids: DataFrame, key: str = "event_id") -> DataFrame:
