@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import items_total, round2, subtotal
+from cartwheel.functions.money import items_total, money_sum, money_total, round2, subtotal
 from cartwheel.schema import ADD_TO_CART
 
 
@@ -30,15 +30,12 @@ def order_totals_from_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """RA1 on exploded items: sum per order, then compare with the order.
 
     ``items``: ``order_id, quantity, price``; ``orders``: ``order_id, total``.
-    Each term is taken in whole ten-thousandths (a bigint: exact for money in
-    cents times quantities in hundredths) and summed as an integer, so the
-    result does not depend on the order of addition and stays on the fast
-    fixed-width aggregation path (wide decimals would not).  The join sees one
-    row per order on both sides.
+    The sum is exact (``functions.money.money_sum``), so it does not depend on
+    the order of addition and cannot overflow however many items an order
+    has.  The join sees one row per order on both sides.
     """
-    term = F.floor(subtotal("quantity", "price") * F.lit(10000.0) + F.lit(0.5)).cast("bigint")
-    sums = items.groupBy("order_id").agg(F.sum(term).alias("_sum"))
-    it = F.round(F.col("_sum") / F.lit(10000.0), 2)
+    sums = items.groupBy("order_id").agg(money_sum(subtotal("quantity", "price")).alias("_sum"))
+    it = money_total(F.col("_sum"))
     return sums.join(orders.select("order_id", "total"), "order_id").select(
         "order_id",
         it.alias("items_total"),

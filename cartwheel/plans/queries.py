@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import operators as op
 from cartwheel.config import shared_dir
+from cartwheel.functions.money import money_sum
 from cartwheel.functions.text import python_text
 from cartwheel.plans import standin
 from cartwheel.plans.etl import insights_from, stage_events
@@ -75,7 +76,7 @@ def register(name: str, sql: str | None = None):
     "revenue_by_category",
     """
     SELECT coalesce(c.category, 'desconhecida') AS category,
-           round(sum(l.l_quantity * l.l_extendedprice), 2) AS revenue,
+           CAST(round(CAST(sum(CAST(floor(l.l_quantity * l.l_extendedprice * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue,
            sum(l.l_quantity) AS units
     FROM lineitem l
     LEFT JOIN (SELECT p_partkey, p_type AS category FROM part WHERE p_size <= 40) c
@@ -92,7 +93,8 @@ def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     "revenue_by_city",
     """
     SELECT n.n_name AS city, r.r_name AS state,
-           round(sum(o.o_totalprice), 2) AS revenue, count(*) AS orders
+           CAST(round(CAST(sum(CAST(floor(o.o_totalprice * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue,
+           count(*) AS orders
     FROM orders o
     JOIN customer c ON o.o_custkey = c.c_custkey
     JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -105,7 +107,7 @@ def revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     # shuffle see one row per customer, and a customer with a third of all
     # orders is combined inside each task first.
     per_customer = standin.orders(spark, sf_dir).groupBy("customer_id").agg(
-        F.sum("total").alias("total"), F.count(F.lit(1)).alias("n_orders")
+        money_sum("total").alias("total"), F.count(F.lit(1)).alias("n_orders")
     )
     placed = per_customer.join(standin.places(spark, sf_dir), "customer_id")
     return op.revenue_by_city(placed, amount="total", orders="n_orders")
@@ -200,9 +202,10 @@ def dedup_events_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     "order_total",
     """
     SELECT o.o_orderkey AS order_id,
-           round(s.t / 10000.0, 2) AS items_total,
+           CAST(round(CAST(s.t AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS items_total,
            o.o_totalprice AS total,
-           round(s.t / 10000.0, 2) = round(o.o_totalprice, 2) AS total_matches
+           CAST(round(CAST(s.t AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE)
+             = round(o.o_totalprice, 2) AS total_matches
     FROM (SELECT l_orderkey, sum(CAST(floor(l_quantity * l_extendedprice * 10000.0 + 0.5) AS BIGINT)) AS t
           FROM lineitem GROUP BY 1) s
     JOIN orders o ON o.o_orderkey = s.l_orderkey
@@ -847,7 +850,7 @@ _ETL_CAT_SQL = """
       SELECT json_extract_string(props, '$.k') AS product_id, value AS price
       FROM events WHERE event_type = 'purchase')
     SELECT coalesce(c.category, 'desconhecida') AS category,
-           round(sum(i.price), 2) AS revenue, count(*) AS units
+           CAST(round(CAST(sum(CAST(floor(i.price * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue, count(*) AS units
     FROM items i LEFT JOIN cat c ON i.product_id = c.product_id
     GROUP BY 1
 """
@@ -861,7 +864,8 @@ def etl_revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "etl_revenue_by_city",
     """
-    SELECT n.n_name AS city, r.r_name AS state, round(sum(e.value), 2) AS revenue, count(*) AS orders
+    SELECT n.n_name AS city, r.r_name AS state,
+           CAST(round(CAST(sum(CAST(floor(e.value * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue, count(*) AS orders
     FROM events e
     LEFT JOIN customer c ON c.c_custkey = e.user_id
     LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
