@@ -53,3 +53,14 @@ def test_puts_are_deltas_and_compaction_keeps_the_merge(spark, tmp_path):
     assert kv.count_rows("t") == 8
     assert kv.put(cells(spark, [("k", "cf:a", "old")]), "t", batch=3) is False
     assert table(kv, "t")[0] == ("k", "cf:a", "6")
+
+
+def test_empty_put_is_a_valid_version(spark, tmp_path):
+    kv = KeyValueStore(spark, str(tmp_path), compact_every=2)
+    kv.put(cells(spark, [("k", "cf:a", "1")]), "t", batch=0)
+    for b in (1, 2, 3):  # micro-batches without alerts
+        kv.put(cells(spark, []), "t", batch=b)
+    assert table(kv, "t") == [("k", "cf:a", "1")]
+    empty = KeyValueStore(spark, str(tmp_path / "other"))
+    empty.put(cells(spark, []), "t")
+    assert table(empty, "t") == [] and empty.count_rows("t") == 0
