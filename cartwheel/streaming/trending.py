@@ -85,13 +85,17 @@ def make_batch_writer(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            if batch.isEmpty():  # a trigger that closed no window writes nothing
+                return
             text = trending_text(batch)
             text.write.mode("overwrite").text(f"{lines_dir.rstrip('/')}/batch={batch_id}")
             if echo:
                 text.show(1000, truncate=False)
             if kv is not None:
                 try:
-                    kv.put(alert_cells(batch, threshold), KV_TABLE_ALERTS, batch=batch_id)
+                    cells = alert_cells(batch, threshold)
+                    if not cells.isEmpty():
+                        kv.put(cells, KV_TABLE_ALERTS, batch=batch_id)
                 except Exception as err:  # noqa: BLE001 - isolation is the point
                     log.error("alert write failed for batch %s: %s", batch_id, err)
         finally:
