@@ -155,11 +155,25 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--kv-root", default=None)
     ap.add_argument("--echo", action="store_true", help="also print each batch's lines")
+    ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    ap.add_argument("--archive-dir", default=None, help="move processed landing files here")
+    ap.add_argument("--once", action="store_true", help="process what has landed, then stop")
     args = ap.parse_args(argv)
     spark = build_session(app_name="cartwheel-trending")
     kv = KeyValueStore(spark, args.kv_root) if args.kv_root else None
+    options = {"cleanSource": "archive", "sourceArchiveDir": args.archive_dir} if args.archive_dir else None
     run_with_restarts(
-        lambda: start_trending(spark, args.input, args.output, args.checkpoint, kv=kv, echo=args.echo)
+        lambda: start_trending(
+            spark,
+            args.input,
+            args.output,
+            args.checkpoint,
+            kv=kv,
+            echo=args.echo,
+            available_now=args.once,
+            max_files_per_trigger=args.max_files_per_trigger,
+            source_options=options,
+        )
     )
 
 
