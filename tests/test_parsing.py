@@ -24,6 +24,7 @@ def test_stream_records_keeps_only_clean_lines(spark):
         "   ",
         '{"event_type":"click","event_time":"2026-07-01T10:00:00Z"}',
         '{"event_type":"click","product_id":"P3","event_time":"not a time"}',
+        '{"event_type":"click","product_id":"P4","event_time":"2026-07-01T10:00:01Z"}\r',
     ]
     df = spark.createDataFrame([(v,) for v in lines], "value string")
     got = sorted((r.event_type, r.product_id, r.event_time) for r in stream_records(df).collect())
@@ -31,6 +32,7 @@ def test_stream_records_keeps_only_clean_lines(spark):
         ("add_to_cart", "P2", dt.datetime(2026, 7, 1, 8, 0, 0)),
         ("click", "7", dt.datetime(2026, 7, 1, 10, 0, 0, 123000)),
         ("click", "P1", dt.datetime(2026, 7, 1, 10, 0, 0)),
+        ("click", "P4", dt.datetime(2026, 7, 1, 10, 0, 1)),
     ]
 
 
