@@ -31,20 +31,43 @@ BASE_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions: enough that each holds about 200 MB of the input
+    (and at least two per core); AQE then coalesces the ones that turn out
+    small.  Scan splits of 256 MB suit the JSON landing folder; small rolled
+    files are packed together by a raised open cost.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.files.openCostInBytes": str(8 << 20),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "cartwheel",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the library's settings.
 
     ``master`` is only set when given: on a cluster the submitter decides.
+    With ``input_bytes`` and ``total_cores`` the partition sizing comes from
+    ``sizing_conf``; ``shuffle_partitions`` and ``extra`` override it.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if input_bytes and total_cores:
+        conf.update(sizing_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
