@@ -31,15 +31,24 @@ BASE_CONF = {
 }
 
 
-def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 200 << 20) -> dict[str, str]:
+def sizing_conf(
+    input_bytes: int,
+    total_cores: int,
+    shuffle_share: float = 0.3,
+    target_partition_bytes: int = 200 << 20,
+    max_partitions: int = 200_000,
+) -> dict[str, str]:
     """Partition sizing for an input of ``input_bytes`` on ``total_cores``.
 
-    Shuffle partitions: enough that each holds about 200 MB of the input
-    (and at least two per core); AQE then coalesces the ones that turn out
-    small.  Scan splits of 256 MB suit the JSON landing folder; small rolled
-    files are packed together by a raised open cost.
+    The largest shuffle (the de-duplication of the projected events) carries
+    about ``shuffle_share`` of the raw JSON; shuffle partitions are sized so
+    each holds about 200 MB of it, at least two per core and at most
+    ``max_partitions``.  AQE then coalesces the partitions of the smaller
+    shuffles.  Scan splits of 256 MB suit the JSON landing folder; small
+    rolled files are packed together by a raised open cost.
     """
-    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    shuffle_bytes = int(input_bytes * shuffle_share)
+    partitions = min(max_partitions, max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
