@@ -126,3 +126,12 @@ def test_etl_and_verify_command_lines(spark, tmp_path, lines_writer):
     assert (r.source_rows, r.sink_rows, r.missing_rows, r.ok) == (2, 2, 0, True)
     assert EVENT_SCHEMA["items"].dataType.elementType.names == ["product_id", "quantity", "price"]
     assert F is not None
+
+
+def test_sizing_conf_follows_the_largest_shuffle():
+    from cartwheel.config import sizing_conf
+
+    big = sizing_conf(100 * 2**40, 8000)
+    assert 100_000 < int(big["spark.sql.shuffle.partitions"]) <= 200_000
+    assert sizing_conf(10**8, 8)["spark.sql.shuffle.partitions"] == "16"  # at least two per core
+    assert sizing_conf(10**18, 8)["spark.sql.shuffle.partitions"] == "200000"  # capped
