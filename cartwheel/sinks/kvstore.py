@@ -6,7 +6,8 @@ Parquet versions plus an append-only commit log:
     <root>/<table>/data/v=<n>/   version n: a delta (the cells of put n) or a
                                  base (the full cell set as of version n)
     <root>/<table>/log/          one small JSON file per commit:
-                                 {"version": n, "batch": <id or null>, "base": bool}
+                                 {"version": n, "batch": <id or null>, "base": bool,
+                                  "writer": <stream checkpoint or null>}
 
 A put writes only its own cells as a new version and then appends the
 commit, so its cost follows the put, not the table -- an alert stream can
@@ -17,8 +18,9 @@ deltas a put also writes a new base, which bounds what a reader merges.
 
 A version folder is complete before its commit is logged, and readers only
 trust logged versions, so a crash in between leaves the table unchanged.  A
-``batch`` id not above the newest one in the log is skipped, which makes
-stream replays idempotent (a stream's batch ids only increase).  Nothing is
+``batch`` id not above the newest one the same writer (stream checkpoint)
+logged is skipped, which makes stream replays idempotent (a stream's batch
+ids only increase; a stream with a new checkpoint is a new writer).  Nothing is
 ever deleted.  One writer per table; the log grows by one small file per
 put, which a table fed by a stream for months should eventually move to a
 table format with log checkpoints.
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators.kv import latest_cells
 from cartwheel.schema import KV_CELL_SCHEMA
 
-LOG_SCHEMA = "version bigint, batch bigint, base boolean"
+LOG_SCHEMA = "version bigint, batch bigint, base boolean, writer string"
 CELLS = "row_key string, column string, value string"
 
 
@@ -62,14 +64,18 @@ class KeyValueStore:
                 return None
             raise
 
-    def _head(self, table: str, batch: int | None = None) -> tuple[int | None, int | None, bool]:
-        """(newest version, newest base version, whether ``batch`` is logged)."""
+    def _head(
+        self, table: str, batch: int | None = None, writer: str | None = None
+    ) -> tuple[int | None, int | None, bool]:
+        """(newest version, newest base version, whether ``writer`` already
+        applied ``batch``)."""
         log = self._commits(table)
         if log is None:
             return None, None, False
         # batch ids of one stream only increase, so anything up to the
-        # newest logged id has been applied
-        seen = F.max(F.col("batch") >= F.lit(batch)) if batch is not None else F.lit(False)
+        # newest id logged by the same writer has been applied
+        same = F.col("writer").eqNullSafe(F.lit(writer))
+        seen = F.max(same & (F.col("batch") >= F.lit(batch))) if batch is not None else F.lit(False)
         row = log.agg(
             F.max("version").alias("v"),
             F.max(F.when(F.col("base"), F.col("version"))).alias("b"),
@@ -77,11 +83,13 @@ class KeyValueStore:
         ).first()
         return row["v"], row["b"], bool(row["seen"])
 
-    def _write_version(self, table: str, cells: DataFrame, version: int, batch: int | None, base: bool) -> None:
+    def _write_version(
+        self, table: str, cells: DataFrame, version: int, batch: int | None, base: bool, writer: str | None = None
+    ) -> None:
         cells.select("row_key", "column", "value").write.mode("overwrite").parquet(
             f"{self._data(table)}/v={version}"
         )
-        entry = self.spark.createDataFrame([(version, batch, base)], LOG_SCHEMA)
+        entry = self.spark.createDataFrame([(version, batch, base, writer)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(self._log(table))
 
     def _merged(self, table: str, head: int, base: int | None) -> DataFrame:
@@ -117,18 +125,20 @@ class KeyValueStore:
             return self.spark.createDataFrame([], KV_CELL_SCHEMA)
         return self._merged(table, head, base).select("table", "row_key", "column", "value")
 
-    def put(self, cells: DataFrame, table: str, batch: int | None = None) -> bool:
+    def put(self, cells: DataFrame, table: str, batch: int | None = None, writer: str | None = None) -> bool:
         """SNK5-SNK8: upsert ``cells`` (``row_key, column, value``; a
         ``table`` column is ignored); creates the table when missing.
-        Returns False when ``batch`` was already applied."""
-        head, base, seen = self._head(table, batch)
+        ``batch`` and ``writer`` identify a stream's micro-batch (the writer
+        is the stream's checkpoint, so a new stream starts its own count).
+        Returns False when that writer already applied ``batch``."""
+        head, base, seen = self._head(table, batch, writer)
         if seen:
             return False
         if head is None:  # first put: these cells are the whole table
-            self._write_version(table, cells, 0, batch, True)
+            self._write_version(table, cells, 0, batch, True, writer)
             return True
         version = head + 1
-        self._write_version(table, cells, version, batch, False)
+        self._write_version(table, cells, version, batch, False, writer)
         if version - (base or 0) >= self.compact_every:
             self.compact(table)
         return True

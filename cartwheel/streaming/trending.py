@@ -73,6 +73,7 @@ def make_batch_writer(
     kv: KeyValueStore | None,
     threshold: int = ALERT_THRESHOLD,
     echo: bool = False,
+    writer: str | None = None,
 ):
     """The ``foreachBatch`` function: lines first, then the alert upsert.
 
@@ -95,7 +96,7 @@ def make_batch_writer(
                 try:
                     cells = alert_cells(batch, threshold)
                     if not cells.isEmpty():
-                        kv.put(cells, KV_TABLE_ALERTS, batch=batch_id)
+                        kv.put(cells, KV_TABLE_ALERTS, batch=batch_id, writer=writer)
                 except Exception as err:  # noqa: BLE001 - isolation is the point
                     log.error("alert write failed for batch %s: %s", batch_id, err)
         finally:
@@ -136,7 +137,7 @@ def start_trending(
     writer = (
         counts.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(make_batch_writer(lines_dir, kv, threshold, echo))
+        .foreachBatch(make_batch_writer(lines_dir, kv, threshold, echo, writer=checkpoint))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
     return writer.start()

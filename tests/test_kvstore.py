@@ -64,3 +64,12 @@ def test_empty_put_is_a_valid_version(spark, tmp_path):
     empty = KeyValueStore(spark, str(tmp_path / "other"))
     empty.put(cells(spark, []), "t")
     assert table(empty, "t") == [] and empty.count_rows("t") == 0
+
+
+def test_batch_ids_are_counted_per_writer(spark, tmp_path):
+    kv = KeyValueStore(spark, str(tmp_path))
+    assert kv.put(cells(spark, [("k", "cf:a", "1")]), "t", batch=5, writer="stream-A") is True
+    assert kv.put(cells(spark, [("k", "cf:a", "2")]), "t", batch=3, writer="stream-A") is False  # replay
+    # a new stream (new checkpoint) starts again at batch 0 and is applied
+    assert kv.put(cells(spark, [("k", "cf:a", "3")]), "t", batch=0, writer="stream-B") is True
+    assert table(kv, "t") == [("k", "cf:a", "3")]
