@@ -1022,3 +1022,19 @@ def sql_abandono_carrinho(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_status_entrega(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _serving_db(spark, sf_dir)
     return spark.sql(f"SELECT * FROM `{db}`.status_entrega")
+
+
+@register(
+    "trending_default_windows",
+    """
+    SELECT ws AS window_start, ws + INTERVAL 60 SECOND AS window_end, product_id, count(*) AS events
+    FROM (SELECT json_extract_string(props, '$.k') AS product_id,
+                 time_bucket(INTERVAL 30 SECOND, ts, TIMESTAMP '1970-01-01') - i * INTERVAL 30 SECOND AS ws
+          FROM events, range(2) AS t(i)
+          WHERE event_type IN ('click', 'view'))
+    GROUP BY 1, 2, 3
+    """,
+)
+def trending_default_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the job's own window parameters (60 s sliding by 30 s) over the event table
+    return _ntz(op.trending_counts(_records(spark, sf_dir)))

@@ -86,6 +86,7 @@ SCALE_NOTES = {
     "sql_faturamento_cidade": "scan of an insight-sized table through a view",
     "sql_abandono_carrinho": "scan of a one-row table through a view",
     "sql_status_entrega": "scan of an insight-sized table through a view",
+    "trending_default_windows": "as trending, with the job's 60 s / 30 s windows",
 }
 
 
