@@ -135,3 +135,14 @@ def test_sizing_conf_follows_the_largest_shuffle():
     assert 100_000 < int(big["spark.sql.shuffle.partitions"]) <= 200_000
     assert sizing_conf(10**8, 8)["spark.sql.shuffle.partitions"] == "16"  # at least two per core
     assert sizing_conf(10**18, 8)["spark.sql.shuffle.partitions"] == "200000"  # capped
+
+
+def test_scratch_paths_live_under_the_session_checkpoint_dir(spark):
+    from cartwheel.config import checkpoint_root, job_dir, shared_dir
+
+    root = checkpoint_root(spark)
+    assert root == (spark.conf.get("spark.checkpoint.dir", None) or root)
+    a, b = shared_dir(spark, "x", unique=True), shared_dir(spark, "x", unique=True)
+    assert a != b and a.startswith(root) and b.startswith(root)
+    assert job_dir(spark, "etl", "in", "out") == job_dir(spark, "etl", "in", "out")
+    assert job_dir(spark, "etl", "in", "out") != job_dir(spark, "etl", "in", "out2")
