@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import minhash
+from cartwheel.llm import minhash, quality
 from cartwheel.llm.scratch import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,8 @@ def register(name: str, sql: str | None = None):
 )
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op5_quality_divergence")
+def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
