@@ -49,8 +49,11 @@ from cartwheel.llm.words import Words, chunks, mix, shingle_sets, to_bytes
 
 WIDTH, PERCENT = 5, 75
 UNIVERSE, ROWS, BANDS, SEED = 1 << 20, 5, 51, 7
-#: Classes compared in one task at once, and their shingles together.
-BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
+#: Classes of a block, and their shingles together.
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
+#: Up to so many members (16 bytes each) are sent to the scan of the texts;
+#: more are joined with a shuffle.
+BROADCAST_MEMBERS = 4_000_000
 _SLICES = 2048
 
 _rng = np.random.Generator(np.random.PCG64(SEED + 1))
@@ -207,6 +210,8 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _links(members: DataFrame, docs: DataFrame) -> DataFrame:
     """Verified links ``(u, v)`` between classes of the same cluster."""
+    if members.count() <= BROADCAST_MEMBERS:
+        members = F.broadcast(members)
     sets = stage(
         docs.join(members, docs["_id"] == members["node"]).select("node", "_text", "cluster").mapInArrow(
             _full_sets, "node long, cluster long, shingles binary"
@@ -218,7 +223,7 @@ def _links(members: DataFrame, docs: DataFrame) -> DataFrame:
         "cluster", "n", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("s") / BLOCK_SHINGLES)).alias("blocks")
     )
     total = blocks.where("blocks = 1").agg(F.sum("n")).first()[0] or 0
-    lots = max(1, -(-total // (2 * BLOCK)))
+    lots = max(1, -(-total // BLOCK))
     dealt = sets.join(blocks, "cluster").withColumn(
         "mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long")
     )
@@ -259,7 +264,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ties = at.join(hubs.select("band", "hub"), "band").where("node <> hub").select(
         F.col("node").alias("u"), F.col("hub").alias("v")
     )
-    members = connected_components(ties, "minhash_ties").withColumnRenamed("component", "cluster")
+    members = stage(
+        connected_components(ties, "minhash_ties").withColumnRenamed("component", "cluster"), "minhash_members"
+    )
     component = connected_components(_links(members, source), "minhash_links")
     root = classes.select(*_CLASS, "node").join(component, "node", "left").select(
         *_CLASS, F.coalesce("component", "node").alias("root")
