@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import minhash, quality
+from cartwheel.llm import minhash, quality, toxicity
 from cartwheel.llm.scratch import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_quality_divergence")
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@register("op8_toxicity_gru")
+def op8_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    )

@@ -82,16 +82,17 @@ class Words:
     """The words of some texts: byte spans, owner and count per text.
 
     ``data`` holds the texts with a newline after each; ``first[d]`` and
-    ``first[d + 1]`` bound the words of text ``d``.
+    ``first[d + 1]`` bound the words of text ``d``.  ``breaks`` marks the bytes
+    between words (white space; the newline must be one of them).
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], breaks: np.ndarray = SPACE):
         self.texts = texts
         self.data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
         self.offsets = np.zeros(len(texts) + 1, dtype=np.int64)
         np.cumsum(lengths + 1, out=self.offsets[1:])
-        space = SPACE[self.data]
+        space = breaks[self.data]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if len(space) and not space[0]:
             edge = np.concatenate(([0], edge))
