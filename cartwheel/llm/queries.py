@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import minhash, quality, toxicity
+from cartwheel.llm import minhash, quality, secrets, toxicity
 from cartwheel.llm.scratch import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,8 @@ def op8_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(
         table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
     )
+
+
+@register("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
