@@ -45,7 +45,7 @@ from cartwheel.llm.gru import (
 )
 from cartwheel.llm.words import Words, chunks, to_bytes
 
-POSITIVES, NEGATIVES = 1500, 3000
+POSITIVES, NEGATIVES = 1000, 2000
 MIN_WORD_DOCS, MIN_GRAM_DOCS = 3, 4
 #: Training windows of one text in a pass, steps at least, windows in a step.
 DOC_WINDOWS, MIN_STEPS, BATCH, RATE, DECAY = 12, 500, 256, 0.01, 1e-4
@@ -66,23 +66,34 @@ class Model:
         return sigmoid(self.slope * self.logits(texts) + self.shift)
 
 
-def _evidence(codes: np.ndarray, owner: np.ndarray, y: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes that at least ``least`` texts have, and their evidence for label
-    1: the log odds ratio of having them, in standard errors, beyond two
-    of them."""
-    order = np.lexsort((owner, codes))
-    c, o = codes[order], owner[order]
-    new = np.ones(len(c), dtype=bool)
-    new[1:] = (c[1:] != c[:-1]) | (o[1:] != o[:-1])
-    values, code, n = np.unique(c[new], return_inverse=True, return_counts=True)
-    pos = np.bincount(code, weights=y[o[new]], minlength=len(values))
-    neg = n - pos
-    total = max(y.sum(), 1), max((1 - y).sum(), 1)
-    odds = np.log((pos + 0.5) / (total[0] - pos + 0.5)) - np.log((neg + 0.5) / (total[1] - neg + 0.5))
-    error = np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
-    keep = n >= least
-    z = np.clip(odds / error, -8, 8)[keep]
-    return values[keep], np.sign(z) * np.maximum(np.abs(z) - 2, 0) / 2
+class _Counts:
+    """Texts of either label that have a code, gathered chunk by chunk."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, codes: np.ndarray, owner: np.ndarray, y: np.ndarray) -> None:
+        order = np.lexsort((owner, codes))
+        c, o = codes[order], owner[order]
+        new = np.ones(len(c), dtype=bool)
+        new[1:] = (c[1:] != c[:-1]) | (o[1:] != o[:-1])
+        values, at, n = np.unique(c[new], return_inverse=True, return_counts=True)
+        self.parts.append((values, n, np.bincount(at, weights=y[o[new]], minlength=len(values))))
+
+    def evidence(self, least: int, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes that at least ``least`` texts have, and their evidence for
+        label 1: the log odds ratio of having them, in standard errors, beyond
+        two of them."""
+        codes, n, pos = (np.concatenate(x) for x in zip(*self.parts))
+        values, at = np.unique(codes, return_inverse=True)
+        n, pos = np.bincount(at, weights=n), np.bincount(at, weights=pos)
+        keep = n >= least
+        values, n, pos = values[keep], n[keep], pos[keep]
+        neg = n - pos
+        total = max(y.sum(), 1), max((1 - y).sum(), 1)
+        odds = np.log((pos + 0.5) / (total[0] - pos + 0.5)) - np.log((neg + 0.5) / (total[1] - neg + 0.5))
+        z = np.clip(odds / np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5)), -8, 8)
+        return values, np.sign(z) * np.maximum(np.abs(z) - 2, 0) / 2
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -98,38 +109,58 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.05)), float(b)
 
 
+def _gram_rows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of all grams of the words, the number of each word)."""
+    n = np.diff(bounds)[0::2]
+    return np.repeat(bounds[0::2] - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+
+
 class _Sample:
     """Training texts: word and gram rows, windows and their owners."""
 
     def __init__(self, texts: list[bytes], y: np.ndarray):
-        w = Words(texts, BREAKS)
-        self.words, self.y = w, y
-        self.hashes = w.hashes()
-        self.packed, self.bounds = grams(w)
-        blocks, self.length = windows(w.counts)
-        self.owner = np.repeat(np.arange(len(texts)), blocks)
-        nth = np.arange(len(self.owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        self.start = w.first[:-1][self.owner] + nth * STRIDE
+        self.texts, self.y = texts, y
+        words, found = _Counts(), _Counts()
+        for lo, hi in chunks(texts):
+            w = Words(texts[lo:hi], BREAKS)
+            packed, bounds = grams(w)
+            at, n = _gram_rows(bounds)
+            words.add(w.hashes(), w.owners(), y[lo:hi])
+            found.add(packed[at], np.repeat(w.owners(), n), y[lo:hi])
+        word, word_weight = words.evidence(MIN_WORD_DOCS, y)
+        gram, gram_weight = found.evidence(MIN_GRAM_DOCS, y)
+        known, known_grams = Vocabulary(word), Vocabulary(gram)
+        lookup = lambda v, keys, values: np.concatenate(
+            ([0], values[np.searchsorted(keys, v.hashes[1:])])
+        )
+        self.net = Net.new(
+            known, known_grams, lookup(known, word, word_weight), lookup(known_grams, gram, gram_weight)
+        )
+        word_at, gram_at, counts, per_word = [], [], [], []
+        for lo, hi in chunks(texts):
+            w = Words(texts[lo:hi], BREAKS)
+            packed, bounds = grams(w)
+            at, n = _gram_rows(bounds)
+            word_at.append(known.find(w.hashes()))
+            gram_at.append(known_grams.find(packed[at]))
+            counts.append(w.counts)
+            per_word.append(n)
+        self.word_at, self.gram_at = np.concatenate(word_at), np.concatenate(gram_at)
+        counts = np.concatenate(counts)
+        self.gram_first = np.concatenate(([0], np.cumsum(np.concatenate(per_word))))
+        self.blocks, self.length = windows(counts)
+        self.owner = np.repeat(np.arange(len(texts)), self.blocks)
+        nth = np.arange(len(self.owner)) - np.repeat(np.cumsum(self.blocks) - self.blocks, self.blocks)
+        self.start = (np.cumsum(counts) - counts)[self.owner] + nth * STRIDE
         self.live = np.flatnonzero(self.length > 0)
 
-    def net(self) -> Net:
-        owner = self.words.owners()
-        word, word_weight = _evidence(self.hashes, owner, self.y, MIN_WORD_DOCS)
-        n = np.diff(self.bounds)[0::2]
-        self.gram_first = np.concatenate(([0], np.cumsum(n)))
-        self.gram_pos = np.repeat(self.bounds[0::2] - self.gram_first[:-1], n) + np.arange(self.gram_first[-1])
-        gram, gram_weight = _evidence(self.packed[self.gram_pos], np.repeat(owner, n), self.y, MIN_GRAM_DOCS)
-        words, known = Vocabulary(word), Vocabulary(gram)
-        lookup = lambda v, keys, values: values[np.searchsorted(keys, v.hashes[1:])]
-        net = Net.new(
-            words,
-            known,
-            np.concatenate(([0], lookup(words, word, word_weight))),
-            np.concatenate(([0], lookup(known, gram, gram_weight))),
-        )
-        self.word_at = words.find(self.hashes)
-        self.gram_at = known.find(self.packed[self.gram_pos])
-        return net
+    def logits(self, net: Net) -> np.ndarray:
+        """The logit of every window."""
+        ends = np.cumsum(self.blocks)
+        out = np.zeros(len(self.owner), dtype=np.float32)
+        for lo, hi in chunks(self.texts):
+            out[ends[lo] - self.blocks[lo] : ends[hi - 1]] = net.window_logits(Words(self.texts[lo:hi], BREAKS))
+        return out
 
     def step(self, net: Net, adam: Adam, chosen: np.ndarray, balance: float) -> None:
         n = self.length[chosen]
@@ -169,14 +200,14 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Model:
     sample = _Sample([texts[i] for i in fitted], labels[fitted])
     if not len(sample.live):
         return Model(None, constant=float(labels.mean()))
-    net = sample.net()
+    net = sample.net
     adam = Adam(net.p, RATE)
     y = sample.y[sample.owner]
     steps, late = 0, False
     while steps < 2 * MIN_STEPS:
         order = rng.permutation(sample.live)
         if late:  # a toxic text's highest windows, the other texts' too
-            logit = _window_logits(net, sample)
+            logit = sample.logits(net)
             order = sample.live[np.argsort(-logit[sample.live], kind="stable")]
         by_text = order[np.argsort(sample.owner[order], kind="stable")]
         rank = np.arange(len(by_text)) - np.searchsorted(sample.owner[by_text], sample.owner[by_text])
@@ -191,22 +222,12 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Model:
             adam.rate *= 0.8
     model = Model(net)
     kept = np.flatnonzero(held) if held.any() else fitted
-    logits = np.concatenate([model.logits([texts[i] for i in kept[a : a + 200]]) for a in range(0, len(kept), 200)])
+    own = [texts[i] for i in kept]
+    logits = np.concatenate([model.logits(own[lo:hi]) for lo, hi in chunks(own)])
     model.slope, model.shift = _calibrate(logits, labels[kept])
     return model
 
 
-def _window_logits(net: Net, sample: _Sample) -> np.ndarray:
-    """The logit of every window of the sample."""
-    out = np.zeros(len(sample.owner), dtype=np.float32)
-    texts = sample.words.texts
-    blocks = np.bincount(sample.owner, minlength=len(texts))
-    ends = np.cumsum(blocks)
-    for lo, hi in chunks(texts):
-        out[ends[lo] - blocks[lo] : ends[hi - 1]] = net.window_logits(Words(texts[lo:hi], BREAKS))
-    return out
-
-
 def _held_out(column: str):
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 5 == 0, F.lit(False))
 
