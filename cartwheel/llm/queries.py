@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import minhash, quality, secrets, toxicity
-from cartwheel.llm.scratch import table
+import corpus_pipeline
+from cartwheel.llm import minhash, packing, quality, secrets, toxicity
+from cartwheel.llm.scratch import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +80,13 @@ def op8_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_secret_scan")
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op3_shortest_pack_first")
+def op3_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

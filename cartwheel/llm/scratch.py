@@ -24,3 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     """The named columns of a given table."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer file of that name is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
