@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartwheel.llm import minhash, packing, quality, secrets, toxicity
+from cartwheel.llm import minhash, packing, quality, secrets, toxicity, warc
 from cartwheel.llm.scratch import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,27 @@ def op3_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@register(
+    "op2_warc_bundles",
+    """
+    WITH pays AS (
+        SELECT page_id, encode(coalesce(html, '')) AS p, sha1(coalesce(html, '')) AS h FROM pages
+    ), firsts AS (
+        SELECT h, min(page_id) AS first FROM pays GROUP BY h
+    )
+    SELECT page_id, octet_length(p)::BIGINT AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i:
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(1 + ((('0x' || h[5 * (i // 4) + 1:5 * (i // 4) + 5])::BIGINT
+                   >> (5 * (3 - i % 4)::INTEGER)) & 31))::BIGINT]), '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM pays JOIN firsts USING (h)
+    """,
+)
+def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), warc.archive_folder(spark))
+    return warc.read(index, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
