@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartwheel.llm import minhash, packing, quality, secrets, toxicity, warc
+from cartwheel.llm import minhash, packing, quality, secrets, toxicity, warc, wrappers
 from cartwheel.llm.scratch import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,8 @@ def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@register("op9_wrapper_text")
+def op9_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
