@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartwheel.llm import minhash, packing, quality, secrets, toxicity, warc, wrappers
+from cartwheel.llm import minhash, multi_index, packing, quality, secrets, toxicity, warc, wrappers
 from cartwheel.llm.scratch import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,25 @@ def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_wrapper_text")
 def op9_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@register(
+    "op1_inverted_multi_index",
+    """
+    WITH e AS (
+        SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
+        FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return multi_index.search(vectors, vectors.where("vec_id % 20 = 0"))
