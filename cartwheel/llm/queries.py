@@ -12,7 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartwheel.llm import minhash, multi_index, packing, quality, secrets, toxicity, warc, wrappers
+from cartwheel.llm import (
+    minhash,
+    multi_index,
+    packing,
+    preference,
+    quality,
+    secrets,
+    toxicity,
+    viterbi,
+    warc,
+    wrappers,
+)
 from cartwheel.llm.scratch import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +152,55 @@ def op9_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return multi_index.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@register(
+    "op6_preference_pairs",
+    r"""
+    WITH t AS (
+        SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS c, role AS own_role, text AS own_text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i,
+               '<|im_start|>' || replace(coalesce(role, 'unknown'), '<|', '< |') || chr(10) AS head,
+               replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS body,
+               coalesce(role, 'unknown') = 'assistant' AS train
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), sizes AS (
+        SELECT pair_id, count(*) FILTER (WHERE c) AS nc, count(*) FILTER (WHERE NOT c) AS nr FROM t GROUP BY pair_id
+    ), differ AS (
+        SELECT a.pair_id, min(a.i) AS i FROM t a JOIN t b ON a.pair_id = b.pair_id AND a.i = b.i AND a.c AND NOT b.c
+        WHERE a.own_role IS DISTINCT FROM b.own_role OR a.own_text IS DISTINCT FROM b.own_text
+        GROUP BY a.pair_id
+    ), cut AS (
+        SELECT pair_id, coalesce(i - 1, least(nc, nr)) AS n
+        FROM sizes LEFT JOIN differ USING (pair_id) WHERE nc > 0 AND nr > 0
+    )
+    SELECT pair_id, any_value(n)::BIGINT AS n_prompt_turns,
+           coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE c AND i <= n), '') AS prompt,
+           coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE c AND i > n), '') AS chosen,
+           coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE NOT c AND i > n), '') AS rejected,
+           coalesce(sum(length(body)) FILTER (WHERE c AND i > n AND train), 0)::BIGINT AS chosen_trained_chars,
+           coalesce(sum(length(body)) FILTER (WHERE NOT c AND i > n AND train), 0)::BIGINT AS rejected_trained_chars
+    FROM cut JOIN t USING (pair_id) GROUP BY pair_id
+    """,
+)
+def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # conversations 2k and 2k + 1 are a pair, the even one is chosen
+    turns = table(spark, sf_dir, "conversations").select(
+        F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text"
+    )
+    pairs = preference.format_pairs(turns)
+    return pairs.select(
+        "pair_id",
+        "n_prompt_turns",
+        "prompt",
+        "chosen",
+        "rejected",
+        F.expr(preference.trained_chars("chosen_segments")).alias("chosen_trained_chars"),
+        F.expr(preference.trained_chars("rejected_segments")).alias("rejected_trained_chars"),
+    )
+
+
+@register("op7_sentencepiece_viterbi")
+def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return viterbi.round_trip(docs, tokenizer_path("piece_bpe_32k.model"))
