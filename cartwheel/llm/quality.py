@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.llm.scratch import stage
 from cartwheel.llm.words import SPACE, Words, chunks, mix, to_bytes
 
 MIN_BASE_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -79,9 +80,9 @@ def repeated_words(words: Words) -> np.ndarray:
     h = words.hashes(lower=False)
     owner = words.owners()
     covered = np.zeros(len(h), dtype=bool)
-    if len(h) >= 3:
+    inside = np.flatnonzero(owner[:-2] == owner[2:])
+    if len(inside):
         key = h[:-2] * np.uint64(3) + mix(h[1:-1] + np.uint64(1)) * np.uint64(5) + mix(h[2:] ^ np.uint64(77))
-        inside = np.flatnonzero(owner[:-2] == owner[2:])
         key = mix(key[inside] + owner[inside].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         order = np.argsort(key, kind="stable")
         same = key[order][1:] == key[order][:-1]
@@ -184,10 +185,11 @@ def _word_counts(known: list[str], flush: int = 2_000_000) -> Callable:
 def references(docs: DataFrame) -> dict[str | None, Reference]:
     """The language references; key None is the shared one."""
     source = docs.select("text", "lang")
-    totals = (
+    totals = stage(
         source.mapInArrow(_totals, "lang string, counts array<long>")
         .groupBy("lang")
-        .agg(*[F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(CLASSES + 1)])
+        .agg(*[F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(CLASSES + 1)]),
+        "quality_totals",
     )
     sums = [F.sum(f"c{i}") for i in range(CLASSES + 1)]
     every = [x or 0 for x in totals.agg(*sums).first()]
