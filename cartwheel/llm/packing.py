@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,34 +29,75 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.scratch import stage
-from cartwheel.llm.words import to_bytes
+from cartwheel.llm.words import chunks, to_bytes
 
 LENGTH, END_ID = 2048, 1
 #: Words whose ids a worker keeps; beyond, it starts anew.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 800_000
 #: Groups that pieces of one length are ranked in.
 MIN_SALTS, MAX_SALTS, SALT_ROWS = 64, 512, 1_000_000
 
 
-class WordIds(dict):
+#: A word that ends in a letter and ASCII punctuation: its ids are those of the
+#: part to the letter, then those of the punctuation.
+_ENDING = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+_GROUP = 256
+
+
+class WordIds:
     """Ids (as bytes) of the words of a tokenizer that never joins across
-    white space: a text's ids are those of its words, one after the other."""
+    white space: a text's ids are those of its words, one after the other.
+
+    Unknown words are encoded many to a call, with a mark between them that
+    is one token; words that hold the mark, or a special token's first
+    characters, are encoded alone."""
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer = tokenizer
+        self.known: dict[bytes, bytes] = {}
+        self.mark, self.mark_id = next(
+            (c, ids[0]) for c in "\u2665\u266a\u2022\u2192\u20ac|~" if len(ids := self._ids(c)) == 1
+        )
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        self[word] = out = np.array(ids, dtype="<u4").tobytes()
-        return out
-
-    def ids(self, text: bytes) -> bytes:
-        # letters of ASCII lose their case anyhow, but not in special tokens
-        words = text.split() if b"<|" in text else text.lower().split()
-        return b"".join(map(self.__getitem__, words))
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known.clear()
+        known, mark = self.known, self.mark.encode()
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        new = set()
+        for w in words:
+            m = None if b"<|" in w else _ENDING.fullmatch(w)
+            if m:
+                parts[w] = m.groups()
+            for x in m.groups() if m else (w,):
+                if x not in known:
+                    new.add(x)
+        alone = {w for w in new if b"<|" in w or mark in w}
+        rest = list(new - alone)
+        for i in range(0, len(rest), _GROUP):
+            group = rest[i : i + _GROUP]
+            ids = np.array(self._ids(f" {self.mark} ".join(w.decode() for w in group)), dtype="<u4")
+            for w, part in zip(group, np.split(ids, np.flatnonzero(ids == self.mark_id)), strict=True):
+                known[w] = (part[1:] if part.size and part[0] == self.mark_id else part).tobytes()
+        for w in alone:
+            known[w] = np.array(self._ids(w.decode()), dtype="<u4").tobytes()
+        for w, (core, ending) in parts.items():
+            known[w] = known[core] + known[ending]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        # ASCII letters lose their case anyhow, but not in special tokens
+        words = [t.split() if b"<|" in t else t.lower().split() for t in texts]
+        new = set().union(*words) - self.known.keys()
+        if new:
+            held = len(self.known)
+            self._learn(new)
+            if len(self.known) < held:  # began anew
+                self._learn(set().union(*words) - self.known.keys())
+        known = self.known.__getitem__
+        return [b"".join(map(known, w)) for w in words]
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -82,15 +124,17 @@ def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_id
         known = _word_ids(source.value)
         for batch in batches:
             owner, rows, kept = [], [], []
-            for i, text in enumerate(to_bytes(batch.column(1))):
-                ids = known.ids(text) + end
-                n = len(ids) // 4
-                for a in range(0, n, length):
-                    part = ids[4 * a : 4 * (a + length)]
-                    owner.append(i)
-                    rows.append((a, len(part) // 4, zlib.crc32(part), n))
-                    if with_ids:
-                        kept.append(np.frombuffer(part, dtype="<u4").astype(np.int64))
+            texts = to_bytes(batch.column(1))
+            for lo, hi in chunks(texts):
+                for i, ids in enumerate(known.ids(texts[lo:hi]), start=lo):
+                    ids += end
+                    n = len(ids) // 4
+                    for a in range(0, n, length):
+                        part = ids[4 * a : 4 * (a + length)]
+                        owner.append(i)
+                        rows.append((a, len(part) // 4, zlib.crc32(part), n))
+                        if with_ids:
+                            kept.append(np.frombuffer(part, dtype="<u4").astype(np.int64))
             cols = np.array(rows, dtype=np.int64).reshape(-1, 4).T
             out = [batch.column(0).take(pa.array(owner, pa.int64())), *[pa.array(c) for c in cols]]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]

@@ -26,9 +26,21 @@ def test_word_ids_equal_whole_texts(tokenizer):
         " \n ",
     ]
     known = packing.WordIds(tokenizer)
-    for t in texts:
-        want = tokenizer.encode(t, add_special_tokens=False).ids
-        assert np.frombuffer(known.ids(t.encode()), dtype="<u4").tolist() == want, t
+    texts += [f"a{known.mark}b {known.mark} {known.mark}", "e.g. (x) y), z'. don't. it's! \u00e9, \u20ac, a\u0301. 3. b2;", "x<|endoftext|>."]
+    texts += [" ".join(f"w{i}x{c}" for i in range(700)) for c in ("", ",", "\u2026")]
+    for group in (texts, [" ".join(texts)], texts):
+        for t, got in zip(group, known.ids([x.encode() for x in group])):
+            want = tokenizer.encode(t, add_special_tokens=False).ids
+            assert np.frombuffer(got, dtype="<u4").tolist() == want, t
+
+
+def test_a_full_cache_begins_anew(tokenizer, monkeypatch):
+    texts = [f"alpha beta {i} gamma, delta".encode() for i in range(30)]
+    want = packing.WordIds(tokenizer).ids(texts)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 8)
+    known = packing.WordIds(tokenizer)
+    assert known.ids(texts) == want
+    assert [known.ids([t])[0] for t in texts] == want
 
 
 def check_plan(histogram, length=2048):
