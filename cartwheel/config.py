@@ -8,7 +8,7 @@ UTC) and, for the trending stream only, the per-operator watermark rule set in
 
 from __future__ import annotations
 
-import hashlib
+import re
 import tempfile
 import uuid
 
@@ -36,19 +36,17 @@ def sizing_conf(
     total_cores: int,
     shuffle_share: float = 0.3,
     target_partition_bytes: int = 200 << 20,
-    max_partitions: int = 200_000,
 ) -> dict[str, str]:
     """Partition sizing for an input of ``input_bytes`` on ``total_cores``.
 
     The largest shuffle (the de-duplication of the projected events) carries
     about ``shuffle_share`` of the raw JSON; shuffle partitions are sized so
-    each holds about 200 MB of it, at least two per core and at most
-    ``max_partitions``.  AQE then coalesces the partitions of the smaller
+    each holds about 200 MB of it, at least two per core.  AQE then coalesces the partitions of the smaller
     shuffles.  Scan splits of 256 MB suit the JSON landing folder; small
     rolled files are packed together by a raised open cost.
     """
     shuffle_bytes = int(input_bytes * shuffle_share)
-    partitions = min(max_partitions, max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes)))
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
@@ -91,14 +89,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by whoever runs the job (a folder every
-    executor and the driver can see).  Only when it is unset -- local runs and
-    tests -- a private folder is created and registered, so that
+    executor and the driver can see); without it a run on a cluster is an
+    error, because a local folder differs from machine to machine.  Only with
+    a ``local`` master a private folder is created and registered, so that
     ``DataFrame.checkpoint()`` and this library's scratch tables work.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -118,9 +119,16 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join(p.strip("/") if i else p for i, p in enumerate(pieces))
 
 
-def job_dir(spark: SparkSession, job: str, *identity: str) -> str:
-    """A stable scratch path for one job's intermediate tables, derived from
-    what identifies the run (e.g. its input and output paths).  A rerun
-    overwrites the same folder instead of leaving a new one behind."""
-    digest = hashlib.sha1("\0".join(identity).encode("utf-8")).hexdigest()[:16]
-    return shared_dir(spark, job, digest)
+def job_dir(spark: SparkSession, job: str) -> str:
+    """A scratch path of one run's own for its intermediate tables.  Runs with
+    the same input and output may overlap: neither reads the other's files."""
+    return shared_dir(spark, job, unique=True)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder made by ``shared_dir`` once nothing reads it."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"not a scratch folder of this library: {path}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

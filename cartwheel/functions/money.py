@@ -1,15 +1,13 @@
 """Money arithmetic.
 
-Amounts arrive as doubles.  Sums of money are taken exactly: each amount is
-taken as a whole number of ten-thousandths (exact for prices in cents times
-quantities in hundredths), those integers are added as decimals, and the
-sum is turned back into money once per group.  A total then depends neither
-on the order of addition nor on how many rows went into it; a plain double
-sum of millions of rows drifts by tenths at 1e12 and loses the cents.
-Widening the integer to a decimal before the sum keeps it from overflowing
-for any group size, and is about 2.5x faster than casting each double to a
-decimal (that cast goes through text).  Results are rounded half up to 2
-decimals and returned as doubles.
+Amounts arrive as doubles.  A sum of money has two parts, both plain partial
+aggregates: the amounts as whole ten-thousandths of a unit, added exactly as
+decimals, and what that leaves of each amount (fractions below a
+ten-thousandth, and every amount that is not finite or not below ``LARGE``),
+added as doubles.  The parts are put together once per group.  So cents never
+drift however many rows a group has, and nothing is lost: tiny amounts add up,
+NaN and infinities come through as in a plain sum, and large amounts count
+with a double's precision.  Results are rounded half up to 2 decimals.
 """
 
 from __future__ import annotations
@@ -18,52 +16,78 @@ import decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# amounts are summed as whole ten-thousandths of a currency unit
+# the exact part counts whole ten-thousandths of a currency unit
 UNIT = decimal.Decimal("0.0001")
+LARGE = 9e14
+_UNITS = "decimal(19,0)"
+_SUM = "decimal(38,0)"
+
+
+def _col(x: Column | str) -> Column:
+    return F.col(x) if isinstance(x, str) else x
 
 
 def round2(x: Column | str) -> Column:
     """Round half up to 2 decimals (2.675 -> 2.68 on the double's value)."""
-    return F.round(F.col(x) if isinstance(x, str) else x, 2)
+    return F.round(_col(x), 2)
 
 
 def subtotal(quantity: Column | str = "quantity", price: Column | str = "price") -> Column:
-    q = F.col(quantity) if isinstance(quantity, str) else quantity
-    p = F.col(price) if isinstance(price, str) else price
-    return q * p
+    return _col(quantity) * _col(price)
 
 
-def items_total(items: Column | str = "items") -> Column:
-    """Sum of quantity * price over an ``items`` array, per row.
+def _whole(x: Column) -> Column:
+    """Whole ten-thousandths of an amount (bigint); 0 if it is not finite or
+    too large, NULL for NULL."""
+    counted = F.floor(x * F.lit(10000.0) + F.lit(0.5)).cast("bigint")
+    return F.when(F.abs(x) < LARGE, counted).when(x.isNotNull(), F.lit(0).cast("bigint"))
 
-    A higher-order ``aggregate``: no explode, no shuffle.  NULL array -> NULL,
-    empty array -> 0.0.
-    """
-    arr = F.col(items) if isinstance(items, str) else items
-    return F.aggregate(
-        arr,
-        F.lit(0.0).cast("double"),
-        lambda acc, it: acc + F.coalesce(it["quantity"] * it["price"], F.lit(0.0)),
-    )
+
+def _rest(x: Column) -> Column:
+    """What ``_whole`` leaves of an amount."""
+    return F.when(F.abs(x) < LARGE, x - _whole(x).cast("double") / 10000.0).otherwise(x)
+
+
+def _joined(units: Column, rest: Column) -> Column:
+    return round2((units * F.lit(UNIT)).cast("double") + rest)
 
 
-def money_units(x: Column | str) -> Column:
-    """An amount as a whole number of ten-thousandths (bigint), half up."""
-    c = F.col(x) if isinstance(x, str) else x
-    return F.floor(c * F.lit(10000.0) + F.lit(0.5)).cast("bigint")
+def money_parts(x: Column | str, name: str = "_money") -> list[Column]:
+    """The two partial sums of an amount column, as ``<name>_units`` and
+    ``<name>_rest``."""
+    c = _col(x).cast("double")
+    return [
+        F.sum(_whole(c).cast(_UNITS)).alias(f"{name}_units"),
+        F.sum(_rest(c)).alias(f"{name}_rest"),
+    ]
 
 
-def money_sum(x: Column | str, dtype: T.DataType | None = None) -> Column:
-    """Exact sum of amounts, as a decimal amount.  A column that is already
-    a decimal amount (e.g. a per-group ``money_sum``) is summed as it is."""
-    c = F.col(x) if isinstance(x, str) else x
-    if isinstance(dtype, T.DecimalType):
-        return F.sum(c)
-    return F.sum(money_units(c).cast("decimal(18,0)")) * F.lit(UNIT)
+def add_parts(name: str = "_money") -> list[Column]:
+    """Sums of already summed parts, under the same names."""
+    return [F.sum(f"{name}_units").alias(f"{name}_units"), F.sum(f"{name}_rest").alias(f"{name}_rest")]
+
+
+def money_total(name: str = "_money") -> Column:
+    """The parts as one amount, rounded to cents (NULL when nothing was
+    summed)."""
+    return _joined(F.col(f"{name}_units"), F.col(f"{name}_rest"))
+
+
+def items_total(items: Column | str = "items") -> Column:
+    """Sum of quantity * price over an ``items`` array, per row, by the same
+    rule as ``money_total`` (rounded to cents).
+
+    A higher-order ``aggregate``: no explode, no shuffle.  NULL array -> NULL,
+    empty array -> 0.0; an item without quantity or price adds nothing.
+    """
 
+    def add(acc: Column, item: Column) -> Column:
+        amount = F.coalesce((item["quantity"] * item["price"]).cast("double"), F.lit(0.0))
+        return F.struct(
+            (acc["units"] + _whole(amount).cast(_UNITS)).cast(_SUM).alias("units"),
+            (acc["rest"] + _rest(amount)).alias("rest"),
+        )
 
-def money_total(total: Column) -> Column:
-    """An exact decimal total -> rounded half up to cents, as a double."""
-    return F.round(total, 2).cast("double")
+    zero = F.struct(F.lit(0).cast(_SUM).alias("units"), F.lit(0.0).alias("rest"))
+    return F.aggregate(_col(items), zero, add, lambda acc: _joined(acc["units"], acc["rest"]))

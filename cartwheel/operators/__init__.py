@@ -15,9 +15,6 @@ from cartwheel.operators.dedup import (  # noqa: F401
 )
 from cartwheel.operators.insights import (  # noqa: F401
     abandonment,
-    abandonment_by_join,
-    buying_sessions,
-    sessions_with_cart,
     delivery_status_counts,
     revenue_by_category,
     revenue_by_city,
@@ -25,9 +22,9 @@ from cartwheel.operators.insights import (  # noqa: F401
 from cartwheel.operators.items import explode_items, purchases, with_subtotal  # noqa: F401
 from cartwheel.operators.kv import latest_cells, row_payloads, to_cells  # noqa: F401
 from cartwheel.operators.reconcile import (  # noqa: F401
-    classify_bad_lines,
     delivery_report,
     event_type_counts,
+    file_lines,
     growth_ok,
     growth_report,
     id_multiplicity,

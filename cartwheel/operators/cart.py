@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import items_total, money_sum, money_total, round2, subtotal
+from cartwheel.functions.money import items_total, money_parts, money_total, round2, subtotal
 from cartwheel.schema import ADD_TO_CART
 
 
@@ -17,7 +17,7 @@ def order_totals_from_arrays(purchase_events: DataFrame) -> DataFrame:
     Output: ``order_id, items_total, total, total_matches``.  Per-row
     higher-order aggregate: no explode, no shuffle.
     """
-    it = round2(items_total("items"))
+    it = items_total("items")
     return purchase_events.select(
         "order_id",
         it.alias("items_total"),
@@ -30,13 +30,13 @@ def order_totals_from_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """RA1 on exploded items: sum per order, then compare with the order.
 
     ``items``: ``order_id, quantity, price``; ``orders``: ``order_id, total``.
-    The sum is exact (``functions.money.money_sum``), so it does not depend on
-    the order of addition and cannot overflow however many items an order
-    has.  The join sees one row per order on both sides.
+    Every order appears; one without items has 0.0.  Items are summed as
+    ``functions.money`` does, so a total does not depend on the order of
+    addition.  The join sees one row per order on both sides.
     """
-    sums = items.groupBy("order_id").agg(money_sum(subtotal("quantity", "price")).alias("_sum"))
-    it = money_total(F.col("_sum"))
-    return sums.join(orders.select("order_id", "total"), "order_id").select(
+    sums = items.groupBy("order_id").agg(*money_parts(subtotal("quantity", "price")))
+    it = F.coalesce(money_total(), F.lit(0.0))
+    return orders.select("order_id", "total").join(sums, "order_id", "left").select(
         "order_id",
         it.alias("items_total"),
         "total",

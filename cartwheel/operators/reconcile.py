@@ -60,25 +60,25 @@ def reconcile_ids(source_ids: DataFrame, sink_ids: DataFrame, key: str = "event_
     )
 
 
-def classify_bad_lines(sink: DataFrame) -> DataFrame:
-    """WF1: each failing sink line -> ``kind`` = incomplete_last | invalid.
+def file_lines(sink: DataFrame) -> DataFrame:
+    """``file, rows, invalid, incomplete_last`` per sink file.
 
     A failing line is "incomplete" when it is the last line of its file (it
-    may still be being written), otherwise "invalid".  The last line per file
-    is a max over ``(block, pos)`` -- an aggregation, not a sort of the file
-    -- and failing lines are matched to it on the exact (file, block, pos)
-    key, so a huge file is never gathered into one task.
+    may still be being written), otherwise "invalid".  The last line is a max
+    over ``(block, pos)`` that carries whether the line is good, so one
+    aggregation with a partial step per task gives all counts: no join, no
+    sort, and a huge file is never gathered into one task.
     """
-    last = sink.groupBy("file").agg(F.max(F.struct("block", "pos")).alias("_last")).select(
-        "file", F.col("_last.block").alias("block"), F.col("_last.pos").alias("pos"), F.lit(True).alias("_is_last")
-    )
-    bad = sink.where(~F.col("line_ok"))
-    return bad.join(last, ["file", "block", "pos"], "left").select(
-        "file",
-        "block",
-        "pos",
-        "line",
-        F.when(F.col("_is_last"), F.lit("incomplete_last")).otherwise(F.lit("invalid")).alias("kind"),
+    last = F.max(F.struct("block", "pos", "line_ok"))
+    return (
+        sink.groupBy("file")
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("line_ok")).alias("_bad"), last.alias("_last"))
+        .select(
+            "file",
+            "rows",
+            (F.col("_bad") - (~F.col("_last.line_ok")).cast("bigint")).alias("invalid"),
+            (~F.col("_last.line_ok")).cast("bigint").alias("incomplete_last"),
+        )
     )
 
 
@@ -92,33 +92,34 @@ def event_type_counts(sink: DataFrame) -> DataFrame:
     )
 
 
-def delivery_report(source: DataFrame, sink: DataFrame, sink_files: DataFrame) -> DataFrame:
+def _metric(name: str, sink_files: int):
+    if name == "sink_files":
+        return F.lit(sink_files).cast("bigint").alias(name)
+    return F.max(F.when(F.col("metric") == name, F.col("value"))).alias(name)
+
+
+def delivery_report(source: DataFrame, sink: DataFrame, sink_files: int) -> DataFrame:
     """One row: the seven counts of ``REPORT_METRICS`` and ``ok``.
 
     ``source`` and ``sink`` are inspected lines (``inspect_lines``);
-    ``sink_files`` has one row per file in the sink folder.
+    ``sink_files`` is the number of files in the sink folder.
     ok = sink_rows > 0 and invalid = 0 and foreign_ids = 0 (missing rows do
     not fail the check: the newest lines may still be in flight).
     """
-    def metric(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
-
-    kinds = classify_bad_lines(sink).groupBy(F.col("kind").alias("metric")).agg(
-        F.count(F.lit(1)).alias("value")
-    )
-    ids = reconcile_ids(
-        source.where(F.col("id_ok")), sink.where(F.col("id_ok"))
-    ).select(F.expr("stack(2, 'foreign_ids', foreign_ids, 'missing_rows', missing_rows) AS (metric, value)"))
-    long = (
-        metric(source, "source_rows")
-        .unionByName(metric(sink_files, "sink_files"))
-        .unionByName(metric(sink, "sink_rows"))
-        .unionByName(kinds)
-        .unionByName(ids)
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
+    lines = file_lines(sink).agg(zero("rows"), zero("invalid"), zero("incomplete_last"))
+    ids = reconcile_ids(source.where(F.col("id_ok")), sink.where(F.col("id_ok")))
+
+    def long(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        pairs = ", ".join(f"'{metric}', {column}" for column, metric in names.items())
+        return df.select(F.expr(f"stack({len(names)}, {pairs}) AS (metric, value)"))
+
+    metrics = (
+        long(source.agg(F.count(F.lit(1)).alias("n")), {"n": "source_rows"})
+        .unionByName(long(lines, {"rows": "sink_rows", "invalid": "invalid", "incomplete_last": "incomplete_last"}))
+        .unionByName(long(ids, {"foreign_ids": "foreign_ids", "missing_rows": "missing_rows"}))
     )
-    wide = long.groupBy().pivot("metric", list(REPORT_METRICS)).agg(F.first("value"))
-    cols = [F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in REPORT_METRICS]
-    report = wide.select(*cols)
+    report = metrics.agg(*[_metric(m, sink_files) for m in REPORT_METRICS])
     ok = (F.col("sink_rows") > 0) & (F.col("invalid") == 0) & (F.col("foreign_ids") == 0)
     return report.withColumn("ok", ok)
 

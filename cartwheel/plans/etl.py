@@ -21,13 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
-from cartwheel.config import build_session, job_dir
+from cartwheel.config import build_session, job_dir, remove_dir
 from cartwheel.schema import (
+    ADD_TO_CART,
     CATEGORY_CELLS,
-    CORRUPT_COLUMN,
     CITY_CELLS,
+    CLICK,
+    CORRUPT_COLUMN,
+    DELIVERY_STATUS,
     KV_TABLE_CATEGORY,
     KV_TABLE_CITY,
+    ORIGINAL_INSIGHT_NAMES,
+    PURCHASE,
     UNKNOWN_CATEGORY,
 )
 from cartwheel.sinks import files, tables
@@ -79,22 +84,58 @@ def _project(raw: DataFrame) -> DataFrame:
 def insights_from(counted: DataFrame, unknown: str = UNKNOWN_CATEGORY) -> Insights:
     """All four insights and the de-dup statistics from de-duplicated events
     with copy counts (``dedup_events_counted``), lazily."""
-    events = counted.drop("_copies", "_corrupt")
+    events = counted.drop("_copies", "_corrupt", "_fraction")
     catalog = op.derive_catalog(events)
-    bought = op.purchases(events)
+    bought = op.purchases(_of_kind(events, PURCHASE))
     items = op.explode_items(bought)
     return Insights(
         stats=op.counted_stats(counted),
         by_category=op.revenue_by_category(items, catalog, unknown),
         by_city=op.revenue_by_city(bought),
-        abandonment=op.abandonment(events),
-        status=op.delivery_status_counts(events),
+        abandonment=op.abandonment(_of_kind(events, ADD_TO_CART, PURCHASE)),
+        status=op.delivery_status_counts(_of_kind(events, DELIVERY_STATUS)),
     )
 
 
 def compute_insights(raw: DataFrame, unknown: str = UNKNOWN_CATEGORY) -> Insights:
     """Insights straight from raw events (lazy; each action re-reads them)."""
-    return insights_from(op.dedup_events_counted(_project(raw)), unknown)
+    return insights_from(whole_quantities(op.dedup_events_counted(_project(raw))), unknown)
+
+
+# The staged table's folders: the types the insights filter on, all others as
+# one (``event_type`` itself is free text and would make a folder per value).
+KINDS = (CLICK, ADD_TO_CART, PURCHASE, DELIVERY_STATUS)
+
+
+def _of_kind(events: DataFrame, *kinds: str) -> DataFrame:
+    """Cut a staged table to the folders of some types (others: as it is)."""
+    return events.where(F.col("kind").isin(*kinds)) if "kind" in events.columns else events
+
+
+def _fraction(items: str = "items", quantity: str = "quantity"):
+    """Whether any quantity of a row is not a whole number."""
+    part = lambda q: q.isNotNull() & (q != F.floor(q))
+    inner = F.exists(items, lambda i: F.coalesce(part(i["quantity"]), F.lit(False)))
+    return F.coalesce(inner, F.lit(False)) | F.coalesce(part(F.col(quantity)), F.lit(False))
+
+
+def _as_whole(counted: DataFrame) -> DataFrame:
+    items = F.transform(
+        "items",
+        lambda i: F.when(
+            i.isNotNull(),
+            F.struct(i["product_id"].alias("product_id"), i["quantity"].cast("bigint").alias("quantity"), i["price"].alias("price")),
+        ),
+    )
+    return counted.withColumns({"quantity": F.col("quantity").cast("bigint"), "items": items})
+
+
+def whole_quantities(counted: DataFrame) -> DataFrame:
+    """Quantities as ``bigint`` if every one is a whole number (units then
+    print like 12), else as they are.  Decided over all rows, as an inferred
+    schema would be; on a staged table it is a scan of one flag column."""
+    flag = F.col("_fraction") if "_fraction" in counted.columns else _fraction()
+    return counted if counted.where(flag).limit(1).count() else _as_whole(counted)
 
 
 def stage_events(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
@@ -102,22 +143,34 @@ def stage_events(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
     insights use, write them as Parquet under the shared checkpoint folder
     and continue from that table.  The lineage is cut there (a lost executor
     costs a re-read of Parquet, not of the JSON), and every insight is a
-    column-pruned Parquet scan instead of another JSON parse.  The table is
-    partitioned by ``event_type``, so an insight's type filter prunes whole
-    folders (revenue reads only purchases, the status count only delivery
-    updates)."""
-    counted = op.dedup_events_counted(_project(raw))
-    counted.write.mode("overwrite").partitionBy("event_type").parquet(path)
-    return spark.read.schema(counted.schema).parquet(path)
-
-
-def write_insights(spark: SparkSession, ins: Insights, output: str, database: str | None = None) -> None:
-    """SNK1 + SNK2 (+ SNK11 when ``database`` is given)."""
+    column-pruned Parquet scan instead of another JSON parse.
+
+    The table has one folder per kind of event (the four types that insights
+    filter on, and ``other``), so a filter on the kind prunes whole folders.
+    The rebalance hint deals rows by kind before the write: AQE cuts a large
+    kind into files of the advisory size and gives a small one a single file,
+    however many shuffle partitions there are."""
+    kind = F.when(F.col("event_type").isin(*KINDS), F.col("event_type")).otherwise(F.lit("other"))
+    counted = op.dedup_events_counted(_project(raw)).withColumns({"_fraction": _fraction(), "kind": kind})
+    counted.hint("rebalance", F.col("kind")).write.mode("overwrite").partitionBy("kind").parquet(path)
+    return whole_quantities(spark.read.schema(counted.schema).parquet(path))
+
+
+def write_insights(
+    spark: SparkSession, ins: Insights, output: str, database: str | None = None, original_names: bool = False
+) -> None:
+    """SNK1 + SNK2 (+ SNK11 when ``database`` is given).  With
+    ``original_names`` the files, Parquet and CSV, go to folders and under
+    column names as the original job wrote them (``faturamento_categoria``:
+    ``category, faturamento, unidades_vendidas``, ...)."""
     out = output.rstrip("/")
     for name, df in ins.frames().items():
-        files.write_parquet_single(df, f"{out}/{name}")
-    files.write_csv_single(ins.by_category, f"{out}/csv/revenue_by_category")
-    files.write_csv_single(ins.by_city, f"{out}/csv/revenue_by_city")
+        folder, columns = ORIGINAL_INSIGHT_NAMES[name] if original_names else (name, {})
+        files.write_parquet_single(df, f"{out}/{folder}", columns)
+        if name in ("revenue_by_category", "revenue_by_city"):
+            files.write_csv_single(df, f"{out}/csv/{folder}", columns)
+    if database and original_names:
+        raise ValueError("the catalog tables read the English names; the original ones are views there")
     if database:
         tables.register_insights(spark, database, out)
 
@@ -143,13 +196,11 @@ def run(
     database: str | None = None,
     show: bool = True,
     staging: str | None = None,
+    original_names: bool = False,
 ) -> Insights:
-    """The whole batch job.  ``staging`` defaults to a folder under
-    ``spark.checkpoint.dir`` fixed by the input and output paths, so a rerun
-    replaces the previous run's staged table."""
-    staged = stage_events(
-        spark, read_events(spark, input_path), staging or job_dir(spark, "etl", input_path, output)
-    )
+    """The whole batch job.  ``staging`` defaults to a new folder under
+    ``spark.checkpoint.dir``; ``main`` removes it in the end."""
+    staged = stage_events(spark, read_events(spark, input_path), staging or job_dir(spark, "etl"))
     ins = insights_from(staged)
     for df in (ins.stats, *ins.frames().values()):
         df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -158,7 +209,7 @@ def run(
         f"[etl] rows read={s['rows_read']} after dedup={s['rows_after']} "
         f"duplicates removed={s['duplicates_removed']} corrupt={s['corrupt']}"
     )
-    write_insights(spark, ins, output, database)
+    write_insights(spark, ins, output, database, original_names)
     if kv_root:
         upsert_insights(KeyValueStore(spark, kv_root), ins)
     if show:
@@ -173,12 +224,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--output", required=True)
     ap.add_argument("--kv-root", default=None)
     ap.add_argument("--database", default=None)
+    ap.add_argument("--original-names", action="store_true", help="file and column names of the original job")
     args = ap.parse_args(argv)
     spark = build_session(app_name="cartwheel-etl")
     try:
-        ins = run(spark, args.input, args.output, args.kv_root, args.database)
+        staging = job_dir(spark, "etl")
+        ins = run(
+            spark, args.input, args.output, args.kv_root, args.database, staging=staging, original_names=args.original_names
+        )
         for df in (ins.stats, *ins.frames().values()):
             df.unpersist()
+        remove_dir(spark, staging)
     finally:
         spark.stop()
 

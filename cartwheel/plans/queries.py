@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import operators as op
 from cartwheel.config import shared_dir
-from cartwheel.functions.money import money_sum
+from cartwheel.functions.money import money_parts
 from cartwheel.functions.text import python_text
 from cartwheel.plans import standin
 from cartwheel.plans.etl import insights_from, stage_events
@@ -28,6 +28,7 @@ from cartwheel.schema import (
     KV_TABLE_ALERTS,
     KV_TABLE_CATEGORY,
     KV_TABLE_CITY,
+    ORIGINAL_INSIGHT_NAMES,
 )
 from cartwheel.sinks.files import write_csv_single, write_parquet_single
 from cartwheel.sinks.kvstore import KeyValueStore
@@ -38,11 +39,11 @@ from cartwheel.sinks.tables import (
     register_original_names,
 )
 from cartwheel.sources.events import read_events
-from cartwheel.sources.lines import read_lines
+from cartwheel.sources.lines import count_lines, files_by_name, read_lines
 from cartwheel.sources.tables import read_table
 from cartwheel.streaming.landing import start_landing
 from cartwheel.streaming.trending import alert_cells as trending_alert_cells
-from cartwheel.streaming.trending import per_window_late_rule, start_trending
+from cartwheel.streaming.trending import start_trending, stream_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,10 +77,11 @@ def register(name: str, sql: str | None = None):
     "revenue_by_category",
     """
     SELECT coalesce(c.category, 'desconhecida') AS category,
-           CAST(round(CAST(sum(CAST(floor(l.l_quantity * l.l_extendedprice * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue,
-           sum(l.l_quantity) AS units
+           round(fsum(l.l_quantity * l.l_extendedprice), 2) AS revenue, sum(l.l_quantity) AS units
     FROM lineitem l
-    LEFT JOIN (SELECT p_partkey, p_type AS category FROM part WHERE p_size <= 40) c
+    LEFT JOIN (SELECT p_partkey, p_type AS category FROM part
+               WHERE CAST(p_partkey AS VARCHAR) IN (SELECT json_extract_string(props, '$.k') FROM events
+                                                    WHERE event_type IN ('click', 'view'))) c
       ON l.l_partkey = c.p_partkey
     GROUP BY 1
     """,
@@ -93,8 +95,7 @@ def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     "revenue_by_city",
     """
     SELECT n.n_name AS city, r.r_name AS state,
-           CAST(round(CAST(sum(CAST(floor(o.o_totalprice * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue,
-           count(*) AS orders
+           round(fsum(o.o_totalprice), 2) AS revenue, count(*) AS orders
     FROM orders o
     JOIN customer c ON o.o_custkey = c.c_custkey
     JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -107,7 +108,7 @@ def revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     # shuffle see one row per customer, and a customer with a third of all
     # orders is combined inside each task first.
     per_customer = standin.orders(spark, sf_dir).groupBy("customer_id").agg(
-        money_sum("total").alias("total"), F.count(F.lit(1)).alias("n_orders")
+        *money_parts("total", "total"), F.count(F.lit(1)).alias("n_orders")
     )
     placed = per_customer.join(standin.places(spark, sf_dir), "customer_id")
     return op.revenue_by_city(placed, amount="total", orders="n_orders")
@@ -201,18 +202,15 @@ def dedup_events_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "order_total",
     """
-    SELECT o.o_orderkey AS order_id,
-           CAST(round(CAST(s.t AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS items_total,
-           o.o_totalprice AS total,
-           CAST(round(CAST(s.t AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE)
-             = round(o.o_totalprice, 2) AS total_matches
-    FROM (SELECT l_orderkey, sum(CAST(floor(l_quantity * l_extendedprice * 10000.0 + 0.5) AS BIGINT)) AS t
-          FROM lineitem GROUP BY 1) s
-    JOIN orders o ON o.o_orderkey = s.l_orderkey
+    WITH s AS (SELECT l_orderkey, round(fsum(l_quantity * l_extendedprice), 2) AS t FROM lineitem GROUP BY 1),
+         o AS (SELECT o_orderkey, coalesce(s.t, 0.0) AS t,
+                      CASE WHEN o_orderkey % 2 = 0 THEN coalesce(s.t, 0.0) ELSE o_totalprice END AS total
+               FROM orders LEFT JOIN s ON o_orderkey = s.l_orderkey)
+    SELECT o_orderkey AS order_id, t AS items_total, total, t = round(total, 2) AS total_matches FROM o
     """,
 )
 def order_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.order_totals_from_items(standin.items(spark, sf_dir), standin.orders(spark, sf_dir))
+    return op.order_totals_from_items(standin.items(spark, sf_dir), standin.checked_orders(spark, sf_dir))
 
 
 @register(
@@ -412,20 +410,23 @@ def foreign_ids_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.growth_report(_daily_samples(spark, sf_dir, F.col("event_type") != "error"))
+
+
+def _daily_samples(spark: SparkSession, sf_dir: str, arrives) -> DataFrame:
     # Daily samples of the running source and sink counts.  The per-day
     # aggregation is distributed; the running sums and the lag then run
     # over the day series (one row per day).
     e = standin.events(spark, sf_dir)
     daily = e.groupBy(F.to_date("event_time").cast("timestamp_ntz").alias("sample_ts")).agg(
-        F.count(F.lit(1)).alias("s"), F.count(F.when(F.col("event_type") != "error", 1)).alias("k")
+        F.count(F.lit(1)).alias("s"), F.count(F.when(arrives, 1)).alias("k")
     )
     upto = Window.orderBy("sample_ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    samples = daily.select(
+    return daily.select(
         "sample_ts",
         F.sum("s").over(upto).cast("bigint").alias("source_rows"),
         F.sum("k").over(upto).cast("bigint").alias("sink_rows"),
     )
-    return op.growth_report(samples)
 
 
 @register(
@@ -440,13 +441,23 @@ def growth_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.growth_ok(growth(spark, sf_dir))
 
 
+@register(
+    "growth_stalled",
+    ORACLE_SQL["growth"].replace("event_type <> 'error'", "event_type <> 'error' AND day(ts) % 3 = 1"),
+)
+def growth_stalled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a sink that receives nothing on two days out of three
+    arrives = (F.col("event_type") != "error") & (F.dayofmonth("event_time") % 3 == 1)
+    return op.growth_report(_daily_samples(spark, sf_dir, arrives))
+
+
 # --- key-value cells --------------------------------------------------------
 
 _LATEST_SQL = """
     SELECT user_id, event_type, value FROM (
       SELECT user_id, event_type, value,
              row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
-      FROM events WHERE event_type IN ('click', 'view')) WHERE rn = 1
+      FROM events) WHERE rn = 1
 """
 
 
@@ -459,9 +470,9 @@ _LATEST_SQL = """
     """,
 )
 def kv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # every click / view event is a put of cell cf:<type> under its user;
-    # the newest put per cell wins
-    e = standin.events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
+    # every event is a put of cell cf:<type> under its user; the newest put
+    # per cell wins
+    e = standin.events(spark, sf_dir)
     cells = e.select(
         F.lit("user_last_value").alias("table"),
         F.col("user_id").cast("string").alias("row_key"),
@@ -484,29 +495,31 @@ def _kv_store(spark: SparkSession, name: str) -> KeyValueStore:
     SELECT 'user_value' AS "table", CAST(user_id AS VARCHAR) AS row_key, 'cf:last' AS "column",
            CAST(coalesce(max(value) FILTER (WHERE event_type = 'view'),
                          max(value) FILTER (WHERE event_type = 'click')) AS VARCHAR) AS value
-    FROM l GROUP BY user_id
+    FROM l WHERE event_type IN ('click', 'view') GROUP BY user_id
     """,
 )
 def kv_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Two puts into one key-value table: the newest click value per user,
     # then the newest view value per user under the same cell.  The second
     # put replaces the cell where a user has a view and leaves it otherwise;
-    # replaying the second batch changes nothing.
-    latest = kv_upsert(spark, sf_dir)
+    # replaying the second put changes nothing.  The cells are aggregated
+    # once and staged.
+    staged = shared_dir(spark, "kv", "latest", unique=True)
+    kv_upsert(spark, sf_dir).write.parquet(staged)
+    latest = spark.read.parquet(staged)
     store = _kv_store(spark, "user_value")
-    for batch, kind in ((1, "cf:click"), (2, "cf:view"), (2, "cf:view")):
+    for name, kind in (("1", "cf:click"), ("2", "cf:view"), ("2", "cf:view")):
         cells = latest.where(F.col("column") == kind).select(
             "row_key", F.lit("cf:last").alias("column"), "value"
         )
-        store.put(cells, "user_value", batch=batch)
+        store.put(cells, "user_value", name)
     return store.read("user_value")
 
 
 @register(
     "kv_row_count",
     """
-    SELECT 'user_value' AS "table", count(DISTINCT user_id) AS rows
-    FROM events WHERE event_type IN ('click', 'view')
+    SELECT 'user_value' AS "table", count(DISTINCT user_id) AS rows FROM events
     """,
 )
 def kv_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -523,24 +536,8 @@ def _lines_dir(spark: SparkSession, df: DataFrame, name: str) -> str:
     return standin.write_lines(df, shared_dir(spark, "standin", name, unique=True))
 
 
-# Folders derived from the tables are written once per application and
-# table folder, then shared by the queries that read them (as the jobs of
-# one run would share them).  Only paths and names are kept here; frames
-# are built again in the calling session.
-_DERIVED: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _DERIVED:
-        _DERIVED[key] = make()
-    return _DERIVED[key]
-
-
 def _event_lines(spark: SparkSession, sf_dir: str) -> str:
-    return _once(
-        spark, sf_dir, "event_lines", lambda: _lines_dir(spark, standin.event_json(spark, sf_dir), "events_json")
-    )
+    return _lines_dir(spark, standin.event_json(spark, sf_dir), "events_json")
 
 
 _TYPE_COUNTS_SQL = """
@@ -557,30 +554,90 @@ def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _delivery_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Source: every event line, purchases twice.  Sink: error events arrive
-    cut short (broken lines), signup events also arrive under a foreign id."""
+    """Source: every event line, purchases twice.  Sink: one file per day of
+    the month, lines in the order of event ids; error events arrive cut short
+    (broken lines), signup events also arrive under a foreign id."""
     e = standin.events(spark, sf_dir)
     src = standin.event_json_from(e.unionByName(e.where(F.col("event_type") == "purchase")))
-    good = standin.event_json_from(e.where(F.col("event_type") != "error"))
-    cut = standin.event_json_from(e.where(F.col("event_type") == "error")).select(
-        F.expr("substring(value, 1, length(value) - 2)").alias("value")
+    foreign = e.where(F.col("event_type") == "signup").withColumn("event_id", -F.col("event_id") - 1)
+    sent = e.unionByName(foreign)
+    lines = standin.event_json_from(sent, "day", "event_id", "event_type").withColumn(
+        "value",
+        F.when(F.col("event_type") == "error", F.expr("substring(value, 1, length(value) - 2)")).otherwise(F.col("value")),
     )
-    foreign = standin.event_json_from(
-        e.where(F.col("event_type") == "signup").withColumn("event_id", -F.col("event_id") - 1)
+    sink = shared_dir(spark, "standin", "sink", unique=True)
+    (
+        lines.repartition("day")
+        .sortWithinPartitions("day", "event_id")
+        .select("day", "value")
+        .write.partitionBy("day")
+        .text(sink)
     )
-    return _lines_dir(spark, src, "source"), _lines_dir(spark, good.unionByName(cut).unionByName(foreign), "sink")
+    return _lines_dir(spark, src, "source"), sink
 
 
 def _delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, sink = _once(spark, sf_dir, "delivery_dirs", lambda: _delivery_dirs(spark, sf_dir))
-    # each query stages its own copy, so no returned frame's files are
-    # replaced by the next query's run
-    return check(spark, source, sink, staging=shared_dir(spark, "verify", unique=True))[0]
+    source, sink = _delivery_dirs(spark, sf_dir)
+    return check(spark, source, sink)[0]
+
+
+_DELIVERY_SQL = """
+    WITH sent AS (
+        SELECT event_id, event_type, day(ts) AS d FROM events
+        UNION ALL SELECT -event_id - 1, event_type, day(ts) FROM events WHERE event_type = 'signup'),
+    files AS (
+        SELECT d, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS bad,
+               CAST(arg_max(event_type, event_id) = 'error' AS BIGINT) AS last_bad
+        FROM sent GROUP BY d),
+    src AS (
+        SELECT count(*) + count(*) FILTER (WHERE event_type = 'purchase') AS source_rows,
+               count(*) FILTER (WHERE event_type = 'signup') AS foreign_ids,
+               count(*) FILTER (WHERE event_type IN ('purchase', 'error')) AS missing_rows
+        FROM events)
+    SELECT any_value(source_rows) AS source_rows, count(*) AS sink_files, CAST(sum(n) AS BIGINT) AS sink_rows,
+           CAST(sum(bad - last_bad) AS BIGINT) AS invalid, CAST(sum(last_bad) AS BIGINT) AS incomplete_last,
+           any_value(foreign_ids) AS foreign_ids, any_value(missing_rows) AS missing_rows, false AS ok
+    FROM files, src
+"""
+
+register("delivery_report", _DELIVERY_SQL)(_delivery_report)
+
+
+@register(
+    "delivery_report_ok",
+    """
+    SELECT count(*) AS source_rows, count(DISTINCT day(ts)) AS sink_files, count(*) AS sink_rows,
+           CAST(0 AS BIGINT) AS invalid, CAST(0 AS BIGINT) AS incomplete_last,
+           CAST(0 AS BIGINT) AS foreign_ids, CAST(0 AS BIGINT) AS missing_rows, true AS ok
+    FROM events
+    """,
+)
+def delivery_report_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a sink that has every line, one file per day of the month
+    lines = standin.event_json_from(standin.events(spark, sf_dir), "day")
+    sink = shared_dir(spark, "standin", "clean_sink", unique=True)
+    lines.repartition("day").write.partitionBy("day").text(sink)
+    return check(spark, _lines_dir(spark, lines.select("value"), "clean_source"), sink)[0]
 
 
-# The full report; sink_files depends on how many files the writer made, so
-# this one has no SQL form (the totals below do).
-register("delivery_report")(_delivery_report)
+@register(
+    "line_counts",
+    """
+    SELECT day(ts) AS day, count(*) AS lines FROM events GROUP BY 1
+    UNION ALL SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+    """,
+)
+def line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SRC4 + SO5: lines per file of a folder, files in name order; a path
+    # that does not exist has none (day 0)
+    lines = standin.event_json_from(standin.events(spark, sf_dir), "day")
+    folder = shared_dir(spark, "standin", "counted", unique=True)
+    lines.repartition("day").write.partitionBy("day").text(folder)
+    day = lambda c: F.regexp_extract(c, "day=([0-9]+)", 1).cast("bigint").alias("day")
+    counted = read_lines(spark, folder).groupBy(day("file").alias("day")).agg(F.count(F.lit(1)).alias("lines"))
+    named = files_by_name(spark, folder).select(day("path")).join(counted, "day", "left")
+    none = spark.createDataFrame([(0, count_lines(spark, f"{folder}/no-such-folder"))], "day bigint, lines bigint")
+    return named.select("day", F.coalesce("lines", F.lit(0)).alias("lines")).unionByName(none)
 
 
 @register(
@@ -621,7 +678,6 @@ def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Event-time windows over a parquet stream of the event table with a
     # 40 s watermark; only windows the watermark closed are emitted.
 
-    per_window_late_rule(spark)
     batch = standin.table(spark, sf_dir, "events")
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     reader = spark.readStream.schema(batch.schema)
@@ -636,42 +692,37 @@ def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).where(F.col("event_type").isin("click", "view"))
     counts = op.trending_counts(e, STANDIN_SIZE, STANDIN_SLIDE, watermark="40 seconds")
     out = shared_dir(spark, "stream_trending", unique=True)
-    q = (
-        counts.writeStream.outputMode("append")
-        .format("parquet")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{out}/data")
-    )
+    with stream_settings(spark):
+        q = (
+            counts.writeStream.outputMode("append")
+            .format("parquet")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{out}/data")
+        )
     q.awaitTermination()
     return _ntz(spark.read.schema(counts.schema).parquet(f"{out}/data"))
 
 
-def _run_trending_job(spark: SparkSession, sf_dir: str) -> tuple[str, KeyValueStore]:
-    """The full trending job (text lines -> windows -> lines + alerts), run
-    once per application; its two outputs are two queries."""
-    out = _once(spark, sf_dir, "trending_job", lambda: _trending_job(spark, sf_dir))
-    return f"{out}/lines", KeyValueStore(spark, f"{out}/kv")
-
-
-def _trending_job(spark: SparkSession, sf_dir: str) -> str:
-    src = _event_lines(spark, sf_dir)
-    out = shared_dir(spark, "trending_job", unique=True)
+def _trending_job(spark: SparkSession, src: str, out: str, run: str = "", **options) -> KeyValueStore:
+    """The full trending job (text lines -> windows -> lines + alerts) over
+    what has landed in ``src``; ``run`` names its checkpoint."""
     kv = KeyValueStore(spark, f"{out}/kv")
     q = start_trending(
         spark,
         src,
         f"{out}/lines",
-        f"{out}/checkpoint",
+        f"{out}/checkpoint{run}",
         kv=kv,
         size=STANDIN_SIZE,
         slide=STANDIN_SLIDE,
         delay="40 seconds",
         threshold=5,
         available_now=True,
+        **options,
     )
     q.awaitTermination()
-    return out
+    return kv
 
 
 _LINE_SQL = """
@@ -683,8 +734,66 @@ _LINE_SQL = """
 
 @register("stream_lines", f"{_LINE_SQL} FROM ({_CLOSED_SQL})")
 def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, _ = _run_trending_job(spark, sf_dir)
-    return spark.read.text(lines).select("value")
+    out = shared_dir(spark, "trending_job", unique=True)
+    _trending_job(spark, _event_lines(spark, sf_dir), out)
+    return spark.read.text(f"{out}/lines").select("value")
+
+
+@register("stream_lines_two_runs", f"{_LINE_SQL} FROM ({_CLOSED_SQL}) UNION ALL {_LINE_SQL} FROM ({_CLOSED_SQL})")
+def stream_lines_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # two streams (two checkpoints) into one folder: the second adds its
+    # lines and leaves those of the first; the first once more adds nothing
+    out = shared_dir(spark, "trending_runs", unique=True)
+    src = _event_lines(spark, sf_dir)
+    for run in ("-a", "-b", "-a"):
+        _trending_job(spark, src, out, run)
+    return spark.read.text(f"{out}/lines").select("value")
+
+
+# Three landing files, one per micro-batch: the first half of the days, the
+# second half, and every seventh event of all days (most of it late).  Signup
+# and error events become lines that must be dropped: blank, malformed, and
+# without a zone.
+_LATE_SQL = f"""
+    WITH days AS (SELECT CAST(min(ts) AS DATE) + CAST((CAST(max(ts) AS DATE) - CAST(min(ts) AS DATE)) // 2 AS INTEGER) AS mid
+                  FROM events),
+    rec AS (SELECT json_extract_string(props, '$.k') AS product_id, ts,
+                   CASE WHEN event_id % 7 = 0 THEN 2 WHEN CAST(ts AS DATE) <= mid THEN 0 ELSE 1 END AS batch
+            FROM events, days WHERE event_type IN ('click', 'view')),
+    marks AS (SELECT b.batch, coalesce((SELECT max(ts) FROM rec WHERE batch < b.batch), TIMESTAMP '1970-01-02')
+                              - INTERVAL 40 SECOND AS mark
+              FROM (VALUES (0), (1), (2)) AS b(batch)),
+    win AS (SELECT product_id, batch,
+                   time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') - i * INTERVAL 12 HOUR AS window_start
+            FROM rec, range(2) AS t(i)),
+    kept AS (SELECT product_id, window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS events
+             FROM win JOIN marks USING (batch)
+             WHERE window_start + INTERVAL 1 DAY > mark GROUP BY 1, 2)
+    {_LINE_SQL} FROM kept WHERE window_end <= (SELECT max(ts) FROM rec) - INTERVAL 40 SECOND
+"""
+
+
+@register("stream_late_rows", _LATE_SQL)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = standin.events(spark, sf_dir)
+    ends = e.agg(F.min("event_time").cast("date").alias("a"), F.max("event_time").cast("date").alias("b")).first()
+    mid = ends["a"] + (ends["b"] - ends["a"]) // 2
+    batch = (
+        F.when(F.col("event_id") % 7 == 0, 2).when(F.to_date("event_time") <= F.lit(mid), 0).otherwise(1)
+    )
+    lines = standin.event_json_from(e.withColumn("batch", batch), "batch", "event_type")
+    bad = (
+        F.when(F.col("event_type") == "signup", F.lit("   "))
+        .when(F.col("event_type") == "error", F.expr("substring(value, 1, length(value) - 2)"))
+        .when(F.col("event_type") == "purchase", F.regexp_replace(F.replace("value", F.lit('"purchase"'), F.lit('"click"')), 'Z"', '"'))
+        .otherwise(F.col("value"))
+    )
+    src = shared_dir(spark, "standin", "late", unique=True)
+    for b in range(3):  # one file each, landing one after the other
+        lines.where(F.col("batch") == b).select(bad.alias("value")).coalesce(1).write.mode("append").text(src)
+    out = shared_dir(spark, "trending_late", unique=True)
+    _trending_job(spark, src, out, max_files_per_trigger=1)
+    return spark.read.text(f"{out}/lines").select("value")
 
 
 _ALERT_CELLS_SQL = """
@@ -701,8 +810,8 @@ _ALERT_CELLS_SQL = """
 
 @register("stream_alert_cells", _ALERT_CELLS_SQL.format(windows=_CLOSED_SQL, table=KV_TABLE_ALERTS))
 def stream_alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, kv = _run_trending_job(spark, sf_dir)
-    return kv.read(KV_TABLE_ALERTS)
+    out = shared_dir(spark, "trending_job", unique=True)
+    return _trending_job(spark, _event_lines(spark, sf_dir), out).read(KV_TABLE_ALERTS)
 
 
 @register("alert_cells", _ALERT_CELLS_SQL.format(windows=_WINDOWS_SQL, table=KV_TABLE_ALERTS))
@@ -764,6 +873,31 @@ def csv_revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(CITY_OUT).option("header", True).csv(path)
 
 
+@register(
+    "csv_original_names",
+    f"SELECT category, revenue AS faturamento, units AS unidades_vendidas FROM ({ORACLE_SQL['revenue_by_category']})",
+)
+def csv_original_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SNK2 under the original column names: the names come from the file's
+    # header when it is read back
+    path = shared_dir(spark, "csv", "faturamento_categoria", unique=True)
+    _, names = ORIGINAL_INSIGHT_NAMES["revenue_by_category"]
+    write_csv_single(revenue_by_category(spark, sf_dir), path, names)
+    back = spark.read.option("header", True).csv(path)
+    return back.select("category", *[F.col(c).cast("double").alias(c) for c in back.columns[1:]])
+
+
+@register(
+    "parquet_original_names",
+    f"SELECT city, state, revenue AS faturamento, orders AS pedidos FROM ({ORACLE_SQL['revenue_by_city']})",
+)
+def parquet_original_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "insights", "faturamento_cidade", unique=True)
+    _, names = ORIGINAL_INSIGHT_NAMES["revenue_by_city"]
+    write_parquet_single(revenue_by_city(spark, sf_dir), path, names)
+    return spark.read.parquet(path)
+
+
 _CAT_SQL = ORACLE_SQL["revenue_by_category"]
 _CITY_SQL = ORACLE_SQL["revenue_by_city"]
 
@@ -807,8 +941,18 @@ def kv_city_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("abandonment_join", ORACLE_SQL["abandonment"])
 def abandonment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # JN2: the same rate through distinct sessions and a flag join
-    return op.abandonment_by_join(standin.events(spark, sf_dir), cart_type="click", purchase_type="purchase")
+    # JN2: the cart sessions that bought, found by a semi join
+    e = standin.events(spark, sf_dir)
+    carts = e.where(F.col("event_type") == "click").select("session_id").distinct()
+    buyers = e.where(F.col("event_type") == "purchase").select("session_id")
+    both = carts.agg(F.count(F.lit(1)).alias("carts"), F.lit(0).cast("bigint").alias("bought")).unionByName(
+        carts.join(buyers, "session_id", "left_semi").agg(
+            F.lit(0).cast("bigint").alias("carts"), F.count(F.lit(1)).alias("bought")
+        )
+    )
+    return both.agg(F.sum("carts").alias("sessions_with_cart"), F.sum("bought").alias("sessions_bought")).withColumn(
+        "abandonment_pct", F.round(100 - 100 * F.col("sessions_bought") / F.col("sessions_with_cart"), 2)
+    )
 
 
 @register("dedup_stats_one_pass", ORACLE_SQL["dedup_stats"])
@@ -820,21 +964,10 @@ def dedup_stats_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the batch job over a JSON landing folder derived from the tables ------
 
 
-def _landing(spark: SparkSession, sf_dir: str) -> str:
-    return _once(
-        spark, sf_dir, "landing", lambda: _lines_dir(spark, standin.landing_events(spark, sf_dir), "landing")
-    )
-
-
-def _etl_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # SRC1 -> one-pass dedup with copy counts -> staged Parquet, once per run
-    def stage() -> tuple[str, object]:
-        path = shared_dir(spark, "etl", "events", unique=True)
-        staged = stage_events(spark, read_events(spark, _landing(spark, sf_dir)), path)
-        return path, staged.schema
-
-    path, schema = _once(spark, sf_dir, "etl_staged", stage)
-    return spark.read.schema(schema).parquet(path)
+def _etl_staged(spark: SparkSession, sf_dir: str, odd_numbers: bool = False) -> DataFrame:
+    # SRC1 -> one-pass dedup with copy counts -> staged Parquet
+    landing = _lines_dir(spark, standin.landing_events(spark, sf_dir, odd_numbers), "landing")
+    return stage_events(spark, read_events(spark, landing), shared_dir(spark, "etl", "events", unique=True))
 
 
 def _etl(spark: SparkSession, sf_dir: str):
@@ -847,13 +980,18 @@ _ETL_CAT_SQL = """
       FROM events e JOIN part p ON CAST(p.p_partkey AS VARCHAR) = json_extract_string(e.props, '$.k')
       WHERE e.event_type IN ('click', 'view') GROUP BY 1),
     items AS (
-      SELECT json_extract_string(props, '$.k') AS product_id, value AS price
-      FROM events WHERE event_type = 'purchase')
+      SELECT json_extract_string(props, '$.k') AS product_id, value AS price, 1 AS quantity
+      FROM events WHERE event_type = 'purchase'
+      UNION ALL
+      SELECT CAST(event_id % 50 AS VARCHAR), value, 2
+      FROM events WHERE event_type = 'purchase' AND event_id % 2 = 0)
     SELECT coalesce(c.category, 'desconhecida') AS category,
-           CAST(round(CAST(sum(CAST(floor(i.price * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue, count(*) AS units
+           round(fsum(i.quantity * i.price), 2) AS revenue, CAST(sum(i.quantity) AS BIGINT) AS units
     FROM items i LEFT JOIN cat c ON i.product_id = c.product_id
     GROUP BY 1
 """
+_ETL_TOTAL = """CASE WHEN e.event_id % 3 <> 0 THEN e.value
+                      WHEN e.event_id % 2 = 0 THEN e.value + e.value * 2 ELSE e.value END"""
 
 
 @register("etl_revenue_by_category", _ETL_CAT_SQL)
@@ -862,10 +1000,60 @@ def etl_revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    "etl_revenue_by_city",
+    "etl_odd_numbers",
+    _ETL_CAT_SQL.replace("CAST(sum(i.quantity) AS BIGINT)", "CAST(sum(i.quantity) / 2 AS DOUBLE)"),
+)
+def etl_odd_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the same landing folder with fractional quantities and quoted amounts
+    return insights_from(_etl_staged(spark, sf_dir, odd_numbers=True)).by_category
+
+
+@register(
+    "etl_odd_numbers_stats",
     """
+    SELECT (SELECT count(*) + count(*) FILTER (WHERE event_type = 'purchase') FROM events)
+           + (SELECT count(*) FROM orders) AS rows_read,
+           (SELECT count(*) FROM events WHERE event_type = 'error') AS corrupt
+    """,
+)
+def etl_odd_numbers_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # only cut lines are malformed, not those with fractions or quoted numbers
+    return insights_from(_etl_staged(spark, sf_dir, odd_numbers=True)).stats.select("rows_read", "corrupt")
+
+
+# Amounts at the edges, by user: millionths, NaN, infinities and huge ones.
+_EDGE = """CASE WHEN user_id % 5 = 0 THEN 0.00004 WHEN user_id % 5 = 1 THEN value
+                WHEN user_id % 5 = 2 THEN CASE WHEN event_id % 2 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END
+                WHEN user_id % 5 = 3 THEN CASE WHEN event_id % 3 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE value END
+                ELSE 2e14 + event_id END"""
+
+
+@register(
+    "revenue_edge_amounts",
+    f"""
+    SELECT CAST(user_id % 5 AS VARCHAR) AS city, event_type AS state,
+           CASE WHEN bool_or(isnan(x)) THEN CAST('NaN' AS DOUBLE) WHEN bool_or(isinf(x)) THEN CAST('Infinity' AS DOUBLE)
+                ELSE round(fsum(CASE WHEN isnan(x) OR isinf(x) THEN 0 ELSE x END), 2) END AS revenue,
+           count(*) AS orders
+    FROM (SELECT *, {_EDGE} AS x FROM events) GROUP BY 1, 2
+    """,
+)
+def revenue_edge_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = standin.table(spark, sf_dir, "events")
+    return op.revenue_by_city(
+        e.select(
+            (F.col("user_id") % 5).cast("string").alias("city"),
+            F.col("event_type").alias("state"),
+            F.expr(_EDGE).alias("total"),
+        )
+    )
+
+
+@register(
+    "etl_revenue_by_city",
+    f"""
     SELECT n.n_name AS city, r.r_name AS state,
-           CAST(round(CAST(sum(CAST(floor(e.value * 10000.0 + 0.5) AS BIGINT)) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)), 2) AS DOUBLE) AS revenue, count(*) AS orders
+           round(fsum({_ETL_TOTAL}), 2) AS revenue, count(*) AS orders
     FROM events e
     LEFT JOIN customer c ON c.c_custkey = e.user_id
     LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
@@ -927,10 +1115,11 @@ def serving_view_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "etl_order_totals",
-    """
-    SELECT 'o' || CAST(event_id AS VARCHAR) AS order_id, round(value, 2) AS items_total,
-           value AS total, true AS total_matches
-    FROM events WHERE event_type = 'purchase'
+    f"""
+    SELECT 'o' || CAST(event_id AS VARCHAR) AS order_id, items AS items_total, total, items = round(total, 2) AS total_matches
+    FROM (SELECT e.event_id, {_ETL_TOTAL} AS total,
+                 round(CASE WHEN e.event_id % 2 = 0 THEN e.value + e.value * 2 ELSE e.value END, 2) AS items
+          FROM events e WHERE e.event_type = 'purchase')
     """,
 )
 def etl_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -951,7 +1140,7 @@ def etl_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def etl_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     # RA2: the last add_to_cart per (session, product) by ingest time
-    return op.cart_state(_etl_staged(spark, sf_dir).drop("_copies", "_corrupt"))
+    return op.cart_state(_etl_staged(spark, sf_dir).drop("_copies", "_corrupt", "_fraction", "kind"))
 
 
 # --- the four serving queries, as written against the original table names --
@@ -960,25 +1149,21 @@ def etl_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _serving_db(spark: SparkSession, sf_dir: str) -> str:
     """The four stand-in insights as single Parquet files, registered as
     external tables of one database with views under the original names
-    (SNK1 + SNK11), once per application."""
-
-    def build() -> str:
-        root = shared_dir(spark, "serving_sql", unique=True)
-        cat = revenue_by_category(spark, sf_dir)
-        outputs = {
-            "revenue_by_category": cat.withColumn("units", F.col("units").cast("bigint")),
-            "revenue_by_city": revenue_by_city(spark, sf_dir),
-            "cart_abandonment": abandonment(spark, sf_dir),
-            "delivery_status": delivery_status(spark, sf_dir),
-        }
-        for name, df in outputs.items():
-            write_parquet_single(df, f"{root}/{name}")
-        db = "cartwheel_sql_" + root.rsplit("/", 1)[-1]
-        create_database(spark, db, f"{root}/{db}.db")
-        register_insights(spark, db, root)
-        return db
-
-    return _once(spark, sf_dir, "serving_db", build)
+    (SNK1 + SNK11)."""
+    root = shared_dir(spark, "serving_sql", unique=True)
+    cat = revenue_by_category(spark, sf_dir)
+    outputs = {
+        "revenue_by_category": cat.withColumn("units", F.col("units").cast("bigint")),
+        "revenue_by_city": revenue_by_city(spark, sf_dir),
+        "cart_abandonment": abandonment(spark, sf_dir),
+        "delivery_status": delivery_status(spark, sf_dir),
+    }
+    for name, df in outputs.items():
+        write_parquet_single(df, f"{root}/{name}")
+    db = "cartwheel_sql_" + root.rsplit("/", 1)[-1]
+    create_database(spark, db, f"{root}/{db}.db")
+    register_insights(spark, db, root)
+    return db
 
 
 @register(

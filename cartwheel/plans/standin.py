@@ -6,10 +6,13 @@ native types, so no join key is cast):
 
 * items ............ lineitem rows: order = l_orderkey, product = l_partkey,
                      quantity = l_quantity, price = l_extendedprice;
-* catalog events ... part rows with p_size <= 40: product = p_partkey,
-                     category = p_type (parts above 40 are "unknown");
+* catalog events ... click and view events whose key is a part: product =
+                     p_partkey, category = p_type (parts without such an event
+                     are unknown to the catalog);
 * purchases ........ orders: total = o_totalprice, place from
-                     customer -> nation (city) -> region (state);
+                     customer -> nation (city) -> region (state); where totals
+                     are checked, every second order's total is that of its
+                     line items;
 * delivery events .. orders: status = o_orderstatus;
 * event stream ..... events: product = props.k, session = user and UTC day,
                      event_time = ts as a timestamp.
@@ -36,15 +39,22 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that name a product's category (the click / cart events)."""
-    return (
-        table(spark, sf_dir, "part")
-        .where(F.col("p_size") <= 40)
-        .select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_type").alias("category"),
-            F.col("p_partkey").alias("event_id"),
-        )
+    seen = events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
+    part = table(spark, sf_dir, "part")
+    return seen.join(part, seen.product_id == part.p_partkey.cast("string")).select(
+        F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"), "event_id"
+    )
+
+
+def checked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_id, total``: the total of an even order is the sum of its line
+    items (it matches them), that of an odd one is ``o_totalprice``."""
+    amount = (F.col("l_quantity") * F.col("l_extendedprice")).cast("decimal(18,2)")
+    sums = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.sum(amount).cast("double").alias("_items")
     )
+    own = F.when(F.col("order_id") % 2 == 0, F.coalesce("_items", F.lit(0.0))).otherwise(F.col("total"))
+    return orders(spark, sf_dir).join(sums, "order_id", "left").select("order_id", own.alias("total"))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +115,9 @@ def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_json_from(events(spark, sf_dir))
 
 
-def event_json_from(e: DataFrame) -> DataFrame:
-    """JSON event lines from a frame shaped like ``events()``."""
+def event_json_from(e: DataFrame, *keep: str) -> DataFrame:
+    """JSON event lines from a frame shaped like ``events()``, after the
+    ``keep`` columns (``day``: the day of the month)."""
     kind = F.col("event_type")
     for src, dst in STANDIN_TYPES.items():
         kind = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(kind)
@@ -121,7 +132,8 @@ def event_json_from(e: DataFrame) -> DataFrame:
         F.col("product_id"),
         F.col("value").alias("price"),
     )
-    return e.select(F.to_json(rec).alias("value"))
+    kept = [F.dayofmonth("event_time").alias(c) if c == "day" else F.col(c) for c in keep]
+    return e.select(*kept, F.to_json(rec).alias("value"))
 
 
 def write_lines(df: DataFrame, path: str) -> str:
@@ -133,81 +145,79 @@ def write_lines(df: DataFrame, path: str) -> str:
 # --- a landing folder of commerce events derived from the tables ------------
 
 
-def landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_events(spark: SparkSession, sf_dir: str, odd_numbers: bool = False) -> DataFrame:
     """``value`` = JSON event lines in the commerce vocabulary, built row by
-    row from the tables (no grouping):
+    row from the tables in one pass over the events (no grouping):
 
     * click -> click, view -> add_to_cart (quantity 1, price = value), with
       product = props.k and category = the part type of that key;
-    * purchase -> purchase with a one-item ``items`` array (product k,
-      quantity 1, price value), total = value, place from the user's
-      customer row; sent twice (the copies must be removed);
+    * purchase -> purchase with an ``items`` array (one of product k and, for
+      even event ids, two of part ``event_id % 50``, each at the price value),
+      total = their sum for ids that 3 divides, else value, place from the
+      user's customer row; sent twice (the copies must be removed);
     * error -> a line cut short (a malformed record);
     * signup -> signup (ignored by the insights);
     * each order -> one delivery_status event with ``o_orderstatus``.
+
+    With ``odd_numbers`` item quantities are halved (0.5, 1.0), their prices
+    doubled, and prices and totals are written as quoted text.
     """
     e = events(spark, sf_dir)
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"), F.col("p_type").alias("category")
     )
-    places_ = places(spark, sf_dir)
+    kind = F.col("event_type")
+    browse, bought = kind.isin("click", "view"), kind == "purchase"
+    value = F.col("value")
+    amount = (lambda c: c.cast("string")) if odd_numbers else (lambda c: c)
+
+    def item(product, n):
+        quantity = F.lit(n / 2) if odd_numbers else F.lit(n).cast("bigint")
+        price = amount(value * 2 if odd_numbers else value)
+        return F.struct(product.alias("product_id"), quantity.alias("quantity"), price.alias("price"))
+
+    second = (F.col("event_id") % 50).cast("string")
+    one = F.array(item(F.col("product_id"), 1))
+    two = F.array(item(F.col("product_id"), 1), item(second, 2))
+    even = F.col("event_id") % 2 == 0
+    whole = F.when(even, value + value * 2).otherwise(value)
     iso = F.date_format(F.col("event_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    common = [
+    places_ = places(spark, sf_dir)
+    rec = F.struct(
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"),
+        F.when(kind == "view", F.lit("add_to_cart")).otherwise(kind).alias("event_type"),
         iso.alias("event_time"),
         iso.alias("ingest_time"),
         F.col("user_id").cast("string").alias("user_id"),
-        "session_id",
-    ]
-
-    browse = (
-        e.where(F.col("event_type").isin("click", "view"))
-        .join(part, "product_id", "left")
-        .select(
-            *common,
-            F.when(F.col("event_type") == "view", F.lit("add_to_cart")).otherwise(F.lit("click")).alias("event_type"),
-            "product_id",
-            "category",
-            F.col("value").alias("price"),
-            F.when(F.col("event_type") == "view", F.lit(1).cast("bigint")).alias("quantity"),
-        )
-    )
-    item = F.struct(
-        F.col("product_id"), F.lit(1).cast("bigint").alias("quantity"), F.col("value").alias("price")
+        F.col("session_id"),
+        F.when(browse, F.col("product_id")).alias("product_id"),
+        F.when(browse, F.col("category")).alias("category"),
+        F.when(browse, amount(value)).alias("price"),
+        F.when(kind == "view", F.lit(1).cast("bigint")).alias("quantity"),
+        F.when(bought, F.concat(F.lit("o"), F.col("event_id").cast("string"))).alias("order_id"),
+        F.when(bought, F.when(even, two).otherwise(one)).alias("items"),
+        F.when(bought, amount(F.when(F.col("event_id") % 3 == 0, whole).otherwise(value))).alias("total"),
+        F.when(bought, F.col("city")).alias("city"),
+        F.when(bought, F.col("state")).alias("state"),
     )
-    bought = (
-        e.where(F.col("event_type") == "purchase")
+    text = F.to_json(rec)
+    cut = F.when(F.col("_kind") == "error", F.expr("substring(_text, 1, length(_text) - 2)")).otherwise(F.col("_text"))
+    lines = (
+        e.join(part, "product_id", "left")
         .join(places_, e.user_id == places_.customer_id, "left")
-        .select(
-            *common,
-            F.lit("purchase").alias("event_type"),
-            F.concat(F.lit("o"), F.col("event_id").cast("string")).alias("order_id"),
-            F.array(item).alias("items"),
-            F.col("value").alias("total"),
-            "city",
-            "state",
-        )
+        .select(kind.alias("_kind"), text.alias("_text"))
+        .withColumn("value", cut)
+        .select(F.explode(F.when(F.col("_kind") == "purchase", F.array("value", "value")).otherwise(F.array("value"))).alias("value"))
     )
-    signup = e.where(F.col("event_type") == "signup").select(*common, F.lit("signup").alias("event_type"))
-    broken = e.where(F.col("event_type") == "error").select(*common, F.lit("error").alias("event_type"))
-    o = table(spark, sf_dir, "orders")
-    status = o.select(
-        F.concat(F.lit("d"), F.col("o_orderkey").cast("string")).alias("event_id"),
-        F.lit("delivery_status").alias("event_type"),
-        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"),
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_orderstatus").alias("delivery_status"),
-    )
-
-    def as_json(df: DataFrame) -> DataFrame:
-        return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-
-    cut = as_json(broken).select(F.expr("substring(value, 1, length(value) - 2)").alias("value"))
-    return (
-        as_json(browse)
-        .unionByName(as_json(bought))
-        .unionByName(as_json(bought))
-        .unionByName(as_json(signup))
-        .unionByName(cut)
-        .unionByName(as_json(status))
+    status = table(spark, sf_dir, "orders").select(
+        F.to_json(
+            F.struct(
+                F.concat(F.lit("d"), F.col("o_orderkey").cast("string")).alias("event_id"),
+                F.lit("delivery_status").alias("event_type"),
+                F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"),
+                F.col("o_orderkey").cast("string").alias("order_id"),
+                F.col("o_orderstatus").alias("delivery_status"),
+            )
+        ).alias("value")
     )
+    return lines.unionByName(status)

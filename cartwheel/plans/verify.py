@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
-from cartwheel.config import build_session, job_dir, shared_dir
+from cartwheel.config import build_session, job_dir, remove_dir
 from cartwheel.sinks.files import show_all
-from cartwheel.sources.lines import count_lines, list_files, read_lines
+from cartwheel.sources.lines import count_files, count_lines, read_lines
 from cartwheel.streaming.line_count import RunningLineCount
 
 
@@ -39,41 +39,33 @@ def check(
     spark: SparkSession, source: str, sink: str, staging: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(report, counts by event type) for a source path and a sink folder.
-    ``staging`` defaults to a folder under ``spark.checkpoint.dir`` fixed by
-    the two paths (a rerun replaces it)."""
-    root = staging or job_dir(spark, "verify", source, sink)
+    ``staging`` defaults to a new folder under ``spark.checkpoint.dir``."""
+    root = staging or job_dir(spark, "verify")
     src = stage_inspected(spark, source, f"{root}/source")
     snk = stage_inspected(spark, sink, f"{root}/sink")
-    return op.delivery_report(src, snk, list_files(spark, sink)), op.event_type_counts(snk)
-
-
-def sample(spark: SparkSession, source: str, sink: str) -> tuple[datetime, int, int]:
-    """One growth sample by full counts: (UTC time, source lines, sink lines)."""
-    return datetime.now(timezone.utc).replace(tzinfo=None), count_lines(spark, source), count_lines(spark, sink)
+    return op.delivery_report(src, snk, count_files(spark, sink)), op.event_type_counts(snk)
 
 
 def monitor(spark: SparkSession, source: str, sink: str, minutes: float, interval: float = 15.0) -> DataFrame:
     """WF2: sample the source and sink line counts every ``interval`` seconds
     for ``minutes``; the samples (one row each) go through ``growth_report``.
 
-    The sink folder is counted incrementally by a running streaming count
-    (each trigger reads only newly landed files); the source is one log file
-    that grows in place, which a file stream cannot follow, so it is counted
-    whole at each sample.
+    The sink is counted file by file, again only where a file is new or has
+    changed; the source is one log file, counted whole at each sample.
     """
-    sink_count = RunningLineCount(spark, sink, shared_dir(spark, "monitor", unique=True), interval)
+    state = job_dir(spark, "monitor")
+    sink_count = RunningLineCount(spark, sink, state)
     try:
         end = time.time() + minutes * 60
         rows = []
         while True:
-            sink_count.query.processAllAvailable()
             now = datetime.now(timezone.utc).replace(tzinfo=None)
-            rows.append((now, count_lines(spark, source), sink_count.value))
+            rows.append((now, count_lines(spark, source), sink_count.sample()))
             if time.time() + interval > end:
                 break
             time.sleep(interval)
     finally:
-        sink_count.stop()
+        remove_dir(spark, state)
     samples = spark.createDataFrame(rows, "sample_ts timestamp_ntz, source_rows bigint, sink_rows bigint")
     return op.growth_report(samples)
 
@@ -92,9 +84,11 @@ def main(argv: list[str] | None = None) -> int:
             growth = monitor(spark, args.source, args.sink, args.minutes, args.interval).persist()
             show_all(growth, "growth samples:")
             grew = bool(op.growth_ok(growth).first()["ok"])
-        report, types = check(spark, args.source, args.sink)
+        staging = job_dir(spark, "verify")
+        report, types = check(spark, args.source, args.sink, staging)
         show_all(types, "events in the sink by type:")
         row = report.first()
+        remove_dir(spark, staging)
         for key, value in row.asDict().items():
             print(f"{key:<18} {value}")
         return 0 if (row["ok"] and grew) else 1

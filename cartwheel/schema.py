@@ -68,10 +68,11 @@ CORRUPT_COLUMN = "_corrupt_record"
 ITEM_SCHEMA = T.StructType(
     [
         T.StructField("product_id", T.StringType()),
-        T.StructField("quantity", T.LongType()),
+        T.StructField("quantity", T.DoubleType()),
         T.StructField("price", T.DoubleType()),
     ]
 )
+NUMBERS = ("price", "quantity", "total")
 
 # One wide schema for every event type; fields a type does not carry are NULL.
 EVENT_FIELDS = [
@@ -87,7 +88,7 @@ EVENT_FIELDS = [
     ("product_id", T.StringType()),
     ("category", T.StringType()),
     ("price", T.DoubleType()),
-    ("quantity", T.LongType()),
+    ("quantity", T.DoubleType()),
     ("order_id", T.StringType()),
     ("items", T.ArrayType(ITEM_SCHEMA)),
     ("total", T.DoubleType()),
@@ -100,6 +101,16 @@ EVENT_SCHEMA_WITH_CORRUPT = T.StructType(
     EVENT_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())]
 )
 
+# What a line is parsed with: numbers as their text (an integer, a fraction
+# and a quoted number are all valid), cast to double afterwards.
+_ITEM_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in ITEM_SCHEMA.fields])
+EVENT_TEXT_SCHEMA = T.StructType(
+    [
+        T.StructField(n, T.ArrayType(_ITEM_TEXT) if n == "items" else T.StringType())
+        for n in [*EVENT_SCHEMA.names, CORRUPT_COLUMN]
+    ]
+)
+
 # The three fields the trending stream needs from a line.
 STREAM_FIELDS = T.StructType(
     [

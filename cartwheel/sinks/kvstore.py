@@ -1,33 +1,21 @@
-"""SNK5-SNK10: key-value tables with upsert (merge by key, never delete).
-
-There is no key-value server here, so a table is a folder of immutable
-Parquet versions plus an append-only commit log:
-
-    <root>/<table>/data/v=<n>/   version n: a delta (the cells of put n) or a
-                                 base (the full cell set as of version n)
-    <root>/<table>/log/          one small JSON file per commit:
-                                 {"version": n, "batch": <id or null>, "base": bool,
-                                  "writer": <stream checkpoint or null>}
-
-A put writes only its own cells as a new version and then appends the
-commit, so its cost follows the put, not the table -- an alert stream can
-run for months without rewriting its table every trigger.  A reader takes
-the newest base and the deltas after it (partition pruning on ``v``) and
-keeps the newest cell per (row_key, column).  Every ``compact_every``
-deltas a put also writes a new base, which bounds what a reader merges.
-
-A version folder is complete before its commit is logged, and readers only
-trust logged versions, so a crash in between leaves the table unchanged.  A
-``batch`` id not above the newest one the same writer (stream checkpoint)
-logged is skipped, which makes stream replays idempotent (a stream's batch
-ids only increase; a stream with a new checkpoint is a new writer).  Nothing is
-ever deleted.  One writer per table; the log grows by one small file per
-put, which a table fed by a stream for months should eventually move to a
-table format with log checkpoints.
+"""SNK5-SNK10: key-value cells with upsert (merge by key, never delete).
+
+A table is a folder of Parquet puts, ``<root>/<table>/put=<name>``.  A put only
+adds its own folder; a reader keeps, per (row_key, column), the cell of the
+newest put (``operators.latest_cells``: one aggregation with a partial step in
+each task).  A stream names its puts by its query id and batch id, so a
+replayed batch replaces its own folder and adds nothing, and a new stream (new
+checkpoint, new query id) never meets the names of an old one.
+
+Newest is by the time of the put on the driver that made it, then by name.
+Old puts stay until somebody removes them; a table with very many puts is
+rewritten by putting ``read()`` into a new table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,134 +23,50 @@ from pyspark.sql import functions as F
 from cartwheel.operators.kv import latest_cells
 from cartwheel.schema import KV_CELL_SCHEMA
 
-LOG_SCHEMA = "version bigint, batch bigint, base boolean, writer string"
-CELLS = "row_key string, column string, value string"
+STORED = "row_key string, column string, value string, put_at timestamp, put string"
 
 
 class KeyValueStore:
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 32):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.compact_every = compact_every
 
-    # -- layout -------------------------------------------------------------
-    def _log(self, table: str) -> str:
-        return f"{self.root}/{table}/log"
-
-    def _data(self, table: str) -> str:
-        return f"{self.root}/{table}/data"
-
-    def _commits(self, table: str) -> DataFrame | None:
-        # Read through a two-path list (the same folder twice; duplicates do
-        # not change a max): Spark probes a single path for stream-sink
-        # metadata and logs a stack trace when it does not exist yet.
-        log = self._log(table)
+    def _puts(self, table: str) -> DataFrame | None:
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json([log, log])
+            return self.spark.read.schema(STORED).parquet(f"{self.root}/{table}")
         except AnalysisException as err:
             if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
                 return None
             raise
 
-    def _head(
-        self, table: str, batch: int | None = None, writer: str | None = None
-    ) -> tuple[int | None, int | None, bool]:
-        """(newest version, newest base version, whether ``writer`` already
-        applied ``batch``)."""
-        log = self._commits(table)
-        if log is None:
-            return None, None, False
-        # batch ids of one stream only increase, so anything up to the
-        # newest id logged by the same writer has been applied
-        same = F.col("writer").eqNullSafe(F.lit(writer))
-        seen = F.max(same & (F.col("batch") >= F.lit(batch))) if batch is not None else F.lit(False)
-        row = log.agg(
-            F.max("version").alias("v"),
-            F.max(F.when(F.col("base"), F.col("version"))).alias("b"),
-            F.coalesce(seen, F.lit(False)).alias("seen"),
-        ).first()
-        return row["v"], row["b"], bool(row["seen"])
-
-    def _write_version(
-        self, table: str, cells: DataFrame, version: int, batch: int | None, base: bool, writer: str | None = None
-    ) -> None:
-        cells.select("row_key", "column", "value").write.mode("overwrite").parquet(
-            f"{self._data(table)}/v={version}"
-        )
-        entry = self.spark.createDataFrame([(version, batch, base, writer)], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(self._log(table))
-
-    def _merged(self, table: str, head: int, base: int | None) -> DataFrame:
-        """Newest cell per (row_key, column) over versions base..head."""
-        lo = base if base is not None else 0
-        data = self._data(table)
-        # only the folders from the newest base on are listed and read, so a
-        # read costs at most ``compact_every`` + 1 versions however old the
-        # table is (older versions stay on disk for a retention rule)
-        versions = (
-            self.spark.read.schema(CELLS + ", v bigint")
-            .option("basePath", data)
-            .parquet(*[f"{data}/v={i}" for i in range(lo, head + 1)])
-        )
-        return latest_cells(versions.withColumn("table", F.lit(table)), ["v"])
-
-    # -- API ----------------------------------------------------------------
-    def exists(self, table: str) -> bool:
-        return self._head(table)[0] is not None
+    def put(self, cells: DataFrame, table: str, name: str | None = None) -> None:
+        """SNK5-SNK8: upsert ``cells`` (``row_key, column, value``; a
+        ``table`` column is ignored); creates the table when missing.  A put
+        with the ``name`` of an earlier one replaces it."""
+        stored = cells.select("row_key", "column", "value", F.current_timestamp().alias("put_at"))
+        stored.write.mode("overwrite").parquet(f"{self.root}/{table}/put={name or uuid.uuid4().hex}")
 
     def create_table(self, table: str) -> bool:
         """SNK9: create if missing; an existing table is success.  Returns
         True when the table was created now."""
-        if self.exists(table):
+        if self._puts(table) is not None:
             return False
-        self._write_version(table, self.spark.createDataFrame([], CELLS), 0, None, True)
+        self.put(self.spark.createDataFrame([], KV_CELL_SCHEMA), table, "created")
         return True
 
     def read(self, table: str) -> DataFrame:
         """Current cells ``table, row_key, column, value`` (empty if missing)."""
-        head, base, _ = self._head(table)
-        if head is None:
+        puts = self._puts(table)
+        if puts is None:
             return self.spark.createDataFrame([], KV_CELL_SCHEMA)
-        return self._merged(table, head, base).select("table", "row_key", "column", "value")
-
-    def put(self, cells: DataFrame, table: str, batch: int | None = None, writer: str | None = None) -> bool:
-        """SNK5-SNK8: upsert ``cells`` (``row_key, column, value``; a
-        ``table`` column is ignored); creates the table when missing.
-        ``batch`` and ``writer`` identify a stream's micro-batch (the writer
-        is the stream's checkpoint, so a new stream starts its own count).
-        Returns False when that writer already applied ``batch``."""
-        head, base, seen = self._head(table, batch, writer)
-        if seen:
-            return False
-        if head is None:  # first put: these cells are the whole table
-            self._write_version(table, cells, 0, batch, True, writer)
-            return True
-        version = head + 1
-        self._write_version(table, cells, version, batch, False, writer)
-        if version - (base or 0) >= self.compact_every:
-            self.compact(table)
-        return True
-
-    def compact(self, table: str) -> None:
-        """Write the merged table as a new base version."""
-        head, base, _ = self._head(table)
-        if head is None or head == base:
-            return
-        self._write_version(table, self._merged(table, head, base), head + 1, None, True)
+        return latest_cells(puts.withColumn("table", F.lit(table)), ["put_at", "put"])
 
     def count_rows(self, table: str) -> int:
         """SNK10: number of row keys; a missing table has 0."""
-        if not self.exists(table):
-            return 0
-        return self.read(table).select("row_key").distinct().count()
+        return self.row_count(table).first()["rows"]
 
     def row_count(self, table: str) -> DataFrame:
         """SNK10 as a one-row frame ``table, rows`` (0 for a missing table)."""
-        return self.read(table).agg(F.count_distinct("row_key").alias("rows")).select(
-            F.lit(table).alias("table"), "rows"
-        )
-
-    def rows(self, table: str) -> DataFrame:
-        """Wide view: one row per key, one map entry per column."""
-        cells = self.read(table)
-        return cells.groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("cells"))
+        keys = self._puts(table)
+        keys = self.read(table) if keys is None else keys
+        return keys.agg(F.count_distinct("row_key").alias("rows")).select(F.lit(table).alias("table"), "rows")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwheel.schema import CORRUPT_COLUMN, EVENT_SCHEMA, EVENT_SCHEMA_WITH_CORRUPT
+from cartwheel.schema import CORRUPT_COLUMN, EVENT_SCHEMA, EVENT_TEXT_SCHEMA, NUMBERS
 
 
 def read_events(spark: SparkSession, path: str, keep_corrupt: bool = True) -> DataFrame:
@@ -13,13 +14,33 @@ def read_events(spark: SparkSession, path: str, keep_corrupt: bool = True) -> Da
     No inference pass (which would read the whole folder once more) and an
     empty folder gives a typed empty frame.  PERMISSIVE mode: a malformed line
     becomes a row of NULLs whose raw text is in ``_corrupt_record``; fields a
-    line lacks are NULL; blank lines are skipped.  Filters and projections
-    applied later are pushed into the scan.
+    line lacks are NULL; blank lines are skipped.  Numbers are read as their
+    text and cast, so ``2``, ``1.5`` and ``"3"`` are all amounts; a text that
+    is no number is NULL and its line is not malformed.  Filters and
+    projections applied later are pushed into the scan.
     """
-    schema = EVENT_SCHEMA_WITH_CORRUPT if keep_corrupt else EVENT_SCHEMA
-    return (
-        spark.read.schema(schema)
+    raw = (
+        spark.read.schema(EVENT_TEXT_SCHEMA)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .json(path)
     )
+
+    def number(c):
+        return c.try_cast("double")
+
+    items = F.transform(
+        "items",
+        lambda i: F.when(
+            i.isNotNull(),
+            F.struct(
+                i["product_id"].alias("product_id"),
+                number(i["quantity"]).alias("quantity"),
+                number(i["price"]).alias("price"),
+            ),
+        ),
+    )
+    columns = [
+        (items if n == "items" else number(F.col(n)) if n in NUMBERS else F.col(n)).alias(n) for n in EVENT_SCHEMA.names
+    ]
+    return raw.select(*columns, *([CORRUPT_COLUMN] if keep_corrupt else []))

@@ -14,6 +14,8 @@ original job's rule (with the default, rows are let in one batch longer).
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +30,7 @@ from cartwheel.schema import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
 )
+from cartwheel.sinks.files import show_all
 from cartwheel.sinks.kvstore import KeyValueStore
 
 log = logging.getLogger(__name__)
@@ -38,17 +41,32 @@ POLL_INTERVAL = "20 seconds"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def per_window_late_rule(spark: SparkSession) -> None:
-    """Judge late rows against the current watermark (read at each start)."""
-    spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Session settings for starting a stateful stream, put back afterwards (a
+    stream keeps the settings it started with):
 
-
-def large_state_store(spark: SparkSession) -> None:
-    """Keep window counts in RocksDB (off the JVM heap, spilled to local disk,
-    snapshotted to the checkpoint) unless the session already chose a state
-    store.  Fixed per checkpoint at its first start."""
-    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    * late rows are judged against the current watermark, window by window;
+    * window counts live in RocksDB (off the JVM heap, spilled to local disk,
+      snapshotted to the checkpoint) unless the session already chose a state
+      store.  The store is fixed per checkpoint at its first start.
+    """
+    late, store = (
+        "spark.sql.streaming.statefulOperator.allowMultiple",
+        "spark.sql.streaming.stateStore.providerClass",
+    )
+    before = {key: spark.conf.get(key, None) for key in (late, store)}
+    spark.conf.set(late, "false")
+    if not before[store]:
+        spark.conf.set(store, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def trending_from_lines(
@@ -68,35 +86,36 @@ def alert_cells(counts: DataFrame, threshold: int = ALERT_THRESHOLD) -> DataFram
     return to_cells(rows, KV_TABLE_ALERTS, rows["row_key"], ALERT_CELLS)
 
 
-def make_batch_writer(
-    lines_dir: str,
-    kv: KeyValueStore | None,
-    threshold: int = ALERT_THRESHOLD,
-    echo: bool = False,
-    writer: str | None = None,
-):
+def query_id(batch: DataFrame) -> str:
+    """The id of the running stream (kept by its checkpoint over restarts, new
+    with a new checkpoint), as Spark gives it to the jobs of a micro-batch."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("no streaming query id: not called from a micro-batch")
+    return found
+
+
+def make_batch_writer(lines_dir: str, kv: KeyValueStore | None, threshold: int = ALERT_THRESHOLD, echo: bool = False):
     """The ``foreachBatch`` function: lines first, then the alert upsert.
 
-    Lines go to ``<lines_dir>/batch=<id>`` with overwrite, alerts carry the
-    batch id into the key-value log: a replayed batch rewrites the same
-    lines and adds no alert.  A failing alert write is logged and swallowed
-    (ST8) -- the lines are already written.
+    Lines go to ``<lines_dir>/query=<id>/batch=<n>`` and alerts to a put of
+    that name: a replayed batch rewrites only its own files, and no stream
+    ever touches those of another, even when a checkpoint path is emptied and
+    used again.  A failing alert write is logged and swallowed (ST8): the
+    lines are already written.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        name = query_id(batch)
         batch.persist()
         try:
-            if batch.isEmpty():  # a trigger that closed no window writes nothing
-                return
             text = trending_text(batch)
-            text.write.mode("overwrite").text(f"{lines_dir.rstrip('/')}/batch={batch_id}")
+            text.write.mode("overwrite").text(f"{lines_dir.rstrip('/')}/query={name}/batch={batch_id}")
             if echo:
-                text.show(1000, truncate=False)
+                show_all(text)
             if kv is not None:
                 try:
-                    cells = alert_cells(batch, threshold)
-                    if not cells.isEmpty():
-                        kv.put(cells, KV_TABLE_ALERTS, batch=batch_id, writer=writer)
+                    kv.put(alert_cells(batch, threshold), KV_TABLE_ALERTS, f"{name}-{batch_id}")
                 except Exception as err:  # noqa: BLE001 - isolation is the point
                     log.error("alert write failed for batch %s: %s", batch_id, err)
         finally:
@@ -128,8 +147,6 @@ def start_trending(
     "archive", "sourceArchiveDir": ...}`` so that processed files leave the
     landing folder and its listing does not grow without end.
     """
-    per_window_late_rule(spark)
-    large_state_store(spark)
     reader = spark.readStream.format("text").options(**(source_options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -137,10 +154,11 @@ def start_trending(
     writer = (
         counts.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(make_batch_writer(lines_dir, kv, threshold, echo, writer=checkpoint))
+        .foreachBatch(make_batch_writer(lines_dir, kv, threshold, echo))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
-    return writer.start()
+    with stream_settings(spark):
+        return writer.start()
 
 
 def main(argv: list[str] | None = None) -> None:

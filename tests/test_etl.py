@@ -54,6 +54,44 @@ def test_insights_on_edge_rows(spark, tmp_path, lines_writer):
     assert ins.by_city.schema.simpleString() == "struct<city:string,state:string,revenue:double,orders:bigint>"
 
 
+def test_numbers_of_any_json_form_count(spark, tmp_path, lines_writer):
+    lines_writer(
+        str(tmp_path / "in"),
+        [
+            ev(event_id="1", event_type="purchase", city="c", state="s", total=3.0,
+               items=[{"product_id": "p", "quantity": 1.5, "price": 2.0}]),
+            ev(event_id="2", event_type="purchase", city="c", state="s", total="9.0",
+               items=[{"product_id": "p", "quantity": 2, "price": "3.0"}]),
+            ev(event_id="3", event_type="click", product_id="p", category="k", price="no number"),
+        ],
+    )
+    ins = etl.compute_insights(read_events(spark, str(tmp_path / "in")))
+    assert rows(ins.by_category) == [("k", 9.0, 3.5)]
+    assert rows(ins.by_city) == [("c", "s", 12.0, 2)]
+    assert rows(ins.stats) == [(3, 3, 0, 0)]
+
+
+def test_original_names(spark, tmp_path, lines_writer):
+    lines_writer(str(tmp_path / "in"), FIXTURE)
+    etl.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), show=False, original_names=True)
+    for folder, header in (
+        ("faturamento_categoria", "category,faturamento,unidades_vendidas"),
+        ("faturamento_cidade", "city,state,faturamento,pedidos"),
+    ):
+        csv = [f for f in os.listdir(tmp_path / "out" / "csv" / folder) if f.endswith(".csv")]
+        with open(tmp_path / "out" / "csv" / folder / csv[0]) as f:
+            assert f.readline().strip() == header
+        assert ",".join(spark.read.parquet(str(tmp_path / "out" / folder)).columns) == header
+    assert spark.read.parquet(str(tmp_path / "out" / "abandono_carrinho")).columns[2] == "taxa_abandono_pct"
+
+
+def test_show_all_prints_every_row(spark, capsys):
+    from cartwheel.sinks.files import show_all
+
+    show_all(spark.range(1500), "all:")
+    assert capsys.readouterr().out.splitlines()[-1] == "1499"
+
+
 def test_no_cart_gives_zero_and_nulls(spark, tmp_path, lines_writer):
     lines_writer(str(tmp_path / "in"), [ev(event_id="p", event_type="purchase", session_id="S", total=1.0)])
     ins = etl.compute_insights(read_events(spark, str(tmp_path / "in")))

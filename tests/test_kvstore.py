@@ -1,5 +1,7 @@
 """Key-value upsert tables: create, merge, replay, count."""
 
+import os
+
 from cartwheel.sinks.kvstore import KeyValueStore
 
 
@@ -15,8 +17,10 @@ def test_create_is_idempotent(spark, tmp_path):
     kv = KeyValueStore(spark, str(tmp_path))
     assert kv.create_table("t") is True
     assert kv.create_table("t") is False
-    assert kv.count_rows("t") == 0
-    assert kv.count_rows("other") == 0
+    assert kv.count_rows("t") == 0 and table(kv, "t") == []
+    assert kv.count_rows("other") == 0 and table(kv, "other") == []
+    kv.put(cells(spark, [("k", "cf:a", "1")]), "t")
+    assert kv.create_table("t") is False and kv.count_rows("t") == 1
 
 
 def test_put_replaces_named_cells_and_keeps_others(spark, tmp_path):
@@ -30,46 +34,34 @@ def test_put_replaces_named_cells_and_keeps_others(spark, tmp_path):
         ("k3", "cf:a", "4"),
     ]
     assert kv.count_rows("t") == 3
+    assert kv.read("t").columns == ["table", "row_key", "column", "value"]
 
 
-def test_replayed_batch_is_skipped(spark, tmp_path):
+def test_a_named_put_replaces_itself_only(spark, tmp_path):
     kv = KeyValueStore(spark, str(tmp_path))
-    assert kv.put(cells(spark, [("k", "cf:a", "1")]), "t", batch=7) is True
-    assert kv.put(cells(spark, [("k", "cf:a", "2")]), "t", batch=7) is False
-    assert table(kv, "t") == [("k", "cf:a", "1")]
-    assert kv.put(cells(spark, [("k", "cf:a", "3")]), "t", batch=8) is True
-    assert table(kv, "t") == [("k", "cf:a", "3")]
-
-
-def test_puts_are_deltas_and_compaction_keeps_the_merge(spark, tmp_path):
-    import os
+    for _ in range(2):  # a replayed micro-batch
+        kv.put(cells(spark, [("k", "cf:a", "1")]), "t", "q-7")
+    assert sorted(os.listdir(tmp_path / "t")) == ["put=q-7"]
+    kv.put(cells(spark, [("k", "cf:a", "2")]), "t", "q-8")
+    # another stream may use the same batch numbers, also smaller ones
+    kv.put(cells(spark, [("k2", "cf:a", "3")]), "t", "other-0")
+    assert table(kv, "t") == [("k", "cf:a", "2"), ("k2", "cf:a", "3")]
 
-    kv = KeyValueStore(spark, str(tmp_path), compact_every=3)
-    for i in range(7):
-        kv.put(cells(spark, [("k", "cf:a", str(i)), (f"k{i}", "cf:b", "x")]), "t", batch=i)
-    versions = sorted(d for d in os.listdir(tmp_path / "t" / "data") if d.startswith("v="))
-    assert len(versions) > 7  # deltas plus compacted bases
-    assert table(kv, "t") == [("k", "cf:a", "6")] + [(f"k{i}", "cf:b", "x") for i in range(7)]
-    assert kv.count_rows("t") == 8
-    assert kv.put(cells(spark, [("k", "cf:a", "old")]), "t", batch=3) is False
-    assert table(kv, "t")[0] == ("k", "cf:a", "6")
 
-
-def test_empty_put_is_a_valid_version(spark, tmp_path):
-    kv = KeyValueStore(spark, str(tmp_path), compact_every=2)
-    kv.put(cells(spark, [("k", "cf:a", "1")]), "t", batch=0)
-    for b in (1, 2, 3):  # micro-batches without alerts
-        kv.put(cells(spark, []), "t", batch=b)
-    assert table(kv, "t") == [("k", "cf:a", "1")]
-    empty = KeyValueStore(spark, str(tmp_path / "other"))
-    empty.put(cells(spark, []), "t")
-    assert table(empty, "t") == [] and empty.count_rows("t") == 0
+def test_a_put_writes_only_its_own_cells(spark, tmp_path):
+    kv = KeyValueStore(spark, str(tmp_path))
+    for i in range(5):
+        kv.put(cells(spark, [("k", "cf:a", str(i)), (f"k{i}", "cf:b", "x")]), "t")
+    assert len(os.listdir(tmp_path / "t")) == 5
+    for put in os.listdir(tmp_path / "t"):
+        assert spark.read.parquet(str(tmp_path / "t" / put)).count() == 2
+    assert table(kv, "t") == [("k", "cf:a", "4")] + [(f"k{i}", "cf:b", "x") for i in range(5)]
 
 
-def test_batch_ids_are_counted_per_writer(spark, tmp_path):
+def test_empty_puts(spark, tmp_path):
     kv = KeyValueStore(spark, str(tmp_path))
-    assert kv.put(cells(spark, [("k", "cf:a", "1")]), "t", batch=5, writer="stream-A") is True
-    assert kv.put(cells(spark, [("k", "cf:a", "2")]), "t", batch=3, writer="stream-A") is False  # replay
-    # a new stream (new checkpoint) starts again at batch 0 and is applied
-    assert kv.put(cells(spark, [("k", "cf:a", "3")]), "t", batch=0, writer="stream-B") is True
-    assert table(kv, "t") == [("k", "cf:a", "3")]
+    kv.put(cells(spark, []), "t")
+    assert table(kv, "t") == [] and kv.count_rows("t") == 0
+    kv.put(cells(spark, [("k", "cf:a", "1")]), "t")
+    kv.put(cells(spark, []), "t")
+    assert table(kv, "t") == [("k", "cf:a", "1")]

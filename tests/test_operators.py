@@ -5,6 +5,7 @@ import base64
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartwheel import operators as op
@@ -101,12 +102,31 @@ def test_files_by_name_lists_empty_files(spark, tmp_path):
 
 def test_explode_items_drops_null_and_empty(spark):
     df = spark.createDataFrame(
-        [("o1", "u", "c", "s", [("p", 1, 2.0), ("q", 2, 3.0)]), ("o2", "u", "c", "s", []), ("o3", "u", "c", "s", None)],
-        "order_id string, user_id string, city string, state string, "
-        "items array<struct<product_id:string,quantity:bigint,price:double>>",
+        [("o1", [("p", 1, 2.0), ("q", 2, 3.0)]), ("o2", []), ("o3", None)],
+        "order_id string, items array<struct<product_id:string,quantity:bigint,price:double>>",
     )
-    got = sorted(tuple(r) for r in op.with_subtotal(op.explode_items(df)).collect())
-    assert got == [("o1", "u", "c", "s", "p", 1, 2.0, 2.0), ("o1", "u", "c", "s", "q", 2, 3.0, 6.0)]
+    got = sorted(tuple(r) for r in op.with_subtotal(op.explode_items(df, "order_id")).collect())
+    assert got == [("o1", "p", 1, 2.0, 2.0), ("o1", "q", 2, 3.0, 6.0)]
+    assert op.explode_items(df).columns == ["product_id", "quantity", "price"]
+
+
+def test_sums_of_money_lose_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("tiny", 0.00004)] * 1000 + [("cents", 0.1)] * 1000 + [("nan", 1.0), ("nan", nan), ("inf", inf), ("inf", 5.0)]
+    rows += [("large", 2e14)] * 3 + [("large", 0.25), ("huge", 3e17), ("huge", 1.0), ("null", None), ("mixed", None), ("mixed", -2.5)]
+    df = spark.createDataFrame([(c, "s", x) for c, x in rows], "city string, state string, total double")
+    got = {r.city: r.revenue for r in op.revenue_by_city(df).collect()}
+    assert got.pop("nan") != got.get("nan")  # NaN, as in a plain sum
+    assert got == {
+        "tiny": 0.04, "cents": 100.0, "inf": inf, "large": 6e14 + 0.25, "huge": 3e17, "null": None, "mixed": -2.5
+    }
+
+
+def test_order_totals_keep_orders_without_items(spark):
+    items = spark.createDataFrame([("a", 2.0, 1.25), ("a", 1.0, 0.5), ("x", 1.0, 9.0)], "order_id string, quantity double, price double")
+    orders = spark.createDataFrame([("a", 3.0), ("b", 0.0), ("c", 4.0)], "order_id string, total double")
+    got = sorted(tuple(r) for r in op.order_totals_from_items(items, orders).collect())
+    assert got == [("a", 3.0, 3.0, True), ("b", 0.0, 0.0, True), ("c", 0.0, 4.0, False)]
 
 
 def test_etl_and_verify_command_lines(spark, tmp_path, lines_writer):
@@ -132,17 +152,44 @@ def test_sizing_conf_follows_the_largest_shuffle():
     from cartwheel.config import sizing_conf
 
     big = sizing_conf(100 * 2**40, 8000)
-    assert 100_000 < int(big["spark.sql.shuffle.partitions"]) <= 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-int(100 * 2**40 * 0.3) // (200 << 20))
     assert sizing_conf(10**8, 8)["spark.sql.shuffle.partitions"] == "16"  # at least two per core
-    assert sizing_conf(10**18, 8)["spark.sql.shuffle.partitions"] == "200000"  # capped
 
 
 def test_scratch_paths_live_under_the_session_checkpoint_dir(spark):
-    from cartwheel.config import checkpoint_root, job_dir, shared_dir
+    from cartwheel.config import checkpoint_root, job_dir, remove_dir, shared_dir
 
     root = checkpoint_root(spark)
     assert root == (spark.conf.get("spark.checkpoint.dir", None) or root)
     a, b = shared_dir(spark, "x", unique=True), shared_dir(spark, "x", unique=True)
     assert a != b and a.startswith(root) and b.startswith(root)
-    assert job_dir(spark, "etl", "in", "out") == job_dir(spark, "etl", "in", "out")
-    assert job_dir(spark, "etl", "in", "out") != job_dir(spark, "etl", "in", "out2")
+    # runs may overlap: each has a folder of its own, removed in the end
+    own, other = job_dir(spark, "etl"), job_dir(spark, "etl")
+    assert own != other
+    spark.range(3).write.parquet(own)
+    remove_dir(spark, own)
+    assert not os.path.exists(own.removeprefix("file:"))
+    for path in ("/tmp", root, "/etc/passwd"):
+        with pytest.raises(ValueError):
+            remove_dir(spark, path)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from cartwheel.config import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

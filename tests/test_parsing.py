@@ -37,13 +37,15 @@ def test_stream_records_keeps_only_clean_lines(spark):
 
 
 def test_inspect_json_rules():
-    assert _inspect_one('{"event_id":"a","event_type":"click"}') == (True, "a", True, "click")
+    assert _inspect_one('{"event_id":"a","event_type":"click"}') == (True, '"a"', True, "click")
     assert _inspect_one('{"event_id":"a","event_type":"click"}xx') == (False, None, False, None)
     assert _inspect_one('[{"event_id":"a"}]') == (False, None, False, None)
     assert _inspect_one("null") == (False, None, False, None)
-    assert _inspect_one('{"event_id":"a"}') == (True, "a", False, None)
+    assert _inspect_one('{"event_id":"a"}') == (True, '"a"', False, None)
     assert _inspect_one('{"event_id":7,"event_type":"x"}') == (True, "7", True, "x")
-    assert _inspect_one('{"event_id":"7","event_type":"x"}')[1] == "7"
+    assert _inspect_one('{"event_id":"7","event_type":"x"}')[1] == '"7"'
+    assert _inspect_one('{"event_id":7.0,"event_type":"x"}')[1] == "7"
+    assert _inspect_one('{"event_id":"null","event_type":"x"}')[1] == '"null"'
     assert _inspect_one('{"event_id":"a","event_type":"x","event_type":"y"}')[3] == "y"
 
 
@@ -95,13 +97,13 @@ ADVERSARIAL = {
     '{"event_id":"a","event_type":"x"}, {"b":1}': (False, None, False, None),
     '{"event_id":"a","event_type":"x"}{"event_id":"b"}': (False, None, False, None),
     "{'event_id':'a','event_type':'x'}": (False, None, False, None),
-    '{"event_id":"a","event_type":"x","v":NaN}': (True, "a", True, "x"),
-    '{"event_id":"a\tb","event_type":"x"}': (True, "a\tb", True, "x"),
+    '{"event_id":"a","event_type":"x","v":NaN}': (True, '"a"', True, "x"),
+    '{"event_id":"a\tb","event_type":"x"}': (True, '"a\\tb"', True, "x"),
     '{"event_id":"a	b","event_type":"x"}': (False, None, False, None),
-    '{"k":{"event_id":"n"},"event_id":"a","event_type":"x"}': (True, "a", True, "x"),
+    '{"k":{"event_id":"n"},"event_id":"a","event_type":"x"}': (True, '"a"', True, "x"),
     '{"event_id":{"z":1},"event_type":"x"}': (False, None, False, None),
     '{"event_id":null,"event_type":"x"}': (True, "null", True, "x"),
-    '{"event_id":"a","event_type":[1]}': (True, "a", False, None),
+    '{"event_id":"a","event_type":[1]}': (True, '"a"', False, None),
     "[" * 3000 + "]" * 3000: (False, None, False, None),
 }
 

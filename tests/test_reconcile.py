@@ -100,6 +100,33 @@ def test_empty_rolled_file_counts_as_a_file(spark, tmp_path):
     assert (r.sink_files, r.sink_rows, r.ok) == (2, 1, True)
 
 
+def test_ids_of_different_json_types_stay_apart(spark, tmp_path):
+    write(str(tmp_path / "src.log"), '{"event_id":7,"event_type":"x"}\n{"event_id":null,"event_type":"x"}\n{"event_id":1,"event_type":"x"}\n')
+    sink = '{"event_id":"7","event_type":"x"}\n{"event_id":"null","event_type":"x"}\n{"event_id":1.0,"event_type":"x"}\n'
+    write(str(tmp_path / "sink" / "f"), sink)
+    r = check(spark, str(tmp_path / "src.log"), str(tmp_path / "sink"))[0].first()
+    assert (r.foreign_ids, r.missing_rows) == (2, 2)
+
+
+def test_a_file_that_grows_is_counted_again(spark, tmp_path):
+    from cartwheel.streaming.line_count import RunningLineCount
+
+    write(str(tmp_path / "sink" / "open.log"), "a\nb\n\nc\n")
+    write(str(tmp_path / "sink" / "closed.log"), "d\n")
+    write(str(tmp_path / "sink" / "empty.log"), "")
+    count = RunningLineCount(spark, str(tmp_path / "sink"), str(tmp_path / "state"))
+    assert count.sample() == 4
+    assert count.sample() == 4
+    with open(tmp_path / "sink" / "open.log", "a") as f:
+        f.write("e\nf\ng\nh\n")
+    assert count.sample() == 8
+    write(str(tmp_path / "sink" / "new.log"), "i\n")
+    assert count.sample() == 9
+    os.remove(tmp_path / "sink" / "closed.log")
+    assert count.sample() == 8
+    assert RunningLineCount(spark, str(tmp_path / "nothing"), str(tmp_path / "state2")).sample() == 0
+
+
 def test_monitor_sees_the_sink_grow(spark, tmp_path):
     import threading
     import time

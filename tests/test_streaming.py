@@ -102,6 +102,49 @@ def test_alerts_are_upserted_once(spark, tmp_path):
     assert kv.count_rows(KV_TABLE_ALERTS) == 2
 
 
+def test_a_failing_alert_write_leaves_all_lines(spark, tmp_path, caplog):
+    class Broken(KeyValueStore):
+        def put(self, cells, table, name=None):
+            cells.count()
+            raise OSError("store is away")
+
+    rows = [line("P9", f"10:00:{s:02d}") for s in range(0, 12, 2)] + [line("P8", "10:05:00")]
+    write_files(str(tmp_path / "in"), [rows, [line("P8", "10:20:00")]])
+    run(spark, tmp_path, kv=Broken(spark, str(tmp_path / "kv")))
+    got = read_lines(spark, str(tmp_path / "lines"))
+    assert sum("produto=P9 eventos=6" in x for x in got) == 2 and any("produto=P8" in x for x in got)
+    assert sum("alert write failed" in r.message for r in caplog.records) >= 2
+
+
+def test_a_new_checkpoint_adds_and_an_emptied_one_loses_nothing(spark, tmp_path):
+    rows = [line("P9", f"10:00:{s:02d}") for s in range(0, 12, 2)] + [line("P8", "10:05:00")]
+    write_files(str(tmp_path / "in"), [rows])
+    kv = KeyValueStore(spark, str(tmp_path / "kv"))
+    run(spark, tmp_path, kv=kv)
+    first = read_lines(spark, str(tmp_path / "lines"))
+    assert first and kv.count_rows(KV_TABLE_ALERTS) == 2
+    os.rename(tmp_path / "ckpt", tmp_path / "ckpt-of-the-first-run")  # the path is used again
+    os.rename(tmp_path / "in", tmp_path / "in-of-the-first-run")
+    more = [line("P7", f"11:00:{s:02d}") for s in range(0, 12, 2)] + [line("P6", "11:05:00")]
+    write_files(str(tmp_path / "in"), [more])
+    run(spark, tmp_path, kv=kv)
+    both = read_lines(spark, str(tmp_path / "lines"))
+    assert len(both) == 2 * len(first) and set(first) < set(both)
+    keys = {r.row_key.split("-")[0] for r in kv.read(KV_TABLE_ALERTS).collect()}
+    assert keys == {"P9", "P7"}
+
+
+def test_starting_a_stream_leaves_the_session_settings(spark, tmp_path):
+    keys = (
+        "spark.sql.streaming.statefulOperator.allowMultiple",
+        "spark.sql.streaming.stateStore.providerClass",
+    )
+    before = [spark.conf.get(k, None) for k in keys]
+    write_files(str(tmp_path / "in"), FILES[:1])
+    run(spark, tmp_path)
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 def test_landing_copies_lines_once(spark, tmp_path):
     write_files(str(tmp_path / "src"), FILES)
     q = start_landing(spark, str(tmp_path / "src"), str(tmp_path / "land"), str(tmp_path / "ck"), available_now=True)
