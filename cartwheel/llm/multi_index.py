@@ -43,7 +43,7 @@ from cartwheel.llm.scratch import stage
 
 CENTROIDS, SAMPLE, ROUNDS, SEED = 64, 20_000, 12, 3
 SHARE, MIN_CANDIDATES = 0.5, 2000
-BLOCK, QUERY_CHUNK = 8192, 1024
+BLOCK, QUERY_CHUNK = 4096, 1024
 
 TYPE = np.dtype("<f8")
 
@@ -296,7 +296,8 @@ def search(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"}
         )
 
-    probes = asked.mapInArrow(probe, "block long, lot long, query_id long, vector binary, cells binary")
+    # the walk is all computation: spread by queries, not by their few bytes
+    probes = asked.repartition(4 * lots, "id").mapInArrow(probe, "block long, lot long, query_id long, vector binary, cells binary")
     spread = coded.mapInArrow(deal_out, "block long, cell long, vector binary, ids array<long>").withColumn(
         "lot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long")))
     )
