@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.scratch import stage
+from cartwheel.config import remove_dir
+from cartwheel.llm.scratch import stage_at
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -42,13 +43,15 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """``(node, component)`` for every node of ``edges(u, v)`` (longs, any
     direction, repeats allowed); ``component`` is the smallest reachable node.
     Without links the result is empty."""
-    e = stage(
+    e, path = stage_at(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(),
         name,
     )
     state = _state(e)
     while state[0]:
-        e = stage(_star(_star(e, large=True), large=False), name)
+        old = path
+        e, path = stage_at(_star(_star(e, large=True), large=False), name)
+        remove_dir(e.sparkSession, old)  # the new table no longer reads it
         now = _state(e)
         if now == state:
             break

@@ -5,7 +5,6 @@ Each applies one operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +32,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = functools.wraps(fn)(lambda spark, sf_dir: fn(spark, sf_dir))
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn

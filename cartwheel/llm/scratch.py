@@ -14,10 +14,16 @@ from cartwheel.config import shared_dir
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a fresh shared folder and read it back."""
+    return stage_at(df, name)[0]
+
+
+def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stage`` with the folder, which ``config.remove_dir`` removes once
+    nothing reads it."""
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name, unique=True)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
