@@ -19,7 +19,9 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -38,54 +40,54 @@ KNOWN_WORDS = 800_000
 MIN_SALTS, MAX_SALTS, SALT_ROWS = 64, 512, 1_000_000
 
 
-#: A word that ends in a letter and ASCII punctuation: its ids are those of the
-#: part to the letter, then those of the punctuation.
-_ENDING = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
-_GROUP = 256
+#: How the given tokenizer cuts a lower-case ASCII word (its own pattern, for
+#: ASCII); words of these are held against the tokenizer before it is used.
+_CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
+_PROBES = "don't 'tis it's x'' ''s we'll i'd they've 3d a1b22c #a_b-c *** (x), e.g.: a/b $9.50 ~'~ ``re' !\"%&<=>?@[]^{|}\\ +;"
+
+
+def _bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class WordIds:
     """Ids (as bytes) of the words of a tokenizer that never joins across
     white space: a text's ids are those of its words, one after the other.
 
-    Unknown words are encoded many to a call, with a mark between them that
-    is one token; words that hold the mark, or a special token's first
-    characters, are encoded alone."""
+    A word that is not known yet goes through the tokenizer's own steps:
+    normalizer, pre-tokenizer, model.  For ASCII words the first two are a
+    pattern, if the tokenizer agrees with it on the probes; words with a
+    special token's first characters are encoded as a whole."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.known: dict[bytes, bytes] = {}
-        self.mark, self.mark_id = next(
-            (c, ids[0]) for c in "\u2665\u266a\u2022\u2192\u20ac|~" if len(ids := self._ids(c)) == 1
-        )
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.cut = True
+        whole = lambda w: tokenizer.encode(w, add_special_tokens=False).ids
+        self.cut = all(self._ids(w) == whole(w) for w in _PROBES.split())
+
+    def _ids(self, word: str) -> list[int]:
+        t = self.tokenizer
+        if self.cut and word.isascii() and word.isprintable():
+            parts = _CUT.findall(word.lower())
+        elif t.normalizer and t.pre_tokenizer:
+            parts = [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word))]
+        else:
+            return t.encode(word, add_special_tokens=False).ids
+        tokenize = t.model.tokenize
+        return [x.id for p in parts for x in tokenize(p)]
 
     def _learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > KNOWN_WORDS:
             self.known.clear()
-        known, mark = self.known, self.mark.encode()
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        new = set()
         for w in words:
-            m = None if b"<|" in w else _ENDING.fullmatch(w)
-            if m:
-                parts[w] = m.groups()
-            for x in m.groups() if m else (w,):
-                if x not in known:
-                    new.add(x)
-        alone = {w for w in new if b"<|" in w or mark in w}
-        rest = list(new - alone)
-        for i in range(0, len(rest), _GROUP):
-            group = rest[i : i + _GROUP]
-            ids = np.array(self._ids(f" {self.mark} ".join(w.decode() for w in group)), dtype="<u4")
-            for w, part in zip(group, np.split(ids, np.flatnonzero(ids == self.mark_id)), strict=True):
-                known[w] = (part[1:] if part.size and part[0] == self.mark_id else part).tobytes()
-        for w in alone:
-            known[w] = np.array(self._ids(w.decode()), dtype="<u4").tobytes()
-        for w, (core, ending) in parts.items():
-            known[w] = known[core] + known[ending]
+            special = b"<|" in w
+            ids = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids if special else self._ids(w.decode())
+            self.known[w] = _bytes(ids)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         # ASCII letters lose their case anyhow, but not in special tokens
