@@ -1,13 +1,13 @@
 """Money arithmetic.
 
-Amounts arrive as doubles.  A sum of money has two parts, both plain partial
-aggregates: the amounts as whole ten-thousandths of a unit, added exactly as
-decimals, and what that leaves of each amount (fractions below a
-ten-thousandth, and every amount that is not finite or not below ``LARGE``),
-added as doubles.  The parts are put together once per group.  So cents never
-drift however many rows a group has, and nothing is lost: tiny amounts add up,
-NaN and infinities come through as in a plain sum, and large amounts count
-with a double's precision.  Results are rounded half up to 2 decimals.
+Amounts arrive as doubles.  A sum of money has three parts, all plain partial
+aggregates: amounts below ``LARGE`` as whole ten-thousandths of a unit, added
+exactly as decimals; finite amounts from there up to ``HUGE`` as decimals with
+four places; and what that leaves (fractions below a ten-thousandth, and every
+amount that is not finite or larger), added as doubles.  The parts are put
+together once per group.  So cents never drift however many rows a group has,
+and nothing is lost: tiny amounts add up, and NaN and infinities come through
+as in a plain sum.  Results are rounded half up to 2 decimals.
 """
 
 from __future__ import annotations
@@ -17,11 +17,14 @@ import decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# the exact part counts whole ten-thousandths of a currency unit
+# the exact part counts whole ten-thousandths of a currency unit; below LARGE
+# a double tells them apart
 UNIT = decimal.Decimal("0.0001")
-LARGE = 9e14
-_UNITS = "decimal(19,0)"
+LARGE, HUGE = 9e11, 1e23
+_UNITS = "decimal(18,0)"
+_PLACES = "decimal(28,4)"
 _SUM = "decimal(38,0)"
+_PARTS = ("units", "large", "rest")
 
 
 def _col(x: Column | str) -> Column:
@@ -44,34 +47,42 @@ def _whole(x: Column) -> Column:
     return F.when(F.abs(x) < LARGE, counted).when(x.isNotNull(), F.lit(0).cast("bigint"))
 
 
+def _large(x: Column) -> Column:
+    """A large amount as a decimal, else NULL (the slow cast is for these)."""
+    return F.when((F.abs(x) >= LARGE) & (F.abs(x) < HUGE), x.cast(_PLACES))
+
+
 def _rest(x: Column) -> Column:
-    """What ``_whole`` leaves of an amount."""
-    return F.when(F.abs(x) < LARGE, x - _whole(x).cast("double") / 10000.0).otherwise(x)
+    """What the exact parts leave of an amount."""
+    return (
+        F.when(F.abs(x) < LARGE, x - _whole(x).cast("double") / 10000.0)
+        .when(F.abs(x) < HUGE, F.lit(0.0))
+        .otherwise(x)
+    )
 
 
-def _joined(units: Column, rest: Column) -> Column:
-    return round2((units * F.lit(UNIT)).cast("double") + rest)
+def _joined(units: Column, large: Column, rest: Column) -> Column:
+    exact = units * F.lit(UNIT) + F.coalesce(large, F.lit(0).cast(_PLACES))
+    return round2(exact.cast("double") + rest)
 
 
 def money_parts(x: Column | str, name: str = "_money") -> list[Column]:
-    """The two partial sums of an amount column, as ``<name>_units`` and
-    ``<name>_rest``."""
+    """The partial sums of an amount column, named ``<name>_<part>``."""
     c = _col(x).cast("double")
-    return [
-        F.sum(_whole(c).cast(_UNITS)).alias(f"{name}_units"),
-        F.sum(_rest(c)).alias(f"{name}_rest"),
-    ]
+    parts = (_whole(c).cast(_UNITS), _large(c), _rest(c))
+    return [F.sum(p).alias(f"{name}_{n}") for p, n in zip(parts, _PARTS)]
 
 
-def add_parts(name: str = "_money") -> list[Column]:
-    """Sums of already summed parts, under the same names."""
-    return [F.sum(f"{name}_units").alias(f"{name}_units"), F.sum(f"{name}_rest").alias(f"{name}_rest")]
+def add_parts(name: str = "_money", to: str | None = None) -> list[Column]:
+    """Sums of already summed parts, under the same names (or those of
+    ``to``)."""
+    return [F.sum(f"{name}_{n}").alias(f"{to or name}_{n}") for n in _PARTS]
 
 
 def money_total(name: str = "_money") -> Column:
     """The parts as one amount, rounded to cents (NULL when nothing was
     summed)."""
-    return _joined(F.col(f"{name}_units"), F.col(f"{name}_rest"))
+    return _joined(*[F.col(f"{name}_{n}") for n in _PARTS])
 
 
 def items_total(items: Column | str = "items") -> Column:
@@ -84,10 +95,14 @@ def items_total(items: Column | str = "items") -> Column:
 
     def add(acc: Column, item: Column) -> Column:
         amount = F.coalesce((item["quantity"] * item["price"]).cast("double"), F.lit(0.0))
+        large = F.coalesce(_large(amount), F.lit(0).cast(_PLACES))
         return F.struct(
             (acc["units"] + _whole(amount).cast(_UNITS)).cast(_SUM).alias("units"),
+            (acc["large"] + large).cast("decimal(38,4)").alias("large"),
             (acc["rest"] + _rest(amount)).alias("rest"),
         )
 
-    zero = F.struct(F.lit(0).cast(_SUM).alias("units"), F.lit(0.0).alias("rest"))
-    return F.aggregate(_col(items), zero, add, lambda acc: _joined(acc["units"], acc["rest"]))
+    zero = F.struct(
+        F.lit(0).cast(_SUM).alias("units"), F.lit(0).cast("decimal(38,4)").alias("large"), F.lit(0.0).alias("rest")
+    )
+    return F.aggregate(_col(items), zero, add, lambda acc: _joined(acc["units"], acc["large"], acc["rest"]))
