@@ -1033,7 +1033,9 @@ _EDGE = """CASE WHEN user_id % 5 = 0 THEN 0.00004 WHEN user_id % 5 = 1 THEN valu
     f"""
     SELECT CAST(user_id % 5 AS VARCHAR) AS city, event_type AS state,
            CASE WHEN bool_or(isnan(x)) THEN CAST('NaN' AS DOUBLE) WHEN bool_or(isinf(x)) THEN CAST('Infinity' AS DOUBLE)
-                ELSE round(CAST(sum(CAST(CASE WHEN isnan(x) OR isinf(x) THEN 0 ELSE x END AS DECIMAL(38, 6))) AS DOUBLE), 2) END AS revenue,
+                WHEN min(x) >= 1e14 -- whole numbers: added as integers
+                  THEN CAST(CAST(sum(CAST(CASE WHEN abs(x) < 1e18 THEN x ELSE 0 END AS BIGINT)) AS BIGINT) AS DOUBLE)
+                ELSE round(fsum(CASE WHEN isnan(x) OR isinf(x) THEN 0 ELSE x END), 2) END AS revenue,
            count(*) AS orders
     FROM (SELECT *, {_EDGE} AS x FROM events) GROUP BY 1, 2
     """,
