@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-KNOWN_UNITS, KNOWN_PAIRS, BATCH_CELLS = 400_000, 2_000_000, 400_000
+KNOWN_UNITS, KNOWN_PAIRS, BATCH_CELLS = 800_000, 2_000_000, 400_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,27 +123,32 @@ class Encoder:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(usable, dtype=np.int64)[order]
         self.lengths = np.array([len(m.pieces[i]) for i in usable], dtype=np.int64)[order]
+        # most substrings are no piece: a table of the keys' low bits tells so
+        self.marks = np.zeros(1 << 20, dtype=bool)
+        self.marks[self.keys & np.uint64((1 << 20) - 1)] = True
         self.scores = np.array([m.scores[i] for i in usable])[order]
         self.unknown_score = (float(self.scores.min()) if len(usable) else 0.0) - 10.0
         self.whole = any(SPACE in m.pieces[i].lstrip(SPACE) for i in usable)
         self.units: dict[str, bytes] = {}
-        self.pairs: dict[int, bool] = {}
+        # pairs tested so far: sorted ones (the first is none) and recent ones
+        self.pairs, self.pairs_apart = np.array([-1], dtype=np.int64), np.zeros(1, dtype=bool)
+        self.recent_pairs: dict[int, bool] = {}
 
     # --- BPE pairs ---
 
     def merge(self, text: str) -> list[str]:
         """The merge loop: the best scored neighbours first, leftmost of
         equals."""
-        parts, rank = list(text), self.rank
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = rank.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, rank, none = list(text), self.rank.get, -np.inf
+        scores = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > none:
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                scores[i - 1] = rank(parts[i - 1] + parts[i], none)
         return parts
 
     def _string(self, i: int) -> str:
@@ -152,22 +157,36 @@ class Encoder:
     def _apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether merging leaves each pair of ids as it is."""
         key = left * (self.size + 0x110000) + right
-        distinct, at = np.unique(key, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        out = self.pairs_apart[at]
+        new = np.flatnonzero(self.pairs[at] != key)
+        if len(new):
+            fresh, recent = self.recent_pairs, []
+            for k in key[new].tolist():
+                ok = fresh.get(k)
+                if ok is None:
+                    a, b = divmod(k, self.size + 0x110000)
+                    a, b = self._string(a), self._string(b)
+                    ok = fresh[k] = self.merge(a + b) == [a, b]
+                recent.append(ok)
+            out[new] = recent
+            if len(fresh) > 1000 + len(self.pairs) // 8:
+                self._settle()
+        return out
+
+    def _settle(self) -> None:
+        """Move the recent pairs to the sorted ones (all go when full)."""
         if len(self.pairs) > KNOWN_PAIRS:
-            self.pairs.clear()
-        known, out = self.pairs, np.empty(len(distinct), dtype=bool)
-        for n, k in enumerate(distinct.tolist()):
-            ok = known.get(k)
-            if ok is None:
-                a, b = divmod(k, self.size + 0x110000)
-                a, b = self._string(a), self._string(b)
-                ok = known[k] = self.merge(a + b) == [a, b]
-            out[n] = ok
-        return out[at]
+            self.pairs, self.pairs_apart = self.pairs[:1], self.pairs_apart[:1]
+        keys = np.concatenate((self.pairs, np.fromiter(self.recent_pairs, dtype=np.int64)))
+        apart = np.concatenate((self.pairs_apart, np.fromiter(self.recent_pairs.values(), dtype=bool)))
+        order = np.argsort(keys, kind="stable")
+        self.pairs, self.pairs_apart = keys[order], apart[order]
+        self.recent_pairs.clear()
 
     # --- Viterbi ---
 
-    def _batch(self, units: list[str]) -> list[list[int]]:
+    def _batch(self, units: list[str]) -> list[np.ndarray]:
         """Ids of units of one length; ids past the vocabulary are characters
         without a piece."""
         n, m = len(units[0]), len(units)
@@ -181,33 +200,35 @@ class Encoder:
         back = np.zeros((n + 1, m), dtype=np.int32)
         powers = np.cumprod(np.full(self.longest, _BASE), dtype=np.uint64)
         bpe = self.model.kind == BPE
+        every = np.arange(m)
         for i in range(1, n + 1):
             for k in range(1, min(self.longest, i) + 1):
                 key = prefix[i] - prefix[i - k] * powers[k - 1]
+                rows = every if k == 1 else np.flatnonzero(self.marks[key & np.uint64((1 << 20) - 1)])
+                key = key[rows]
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 hit = (self.keys[at] == key) & (self.lengths[at] == k)
                 piece, score = self.ids[at], self.scores[at]
                 if k == 1:
                     piece = np.where(hit, piece, self.size + chars[:, i - 1].astype(np.int64))
                     score = np.where(hit, score, self.unknown_score)
-                    rows = np.arange(m)
-                else:
-                    rows = np.flatnonzero(hit)
-                total = best[i - k, rows] + score[rows]
-                rows = rows[total > best[i, rows]]
-                if bpe and i > k and len(rows):
-                    rows = rows[self._apart(last[i - k, rows], piece[rows])]
-                best[i, rows] = best[i - k, rows] + score[rows]
-                last[i, rows], back[i, rows] = piece[rows], k
-        paths: list[list[int]] = [[] for _ in range(m)]
-        at = np.full(m, n)
-        live = np.arange(m)
+                    hit = np.ones(m, dtype=bool)
+                total = best[i - k, rows] + score
+                keep = np.flatnonzero(hit & (total > best[i, rows]))
+                if bpe and i > k and len(keep):
+                    keep = keep[self._apart(last[i - k, rows[keep]], piece[keep])]
+                rows = rows[keep]
+                best[i, rows] = total[keep]
+                last[i, rows], back[i, rows] = piece[keep], k
+        # all paths back at once, written from the right of each row
+        ids = np.zeros((m, n), dtype="<u4")
+        at, begin, live = np.full(m, n), np.full(m, n), every
         while len(live):
-            for r, p in zip(live.tolist(), last[at[live], live].tolist()):
-                paths[r].append(p)
+            begin[live] -= 1
+            ids[live, begin[live]] = last[at[live], live]
             at[live] -= back[at[live], live]
             live = live[at[live] > 0]
-        return [p[::-1] for p in paths]
+        return [row[b:] for row, b in zip(ids, begin.tolist())]
 
     def _learn(self, units: set[str]) -> None:
         if len(self.units) + len(units) > KNOWN_UNITS:
@@ -221,8 +242,11 @@ class Encoder:
             for lo in range(0, len(same), step):
                 part = same[lo : lo + step]
                 for u, path in zip(part, self._batch(part)):
+                    if path.max() < self.size:
+                        self.units[u] = path.tobytes()
+                        continue
                     ids: list[int] = []
-                    for p in path:
+                    for p in path.tolist():
                         if p < self.size:
                             ids.append(p)
                         elif m.bytes:

@@ -108,7 +108,7 @@ def test_best_sum_by_brute_force(data):
         return sums[-1]
 
     for unit in ["▁the", "▁strawberries", "xyzzy", "▁▁▁é", "▁日本"]:
-        path = encoder._batch([unit])[0]
+        path = encoder._batch([unit])[0].tolist()
         total = sum(rank.get(encoder._string(p), low) for p in path)
         assert total == pytest.approx(best(unit))
         assert "".join(encoder._string(p) for p in path) == unit
