@@ -8,7 +8,8 @@ left ("shortest-pack-first histogram packing", Krell et al.): the plan is a
 list of packing patterns with counts, never of pieces.  Back on the cluster
 every piece gets its rank among those of its length; the plan turns the rank
 into a sequence and an offset.  A length shared by very many pieces is ranked
-in salted groups whose counts are added up.
+in salted groups whose counts are added up.  The ids go with their piece all
+the way; ``sequences`` puts the pieces of each sequence together.
 
 Defined cases: repeated rows and null ids are documents of their own; an empty
 table gives an empty result; other columns are ignored.
@@ -115,9 +116,8 @@ def _word_ids(source: str) -> WordIds:
     return _LOADED[source]
 
 
-def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens`` and,
-    if asked for, ``ids``."""
+def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, doc_tokens, ids``."""
     with open(tokenizer_file, encoding="utf-8") as f:
         source = docs.sparkSession.sparkContext.broadcast(f.read())
     end = np.array([END_ID], dtype="<u4").tobytes()
@@ -125,29 +125,31 @@ def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _word_ids(source.value)
         for batch in batches:
-            owner, rows, kept = [], [], []
             texts = to_bytes(batch.column(1))
             for lo, hi in chunks(texts):
+                owner, rows, kept = [], [], []
                 for i, ids in enumerate(known.ids(texts[lo:hi]), start=lo):
-                    ids += end
-                    n = len(ids) // 4
+                    n = len(ids) // 4 + 1
+                    kept += (ids, end)
                     for a in range(0, n, length):
-                        part = ids[4 * a : 4 * (a + length)]
                         owner.append(i)
-                        rows.append((a, len(part) // 4, zlib.crc32(part), n))
-                        if with_ids:
-                            kept.append(np.frombuffer(part, dtype="<u4").astype(np.int64))
-            cols = np.array(rows, dtype=np.int64).reshape(-1, 4).T
-            out = [batch.column(0).take(pa.array(owner, pa.int64())), *[pa.array(c) for c in cols]]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            if with_ids:
-                out.append(pa.array(kept, pa.list_(pa.int64())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                        rows.append((a, min(length, n - a), n))
+                start, size, total = np.array(rows, dtype=np.int64).reshape(-1, 3).T
+                # pieces follow one another, so their ids are one buffer
+                bounds = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                flat = np.frombuffer(b"".join(kept), dtype="<u4").astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(owner, pa.int64())),
+                        *[pa.array(c) for c in (start, size, total)],
+                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                    ],
+                    names=["doc_id", "start", "length", "doc_tokens", "ids"],
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<long>" if with_ids else ""))
+    schema = f"doc_id {kind}, start long, length long, doc_tokens long, ids array<int>"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def patterns(histogram: dict[int, int], length: int = LENGTH) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -220,14 +222,16 @@ class Plan:
         return first + nth // each, at + nth % each * size
 
 
-def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
-    """The pieces of ``tokenize`` with ``sequence_id`` and ``offset``."""
-    pieces = stage(tokenize(docs, tokenizer_file, length, with_ids), "pieces")
+def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
+    """The pieces of ``tokenize`` with ``sequence_id`` and ``offset``;
+    ``ids_crc32`` is taken of the ids as placed.  Without ``with_ids`` the ids
+    are left out of the result, not out of the work."""
+    pieces = stage(tokenize(docs, tokenizer_file, length), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     spark = docs.sparkSession
     plan = spark.sparkContext.broadcast(Plan(patterns(histogram, length)))
     salts = min(MAX_SALTS, max(MIN_SALTS, sum(histogram.values()) // SALT_ROWS))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start", "ids"), F.lit(salts)))
     # at most length * salts rows
     ahead = (
         salted.groupBy("length", "_salt")
@@ -240,25 +244,48 @@ def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: b
             ).alias("_ahead"),
         )
     )
-    mine = Window.partitionBy("length", "_salt").orderBy("doc_id", "start", "ids_crc32")
+    mine = Window.partitionBy("length", "_salt").orderBy("doc_id", "start", "ids")
     ranked = (
         salted.withColumn("_nth", F.row_number().over(mine).cast("long") - 1)
         .join(F.broadcast(ahead), ["length", "_salt"])
-        .withColumn("_rank", F.col("_ahead") + F.col("_nth"))
-        .select(*pieces.columns, "_rank")
+        .select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("_ahead") + F.col("_nth")).alias("_rank"))
     )
-    names = list(pieces.columns)
-    size_at, width = names.index("length"), len(names)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            doc, start, size, total, ids, rank = batch.columns
             sequence, offset = plan.value.place(
-                batch.column(size_at).to_numpy(zero_copy_only=False), batch.column(width).to_numpy(zero_copy_only=False)
+                size.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
             )
+            flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
+            at = ids.offsets.to_pylist()
+            crc = [zlib.crc32(flat[a:b]) for a, b in zip(at, at[1:])]
+            columns = [doc, start, size, pa.array(crc, pa.int64()), total, *([ids] if with_ids else [])]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:width], pa.array(sequence), pa.array(offset)],
-                names=[*names, "sequence_id", "offset"],
+                [*columns, pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"]
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInArrow(place, schema + ", sequence_id long, `offset` long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = "ids array<int>, " if with_ids else ""
+    return ranked.mapInArrow(
+        place,
+        f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, {kept}sequence_id long, `offset` long",
+    )
+
+
+def sequences(pieces: DataFrame) -> DataFrame:
+    """One row per sequence of ``pack``'s pieces: ``sequence_id, ids`` (at most
+    the sequence length) and ``pieces``, the bounds of each document in it
+    (``offset, length, doc_id, start``), by offset."""
+    # a sequence has at most ``length`` pieces, however large the table
+    part = F.struct("offset", "length", "doc_id", "start", "ids")
+    whole = pieces.groupBy("sequence_id").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
+    return whole.select(
+        "sequence_id",
+        F.expr("flatten(transform(_parts, p -> p.ids))").alias("ids"),
+        F.expr(
+            "transform(_parts, p -> named_struct('offset', p.`offset`, 'length', p.length, 'doc_id', p.doc_id, "
+            "'start', p.start))"
+        ).alias("pieces"),
+    )

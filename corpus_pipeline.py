@@ -10,7 +10,9 @@ stage's ``docs``.  All but the last return the columns of ``documents``:
    those it predicts toxic;
 3. near-duplicate detection keeps one document of each group;
 4. the secret scan replaces secrets in the texts;
-5. packing turns the texts into full token sequences.
+5. packing turns the texts into full token sequences: one row per piece of a
+   document with its token ids, the pieces of a sequence next to each other
+   (``packing.sequences`` makes one row of them).
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+    pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+    return pieces.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
 
 
 STAGES = [

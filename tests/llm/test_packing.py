@@ -112,5 +112,22 @@ def test_pack_table(make_docs, odd_rows, tokenizer):
     assert got.sequence_id.nunique() == -(-total // 2048) or total / (got.sequence_id.nunique() * 2048) > 0.9
 
 
+def test_sequences_hold_the_token_ids(make_docs, odd_rows, tokenizer):
+    rows = odd_rows + [(100 + i, "same words here") for i in range(300)]
+    packed = packing.pack(make_docs(rows), tokenizer_path(FILE))
+    assert "ids" in packed.columns
+    docs = {}
+    whole = packing.sequences(packed).collect()
+    assert len({s.sequence_id for s in whole}) == len(whole) == packed.select("sequence_id").distinct().count()
+    for s in whole:
+        assert len(s.ids) <= 2048 and [p.offset for p in s.pieces] == [0, *np.cumsum([p.length for p in s.pieces])[:-1]]
+        assert len(s.ids) == sum(p.length for p in s.pieces)
+        for p in s.pieces:
+            docs.setdefault(p.doc_id, []).append((p.start, s.ids[p.offset : p.offset + p.length]))
+    for doc_id in (6, 7, 8, 100, 399):
+        want = tokenizer.encode(dict(rows)[doc_id], add_special_tokens=False).ids + [1]
+        assert [x for _, ids in sorted(docs[doc_id]) for x in ids] == want
+
+
 def test_empty_table(make_docs):
     assert packing.pack(make_docs([]), tokenizer_path(FILE)).count() == 0

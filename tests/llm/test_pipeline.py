@@ -60,3 +60,15 @@ def test_each_stage_takes_effect(spark):
     for r in after.collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + r.length
     assert got == want
+
+
+def test_last_stage_holds_the_token_ids(spark):
+    from tokenizers import Tokenizer
+
+    docs = table(spark, SF, "documents").where("doc_id < 40")
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    want = {r.doc_id: tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1] for r in docs.collect()}
+    got = {}
+    for r in corpus_pipeline.pack_sequences(spark, docs, SF).orderBy("start").collect():
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    assert got == want
