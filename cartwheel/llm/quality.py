@@ -13,11 +13,11 @@ plus one bin for the rest).  A distance above its limit rejects the document.
 The limits widen with ``slack / sqrt(n)`` for short texts, and below
 ``MIN_CHARS`` characters or ``MIN_WORDS`` words the histogram is not judged.
 
-*References* are counted over all documents.  A language with at least
-1/``LANGUAGE_SHARE`` of all words has its own; the rest and null languages
-share one.  So there are at most ``LANGUAGE_SHARE + 1`` references of at most
-``COMMON_SHARE`` words each, which bounds what is broadcast.  A reference of
-fewer than ``MIN_REFERENCE`` words judges nothing.
+*References* are counted over all documents.  Every language with at least
+``MIN_REFERENCE`` words has its own.  Documents of other languages and of none
+are judged by the base rule only.  A reference has at most ``COMMON_SHARE`` words
+(7 KB); up to ``BROADCAST_LANGUAGES`` of them, those of the languages with most
+words, are broadcast, and documents of any further ones are joined with theirs.
 
 Defined cases: null text counts as empty (no words, base rule fails); null ids
 and repeated rows are judged row by row; an empty table gives an empty result.
@@ -37,7 +37,7 @@ from cartwheel.llm.scratch import stage
 from cartwheel.llm.words import SPACE, Words, chunks, mix, to_bytes
 
 MIN_BASE_WORDS, MAX_REPEAT_PERCENT = 50, 50
-COMMON_SHARE, LANGUAGE_SHARE, MIN_REFERENCE = 400, 1000, 20_000
+COMMON_SHARE, MIN_REFERENCE, BROADCAST_LANGUAGES = 400, 20_000, 1000
 MIN_CHARS, MIN_WORDS = 300, 60
 CLASS_LIMIT, CLASS_SLACK = 0.25, 2.0
 WORD_LIMIT, WORD_SLACK = 0.40, 1.0
@@ -144,9 +144,9 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _word_counts(known: list[str], flush: int = 2_000_000) -> Callable:
+def _word_counts(flush: int = 2_000_000) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {lang: i for i, lang in enumerate(known)}
+        index: dict[str, int] = {}
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -158,14 +158,14 @@ def _word_counts(known: list[str], flush: int = 2_000_000) -> Callable:
             return g[new], h[new], np.add.reduceat(n, new)
 
         def rows(g, h, n):
+            lang = pa.array(list(index), pa.string()).take(pa.array(g))
             return pa.RecordBatch.from_arrays(
-                [pa.array(g.astype(np.int64)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))],
-                names=["reference", "word", "n"],
+                [lang, pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "word", "n"]
             )
 
         for batch in batches:
             texts = to_bytes(batch.column(0))
-            group = np.array([index.get(x, -1) for x in batch.column(1).to_pylist()], dtype=np.int32)
+            group = np.array([index.setdefault(x, len(index)) for x in batch.column(1).to_pylist()], dtype=np.int32)
             for lo, hi in chunks(texts):
                 w = Words(texts[lo:hi])
                 h = w.hashes()
@@ -182,43 +182,88 @@ def _word_counts(known: list[str], flush: int = 2_000_000) -> Callable:
     return count
 
 
-def references(docs: DataFrame) -> dict[str | None, Reference]:
-    """The language references; key None is the shared one."""
+def references(docs: DataFrame) -> tuple[dict[str, Reference], DataFrame | None]:
+    """The references of the languages with most words, and a table
+    ``_lang, _reference`` of the others', if there are any."""
     source = docs.select("text", "lang")
     totals = stage(
-        source.mapInArrow(_totals, "lang string, counts array<long>")
+        source.where("lang is not null")
+        .mapInArrow(_totals, "lang string, counts array<long>")
         .groupBy("lang")
-        .agg(*[F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(CLASSES + 1)]),
+        .agg(*[F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(CLASSES + 1)])
+        .where(F.col("c0") >= MIN_REFERENCE),
         "quality_totals",
     )
-    sums = [F.sum(f"c{i}") for i in range(CLASSES + 1)]
-    every = [x or 0 for x in totals.agg(*sums).first()]
-    large = (F.col("c0") * LANGUAGE_SHARE >= every[0]) & (F.col("c0") > 0) & F.col("lang").isNotNull()
-    own = {r[0]: np.array(r[1:], dtype=np.int64) for r in totals.where(large).collect()}
-    own[None] = np.array(every, dtype=np.int64) - sum(own.values(), np.zeros(CLASSES + 1, dtype=np.int64))
-    known = sorted(x for x in own if x is not None)
-    least = F.element_at(
-        F.array(*[F.lit(int(-(-own[x][0] // COMMON_SHARE))) for x in [*known, None]]),
-        F.when(F.col("reference") < 0, len(known)).otherwise(F.col("reference")).cast("int") + 1,
-    )
+    large = totals.orderBy(F.desc("c0"), "lang").limit(BROADCAST_LANGUAGES)
+    own = {r["lang"]: np.array(r[1:], dtype=np.int64) for r in large.collect()}
+    if not own:
+        return {}, None
+    whole = totals.select("lang", F.ceil(F.col("c0") / COMMON_SHARE).alias("least"), F.array(*totals.columns[1:]).alias("totals"))
     common = (
-        source.mapInArrow(_word_counts(known), "reference long, word long, n long")
-        .groupBy("reference", "word")
+        source.join(totals.select("lang"), "lang", "left_semi")
+        .select("text", "lang")
+        .mapInArrow(_word_counts(), "lang string, word long, n long")
+        .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least)
-        .collect()
+        .join(whole.select("lang", "least"), "lang")
+        .where("n >= least")
+        # at most COMMON_SHARE words a language
+        .groupBy("lang")
+        .agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("words"))
+    )
+    made = stage(
+        whole.join(common, "lang", "left").select(
+            F.col("lang").alias("_lang"),
+            F.struct(
+                "totals",
+                F.expr("coalesce(words.word, array())").alias("words"),
+                F.expr("coalesce(words.n, array())").alias("counts"),
+            ).alias("_reference"),
+        ),
+        "quality_references",
+    )
+    if len(own) < BROADCAST_LANGUAGES:
+        return {r["_lang"]: _reference(*r["_reference"]) for r in made.collect()}, None
+    names = docs.sparkSession.createDataFrame([(x,) for x in own], "_lang string")
+    sent = made.join(F.broadcast(names), "_lang", "left_semi").collect()
+    return {r["_lang"]: _reference(*r["_reference"]) for r in sent}, made.join(F.broadcast(names), "_lang", "left_anti")
+
+
+def _reference(totals: list[int], words: list[int], counts: list[int]) -> Reference:
+    h = np.array(words, dtype=np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return Reference(
+        np.array(totals[1:], dtype=np.int64), h[order], np.array(counts, dtype=np.int64)[order], int(totals[0])
     )
-    out = {}
-    for i, lang in enumerate([None, *known]):
-        mine = [(r["word"], r["n"]) for r in common if r["reference"] == i - 1]
-        h = np.array([x for x, _ in mine], dtype=np.int64).view(np.uint64)
-        n = np.array([x for _, x in mine], dtype=np.int64)
-        order = np.argsort(h)
-        out[lang] = Reference(own[lang][1:], h[order], n[order], int(own[lang][0]))
-    return out
 
 
-def measure(texts: list[bytes], langs: list[str | None], refs: dict[str | None, Reference]) -> dict[str, np.ndarray]:
+def _with_references(docs: DataFrame) -> tuple[DataFrame, dict[str, Reference], bool]:
+    """``docs``, what is broadcast, and whether a last column ``_reference``
+    holds that of other languages."""
+    refs, rest = references(docs)
+    if rest is None:
+        return docs, refs, False
+    # the large languages are not in it, so no language has many rows here
+    key = F.when(~F.col("lang").isin(list(refs)), F.col("lang"))
+    keyed = docs.select(*docs.columns, key.alias("_lang"))
+    far = keyed.where("_lang is not null").join(rest, "_lang", "left").select(*docs.columns, "_reference")
+    kind = rest.schema["_reference"].dataType.simpleString()
+    near = keyed.where("_lang is null").select(*docs.columns, F.lit(None).cast(kind).alias("_reference"))
+    return near.union(far), refs, True
+
+
+def _all_references(batch: pa.RecordBatch, langs: list, refs: dict[str, Reference], joined: bool) -> dict[str, Reference]:
+    if not joined:
+        return refs
+    found = batch.column(batch.num_columns - 1)
+    mine: dict[str, Reference] = {}
+    for i, lang in enumerate(langs):
+        if lang not in refs and lang not in mine and found[i].is_valid:
+            mine[lang] = _reference(*found[i].as_py().values())
+    return {**refs, **mine}
+
+
+def measure(texts: list[bytes], langs: list[str | None], refs: dict[str, Reference]) -> dict[str, np.ndarray]:
     """Counts, distances and verdicts of some texts."""
     w = Words(texts)
     classes = class_counts(w)
@@ -229,12 +274,9 @@ def measure(texts: list[bytes], langs: list[str | None], refs: dict[str | None,
     failed = (n < MIN_BASE_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
     class_js, word_js = np.zeros(len(texts)), np.zeros(len(texts))
     hashes = w.hashes()
-    keys = [x if x in refs else None for x in langs]
-    for lang in set(keys):
+    for lang in refs.keys() & set(langs):
         ref = refs[lang]
-        if ref.words < MIN_REFERENCE:
-            continue
-        mine = np.array([i for i, k in enumerate(keys) if k == lang])
+        mine = np.array([i for i, k in enumerate(langs) if k == lang])
         class_js[mine] = jensen_shannon(classes[mine], ref.classes)
         if len(ref.hashes):
             hist = np.zeros((len(mine), len(ref.hashes) + 1))
@@ -269,13 +311,15 @@ _LONGS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def score(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """One row per document: its id, the base counts, the two distances,
     ``base_failed`` and ``kept``.  Reads ``text`` and ``lang`` of ``docs``."""
-    refs = docs.sparkSession.sparkContext.broadcast(references(docs))
+    rows, found, joined = _with_references(docs.select(F.col(id_column).alias("id"), "text", "lang"))
+    refs = docs.sparkSession.sparkContext.broadcast(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs = to_bytes(batch.column(1)), batch.column(2).to_pylist()
+            known = _all_references(batch, langs, refs.value, joined)
             for lo, hi in chunks(texts):
-                m = measure(texts[lo:hi], langs[lo:hi], refs.value)
+                m = measure(texts[lo:hi], langs[lo:hi], known)
                 cols = [pa.array(m[c].astype(np.int64)) for c in _LONGS]
                 cols += [pa.array(m[c]) for c in ("base_failed", "kept", "class_distance", "word_distance")]
                 yield pa.RecordBatch.from_arrays(
@@ -288,21 +332,23 @@ def score(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
         f"id {kind}, {', '.join(f'{c} long' for c in _LONGS)}, base_failed boolean, kept boolean, "
         "class_distance double, word_distance double"
     )
-    return docs.select(F.col(id_column).alias("id"), "text", "lang").mapInArrow(run, schema).withColumnRenamed(
-        "id", id_column
-    )
+    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_column)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    refs = docs.sparkSession.sparkContext.broadcast(references(docs))
+    rows, found, joined = _with_references(docs)
+    refs = docs.sparkSession.sparkContext.broadcast(found)
     text, lang = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs = to_bytes(batch.column(text)), batch.column(lang).to_pylist()
+            known = _all_references(batch, langs, refs.value, joined)
+            if joined:
+                batch = batch.select(range(batch.num_columns - 1))
             for lo, hi in chunks(texts):
-                m = measure(texts[lo:hi], langs[lo:hi], refs.value)
+                m = measure(texts[lo:hi], langs[lo:hi], known)
                 yield batch.slice(lo, hi - lo).filter(pa.array(m["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

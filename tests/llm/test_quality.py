@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -98,3 +99,26 @@ def test_odd_rows(make_docs, odd_rows):
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and kept.count() == got.where("kept").count()
     assert quality.score(make_docs([])).count() == 0 and quality.keep_good(make_docs([])).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [1000, 1])
+def test_small_languages_have_their_own_reference(make_docs, monkeypatch, broadcast):
+    monkeypatch.setattr(quality, "BROADCAST_LANGUAGES", broadcast)
+    monkeypatch.setattr(quality, "MIN_REFERENCE", 4_000)
+    r = random.Random(1)
+    vocabulary = ["".join(r.choices("aeioulnrst", k=r.randrange(2, 8))) for _ in range(60)]
+    prose = lambda i: " ".join(r.choices(vocabulary, k=220))
+    cyrillic = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувщхыз")
+    rows = [(i, prose(i) + f" tail{i}", "en" if i % 5 else None) for i in range(400)]
+    rows += [(1000 + i, prose(i).translate(cyrillic) + f" к{i}", "ru") for i in range(25)]
+    rows += [(2000 + i, prose(i).translate(cyrillic) + f" к{i}", "el") for i in range(5)]
+    rows.append((3000, " ".join(f"{'XQZ'[i % 3]}{i}***###" for i in range(200)), "ru"))
+    docs = make_docs(rows)
+    got = {r.doc_id: r for r in quality.score(docs).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i].kept == (not got[i].base_failed) for i in got if i != 3000)
+    assert sum(got[i].kept for i in range(1000, 1025)) == 25
+    # judged by its own language, the others by the base rule
+    assert not got[3000].kept and not got[3000].base_failed
+    assert got[1000].class_distance > 0 and got[0].class_distance == 0 and got[2000].class_distance == 0
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {i for i in got if got[i].kept}
