@@ -6,9 +6,9 @@
 and ``hex`` (24 or more lower-case hex digits).
 
 *Battery.*  Every maximal run of 20 or more characters of ``[A-Za-z0-9+/_-]``
-that holds a letter and a digit and lies in no base span is a candidate.  Its
-encoding is the smallest alphabet that has all its characters (hex, base32,
-lower or upper case with digits, alphanumeric, base64).  Under the hypothesis
+that lies in no base span is a candidate.  Its encoding is the smallest alphabet
+that has all its characters (digits, hex, lower or upper case, base32, these with
+digits, letters, alphanumeric, base64).  Under the hypothesis
 "uniform random symbols of that alphabet" three tests give p-values: the
 chi-squared statistic of the symbol counts (Wilson-Hilferty), the runs test of
 symbols above and below the alphabet's middle, and the lag-1 serial
@@ -38,7 +38,7 @@ from cartwheel.llm.scratch import stage
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ["assign", "access", "hex", "random"]
 MIN_VALUE = 6
 
@@ -49,11 +49,15 @@ BANDS = [20, 28, 40, 64, 128]
 #: Alphabets in the order they are tried: pattern of the whole run, symbols.
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = [
+    ("^[0-9]+$", DIGITS),
     ("^[0-9a-f]+$", DIGITS + "abcdef"),
     ("^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    ("^[a-z]+$", LOWER),
+    ("^[A-Z]+$", UPPER),
     ("^[A-Z2-7]+$", UPPER + "234567"),
     ("^[0-9a-z]+$", DIGITS + LOWER),
     ("^[0-9A-Z]+$", DIGITS + UPPER),
+    ("^[A-Za-z]+$", UPPER + LOWER),
     ("^[0-9A-Za-z]+$", UPPER + LOWER + DIGITS),
     ("^[0-9A-Za-z+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("", UPPER + LOWER + DIGITS + "-_"),
@@ -164,7 +168,7 @@ def _scan(docs: DataFrame, text_column: str, *keep: str) -> DataFrame:
         _spans("assign", 0, f"length(values[i]) >= {MIN_VALUE}"),
         _spans("access", 1),
         _spans("hex", 2),
-        _spans("run", 3, "m rlike '[A-Za-z]'"),
+        _spans("run", 3),
     ]
     spans = [f"if({n}_m is null, {none}, {s})" for n, s in zip(names, listed)]
     df = df.select(
