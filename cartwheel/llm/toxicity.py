@@ -6,7 +6,10 @@ logit.  A text without words has one empty window.
 
 *Training.*  Labels come from labelled rows whose ``crc32(doc_id as text) mod
 5`` is not 0, at most ``POSITIVES`` toxic and ``NEGATIVES`` other ones, chosen
-by a hash of the id; nothing but the text is an input.  Words in at least
+by a hash of the id, with one text each (that of the least hash, if the id repeats);
+nothing but the text is an input.  Whole texts are taken, in the order of the
+hash, as far as they fit: at most ``SAMPLE_BYTES``, half of it for either label
+if they do not all fit.  Words in at least
 ``MIN_WORD_DOCS`` and four-grams in at least ``MIN_GRAM_DOCS`` of these texts
 get an embedding.  The first passes take all windows of a toxic text as
 toxic; later passes only its highest windows (multiple-instance learning).
@@ -43,9 +46,12 @@ from cartwheel.llm.gru import (
     spread,
     windows,
 )
+from cartwheel.llm.scratch import stage
 from cartwheel.llm.words import Words, chunks, to_bytes
 
 POSITIVES, NEGATIVES = 1000, 2000
+#: Bytes of all training texts together.
+SAMPLE_BYTES = 64 << 20
 MIN_WORD_DOCS, MIN_GRAM_DOCS = 3, 4
 #: Training windows of one text in a pass, steps at least, windows in a step.
 DOC_WINDOWS, MIN_STEPS, BATCH, RATE, DECAY = 12, 500, 256, 0.01, 1e-4
@@ -250,13 +256,25 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     if not len(chosen):
         return train([], np.zeros(0))
     sample = docs.sparkSession.createDataFrame(chosen)
-    rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(sample), "doc_id")  # at most positives + negatives rows
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .toPandas()
+    # one text an id, however often the id repeats: at most positives + negatives rows
+    one = (
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        .join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"), "text")).alias("text"))
     )
-    texts = [(t or "").encode() for t in rows["text"]]
+    one = stage(one.withColumn("size", F.octet_length("text").cast("long")), "toxicity_sample")
+    sizes = one.select("doc_id", "toxic", "size").orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()
+    if sizes["size"].sum() > SAMPLE_BYTES:
+        room = {t: SAMPLE_BYTES // 2 for t in (0, 1)}
+        fits = []
+        for t, n in zip(sizes["toxic"], sizes["size"]):
+            fits.append(n <= room[t])
+            room[t] -= n if fits[-1] else 0
+        ids = docs.sparkSession.createDataFrame([(x,) for x in sizes["doc_id"][fits].tolist()], one.select("doc_id").schema)
+        one = one.join(F.broadcast(ids), "doc_id", "left_semi")
+    rows = one.orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()
+    texts = [t.encode() for t in rows["text"]]
     return train(texts, rows["toxic"].to_numpy())
 
 

@@ -125,3 +125,18 @@ def test_table(spark, make_docs, odd_rows):
     none = labels.where("toxic = 5")
     assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
     assert toxicity.score(make_docs([]), labels).count() == 0
+
+
+def test_training_sample_is_bounded(spark, make_docs, monkeypatch):
+    rows = [(i, f"text of {i}") for i in range(60)] + [(7, f"another {j}") for j in range(200)] + [(8, "long " * 1000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    ids = {i for i in range(60) if zlib.crc32(str(i).encode()) % 5}
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: taken.append((texts, y)))
+    toxicity.fit(make_docs(rows), labels)
+    toxicity.fit(make_docs(rows[::-1]), labels)
+    assert len(taken[0][0]) == len(ids) == len(taken[0][1]) and taken[0][0] == taken[1][0]
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 200)
+    toxicity.fit(make_docs(rows), labels)
+    texts, y = taken[2]
+    assert 0 < sum(map(len, texts)) <= 200 and set(y) == {0, 1} and set(texts) <= set(taken[0][0])
