@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartwheel.llm import (
+    infill,
+    laesa,
     minhash,
     multi_index,
     packing,
     preference,
     quality,
+    relative_lz,
     secrets,
     toxicity,
     viterbi,
@@ -203,3 +206,113 @@ def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return viterbi.round_trip(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
+def _clustering_sql(rounds: int = laesa.ROUNDS) -> str:
+    """One pair of steps per round: vectors to the nearest centroid, centroids
+    to the floor of the mean."""
+    steps = [
+        """v AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE len(embedding) = 64
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v
+        FROM v ORDER BY 1 LIMIT 8
+    )"""
+    ]
+    near = """a{i} AS MATERIALIZED (
+        SELECT r, min(d) AS d, arg_min(c, d * 8 + c) AS c FROM (
+            SELECT v.r, c.c, list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+            FROM v, c{i} c) GROUP BY r
+    )"""
+    move = """c{j} AS MATERIALIZED (
+        SELECT c{i}.c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+            SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY k) AS v FROM (
+                SELECT c, k, sum(x)::BIGINT AS s, count(*) AS n FROM (
+                    SELECT a{i}.c, unnest(v.v) AS x, unnest(range(64)) AS k FROM v JOIN a{i} USING (r))
+                GROUP BY c, k) GROUP BY c) m ON m.c = c{i}.c
+    )"""
+    for i in range(rounds):
+        steps += [near.format(i=i), move.format(i=i, j=i + 1)]
+    steps.append(near.format(i=rounds))
+    return f"""
+    WITH {", ".join(steps)}
+    SELECT v.vec_id, a.c::INTEGER AS cluster, a.d AS distance,
+           (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM v JOIN a{rounds} a USING (r) JOIN c{rounds} c ON c.c = a.c
+    """
+
+
+@register("op11_laesa_clusters", _clustering_sql())
+def op11_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laesa.report(laesa.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding")))
+
+
+@register(
+    "op12_fenwick_infill",
+    r"""
+    WITH units AS (
+        SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+               regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u
+        FROM documents
+    ), draws AS (
+        SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+               ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM units
+    ), cuts AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+                    THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+        FROM draws
+    ), parts AS (
+        SELECT doc_id, n, form, t, coalesce(array_to_string(u[1:a], ''), '') AS p,
+               coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:], ''), '') AS s
+        FROM cuts
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM parts
+    """,
+)
+def op12_fenwick_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.transform(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restore(), 256).alias("restored_sha256"),
+    )
+
+
+@register(
+    "op13_relative_lz_dedup",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w
+        FROM documents
+    ), win AS (
+        SELECT r, doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS x
+        FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+    ), firsts AS (
+        SELECT x, min(doc_id) AS first FROM win GROUP BY x HAVING min(doc_id) < max(doc_id)
+    ), spans AS (
+        SELECT r, list(DISTINCT i + j) AS gone FROM win JOIN firsts USING (x), range(13) AS t(j)
+        WHERE first < doc_id GROUP BY r
+    ), left_over AS (
+        SELECT r, doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+               list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)) AS kept
+        FROM d LEFT JOIN spans USING (r)
+    )
+    SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM left_over
+    """,
+)
+def op13_relative_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = relative_lz.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
