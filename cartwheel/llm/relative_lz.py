@@ -22,8 +22,9 @@ later one is one factor as a whole.  Such a group, however large, adds one
 row per document to two counts and nothing else.
 
 All steps are scans, aggregations with partial sums, and joins of many rows to
-one row a key, which AQE splits where a key is hot.  The lists that meet the texts are
-broadcast up to ``BROADCAST_BYTES``, shuffled beyond; the rows are the same.
+one row a key.  Keys of very many windows (``HOT_WINDOWS``) are dealt out over
+``SALTS`` tasks in the join.  The lists that meet the texts are broadcast up
+to ``BROADCAST_BYTES``, shuffled beyond; the rows are the same.
 
 Defined cases: null text has no words; rows with a null id are never removed
 from and never a reference; rows that repeat an id are documents of that id
@@ -46,10 +47,11 @@ from cartwheel.llm.words import Words, chunks, mix, to_bytes
 
 WINDOW, GRAM = 13, 5
 BROADCAST_BYTES = 48 << 20
+#: A key of this many windows is salted; at most ``MAX_HOT`` keys are.
+HOT_WINDOWS, MAX_HOT, SALTS = 5_000, 1_000_000, 32
 
 _rng = np.random.Generator(np.random.PCG64(1303))
 _WEIGHTS = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _rolled(h: np.ndarray, width: int, lead: int) -> np.ndarray:
@@ -80,6 +82,15 @@ def _small(df: DataFrame, name: str, row_bytes: int) -> DataFrame:
     return F.broadcast(staged) if staged.count() * row_bytes <= BROADCAST_BYTES else staged
 
 
+def _runs(owner: np.ndarray, anchor: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor in one text: (starts a run, number of
+    the run in its text, number of the text's first run among all)."""
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
+    first = np.concatenate(([0], np.cumsum(np.bincount(owner[new], minlength=texts))))
+    return new, np.cumsum(new) - 1 - first[owner], first
+
+
 def _kind(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
@@ -111,7 +122,8 @@ class Parse:
         self.factors = self._factors()
 
     def _anchors(self) -> DataFrame:
-        """``doc_id, t1, anchor``: each anchor of each first document."""
+        """``doc_id, t1, run, anchor`` of the first documents: windows in a row
+        that share their anchor are a run, numbered within the text."""
         kind, window, gram = self.kind, self.window, self.gram
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,21 +131,18 @@ class Parse:
                 texts = to_bytes(batch.column(2))
                 for lo, hi in chunks(texts):
                     owner, _, anchor, _ = windows(Words(texts[lo:hi]), window, gram)
-                    # windows in a row share their anchor
-                    new = np.ones(len(owner), dtype=bool)
-                    new[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
+                    new, number, _ = _runs(owner, anchor, hi - lo)
                     at = pa.array(owner[new] + lo)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(at), batch.column(1).take(at), _signed(anchor[new])],
-                        names=["doc_id", "t1", "anchor"],
-                    )
+                    columns = [batch.column(0).take(at), batch.column(1).take(at)]
+                    columns += [pa.array(number[new].astype(np.int32)), _signed(anchor[new])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "run", "anchor"])
 
         first = self.texts.where("doc_id = first").select("doc_id", "t1", "text")
-        return first.mapInArrow(run, f"doc_id {kind}, t1 long, anchor long")
+        return first.mapInArrow(run, f"doc_id {kind}, t1 long, run int, anchor long")
 
     def _windows(self, marked: DataFrame) -> DataFrame:
         """``doc_id, t1, pos, anchor, key``: the windows of the first documents
-        whose anchor is among their ``anchors`` in ``marked``."""
+        in the ``runs`` that ``marked`` lists."""
         kind, window, gram = self.kind, self.window, self.gram
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,11 +151,12 @@ class Parse:
                 listed = batch.column(3)
                 for lo, hi in chunks(texts):
                     owner, pos, anchor, key = windows(Words(texts[lo:hi]), window, gram)
+                    _, number, first = _runs(owner, anchor, hi - lo)
                     mine = listed.slice(lo, hi - lo)
-                    ids = mine.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                    texts_of = np.repeat(np.arange(hi - lo), np.diff(mine.offsets.to_numpy()))
-                    of = lambda a, o: a + o.astype(np.uint64) * _SPREAD
-                    kept = np.isin(of(anchor, owner), of(ids, texts_of))
+                    text = np.repeat(np.arange(hi - lo), np.diff(mine.offsets.to_numpy()))
+                    wanted = np.zeros(first[-1] + 1, dtype=bool)
+                    wanted[first[text] + mine.flatten().to_numpy(zero_copy_only=False)] = True
+                    kept = wanted[first[owner] + number]
                     at = pa.array(owner[kept] + lo)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -160,10 +170,32 @@ class Parse:
                     )
 
         first = self.texts.where("doc_id = first").select("doc_id", "t1", "text")
-        return first.join(marked, ["doc_id", "t1"]).select("doc_id", "t1", "text", "anchors").mapInArrow(
+        return first.join(marked, ["doc_id", "t1"]).select("doc_id", "t1", "text", "runs").mapInArrow(
             run, f"doc_id {kind}, t1 long, pos int, anchor long, key long"
         )
 
+    def _placed(self, found: DataFrame) -> DataFrame:
+        """The windows found with the first place of their key."""
+        place = F.struct(F.col("doc_id").alias("ref_id"), F.col("pos").alias("ref_pos"))
+        index = (
+            found.groupBy("anchor", "key")
+            .agg(F.min(place).alias("_place"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("_n"))
+            .where("_place.ref_id < _last")
+            .select("anchor", "key", "_place", "_n")
+        )
+        index = stage(index, "window_index")
+        hot_from = max(HOT_WINDOWS, (index.agg(F.sum("_n")).first()[0] or 0) // MAX_HOT)
+        hot = index.where(F.col("_n") >= hot_from).select("anchor", "key", F.lit(SALTS).alias("_salts"))
+        if not hot.limit(1).count():
+            return found.join(index.drop("_n"), ["anchor", "key"])
+        salts = F.when(F.col("_n") >= hot_from, F.lit(SALTS)).otherwise(F.lit(1))
+        dealt = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_n")
+        # at most MAX_HOT rows
+        salted = found.join(F.broadcast(hot), ["anchor", "key"], "left").withColumn(
+            "_salt", F.pmod(F.xxhash64("doc_id", "t1"), F.coalesce("_salts", F.lit(1))).cast("int")
+        )
+        return salted.join(dealt, ["anchor", "key", "_salt"])
+
     def _factors(self) -> DataFrame:
         """``doc_id, t1, factors`` (start, length, reference id and position)."""
         kind, window = self.kind, self.window
@@ -178,20 +210,13 @@ class Parse:
             self._anchors()
             .join(_small(shared, "shared_anchors", 16), "anchor")
             .groupBy("doc_id", "t1")
-            .agg(F.collect_set("anchor").alias("anchors"))
+            .agg(F.collect_set("run").alias("runs"))
         )
-        marks = stage(marks, "marked_anchors")
-        volume = marks.agg(F.sum(F.size("anchors") * 8 + 40)).first()[0] or 0
+        marks = stage(marks, "marked_runs")
+        volume = marks.agg(F.sum(F.size("runs") * 4 + 40)).first()[0] or 0
         found = self._windows(F.broadcast(marks) if volume <= BROADCAST_BYTES else marks)
-        place = F.struct(F.col("doc_id").alias("ref_id"), F.col("pos").alias("ref_pos"))
-        index = (
-            found.groupBy("anchor", "key")
-            .agg(F.min(place).alias("_place"), F.max("doc_id").alias("_last"))
-            .where("_place.ref_id < _last")
-            .select("anchor", "key", "_place")
-        )
         seeds = (
-            found.join(index, ["anchor", "key"])
+            self._placed(found)
             .where("_place.ref_id < doc_id")
             .groupBy("doc_id", "t1")
             # at most one seed per word of one text, however often it is repeated
@@ -235,13 +260,15 @@ class Parse:
         return stage(seeds.mapInArrow(run, schema), "factors")
 
     def _parsed(self) -> DataFrame:
-        """Every row with its own factors, or the mark of a copy."""
-        volume = self.factors.agg(F.sum(F.size("factors") * 32 + 40)).first()[0] or 0
-        factors = F.broadcast(self.factors) if volume <= BROADCAST_BYTES else self.factors
+        """Every row with the spans (start * 2**32 + length) of its own factors,
+        or the mark of a copy."""
+        spans = F.transform("factors", lambda f: F.shiftleft(f["start"], 32) + f["length"]).alias("spans")
+        own = self.factors.select(F.col("doc_id").alias("_own"), "t1", spans)
+        volume = own.agg(F.sum(F.size("spans") * 8 + 40)).first()[0] or 0
         copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy")
-        return self.texts.withColumn("_own", F.when(F.col("doc_id") == F.col("first"), F.col("doc_id"))).join(
-            factors.select(F.col("doc_id").alias("_own"), "t1", "factors"), ["_own", "t1"], "left"
-        ).select("doc_id", "text", copy, F.col("factors.start").alias("start"), F.col("factors.length").alias("length"))
+        rows = self.texts.withColumn("_own", F.when(F.col("doc_id") == F.col("first"), F.col("doc_id")))
+        own = F.broadcast(own) if volume <= BROADCAST_BYTES else own
+        return rows.join(own, ["_own", "t1"], "left").select("doc_id", "text", copy, "spans")
 
     def deduplicated(self) -> DataFrame:
         """``doc_id, n_words, n_removed, kept`` (the words left, joined by one
@@ -253,7 +280,7 @@ class Parse:
                 texts, copy = to_bytes(batch.column(1)), batch.column(2).to_pylist()
                 for lo, hi in chunks(texts):
                     removed, kept = [], []
-                    starts, lengths = (batch.column(i).slice(lo, hi - lo).to_pylist() for i in (3, 4))
+                    spans = batch.column(3).slice(lo, hi - lo).to_pylist()
                     counts = []
                     for i, text in enumerate(texts[lo:hi]):
                         words = text.split()
@@ -263,9 +290,10 @@ class Parse:
                             kept.append(b"")
                             continue
                         left, upto = [], 0
-                        for a, n in zip(starts[i] or (), lengths[i] or ()):
-                            left += words[upto:a]
-                            upto = max(upto, a + n)
+                        for span in spans[i] or ():
+                            start, length = divmod(span, 1 << 32)
+                            left += words[upto:start]
+                            upto = max(upto, start + length)
                         left += words[upto:]
                         removed.append(len(words) - len(left))
                         kept.append(b" ".join(left))

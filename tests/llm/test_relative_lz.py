@@ -75,7 +75,10 @@ def test_odd_rows(spark, make_docs, odd_rows):
     assert relative_lz.remove_repeats(make_docs([])).count() == 0
 
 
-def test_hot_copies_and_passage(spark, make_docs):
+@pytest.mark.parametrize("hot", [None, 100])
+def test_hot_copies_and_passage(spark, make_docs, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(relative_lz, "HOT_WINDOWS", hot)
     passage = " ".join(f"license{i % 7}of{i}" for i in range(60))
     rows = [(i, f"{passage} own{i} " + " ".join(f"d{i}x{j}" for j in range(30))) for i in range(300)]
     rows += [(1000 + i, "copied " + " ".join(f"c{j}" for j in range(40))) for i in range(300)]
