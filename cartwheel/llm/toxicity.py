@@ -1,8 +1,10 @@
 """Toxicity scores from a bidirectional gated recurrent network.
 
 The network (``gru``) scores windows of 32 words, 16 apart, over the whole
-text (words are runs of ASCII letters and digits and other characters); the document's score is a calibrated logistic of its highest window
-logit.  A text without words has one empty window.
+text (words are runs of ASCII letters and digits and other characters); the
+document's score is a calibrated logistic of its highest window logit and the
+logarithm of its number of windows: the highest of many clean windows is higher
+than that of few.  A text without words has one empty window.
 
 *Training.*  Labels come from labelled rows whose ``crc32(doc_id as text) mod
 5`` is not 0, at most ``POSITIVES`` toxic and ``NEGATIVES`` other ones, chosen
@@ -12,8 +14,11 @@ hash, as far as they fit: at most ``SAMPLE_BYTES``, half of it for either label
 if they do not all fit.  Words in at least
 ``MIN_WORD_DOCS`` and four-grams in at least ``MIN_GRAM_DOCS`` of these texts
 get an embedding.  The first passes take all windows of a toxic text as
-toxic; later passes only its highest windows (multiple-instance learning).
-One fifth of the sample is held back to calibrate.
+toxic; later passes only its highest window (multiple-instance learning).
+Clean texts are also joined, ``JOINED`` at a time in a random order, so that
+windows across texts and those of long texts are learned as clean.  One fifth
+of the sample is held back to calibrate, alone and joined (``JOIN_SIZES`` at a
+time), every second joined text around a toxic one.
 
 Defined cases: null text is empty; a null id is scored and not held out;
 labels that are null or without a document are ignored, of several labels of a
@@ -55,21 +60,25 @@ SAMPLE_BYTES = 64 << 20
 MIN_WORD_DOCS, MIN_GRAM_DOCS = 3, 4
 #: Training windows of one text in a pass, steps at least, windows in a step.
 DOC_WINDOWS, MIN_STEPS, BATCH, RATE, DECAY = 12, 500, 256, 0.01, 1e-4
+#: Clean texts joined into one for training, and for calibration.
+JOINED, JOIN_SIZES = 10, (4, 16, 64)
 
 
 class Model:
     """A trained network with its calibration (or a constant score)."""
 
-    def __init__(self, net: Net | None, slope: float = 1.0, shift: float = 0.0, constant: float = 0.0):
-        self.net, self.slope, self.shift, self.constant = net, slope, shift, constant
+    def __init__(self, net: Net | None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0), constant: float = 0.0):
+        self.net, self.weights, self.constant = net, weights, constant
 
-    def logits(self, texts: list[bytes]) -> np.ndarray:
-        return self.net.score(Words(texts, BREAKS))
+    def features(self, texts: list[bytes]) -> np.ndarray:
+        """Highest logit, logarithm of the number of windows, 1; by text."""
+        words = Words(texts, BREAKS)
+        return np.stack((self.net.score(words), np.log(windows(words.counts)[0]), np.ones(len(texts))), axis=1)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if self.net is None:
             return np.full(len(texts), self.constant)
-        return sigmoid(self.slope * self.logits(texts) + self.shift)
+        return sigmoid(self.features(texts) @ np.array(self.weights))
 
 
 class _Counts:
@@ -102,17 +111,42 @@ class _Counts:
         return values, np.sign(z) * np.maximum(np.abs(z) - 2, 0) / 2
 
 
-def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of labels on logits, slightly regularised."""
-    a, b = 1.0, 0.0
-    for _ in range(60):
-        q = sigmoid(a * x + b)
-        w = q * (1 - q) + 1e-6
-        g = np.array([(x * (y - q)).sum() - 0.1 * (a - 1), (y - q).sum() - 0.01 * b])
-        m = np.array([[(w * x * x).sum() + 0.1, (w * x).sum()], [(w * x).sum(), w.sum() + 0.01]])
-        step = np.clip(np.linalg.solve(m, g), -1, 1)
-        a, b = a + step[0], b + step[1]
-    return float(max(a, 0.05)), float(b)
+def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Logistic regression of labels on ``Model.features``, slightly
+    regularised; more windows never raise a score."""
+    prior, strength = np.array([1.0, 0.0, 0.0]), np.array([0.1, 0.1, 0.01])
+    free = np.ones(3, dtype=bool)
+    while True:
+        weights = np.where(free, prior, 0.0)
+        for _ in range(60):
+            q = sigmoid(x @ weights)
+            curve = x.T @ (x * (q * (1 - q) + 1e-6)[:, None]) + np.diag(strength)
+            step = np.zeros(3)
+            slope = x.T @ (y - q) - strength * (weights - prior)
+            step[free] = np.linalg.solve(curve[np.ix_(free, free)], slope[free])
+            weights = weights + np.clip(step, -1, 1)
+        if weights[1] <= 0:
+            return float(max(weights[0], 0.05)), float(weights[1]), float(weights[2])
+        free[1] = False
+
+
+def _joined(texts: list[bytes], size: int, rng: np.random.Generator) -> list[list[bytes]]:
+    """The texts in a random order, dealt out ``size`` at a time."""
+    order = rng.permutation(len(texts))
+    return [[texts[i] for i in order[a : a + size]] for a in range(0, len(order), size)]
+
+
+def _held_texts(texts: list[bytes], y: np.ndarray, rng: np.random.Generator) -> tuple[list[bytes], np.ndarray]:
+    """The texts to calibrate on with their labels: alone and joined."""
+    clean, toxic = ([t for t, v in zip(texts, y) if v == label] for label in (0, 1))
+    out, labels = list(texts), list(y)
+    for size in JOIN_SIZES:
+        for i, group in enumerate(_joined(clean, size, rng)):
+            if i % 2:
+                group.insert(int(rng.integers(len(group) + 1)), toxic[int(rng.integers(len(toxic)))])
+            out.append(b" ".join(group))
+            labels.append(float(i % 2))
+    return out, np.array(labels)
 
 
 def _gram_rows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,19 +156,20 @@ def _gram_rows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Sample:
-    """Training texts: word and gram rows, windows and their owners."""
+    """Training texts: word and gram rows, windows and their owners.  The
+    vocabulary is that of the first ``own`` texts; the others are joined."""
 
-    def __init__(self, texts: list[bytes], y: np.ndarray):
+    def __init__(self, texts: list[bytes], y: np.ndarray, own: int):
         self.texts, self.y = texts, y
         words, found = _Counts(), _Counts()
-        for lo, hi in chunks(texts):
+        for lo, hi in chunks(texts[:own]):
             w = Words(texts[lo:hi], BREAKS)
             packed, bounds = grams(w)
             at, n = _gram_rows(bounds)
             words.add(w.hashes(), w.owners(), y[lo:hi])
             found.add(packed[at], np.repeat(w.owners(), n), y[lo:hi])
-        word, word_weight = words.evidence(MIN_WORD_DOCS, y)
-        gram, gram_weight = found.evidence(MIN_GRAM_DOCS, y)
+        word, word_weight = words.evidence(MIN_WORD_DOCS, y[:own])
+        gram, gram_weight = found.evidence(MIN_GRAM_DOCS, y[:own])
         known, known_grams = Vocabulary(word), Vocabulary(gram)
         lookup = lambda v, keys, values: np.concatenate(
             ([0], values[np.searchsorted(keys, v.hashes[1:])])
@@ -203,7 +238,9 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Model:
     if (labels[held] == 1).sum() < 20 or (labels[held] == 0).sum() < 20:
         held[:] = False  # too few to set aside
     fitted = np.flatnonzero(~held)
-    sample = _Sample([texts[i] for i in fitted], labels[fitted])
+    own = [texts[i] for i in fitted]
+    joined = [b" ".join(g) for g in _joined([texts[i] for i in fitted if not labels[i]], JOINED, rng)]
+    sample = _Sample([*own, *joined], np.concatenate((labels[fitted], np.zeros(len(joined), dtype=np.float32))), len(own))
     if not len(sample.live):
         return Model(None, constant=float(labels.mean()))
     net = sample.net
@@ -212,12 +249,14 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Model:
     steps, late = 0, False
     while steps < 2 * MIN_STEPS:
         order = rng.permutation(sample.live)
-        if late:  # a toxic text's highest windows, the other texts' too
+        if late:  # a toxic text's highest window, the other texts' highest ones
             logit = sample.logits(net)
             order = sample.live[np.argsort(-logit[sample.live], kind="stable")]
         by_text = order[np.argsort(sample.owner[order], kind="stable")]
         rank = np.arange(len(by_text)) - np.searchsorted(sample.owner[by_text], sample.owner[by_text])
-        most = np.where(y[by_text] == 1, 3, DOC_WINDOWS) if late else DOC_WINDOWS
+        most = np.where(sample.owner[by_text] < len(own), DOC_WINDOWS, DOC_WINDOWS * JOINED // 2)
+        if late:
+            most[y[by_text] == 1] = 1
         chosen = rng.permutation(by_text[rank < most])
         balance = min(10.0, (1 - y[chosen]).sum() / max(y[chosen].sum(), 1))
         for i in range(0, len(chosen), BATCH):
@@ -228,9 +267,8 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Model:
             adam.rate *= 0.8
     model = Model(net)
     kept = np.flatnonzero(held) if held.any() else fitted
-    own = [texts[i] for i in kept]
-    logits = np.concatenate([model.logits(own[lo:hi]) for lo, hi in chunks(own)])
-    model.slope, model.shift = _calibrate(logits, labels[kept])
+    own, y = _held_texts([texts[i] for i in kept], labels[kept], rng)
+    model.weights = _calibrate(np.concatenate([model.features(own[lo:hi]) for lo, hi in chunks(own)]), y)
     return model
 
 
