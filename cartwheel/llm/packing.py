@@ -7,9 +7,11 @@ where lengths are placed longest first, each into the packs with the most room
 left ("shortest-pack-first histogram packing", Krell et al.): the plan is a
 list of packing patterns with counts, never of pieces.  Back on the cluster
 every piece gets its rank among those of its length; the plan turns the rank
-into a sequence and an offset.  A length shared by very many pieces is ranked
-in salted groups whose counts are added up.  The ids go with their piece all
-the way; ``sequences`` puts the pieces of each sequence together.
+into a sequence and an offset.  Ranks need no sort: each tokenising task
+numbers its pieces of a length as it writes them, and the counts of the tasks
+before it are added.  The ids go with their piece all the way, as one binary
+value of little-endian 32-bit numbers; ``sequences`` puts the pieces of each
+sequence together.
 
 Defined cases: repeated rows and null ids are documents of their own; an empty
 table gives an empty result; other columns are ignored.
@@ -21,13 +23,15 @@ import heapq
 import os
 import re
 import sys
-import zlib
+import unicodedata
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,16 +39,27 @@ from cartwheel.llm.scratch import stage
 from cartwheel.llm.words import chunks, to_bytes
 
 LENGTH, END_ID = 2048, 1
-#: Words whose ids a worker keeps; beyond, it starts anew.
-KNOWN_WORDS = 800_000
-#: Groups that pieces of one length are ranked in.
-MIN_SALTS, MAX_SALTS, SALT_ROWS = 64, 512, 1_000_000
-
-
-#: How the given tokenizer cuts a lower-case ASCII word (its own pattern, for
-#: ASCII); words of these are held against the tokenizer before it is used.
-_CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
-_PROBES = "don't 'tis it's x'' ''s we'll i'd they've 3d a1b22c #a_b-c *** (x), e.g.: a/b $9.50 ~'~ ``re' !\"%&<=>?@[]^{|}\\ +;"
+#: Words, and parts of words, whose ids a worker keeps (about 150 bytes each);
+#: beyond, it starts anew.
+KNOWN_WORDS, KNOWN_PARTS = 500_000, 300_000
+#: Rows of the table of counts (one per task and length) that are broadcast.
+BROADCAST_COUNTS = 2_000_000
+
+
+#: Printable ASCII and the Latin letters up to U+017F, but for the dotted
+#: capital I (whose lower case is two characters): words of these are in normal
+#: form, their lower case is that of each character.
+_PLAIN = re.compile("[!-~\xa1-\u012f\u0131-\u017f]+")
+_LETTERS, _DIGITS = (
+    "".join(chr(c) for c in range(0x21, 0x180) if unicodedata.category(chr(c))[0] == kind) for kind in "LN"
+)
+#: How the given tokenizer cuts a lower-case word of these (its own pattern);
+#: the pattern is held against the tokenizer before it is used.
+_CUT = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
+_PROBES = (
+    "don't 'tis it's x'' ''s we'll i'd they've 3d a1b22c #a_b-c *** (x), e.g.: a/b $9.50 ~'~ ``re' !\"%&<=>?@[]^{|}\\ +; "
+    "éa Él'été ÀB.c «ŵé» ñ1½x ²ª× ßß'll Œuvre,&&& ÿŸ ſt µm£5 ¿qué? naïve's Þór·ĳ"
+)
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -55,52 +70,56 @@ def _bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-class WordIds:
+class WordIds(dict):
     """Ids (as bytes) of the words of a tokenizer that never joins across
     white space: a text's ids are those of its words, one after the other.
 
     A word that is not known yet goes through the tokenizer's own steps:
-    normalizer, pre-tokenizer, model.  For ASCII words the first two are a
-    pattern, if the tokenizer agrees with it on the probes; words with a
-    special token's first characters are encoded as a whole."""
+    normalizer, pre-tokenizer, model.  For plain words the first two are a
+    pattern, if the tokenizer agrees with it on the probes, and the ids of
+    their parts are kept too; words with a special token's first characters are
+    encoded as a whole."""
 
     def __init__(self, tokenizer):
+        super().__init__()
         self.tokenizer = tokenizer
-        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.cut = True
-        whole = lambda w: tokenizer.encode(w, add_special_tokens=False).ids
-        self.cut = all(self._ids(w) == whole(w) for w in _PROBES.split())
-
-    def _ids(self, word: str) -> list[int]:
+        self.cut = all(self._ids(w) == _bytes(self._whole(w)) for w in _PROBES.split())
+
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            t = self.tokenizer
+            if len(self.parts) >= KNOWN_PARTS:
+                self.parts.clear()
+            mapped = part if part.isascii() else "".join(p for p, _ in t.pre_tokenizer.pre_tokenize_str(part))
+            found = self.parts[part] = _bytes([x.id for x in t.model.tokenize(mapped)])
+        return found
+
+    def _ids(self, word: str) -> bytes:
         t = self.tokenizer
-        if self.cut and word.isascii() and word.isprintable():
-            parts = _CUT.findall(word.lower())
-        elif t.normalizer and t.pre_tokenizer:
+        if self.cut and _PLAIN.fullmatch(word):
+            return b"".join(map(self._part, _CUT.findall(word.lower())))
+        if t.normalizer and t.pre_tokenizer:
             parts = [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word))]
-        else:
-            return t.encode(word, add_special_tokens=False).ids
-        tokenize = t.model.tokenize
-        return [x.id for p in parts for x in tokenize(p)]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known.clear()
-        for w in words:
-            special = b"<|" in w
-            ids = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids if special else self._ids(w.decode())
-            self.known[w] = _bytes(ids)
+            return _bytes([x.id for p in parts for x in t.model.tokenize(p)])
+        return _bytes(self._whole(word))
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        ids = _bytes(self._whole(word.decode())) if b"<|" in word else self._ids(word.decode())
+        self[word] = ids
+        return ids
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         # ASCII letters lose their case anyhow, but not in special tokens
-        words = [t.split() if b"<|" in t else t.lower().split() for t in texts]
-        new = set().union(*words) - self.known.keys()
-        if new:
-            held = len(self.known)
-            self._learn(new)
-            if len(self.known) < held:  # began anew
-                self._learn(set().union(*words) - self.known.keys())
-        known = self.known.__getitem__
-        return [b"".join(map(known, w)) for w in words]
+        known = self.__getitem__
+        return [b"".join(map(known, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -116,39 +135,51 @@ def _word_ids(source: str) -> WordIds:
     return _LOADED[source]
 
 
+class _Numbers:
+    """Numbers the pieces of each length in the order they come."""
+
+    def __init__(self, length: int):
+        self.given = np.zeros(length + 1, dtype=np.int64)
+
+    def next(self, size: np.ndarray) -> np.ndarray:
+        order = np.argsort(size, kind="stable")
+        same = size[order]
+        nth = np.empty(len(size), dtype=np.int64)
+        nth[order] = self.given[same] + np.arange(len(size)) - np.searchsorted(same, same)
+        self.given += np.bincount(size, minlength=len(self.given))
+        return nth
+
+
 def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, doc_tokens, ids``."""
+    """One row per piece: ``doc_id, start, length, doc_tokens, ids, task, nth``
+    (the task that writes it, and its number among that task's pieces of the
+    length).  The last two hold once the rows are written."""
     with open(tokenizer_file, encoding="utf-8") as f:
         source = docs.sparkSession.sparkContext.broadcast(f.read())
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _word_ids(source.value)
+        known, numbers, task = _word_ids(source.value), _Numbers(length), TaskContext.get().partitionId()
         for batch in batches:
             texts = to_bytes(batch.column(1))
             for lo, hi in chunks(texts):
-                owner, rows, kept = [], [], []
+                owner, rows, pieces = [], [], []
                 for i, ids in enumerate(known.ids(texts[lo:hi]), start=lo):
                     n = len(ids) // 4 + 1
-                    kept += (ids, end)
+                    ids += end
                     for a in range(0, n, length):
                         owner.append(i)
                         rows.append((a, min(length, n - a), n))
+                        pieces.append(ids[4 * a : 4 * (a + length)])
                 start, size, total = np.array(rows, dtype=np.int64).reshape(-1, 3).T
-                # pieces follow one another, so their ids are one buffer
-                bounds = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-                flat = np.frombuffer(b"".join(kept), dtype="<u4").astype(np.int32)
+                columns = [start, size, total, pieces, np.full(len(size), task, dtype=np.int32), numbers.next(size)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(owner, pa.int64())),
-                        *[pa.array(c) for c in (start, size, total)],
-                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
-                    ],
-                    names=["doc_id", "start", "length", "doc_tokens", "ids"],
+                    [batch.column(0).take(pa.array(owner, pa.int64())), *[pa.array(c) for c in columns]],
+                    names=["doc_id", "start", "length", "doc_tokens", "ids", "task", "nth"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, start long, length long, doc_tokens long, ids array<int>"
+    schema = f"doc_id {kind}, start long, length long, doc_tokens long, ids binary, task int, nth long"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -227,63 +258,35 @@ def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: b
     ``ids_crc32`` is taken of the ids as placed.  Without ``with_ids`` the ids
     are left out of the result, not out of the work."""
     pieces = stage(tokenize(docs, tokenizer_file, length), "pieces")
-    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    spark = docs.sparkSession
-    plan = spark.sparkContext.broadcast(Plan(patterns(histogram, length)))
-    salts = min(MAX_SALTS, max(MIN_SALTS, sum(histogram.values()) // SALT_ROWS))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start", "ids"), F.lit(salts)))
-    # at most length * salts rows
-    ahead = (
-        salted.groupBy("length", "_salt")
-        .count()
-        .select(
-            "length",
-            "_salt",
-            (
-                F.sum("count").over(Window.partitionBy("length").orderBy("_salt")) - F.col("count")
-            ).alias("_ahead"),
-        )
-    )
-    mine = Window.partitionBy("length", "_salt").orderBy("doc_id", "start", "ids")
-    ranked = (
-        salted.withColumn("_nth", F.row_number().over(mine).cast("long") - 1)
-        .join(F.broadcast(ahead), ["length", "_salt"])
-        .select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("_ahead") + F.col("_nth")).alias("_rank"))
-    )
+    counts = stage(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "piece_counts")
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    plan = docs.sparkSession.sparkContext.broadcast(Plan(patterns(histogram, length)))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_ahead"))
+    ranked = pieces.join(F.broadcast(ahead) if counts.count() <= BROADCAST_COUNTS else ahead, ["task", "length"])
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, start, size, total, ids, rank = batch.columns
-            sequence, offset = plan.value.place(
-                size.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
-            )
-            flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
-            at = ids.offsets.to_pylist()
-            crc = [zlib.crc32(flat[a:b]) for a, b in zip(at, at[1:])]
-            columns = [doc, start, size, pa.array(crc, pa.int64()), total, *([ids] if with_ids else [])]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"]
-            )
+    # only numbers go to Python here, the ids stay where they are
+    @F.pandas_udf("sequence_id long, `offset` long")
+    def place(size: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        sequence, offset = plan.value.place(size.to_numpy(), rank.to_numpy())
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    kept = "ids array<int>, " if with_ids else ""
-    return ranked.mapInArrow(
-        place,
-        f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, {kept}sequence_id long, `offset` long",
-    )
+    at = place.asNondeterministic()(F.col("length"), F.col("_ahead") + F.col("nth")).alias("_at")  # once a row
+    placed = ranked.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "ids", at)
+    kept = ["ids"] if with_ids else []
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", *kept, "_at.sequence_id", "_at.offset")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
-    """One row per sequence of ``pack``'s pieces: ``sequence_id, ids`` (at most
-    the sequence length) and ``pieces``, the bounds of each document in it
+    """One row per sequence of ``pack``'s pieces: ``sequence_id, ids`` (binary,
+    at most the sequence length) and ``pieces``, the bounds of each document in it
     (``offset, length, doc_id, start``), by offset."""
     # a sequence has at most ``length`` pieces, however large the table
     part = F.struct("offset", "length", "doc_id", "start", "ids")
     whole = pieces.groupBy("sequence_id").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
     return whole.select(
         "sequence_id",
-        F.expr("flatten(transform(_parts, p -> p.ids))").alias("ids"),
+        F.expr("aggregate(_parts, X'', (a, p) -> concat(a, p.ids))").alias("ids"),
         F.expr(
             "transform(_parts, p -> named_struct('offset', p.`offset`, 'length', p.length, 'doc_id', p.doc_id, "
             "'start', p.start))"

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 from cartwheel.llm import packing
 from cartwheel.llm.scratch import tokenizer_path
@@ -90,6 +91,31 @@ def test_long_before_short_and_emptiest_pack_first():
     assert sorted(p for _, p in packs) == [[(1400, 1), (500, 1)], [(1500, 1)]]
 
 
+def numbers(ids):
+    return np.frombuffer(ids, dtype="<u4").tolist()
+
+
+def test_tasks_number_their_pieces():
+    given = packing._Numbers(9)
+    r = random.Random(4)
+    seen = {}
+    for n in (0, 1, 50, 200):
+        sizes = [r.choice([1, 2, 9]) for _ in range(n)]
+        for s, nth in zip(sizes, given.next(np.array(sizes, dtype=np.int64))):
+            assert nth == seen.get(s, 0)
+            seen[s] = nth + 1
+
+
+def test_shuffled_counts_give_whole_sequences(make_docs, monkeypatch):
+    monkeypatch.setattr(packing, "BROADCAST_COUNTS", 0)
+    docs = make_docs([(i, "a few words of text " * (i % 40)) for i in range(400)]).repartition(7)
+    got = packing.pack(docs, tokenizer_path(FILE), with_ids=False).toPandas()
+    assert "ids" not in got.columns and got.doc_id.nunique() == 400
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert s["offset"].tolist() == [0, *(s["offset"] + s["length"]).tolist()[:-1]]
+        assert (s["offset"] + s["length"]).max() <= 2048
+
+
 def test_pack_table(make_docs, odd_rows, tokenizer):
     rows = odd_rows + [(100 + i, "same words here") for i in range(300)]
     docs = make_docs(rows)
@@ -100,10 +126,10 @@ def test_pack_table(make_docs, odd_rows, tokenizer):
         assert (s["offset"] + s["length"]).max() <= 2048
     want = tokenizer.encode(dict(odd_rows)[7], add_special_tokens=False).ids + [1]
     parts = got[got.doc_id == 7].sort_values("start")
-    assert np.concatenate(parts["ids"].tolist()).tolist() == want
+    assert [x for ids in parts["ids"] for x in numbers(ids)] == want
     assert set(parts["doc_tokens"]) == {len(want)}
     for _, p in parts.iterrows():
-        assert p.ids_crc32 == zlib.crc32(np.array(p["ids"], dtype="<u4").tobytes())
+        assert p.ids_crc32 == zlib.crc32(p["ids"]) and len(p["ids"]) == 4 * p["length"]
     for empty in (1, 2, 3):
         e = got[got.doc_id == empty]
         assert e[["start", "length", "doc_tokens"]].values.tolist() == [[0, 1, 1]]
@@ -120,6 +146,7 @@ def test_sequences_hold_the_token_ids(make_docs, odd_rows, tokenizer):
     whole = packing.sequences(packed).collect()
     assert len({s.sequence_id for s in whole}) == len(whole) == packed.select("sequence_id").distinct().count()
     for s in whole:
+        s = Row(**{**s.asDict(), "ids": numbers(s.ids)})
         assert len(s.ids) <= 2048 and [p.offset for p in s.pieces] == [0, *np.cumsum([p.length for p in s.pieces])[:-1]]
         assert len(s.ids) == sum(p.length for p in s.pieces)
         for p in s.pieces:

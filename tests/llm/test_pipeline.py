@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -70,5 +71,5 @@ def test_last_stage_holds_the_token_ids(spark):
     want = {r.doc_id: tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1] for r in docs.collect()}
     got = {}
     for r in corpus_pipeline.pack_sequences(spark, docs, SF).orderBy("start").collect():
-        got.setdefault(r.doc_id, []).extend(r.ids)
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, dtype="<u4").tolist())
     assert got == want
