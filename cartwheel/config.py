@@ -129,6 +129,12 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder made by ``shared_dir`` once nothing reads it."""
     if not path.startswith(shared_dir(spark) + "/"):
         raise ValueError(f"not a scratch folder of this library: {path}")
+    delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it is; a missing one is
+    no error."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

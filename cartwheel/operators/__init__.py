@@ -12,9 +12,15 @@ from cartwheel.operators.dedup import (  # noqa: F401
     dedup_events,
     dedup_events_counted,
     dedup_stats,
+    drop_marked,
+    mark_repeats,
+    repeated_hashes,
+    with_places,
 )
+from cartwheel.operators.digest import id_differences, reconcile_by_digest  # noqa: F401
 from cartwheel.operators.insights import (  # noqa: F401
     abandonment,
+    abandonment_by_join,
     delivery_status_counts,
     revenue_by_category,
     revenue_by_city,

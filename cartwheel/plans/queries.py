@@ -32,6 +32,7 @@ from cartwheel.schema import (
 )
 from cartwheel.sinks.files import write_csv_single, write_parquet_single
 from cartwheel.sinks.kvstore import KeyValueStore
+from cartwheel.sinks.publish import publish
 from cartwheel.sinks.tables import (
     create_database,
     create_external_table,
@@ -41,7 +42,9 @@ from cartwheel.sinks.tables import (
 from cartwheel.sources.events import read_events
 from cartwheel.sources.lines import count_lines, files_by_name, read_lines
 from cartwheel.sources.tables import read_table
+from cartwheel.streaming.cart import current_carts, start_cart
 from cartwheel.streaming.landing import start_landing
+from cartwheel.streaming.restart import run_with_restarts
 from cartwheel.streaming.trending import alert_cells as trending_alert_cells
 from cartwheel.streaming.trending import start_trending, stream_settings
 
@@ -366,6 +369,44 @@ def reconcile_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.reconcile_ids(_source_ids(spark, sf_dir), _sink_ids(spark, sf_dir))
 
 
+register("reconcile_digest", ORACLE_SQL["reconcile_ids"])(
+    lambda spark, sf_dir: op.reconcile_by_digest(_source_ids(spark, sf_dir), _sink_ids(spark, sf_dir))
+)
+
+
+@register("id_differences", f"SELECT * FROM ({ORACLE_SQL['id_multiplicity']}) WHERE source_n <> sink_n")
+def id_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # AG11 cut to the ids that differ, found by the digest tree
+    return op.id_differences(_source_ids(spark, sf_dir), _sink_ids(spark, sf_dir))
+
+
+# A sink that is all but whole: few events are lost, few come twice, few are foreign.
+_FEW = (
+    "(SELECT event_id FROM events WHERE event_id % 997 <> 0 UNION ALL "
+    "SELECT event_id FROM events WHERE event_id % 1499 = 1 UNION ALL "
+    "SELECT -event_id - 1 AS event_id FROM events WHERE event_id % 2003 = 2)"
+)
+
+
+def _nearly_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = standin.table(spark, sf_dir, "events").select("event_id")
+    twice, foreign = e.where("event_id % 1499 = 1"), e.where("event_id % 2003 = 2").selectExpr("-event_id - 1 AS event_id")
+    return e.where("event_id % 997 <> 0").unionByName(twice).unionByName(foreign)
+
+
+@register(
+    "id_differences_few",
+    f"""
+    SELECT coalesce(s.event_id, k.event_id) AS event_id, coalesce(s.n, 0) AS source_n, coalesce(k.n, 0) AS sink_n
+    FROM (SELECT event_id, count(*) AS n FROM events GROUP BY 1) s
+    FULL OUTER JOIN (SELECT event_id, count(*) AS n FROM {_FEW} GROUP BY 1) k ON s.event_id = k.event_id
+    WHERE coalesce(s.n, 0) <> coalesce(k.n, 0)
+    """,
+)
+def id_differences_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.id_differences(standin.table(spark, sf_dir, "events").select("event_id"), _nearly_all(spark, sf_dir))
+
+
 @register(
     "missing_rows_except_all",
     f"""
@@ -750,6 +791,36 @@ def stream_lines_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{out}/lines").select("value")
 
 
+class _FirstPutFails(KeyValueStore):
+    failed = False
+
+    def put(self, cells: DataFrame, table: str, name: str | None = None) -> None:
+        if not self.failed:
+            self.failed = True
+            raise OSError("key-value store not reachable")
+        super().put(cells, table, name)
+
+
+@register("stream_lines_restarted", f"{_LINE_SQL} FROM ({_CLOSED_SQL})")
+def stream_lines_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # ST8 + ST10: the first run fails (its output folder is on no known file
+    # system) and is restarted from its checkpoint; there the alert put fails
+    # once, which costs no line
+    out = shared_dir(spark, "trending_restarted", unique=True)
+    src = _event_lines(spark, sf_dir)
+    kv = _FirstPutFails(spark, f"{out}/kv")
+    folders = iter(["nowhere://lines"])
+
+    def start():
+        lines = next(folders, f"{out}/lines")
+        sizes = {"size": STANDIN_SIZE, "slide": STANDIN_SLIDE, "delay": "40 seconds"}
+        return start_trending(spark, src, lines, f"{out}/checkpoint", kv=kv, available_now=True, **sizes)
+
+    if run_with_restarts(start, delay_seconds=0, max_attempts=2) != 1 or not kv.failed:
+        raise RuntimeError("the stream was to fail once, and so was its alert put")
+    return spark.read.text(f"{out}/lines").select("value")
+
+
 # Three landing files, one per micro-batch: the first half of the days, the
 # second half, and every seventh event of all days (most of it late).  Signup
 # and error events become lines that must be dropped: blank, malformed, and
@@ -942,17 +1013,7 @@ def kv_city_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("abandonment_join", ORACLE_SQL["abandonment"])
 def abandonment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     # JN2: the cart sessions that bought, found by a semi join
-    e = standin.events(spark, sf_dir)
-    carts = e.where(F.col("event_type") == "click").select("session_id").distinct()
-    buyers = e.where(F.col("event_type") == "purchase").select("session_id")
-    both = carts.agg(F.count(F.lit(1)).alias("carts"), F.lit(0).cast("bigint").alias("bought")).unionByName(
-        carts.join(buyers, "session_id", "left_semi").agg(
-            F.lit(0).cast("bigint").alias("carts"), F.count(F.lit(1)).alias("bought")
-        )
-    )
-    return both.agg(F.sum("carts").alias("sessions_with_cart"), F.sum("bought").alias("sessions_bought")).withColumn(
-        "abandonment_pct", F.round(100 - 100 * F.col("sessions_bought") / F.col("sessions_with_cart"), 2)
-    )
+    return op.abandonment_by_join(standin.events(spark, sf_dir), cart_type="click", purchase_type="purchase")
 
 
 @register("dedup_stats_one_pass", ORACLE_SQL["dedup_stats"])
@@ -961,6 +1022,16 @@ def dedup_stats_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.counted_stats(op.dedup_events_counted(_raw_events(spark, sf_dir)))
 
 
+@register("dedup_events_by_place", ORACLE_SQL["dedup_events"])
+def dedup_events_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # AG1 over written rows: repeats found by id and place, whole rows stay
+    # where they are
+    path = shared_dir(spark, "dedup", "placed", unique=True)
+    op.with_places(_raw_events(spark, sf_dir)).withColumn("_corrupt", F.lit(0).cast("bigint")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    return op.drop_marked(rows, op.mark_repeats(rows, op.repeated_hashes(rows))).drop("_copies", "_corrupt")
+
+
 # --- the batch job over a JSON landing folder derived from the tables ------
 
 
@@ -1115,6 +1186,24 @@ def serving_view_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, "faturamento_cidade", db)
 
 
+@register("published_revenue_by_city", ORACLE_SQL["revenue_by_city"])
+def published_revenue_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # SNK1 + SNK11 without a gap: a first result (one state only), one whose
+    # write fails, and the whole one, each published under one table name
+    root = shared_dir(spark, "published", unique=True)
+    db = "cartwheel_published_" + root.rsplit("/", 1)[-1]
+    create_database(spark, db, f"{root}/{db}.db")
+    city = revenue_by_city(spark, sf_dir)
+    publish(city.where("state = 'ASIA'"), db, "revenue_by_city", root, CITY_OUT)
+    try:
+        publish(city.withColumn("orders", F.raise_error(F.lit("no result")).cast("bigint")), db, "revenue_by_city", root)
+    except Exception as err:  # noqa: BLE001 - the table keeps the first result
+        if "no result" not in str(err):
+            raise
+    publish(city, db, "revenue_by_city", root, CITY_OUT)
+    return read_table(spark, "revenue_by_city", db)
+
+
 @register(
     "etl_order_totals",
     f"""
@@ -1142,7 +1231,27 @@ def etl_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def etl_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     # RA2: the last add_to_cart per (session, product) by ingest time
-    return op.cart_state(_etl_staged(spark, sf_dir).drop("_copies", "_corrupt", "_fraction", "kind"))
+    return op.cart_state(_etl_staged(spark, sf_dir).drop("_copies", "_corrupt", "kind"))
+
+
+@register("cart_stream", ORACLE_SQL["etl_cart_state"].replace("CAST(1 AS BIGINT)", "CAST(1 AS DOUBLE)"))
+def cart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # RA2 as a continuous state over three landing files that overlap in time
+    # (every file holds a third of all days' events, so most rows come out of
+    # order); the stream ends after the second and is started again
+    out = shared_dir(spark, "cart_stream", unique=True)
+    lines = standin.landing_events(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
+    staged = f"{out}/lines"
+    lines.write.partitionBy("part").text(staged)
+    for parts in ((0, 1), (2,)):
+        for part in parts:
+            # one file landing after the other
+            spark.read.text(f"{staged}/part={part}").repartition(4).write.mode("append").text(f"{out}/landing")
+        start_cart(
+            spark, f"{out}/landing", f"{out}/carts", f"{out}/checkpoint", delay="400 days", idle="800 days",
+            available_now=True, max_files_per_trigger=4,
+        ).awaitTermination()
+    return current_carts(spark, f"{out}/carts")
 
 
 # --- the four serving queries, as written against the original table names --

@@ -25,6 +25,12 @@ def read_events(spark: SparkSession, path: str, keep_corrupt: bool = True) -> Da
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .json(path)
     )
+    return typed_events(raw, keep_corrupt)
+
+
+def typed_events(raw: DataFrame, keep_corrupt: bool = False) -> DataFrame:
+    """Events as parsed with ``EVENT_TEXT_SCHEMA`` (a batch or a stream) ->
+    events with numbers."""
 
     def number(c):
         return c.try_cast("double")
