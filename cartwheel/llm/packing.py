@@ -29,19 +29,20 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.scratch import stage
+from cartwheel.llm.scratch import arrow_rows, stage
 from cartwheel.llm.words import chunks, to_bytes
 
 LENGTH, END_ID = 2048, 1
-#: Words, and parts of words, whose ids a worker keeps (about 150 bytes each);
-#: beyond, it starts anew.
-KNOWN_WORDS, KNOWN_PARTS = 500_000, 300_000
+#: Words whose ids a worker keeps (those met lately and as many met before
+#: them), and parts of words; about 200 bytes each.
+KNOWN_WORDS, KNOWN_PARTS = 120_000, 150_000
+#: Texts that are sent to a worker, and turned into bytes there, at once.
+BATCH_ROWS = 1000
 #: Rows of the table of counts (one per task and length) that are broadcast.
 BROADCAST_COUNTS = 2_000_000
 
@@ -78,11 +79,13 @@ class WordIds(dict):
     normalizer, pre-tokenizer, model.  For plain words the first two are a
     pattern, if the tokenizer agrees with it on the probes, and the ids of
     their parts are kept too; words with a special token's first characters are
-    encoded as a whole."""
+    encoded as a whole.  When it is full, the words become the older ones and
+    those older before are forgotten, so frequent words stay."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.cut = True
         self.cut = all(self._ids(w) == _bytes(self._whole(w)) for w in _PROBES.split())
@@ -111,8 +114,11 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= KNOWN_WORDS:
+            self.older = dict(self)
             self.clear()
-        ids = _bytes(self._whole(word.decode())) if b"<|" in word else self._ids(word.decode())
+        ids = self.older.get(word)
+        if ids is None:
+            ids = _bytes(self._whole(word.decode())) if b"<|" in word else self._ids(word.decode())
         self[word] = ids
         return ids
 
@@ -257,7 +263,8 @@ def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: b
     """The pieces of ``tokenize`` with ``sequence_id`` and ``offset``;
     ``ids_crc32`` is taken of the ids as placed.  Without ``with_ids`` the ids
     are left out of the result, not out of the work."""
-    pieces = stage(tokenize(docs, tokenizer_file, length), "pieces")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        pieces = stage(tokenize(docs, tokenizer_file, length), "pieces")
     counts = stage(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "piece_counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = docs.sparkSession.sparkContext.broadcast(Plan(patterns(histogram, length)))
@@ -266,10 +273,10 @@ def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: b
     ranked = pieces.join(F.broadcast(ahead) if counts.count() <= BROADCAST_COUNTS else ahead, ["task", "length"])
 
     # only numbers go to Python here, the ids stay where they are
-    @F.pandas_udf("sequence_id long, `offset` long")
-    def place(size: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        sequence, offset = plan.value.place(size.to_numpy(), rank.to_numpy())
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+    @F.arrow_udf("sequence_id long, `offset` long")
+    def place(size: pa.Array, rank: pa.Array) -> pa.Array:
+        found = plan.value.place(size.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays([pa.array(x) for x in found], names=["sequence_id", "offset"])
 
     at = place.asNondeterministic()(F.col("length"), F.col("_ahead") + F.col("nth")).alias("_at")  # once a row
     placed = ranked.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "ids", at)

@@ -7,6 +7,9 @@ costs a re-read and never a recomputation of the steps before it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.config import shared_dir
@@ -26,6 +29,20 @@ def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most ``rows`` rows in an Arrow batch of the jobs run inside (long
+    texts in batches of the usual 10,000 rows cost each task a multiple of
+    their size, on both sides)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a given table."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
