@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -90,6 +91,71 @@ def test_every_window_counts(model):
         assert model.score([text.encode()])[0] >= 0.5 > model.score([filler.encode()])[0]
 
 
+def test_length_does_not_make_a_text_toxic(model):
+    clean = [t for t, y in sample(1200, 9) if not y and t]
+    scores = model.score([t.encode() for t in clean])
+    clean = [t for t, s in zip(clean, scores) if s < 0.1]
+    r = random.Random(1)
+    for words in (1000, 5000, 20_000):
+        for _ in range(3):
+            parts = []
+            while sum(len(p.split()) for p in parts) < words:
+                parts.append(r.choice(clean))
+            at = r.randrange(len(parts))
+            hidden = " ".join([*parts[:at], "dolthead you vilescum grubworm", *parts[at:]])
+            low, high = model.score([" ".join(parts).encode(), hidden.encode()])
+            assert low < 0.5 <= high
+
+
+def plain_score(net, text):
+    """The highest window logit, word by word and step by step."""
+    folded = bytes(32 if gru.BREAKS[b] else b + 32 if 65 <= b <= 90 else b for b in text)
+    padded = b" " + folded + b"    "
+    xs = []
+    for m in re.finditer(rb"[^ ]+", folded):
+        a, e = m.span()
+        word = net.words.find(Words([text[a:e]], gru.BREAKS).hashes())[0]
+        codes = [int.from_bytes(padded[i : i + 4], "little") for i in range(a, max(e - 1, a + 1))]
+        at = net.grams.find(np.array(codes, dtype=np.uint64))
+        xs.append(np.concatenate((net.p["ew"][word], net.p["ec"][at].mean(axis=0), [net.evidence[at].max()])))
+    h, best = gru.HIDDEN, -np.inf
+    for start in range(0, max(len(xs), 1), gru.STRIDE):
+        window = xs[start : start + gru.WINDOW]
+        states = np.zeros((len(window), 2 * h))
+        for i, s in enumerate("fb"):
+            now = np.zeros(h)
+            for t in range(len(window)) if s == "f" else range(len(window) - 1, -1, -1):
+                a, u = net.p["wx" + s] @ window[t] + net.p["b" + s][:, 0], net.p["wh" + s] @ now
+                z, r = 1 / (1 + np.exp(-a[:h] - u[:h])), 1 / (1 + np.exp(-a[h : 2 * h] - u[h : 2 * h]))
+                c = np.tanh(a[2 * h :] + r * u[2 * h :])
+                now = (1 - z) * c + z * now
+                states[t, i * h : i * h + h] = now
+        logit = net.p["bias"][0]
+        if window:
+            energy = states @ net.p["att"]
+            weight = np.exp(energy - energy.max())
+            logit = logit + (weight / weight.sum()) @ (states @ net.p["out"])
+        best = max(best, logit)
+    return best
+
+
+def test_scores_equal_plain_loops(model):
+    texts = [t for t, _ in sample(30, 6)] + ["", " . ", "A", "b-C d", "Ünder grubworms " * 11, "x " * 33]
+    got = model.net.score(Words([t.encode() for t in texts], gru.BREAKS))
+    assert np.allclose(got, [plain_score(model.net, t.encode()) for t in texts], atol=1e-3)
+
+
+def test_calibration_never_rewards_length():
+    r = np.random.Generator(np.random.PCG64(2))
+    y = (r.random(400) < 0.5).astype(float)
+    x = np.stack((3 * y - 1.5 + r.standard_normal(400), 2 * y + r.random(400), np.ones(400)), axis=1)
+    a, b, _ = toxicity._calibrate(x, y)
+    assert a > 0 and b == 0
+    x[:, 1] = 3 * (1 - y) + r.random(400)
+    a, b, _ = toxicity._calibrate(x, y)
+    assert a > 0 and b < 0
+
+
 def test_scores_do_not_depend_on_the_batch(model):
     texts = [t.encode() for t, _ in sample(40, 3)]
     together = model.score(texts)
