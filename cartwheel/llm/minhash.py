@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.components import connected_components
-from cartwheel.llm.scratch import stage
+from cartwheel.llm.scratch import free_names, stage
 from cartwheel.llm.words import Words, chunks, mix, shingle_sets, to_bytes
 
 WIDTH, PERCENT = 5, 75
@@ -220,11 +220,12 @@ def _links(members: DataFrame, docs: DataFrame) -> DataFrame:
     )
     size = sets.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.length("shingles") / 8).alias("s"))
     blocks = size.where("n > 1").select(
-        "cluster", "n", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("s") / BLOCK_SHINGLES)).alias("blocks")
+        "cluster", "n", "s", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("s") / BLOCK_SHINGLES)).alias("blocks")
     )
-    total = blocks.where("blocks = 1").agg(F.sum("n")).first()[0] or 0
-    lots = max(1, -(-total // BLOCK))
-    dealt = sets.join(blocks, "cluster").withColumn(
+    # as many lots as the small clusters need by texts and by shingles
+    n, s = blocks.where("blocks = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))).first()
+    lots = max(1, -(-int(n) // BLOCK), -(-int(s) // BLOCK_SHINGLES))
+    dealt = sets.join(blocks.drop("s"), "cluster").withColumn(
         "mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long")
     )
     # a small cluster goes to a lot with others; block pairs get a key each
@@ -289,13 +290,14 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     Repeated rows of the id that stays are one document; rows with a null id
     stay unless a row with an id has a linked text."""
     found = near_duplicates(docs, id_column, text_column)
+    key, gone, rows = free_names(docs, "_odd", "_gone", "_rows")
     odd = (
-        found.groupBy(F.col("doc_id").alias("_odd"))
-        .agg(F.max(~F.col("kept")).alias("_gone"), F.count("*").alias("_rows"))
-        .where("_gone or _rows > 1")
+        found.groupBy(F.col("doc_id").alias(key))
+        .agg(F.max(~F.col("kept")).alias(gone), F.count("*").alias(rows))
+        .where(F.col(gone) | (F.col(rows) > 1))
     )
-    judged = docs.join(odd, docs[id_column].cast("long").eqNullSafe(odd["_odd"]), "left").where(
-        "_gone is null or not _gone"
+    judged = docs.join(odd, F.col(id_column).cast("long").eqNullSafe(F.col(key)), "left").where(
+        F.col(gone).isNull() | ~F.col(gone)
     )
-    once = judged.where("_rows is null").select(docs.columns)
-    return once.unionAll(judged.where("_rows is not null").select(docs.columns).dropDuplicates())
+    once = judged.where(F.col(rows).isNull()).select(docs.columns)
+    return once.unionAll(judged.where(F.col(rows).isNotNull()).select(docs.columns).dropDuplicates())

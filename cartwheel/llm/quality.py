@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.scratch import stage
+from cartwheel.llm.scratch import free_names, stage
 from cartwheel.llm.words import SPACE, Words, chunks, mix, to_bytes
 
 MIN_BASE_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -245,10 +245,12 @@ def _with_references(docs: DataFrame) -> tuple[DataFrame, dict[str, Reference],
         return docs, refs, False
     # the large languages are not in it, so no language has many rows here
     key = F.when(~F.col("lang").isin(list(refs)), F.col("lang"))
-    keyed = docs.select(*docs.columns, key.alias("_lang"))
-    far = keyed.where("_lang is not null").join(rest, "_lang", "left").select(*docs.columns, "_reference")
-    kind = rest.schema["_reference"].dataType.simpleString()
-    near = keyed.where("_lang is null").select(*docs.columns, F.lit(None).cast(kind).alias("_reference"))
+    lang, reference = free_names(docs, "_lang", "_reference")
+    rest = rest.withColumnsRenamed({"_lang": lang, "_reference": reference})
+    keyed = docs.select(*docs.columns, key.alias(lang))
+    far = keyed.where(F.col(lang).isNotNull()).join(rest, lang, "left").select(*docs.columns, reference)
+    kind = rest.schema[reference].dataType.simpleString()
+    near = keyed.where(F.col(lang).isNull()).select(*docs.columns, F.lit(None).cast(kind).alias(reference))
     return near.union(far), refs, True
 
 

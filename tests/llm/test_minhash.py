@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cartwheel.llm import minhash
 from cartwheel.llm.components import connected_components
@@ -86,6 +87,25 @@ def test_odd_rows(make_docs, odd_rows):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 5, 7]
 
 
+def test_columns_of_any_name_stay(make_docs, odd_rows):
+    names = ["_gone", "_odd", "_rows", "_ROWS_", "doc", "component_id"]
+    docs = make_docs(odd_rows)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    kept = minhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert sorted((r.doc_id or 0) for r in rows) == [0, 0, 1, 2, 3, 5, 7]
+    assert all([r[n] for n in names] == list(range(len(names))) for r in rows)
+
+
+def test_lots_by_shingles(make_docs, monkeypatch):
+    rows = corpus(3)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 200)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(make_docs(rows)).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows).items()}
+
+
 def test_empty_table(make_docs):
     assert minhash.near_duplicates(make_docs([])).count() == 0
     assert minhash.keep_first(make_docs([])).count() == 0

@@ -113,7 +113,7 @@ def test_small_languages_have_their_own_reference(make_docs, monkeypatch, broadc
     rows += [(1000 + i, prose(i).translate(cyrillic) + f" к{i}", "ru") for i in range(25)]
     rows += [(2000 + i, prose(i).translate(cyrillic) + f" к{i}", "el") for i in range(5)]
     rows.append((3000, " ".join(f"{'XQZ'[i % 3]}{i}***###" for i in range(200)), "ru"))
-    docs = make_docs(rows)
+    docs = make_docs(rows).selectExpr("*", "1 AS _lang", "2 AS _Reference")
     got = {r.doc_id: r for r in quality.score(docs).collect()}
     assert len(got) == len(rows)
     assert all(got[i].kept == (not got[i].base_failed) for i in got if i != 3000)
@@ -121,4 +121,6 @@ def test_small_languages_have_their_own_reference(make_docs, monkeypatch, broadc
     # judged by its own language, the others by the base rule
     assert not got[3000].kept and not got[3000].base_failed
     assert got[1000].class_distance > 0 and got[0].class_distance == 0 and got[2000].class_distance == 0
-    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {i for i in got if got[i].kept}
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r._lang, r._Reference) for r in kept.collect()} == {(i, 1, 2) for i in got if got[i].kept}
