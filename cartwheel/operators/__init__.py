@@ -42,5 +42,6 @@ from cartwheel.operators.trending import (  # noqa: F401
     alerts,
     stream_records,
     trending_counts,
+    trending_counts_paned,
     trending_text,
 )

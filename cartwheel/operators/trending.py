@@ -63,6 +63,47 @@ def trending_counts(
     )
 
 
+def trending_counts_paned(
+    records: DataFrame,
+    size: str = WINDOW_SIZE,
+    slide: str = WINDOW_SLIDE,
+    product: str = "product_id",
+    time: str = "event_time",
+) -> DataFrame:
+    """``trending_counts`` of a batch through panes: every event is counted
+    once, in the pane (a window of the slide's length) it falls into, and a
+    window is the sum of its ``size / slide`` panes.
+
+    A window of the sliding form copies each event into every window that
+    holds it before anything is counted.  Here only the counted panes are
+    copied, one row per (product, pane), so the rows before the first shuffle
+    are the events and not a multiple of them.  ``size`` must be a multiple of
+    ``slide``.
+    """
+    spark = records.sparkSession
+    span = lambda text: spark.sql(f"SELECT unix_micros(TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {text})").first()[0]
+    whole, step = span(size), span(slide)
+    if whole % step:
+        raise ValueError(f"{size} is not a multiple of {slide}")
+    panes = records.groupBy(F.window(F.col(time), slide).alias("w"), F.col(product).alias("product_id")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+    start = F.unix_micros("w.start")
+    # the windows of a pane begin with it or with one of the panes before it
+    starts = F.sequence(start - F.lit(whole - step), start, F.lit(step))
+    windows = panes.select(F.explode(starts).alias("at"), "product_id", "events")
+    return (
+        windows.groupBy("at", "product_id")
+        .agg(F.sum("events").alias("events"))
+        .select(
+            F.timestamp_micros("at").alias("window_start"),
+            F.timestamp_micros(F.col("at") + whole).alias("window_end"),
+            "product_id",
+            "events",
+        )
+    )
+
+
 def alert_key(product: Column | str, start: Column | str) -> Column:
     """``<product>-<window start epoch millis>``: replays overwrite, never add."""
     p = F.col(product) if isinstance(product, str) else product

@@ -31,7 +31,7 @@ from cartwheel.schema import (
     ORIGINAL_INSIGHT_NAMES,
 )
 from cartwheel.sinks.files import write_csv_single, write_parquet_single
-from cartwheel.sinks.kvstore import KeyValueStore
+from cartwheel.sinks.kvstore import BucketedStore, KeyValueStore
 from cartwheel.sinks.publish import publish
 from cartwheel.sinks.tables import (
     create_database,
@@ -290,6 +290,12 @@ def trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(op.trending_counts(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE))
 
 
+@register("trending_paned", _WINDOWS_SQL)
+def trending_paned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # AG15 + ST4 of a batch: every event counted once, windows from panes
+    return _ntz(op.trending_counts_paned(_records(spark, sf_dir), STANDIN_SIZE, STANDIN_SLIDE))
+
+
 @register(
     "alerts",
     f"""
@@ -557,6 +563,22 @@ def kv_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("user_value")
 
 
+@register("kv_store_bucketed", ORACLE_SQL["kv_store"])
+def kv_store_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the puts of kv_store into a table bucketed by row key: read without a shuffle
+    root = shared_dir(spark, "kv", "bucketed", unique=True)
+    db = "cartwheel_kv_" + root.rsplit("/", 1)[-1]
+    create_database(spark, db, f"{root}/{db}.db")
+    store = BucketedStore(spark, root, db, buckets=8)
+    staged = shared_dir(spark, "kv", "latest", unique=True)
+    kv_upsert(spark, sf_dir).write.parquet(staged)
+    latest = spark.read.parquet(staged)
+    for name, kind in (("1", "cf:click"), ("2", "cf:view"), ("2", "cf:view")):
+        cells = latest.where(F.col("column") == kind).select("row_key", F.lit("cf:last").alias("column"), "value")
+        store.put(cells, "user_value", name)
+    return store.read("user_value")
+
+
 @register(
     "kv_row_count",
     """

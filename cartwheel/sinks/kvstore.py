@@ -14,6 +14,7 @@ rewritten by putting ``read()`` into a new table.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -70,3 +71,58 @@ class KeyValueStore:
         keys = self._puts(table)
         keys = self.read(table) if keys is None else keys
         return keys.agg(F.count_distinct("row_key").alias("rows")).select(F.lit(table).alias("table"), "rows")
+
+
+class BucketedStore(KeyValueStore):
+    """A store whose tables are bucketed by row key.
+
+    A table is an external catalog table over its folder, partitioned by put
+    and clustered by ``row_key`` into ``buckets``.  A put deals its cells by
+    key once, as it is written; after that all cells of a key are in one
+    bucket, so reading the newest cells, counting keys and merging a table into
+    another of as many buckets need no shuffle.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, database: str, buckets: int = 32):
+        super().__init__(spark, root)
+        self.database, self.buckets = database, buckets
+
+    def _name(self, table: str) -> str:
+        return f"`{self.database}`.`kv_{re.sub('[^A-Za-z0-9_]', '_', table).lower()}`"
+
+    def _ensure(self, table: str) -> str:
+        """The catalog table over the folder; puts that the folder holds from
+        another session are found again."""
+        name = self._name(table)
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(
+                f"CREATE TABLE {name} ({STORED}) USING PARQUET PARTITIONED BY (put) "
+                f"CLUSTERED BY (row_key) INTO {self.buckets} BUCKETS LOCATION '{self.root}/{table}'"
+            )
+            if KeyValueStore._puts(self, table) is not None:
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return name
+
+    def _puts(self, table: str) -> DataFrame | None:
+        known = self.spark.catalog.tableExists(self._name(table)) or super()._puts(table) is not None
+        return self.spark.table(self._ensure(table)) if known else None
+
+    def put(self, cells: DataFrame, table: str, name: str | None = None) -> None:
+        target = self._ensure(table)
+        stored = cells.select("row_key", "column", "value", F.current_timestamp().alias("put_at"))
+        view = f"put_{uuid.uuid4().hex}"
+        stored.repartition(self.buckets, "row_key").createOrReplaceTempView(view)
+        try:
+            self.spark.sql(
+                f"INSERT OVERWRITE {target} PARTITION (put = '{name or uuid.uuid4().hex}') SELECT * FROM `{view}`"
+            )
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+    def read(self, table: str) -> DataFrame:
+        puts = self._puts(table)
+        if puts is None:
+            return self.spark.createDataFrame([], KV_CELL_SCHEMA)
+        newest = F.max_by("value", F.struct("put_at", "put")).alias("value")
+        cells = puts.groupBy("row_key", "column").agg(newest)
+        return cells.select(F.lit(table).alias("table"), "row_key", "column", "value")

@@ -65,3 +65,29 @@ def test_empty_puts(spark, tmp_path):
     kv.put(cells(spark, [("k", "cf:a", "1")]), "t")
     kv.put(cells(spark, []), "t")
     assert table(kv, "t") == [("k", "cf:a", "1")]
+
+
+def test_bucketed_store_equals_the_plain_one(spark, tmp_path):
+    from cartwheel.sinks.kvstore import BucketedStore
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS kvb LOCATION '{tmp_path}/db'")
+    plain, bucketed = KeyValueStore(spark, str(tmp_path / "a")), BucketedStore(spark, str(tmp_path / "b"), "kvb", buckets=4)
+    puts = [
+        ("1", [("k1", "cf:a", "1"), ("k2", "cf:a", "2"), (None, "cf:a", "3")]),
+        ("2", [("k1", "cf:a", "9"), ("k3", "cf:b", None)]),
+        ("2", [("k1", "cf:a", "7")]),  # replaces the put of that name
+        ("3", []),
+    ]
+    for store in (plain, bucketed):
+        assert store.read("t-x").count() == 0 and store.count_rows("t-x") == 0
+        for name, rows in puts:
+            store.put(spark.createDataFrame(rows, "row_key string, column string, value string"), "t-x", name)
+    rows = lambda store: sorted((tuple(r) for r in store.read("t-x").collect()), key=str)
+    assert rows(bucketed) == rows(plain) and bucketed.count_rows("t-x") == plain.count_rows("t-x") == 2
+    assert plain.create_table("t-x") is bucketed.create_table("t-x") is False and bucketed.create_table("new")
+    read = bucketed.read("t-x")
+    read.collect()
+    assert "Exchange" not in read._jdf.queryExecution().executedPlan().toString()
+    # another session's catalog does not know the table, the folder does
+    spark.sql(f"DROP TABLE {bucketed._name('t-x')}")
+    assert rows(bucketed) == rows(plain)

@@ -193,3 +193,20 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_paned_windows_equal_sliding_ones(spark):
+    import random
+
+    import pytest
+
+    r = random.Random(2)
+    rows = [(f"p{r.randrange(4)}" if i % 3 else "hot", 1_700_000_000 + r.randrange(400) + r.random()) for i in range(600)]
+    rows += [("edge", float(t)) for t in (1_700_000_010, 1_700_000_040, -45, -15, 0)]
+    df = spark.createDataFrame(rows, "product_id string, at double").selectExpr("product_id", "timestamp_seconds(at) AS event_time")
+    for size, slide in (("60 seconds", "30 seconds"), ("90 seconds", "30 seconds"), ("1 day", "12 hours"), ("30 seconds", "30 seconds")):
+        want = sorted(tuple(x) for x in op.trending_counts(df, size, slide).collect())
+        assert sorted(tuple(x) for x in op.trending_counts_paned(df, size, slide).collect()) == want
+    with pytest.raises(ValueError, match="multiple"):
+        op.trending_counts_paned(df, "50 seconds", "30 seconds")
+    assert "Expand" not in op.trending_counts_paned(df)._jdf.queryExecution().executedPlan().toString()
