@@ -43,6 +43,7 @@ from cartwheel.sources.events import read_events
 from cartwheel.sources.lines import count_lines, files_by_name, read_lines
 from cartwheel.sources.tables import read_table
 from cartwheel.streaming.cart import current_carts, start_cart
+from cartwheel.streaming.growth import GrowthStream
 from cartwheel.streaming.landing import start_landing
 from cartwheel.streaming.restart import run_with_restarts
 from cartwheel.streaming.trending import alert_cells as trending_alert_cells
@@ -498,6 +499,26 @@ def growth_stalled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.growth_report(_daily_samples(spark, sf_dir, arrives))
 
 
+@register(
+    "growth_stream",
+    """
+    WITH b AS (SELECT day(ts) % 4 AS b, count(*) AS n FROM events GROUP BY 1)
+    SELECT CAST(sum(n) OVER (ORDER BY b) AS BIGINT) AS sink_rows,
+           CASE WHEN lag(n) OVER (ORDER BY b) IS NULL THEN 'first sample' ELSE 'growing' END AS state
+    FROM b
+    """,
+)
+def growth_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # WF2 + SRC4 from a stream's progress: the events land in four goes, so
+    # many files each; every go is a micro-batch and a sample
+    lines = standin.event_json_from(standin.events(spark, sf_dir), "day")
+    root, files = shared_dir(spark, "growth", unique=True), 4
+    for go in range(4):
+        lines.where(F.col("day") % 4 == go).select("value").repartition(files).write.mode("append").text(f"{root}/sink")
+    report = GrowthStream(spark, f"{root}/sink", f"{root}/state").sample(max_files_per_trigger=files)
+    return report.select("sink_rows", "state")
+
+
 # --- key-value cells --------------------------------------------------------
 
 _LATEST_SQL = """
@@ -843,7 +864,7 @@ def stream_lines_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{out}/lines").select("value")
 
 
-# Three landing files, one per micro-batch: the first half of the days, the
+# Three landings, one per micro-batch: the first half of the days, the
 # second half, and every seventh event of all days (most of it late).  Signup
 # and error events become lines that must be dropped: blank, malformed, and
 # without a zone.
@@ -866,6 +887,9 @@ _LATE_SQL = f"""
 """
 
 
+_LATE_FILES = 4
+
+
 @register("stream_late_rows", _LATE_SQL)
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = standin.events(spark, sf_dir)
@@ -882,10 +906,10 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("value"))
     )
     src = shared_dir(spark, "standin", "late", unique=True)
-    for b in range(3):  # one file each, landing one after the other
-        lines.where(F.col("batch") == b).select(bad.alias("value")).coalesce(1).write.mode("append").text(src)
+    for b in range(3):  # so many files each, landing one after the other
+        lines.where(F.col("batch") == b).select(bad.alias("value")).repartition(_LATE_FILES).write.mode("append").text(src)
     out = shared_dir(spark, "trending_late", unique=True)
-    _trending_job(spark, src, out, max_files_per_trigger=1)
+    _trending_job(spark, src, out, max_files_per_trigger=_LATE_FILES)
     return spark.read.text(f"{out}/lines").select("value")
 
 
