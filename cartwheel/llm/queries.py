@@ -190,7 +190,10 @@ def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(
         F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text"
     )
-    pairs = preference.format_pairs(turns)
+    return _pair_columns(preference.format_pairs(turns))
+
+
+def _pair_columns(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         "pair_id",
         "n_prompt_turns",
@@ -202,6 +205,59 @@ def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The pairs above are unrelated conversations, so their prompts are empty.  Here
+# every conversation is preferred to itself with another answer in the end.
+_SWAPPED = """
+    WITH ends AS (
+        SELECT conv_id, max(turn) AS turn FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+    ), answers AS (
+        SELECT conv_id, turn, max(text) AS answer FROM conversations JOIN ends USING (conv_id, turn)
+        WHERE role = 'assistant' GROUP BY conv_id, turn
+    ), sides AS (
+        SELECT conv_id AS pair_id, true AS c, turn, role, text FROM conversations
+        UNION ALL
+        SELECT v.conv_id, false, v.turn, v.role,
+               CASE WHEN v.role = 'assistant' AND v.turn = a.turn THEN coalesce(b.answer, '') ELSE v.text END
+        FROM conversations v LEFT JOIN answers a ON a.conv_id = v.conv_id
+        LEFT JOIN answers b ON b.conv_id = v.conv_id + 1 - 2 * (v.conv_id % 2)
+    ), t AS (
+        SELECT pair_id, c, role AS own_role, text AS own_text,
+               row_number() OVER (PARTITION BY pair_id, c ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i,"""
+
+
+def _answer_swapped(turns: DataFrame) -> DataFrame:
+    """``pair_id, is_chosen, turn, role, text``: every conversation, and as the
+    rejected one its copy whose last assistant turn has the text of its
+    neighbour's (ids 2k and 2k + 1; empty without one)."""
+    last = F.max(F.when(F.col("role") == "assistant", F.struct("turn", "text")))
+    ends = turns.groupBy("conv_id").agg(last.alias("end")).where("end.turn is not null")
+    swap = ends.join(
+        ends.select((F.col("conv_id") + 1 - 2 * (F.col("conv_id") % 2)).alias("conv_id"), F.col("end.text").alias("answer")),
+        "conv_id",
+        "left",
+    ).select("conv_id", F.col("end.turn").alias("at"), "answer")
+    here = (F.col("role") == "assistant") & (F.col("turn") == F.col("at"))
+    text = F.when(here, F.coalesce("answer", F.lit(""))).otherwise(F.col("text"))
+    side = lambda df, chosen, t: df.select(
+        F.col("conv_id").alias("pair_id"), F.lit(chosen).alias("is_chosen"), "turn", "role", t.alias("text")
+    )
+    return side(turns, True, F.col("text")).unionByName(side(turns.join(swap, "conv_id", "left"), False, text))
+
+
+_PAIRS_SQL = ORACLE_SQL["op6_preference_pairs"]
+
+
+@register(
+    "preference_answers_swapped",
+    _SWAPPED
+    + _PAIRS_SQL[_PAIRS_SQL.index("\n               '<|im_start|>'") :].replace(
+        "FROM conversations WHERE conv_id IS NOT NULL", "FROM sides WHERE pair_id IS NOT NULL", 1
+    ),
+)
+def preference_answers_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pair_columns(preference.format_pairs(_answer_swapped(table(spark, sf_dir, "conversations"))))
+
+
 @register("op7_sentencepiece_viterbi")
 def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -255,7 +311,10 @@ def op11_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH units AS (
         SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
-               regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u
+               regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS u
         FROM documents
     ), draws AS (
         SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
@@ -295,7 +354,8 @@ def op12_fenwick_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH d AS (
         SELECT row_number() OVER () AS r, doc_id,
-               list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS w
         FROM documents
     ), win AS (
         SELECT r, doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS x
