@@ -39,8 +39,9 @@ from cartwheel.llm.words import chunks, to_bytes
 
 LENGTH, END_ID = 2048, 1
 #: Words whose ids a worker keeps (those met lately and as many met before
-#: them), and parts of words; about 200 bytes each.
-KNOWN_WORDS, KNOWN_PARTS = 120_000, 150_000
+#: them), and parts of words; about 100 bytes each.  On the given texts one word
+#: in fourteen is not among them, with 120,000 one in eight.
+KNOWN_WORDS = 500_000
 #: Texts that are sent to a worker, and turned into bytes there, at once.
 BATCH_ROWS = 1000
 #: Rows of the table of counts (one per task and length) that are broadcast.
@@ -82,9 +83,9 @@ class WordIds(dict):
     encoded as a whole.  When it is full, the words become the older ones and
     those older before are forgotten, so frequent words stay."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, limit: int | None = None):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.limit = tokenizer, limit or KNOWN_WORDS
         self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.cut = True
@@ -97,7 +98,7 @@ class WordIds(dict):
         found = self.parts.get(part)
         if found is None:
             t = self.tokenizer
-            if len(self.parts) >= KNOWN_PARTS:
+            if len(self.parts) >= self.limit:
                 self.parts.clear()
             mapped = part if part.isascii() else "".join(p for p, _ in t.pre_tokenizer.pre_tokenize_str(part))
             found = self.parts[part] = _bytes([x.id for x in t.model.tokenize(mapped)])
@@ -113,7 +114,7 @@ class WordIds(dict):
         return _bytes(self._whole(word))
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KNOWN_WORDS:
+        if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         ids = self.older.get(word)
@@ -131,13 +132,14 @@ class WordIds(dict):
 _LOADED: dict[str, WordIds] = {}
 
 
-def _word_ids(source: str) -> WordIds:
+def _word_ids(source: str, limit: int) -> WordIds:
     if source not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         _LOADED.clear()
-        _LOADED[source] = WordIds(Tokenizer.from_str(source))
+        _LOADED[source] = WordIds(Tokenizer.from_str(source), limit)
+    _LOADED[source].limit = limit
     return _LOADED[source]
 
 
@@ -156,7 +158,7 @@ class _Numbers:
         return nth
 
 
-def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, known_words: int = KNOWN_WORDS) -> DataFrame:
     """One row per piece: ``doc_id, start, length, doc_tokens, ids, task, nth``
     (the task that writes it, and its number among that task's pieces of the
     length).  The last two hold once the rows are written."""
@@ -165,7 +167,7 @@ def tokenize(docs: DataFrame, tokenizer_file: str, length: int = LENGTH) -> Data
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, numbers, task = _word_ids(source.value), _Numbers(length), TaskContext.get().partitionId()
+        known, numbers, task = _word_ids(source.value, known_words), _Numbers(length), TaskContext.get().partitionId()
         for batch in batches:
             texts = to_bytes(batch.column(1))
             for lo, hi in chunks(texts):
@@ -259,12 +261,15 @@ class Plan:
         return first + nth // each, at + nth % each * size
 
 
-def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_file: str, length: int = LENGTH, with_ids: bool = True, known_words: int = KNOWN_WORDS
+) -> DataFrame:
     """The pieces of ``tokenize`` with ``sequence_id`` and ``offset``;
     ``ids_crc32`` is taken of the ids as placed.  Without ``with_ids`` the ids
-    are left out of the result, not out of the work."""
+    are left out of the result, not out of the work.  ``known_words`` bounds a
+    worker's memory and changes no result."""
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
-        pieces = stage(tokenize(docs, tokenizer_file, length), "pieces")
+        pieces = stage(tokenize(docs, tokenizer_file, length, known_words), "pieces")
     counts = stage(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "piece_counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = docs.sparkSession.sparkContext.broadcast(Plan(patterns(histogram, length)))
