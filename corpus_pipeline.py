@@ -40,7 +40,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+    # the workers still hold what earlier stages left: fewer words are kept here
+    pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"), known_words=120_000)
     return pieces.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
 
 
