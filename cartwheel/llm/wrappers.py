@@ -20,8 +20,9 @@ role, class or id (menus, headers and footers of the page, sidebars, notices,
 adverts, forms, scripts, styles, comments), and for texts that the wrapper
 shows to be constants of the template.  Near copies of a page say nothing about
 the template: a constant has to be on most of the host's pages that differ in
-more than half of their main text.  Without a main region, blocks that are mostly
-links go too.
+more than half of their main text.  All pages are counted: they are taken in the
+order of their digests, and one differs if it is no copy of one that does before it
+(``copies``).  Without a main region, blocks that are mostly links go too.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one newline.
@@ -46,18 +47,21 @@ from difflib import SequenceMatcher
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.scratch import stage
+from cartwheel.config import remove_dir
+from cartwheel.llm.scratch import stage, stage_at
 
 DEPTH, FAN, PERIOD = 150, 32, 4
 #: A text is a constant of the template if it is on this share of a host's
 #: pages that differ, of which there are at least ``MIN_PAGES``.
 CONSTANT_SHARE, MIN_PAGES = 0.8, 5
 #: Pages of a host count as copies, so as one, if more than this share of the
-#: characters in either's main text is in both; ``VOTES`` pages are held.
-COPY_SHARE, VOTES = 0.5, 16
+#: characters in either's main text is in both.
+COPY_SHARE = 0.5
+#: Pages that share a text are told apart in rounds, of so many of them at most.
+FRONT = 256
 #: Longer texts are held by a digest of theirs.
 PLAIN_CHARS = 200
 LINK_SHARE = 0.6
@@ -226,7 +230,8 @@ def parse(page: str) -> Element:
 # --- wrappers ---------------------------------------------------------------
 # node: {"l": label, "n": pages, "i": [item]}   text: {"l": "#", "n", "v", "c"}
 # item: {"s": [nodes], "o": optional, "r": repeated}
-# the root also has "p": [[digest of a page's main text, {digest of a text: characters}]]
+# the root also has "p": {digest of a page's main text: {digest of a text: characters}},
+# or "k": [digest of a constant], once all pages of the host are counted
 
 
 def _children(element: Element) -> list:
@@ -326,29 +331,23 @@ def _shared(a: dict[str, int], b: dict[str, int]) -> float:
     return both / max(sum(a.values()) + sum(b.values()) - both, 1)
 
 
-def _different(votes: list[list]) -> list[list]:
-    """The first ``VOTES`` by digest that are no copies of earlier ones."""
-    out: list[list] = []
-    for vote in sorted(votes, key=lambda x: x[0]):
-        if len(out) < VOTES and all(x[0] != vote[0] and _shared(x[1], vote[1]) <= COPY_SHARE for x in out):
+def _different(votes: dict[str, dict]) -> list[dict]:
+    """In the order of digests those that are no copies of earlier ones."""
+    out: list[dict] = []
+    for _, vote in sorted(votes.items()):
+        if all(_shared(x, vote) <= COPY_SHARE for x in out):
             out.append(vote)
     return out
 
 
-def _vote(root: Element) -> list[list]:
+def _vote(root: Element) -> dict[str, dict]:
     """The page's vote: a digest of its main text, and the characters of each
     text in it."""
-    texts = {_digest(_value(text)): len(text) for text in main_texts(root)}
-    return [[_digest(" ".join(sorted(texts))), texts]] if texts else []
-
-
-def _add_votes(votes: list[list], more: list[list]) -> list[list]:
-    new = []
-    for vote in more:
-        ahead = [x for x in votes if x[0] <= vote[0]]
-        if len(ahead) < VOTES and not any(x[0] == vote[0] or _shared(x[1], vote[1]) > COPY_SHARE for x in ahead):
-            new.append(vote)
-    return _different(votes + new) if new else votes
+    texts = {}
+    for text in main_texts(root):
+        text = " ".join(text.split())
+        texts[_digest(_value(text))] = len(text)
+    return {_digest(" ".join(sorted(texts))): texts} if texts else {}
 
 
 def merge(a: dict | None, b: dict) -> dict:
@@ -356,16 +355,19 @@ def merge(a: dict | None, b: dict) -> dict:
     if a is None:
         return b
     _merge(a, b)
-    a["p"] = _add_votes(a["p"], b["p"])
+    if "p" in a:
+        a["p"].update(b["p"])
     return a
 
 
 def constants(wrapper: dict | None) -> set[str]:
     """Digests of the texts on enough of the pages that differ."""
-    votes = wrapper["p"] if wrapper else []
+    if wrapper and "k" in wrapper:
+        return set(wrapper["k"])
+    votes = _different(wrapper["p"]) if wrapper else []
     if len(votes) < MIN_PAGES:
         return set()
-    seen = Counter(x for _, texts in votes for x in texts)
+    seen = Counter(x for texts in votes for x in texts)
     return {x for x, n in seen.items() if n >= CONSTANT_SHARE * len(votes)}
 
 
@@ -505,21 +507,38 @@ def _host(url: str) -> str:
     return f"lower(coalesce(regexp_extract({url}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1), ''))"
 
 
+_FOUND = "host string, part long, wrapper string, vote string, texts array<string>"
+
+
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The task's wrapper of each host, and the vote of each page: its digest
+    and its texts, each as digest and characters."""
     wrappers: dict[str, dict] = {}
     part = TaskContext.get().partitionId()
+
+    def rows(hosts: list, found: list, votes: list, texts: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(hosts, pa.string()),
+                pa.array([part] * len(hosts), pa.int64()),
+                pa.array(found, pa.string()),
+                pa.array(votes, pa.string()),
+                pa.array(texts, pa.list_(pa.string())),
+            ],
+            names=["host", "part", "wrapper", "vote", "texts"],
+        )
+
     for batch in batches:
+        votes: dict[tuple[str, str], list[str]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if page:
-                wrappers[host] = merge(wrappers.get(host), page_wrapper(parse(page)))
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(list(wrappers), pa.string()),
-            pa.array([part] * len(wrappers), pa.int64()),
-            pa.array([json.dumps(w) for w in wrappers.values()], pa.string()),
-        ],
-        names=["host", "part", "wrapper"],
-    )
+                wrapper = page_wrapper(parse(page))
+                for vote, texts in wrapper.pop("p").items():
+                    votes[host, vote] = [f"{x}{n}" for x, n in texts.items()]
+                wrappers[host] = merge(wrappers.get(host), wrapper)
+        yield rows([h for h, _ in votes], [None] * len(votes), [v for _, v in votes], list(votes.values()))
+    n = len(wrappers)
+    yield rows(list(wrappers), [json.dumps(w) for w in wrappers.values()], [None] * n, [None] * n)
 
 
 def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -529,14 +548,111 @@ def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": pdf["host"].iloc[:1], "part": pdf["to"].iloc[:1], "wrapper": [json.dumps(w)]})
 
 
+def _chars(texts: str) -> str:
+    """SQL for the characters of an array of texts (16 digits of digest, then
+    the number)."""
+    return f"aggregate({texts}, 0L, (n, x) -> n + cast(substr(x, 17) as long))"
+
+
+def copies(votes: DataFrame) -> DataFrame:
+    """``host, vote`` of the votes (``host, vote, texts``, each once) that are
+    copies of an earlier vote of their host which is none: what ``_different``
+    leaves out, for hosts of any size.
+
+    A copy has more than half of its characters in texts that both have, so the
+    two also share one of the texts that are left when the most frequent half of
+    each is put away.  Votes that share such a text are a group.  In a round, the
+    first few votes of each group are compared with the whole group, and those
+    with no copy before them are decided, with all their copies.  A pair with an
+    overlap of 3 * o <= a + b characters is none, so two votes that both have a
+    third of their own text never are.
+    """
+    spark = votes.sparkSession
+    each = votes.select("host", "vote", F.explode("texts").alias("t"))
+    common = each.groupBy("host", "t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    held = F.expr("transform(array_sort(collect_list(struct(df, t))), x -> x.t)").alias("held")
+    near = each.join(common, ["host", "t"]).groupBy("host", "vote").agg(held)
+    near = (
+        votes.selectExpr("host", "vote", f"{_chars('texts')} as size")
+        .join(near, ["host", "vote"])
+        .withColumn("most", F.expr(_chars("held")))
+        .where("2 * most > size")
+    )
+    near, near_path = stage_at(near, "votes")
+    # the leading texts up to which more than half of the characters are left
+    lead = (
+        "aggregate(held, struct(most as left, 0 as n), (s, x) -> if(2 * s.left > size,"
+        " struct(s.left - cast(substr(x, 17) as long) as left, s.n + 1 as n), s), s -> s.n)"
+    )
+    keys = near.select(
+        "host", "vote", F.expr("3 * most > 2 * size").alias("heavy"), F.expr(f"explode(slice(held, 1, {lead}))").alias("t")
+    )
+    keys, keys_path = stage_at(keys, "groups")
+    removed, at = None, 0
+    while True:
+        group = Window.partitionBy("host", "t")
+        whole = keys.groupBy("host", "t").agg(F.count(F.lit(1)).alias("n"), F.max("heavy").alias("any"))
+        live, live_path = stage_at(keys.join(whole.where("n > 1 and any").select("host", "t"), ["host", "t"]), "groups")
+        remove_dir(spark, keys_path)
+        keys, keys_path = live, live_path
+        if keys.isEmpty():
+            break
+        front = keys.withColumn("i", F.row_number().over(group.orderBy("vote"))).where(F.col("i") <= min(4**at, FRONT))
+        front, front_path = stage_at(front.drop("i"), "front")
+        side = lambda name: near.select(
+            "host", F.col("vote").alias(name), F.col("held").alias(f"{name}_held"), F.col("size").alias(f"{name}_size")
+        )
+        pairs = (
+            front.select("host", "t", F.col("vote").alias("a"), F.col("heavy").alias("a_heavy"))
+            .join(keys.select("host", "t", F.col("vote").alias("b"), "heavy"), ["host", "t"])
+            .where("a < b and (a_heavy or heavy)")
+            .select("host", "a", "b")
+            .distinct()
+            .join(side("a"), ["host", "a"])
+            .join(side("b"), ["host", "b"])
+            .withColumn("both", F.expr(_chars("array_intersect(a_held, b_held)")))
+            .where(F.col("both") > COPY_SHARE * (F.col("a_size") + F.col("b_size") - F.col("both")))
+        )
+        pairs, pairs_path = stage_at(pairs.select("host", "a", "b"), "copies")
+        count = lambda df, name: df.groupBy("host", "vote").agg(F.count(F.lit(1)).alias(name))
+        first = count(front, "n").join(count(keys, "of"), ["host", "vote"]).where("n = of").select("host", "vote")
+        first = first.join(pairs.select("host", F.col("b").alias("vote")), ["host", "vote"], "left_anti")
+        first, first_path = stage_at(first, "different")
+        gone = stage(
+            pairs.join(first.withColumnRenamed("vote", "a"), ["host", "a"], "left_semi")
+            .select("host", F.col("b").alias("vote"))
+            .distinct(),
+            "copied",
+        )
+        removed = gone if removed is None else removed.unionByName(gone)
+        left, left_path = stage_at(keys.join(first.unionByName(gone), ["host", "vote"], "left_anti"), "groups")
+        for path in (keys_path, front_path, pairs_path, first_path):
+            remove_dir(spark, path)
+        keys, keys_path, at = left, left_path, at + 1
+    remove_dir(spark, keys_path)
+    remove_dir(spark, near_path)
+    return removed if removed is not None else votes.select("host", "vote").limit(0)
+
+
+def host_constants(votes: DataFrame) -> DataFrame:
+    """``host, k``: digests of the texts on enough of a host's pages that
+    differ, of all pages' votes."""
+    votes = stage(votes.dropDuplicates(["host", "vote"]), "votes")
+    votes = votes.join(copies(votes), ["host", "vote"], "left_anti")
+    pages = votes.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MIN_PAGES)
+    texts = votes.select("host", F.explode("texts").alias("t")).groupBy("host", "t").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        texts.join(pages, "host")
+        .where(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
+        .groupBy("host")
+        .agg(F.sort_array(F.collect_list(F.substring("t", 1, 16))).alias("k"))
+    )
+
+
 def infer(pages: DataFrame) -> DataFrame:
     """``host, wrapper`` of ``pages(url, html)``; wrappers are JSON."""
-    found = stage(
-        pages.select(F.expr(_host("url")).alias("host"), "html").mapInArrow(
-            _infer, "host string, part long, wrapper string"
-        ),
-        "wrappers",
-    )
+    read = stage(pages.select(F.expr(_host("url")).alias("host"), "html").mapInArrow(_infer, _FOUND), "wrappers")
+    found = read.where("wrapper is not null").select("host", "part", "wrapper")
     last = found.agg(F.max("part")).first()[0] or 0
     while last > 0:
         found = stage(
@@ -546,7 +662,14 @@ def infer(pages: DataFrame) -> DataFrame:
             "wrappers",
         )
         last //= FAN
-    return found.select("host", "wrapper")
+    known = host_constants(read.where("vote is not null").select("host", "vote", "texts"))
+    listed = "coalesce(to_json(k), '[]')"
+    return stage(
+        found.join(known, "host", "left").select(
+            "host", F.expr(f"concat(left(wrapper, length(wrapper) - 1), ', \"k\": ', {listed}, '}}')").alias("wrapper")
+        ),
+        "wrappers",
+    )
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -155,3 +155,45 @@ def test_table(spark, monkeypatch, limit):
     assert by[101].text == "" and by[None].text == "" and by[None].n_chars == 0
     assert all("Read our rules" not in by[i].text and by[i].text for i in range(40))
     assert w.main_text(pages.where("page_id = -1")).count() == 0
+
+
+def test_copies_are_told_apart_among_all_pages(spark, monkeypatch):
+    monkeypatch.setattr(w, "FRONT", 4)
+    r = random.Random(6)
+    hosts = {}
+    for host, pool in (("few", 12), ("many", 60), ("all", 9)):
+        votes = {}
+        for _ in range(150):
+            texts = {w._digest(f"{host}{j}"): 5 + 7 * (j % 5) for j in r.sample(range(pool), r.randrange(1, 7))}
+            texts[w._digest(f"own {r.random()}")] = r.randrange(1, 60)
+            votes[w._digest(" ".join(sorted(texts)))] = texts
+        hosts[host] = votes
+    line = {w._digest("notice"): 40}  # all share a notice and have as much of their own, a few have nothing else
+    hosts["notice"] = {w._digest(f"v{i}"): {**line, w._digest(f"n{i}"): 1 if i % 40 == 0 else 90} for i in range(150)}
+    near = {w._digest("article"): 400}
+    hosts["near"] = {w._digest(f"c{i}"): {**near, w._digest(f"a{i}"): 30} for i in range(150)}
+    rows = [(h, v, [f"{x}{n}" for x, n in t.items()]) for h, votes in hosts.items() for v, t in votes.items()]
+    df = spark.createDataFrame(rows, "host string, vote string, texts array<string>").repartition(5)
+    got = w.copies(df)
+    assert got.count() == got.distinct().count()
+    gone = {tuple(x) for x in got.collect()}
+    for host, votes in hosts.items():
+        left = [t for v, t in sorted(votes.items()) if (host, v) not in gone]
+        assert left == w._different(votes), host
+    assert len([x for x in gone if x[0] == "near"]) == 149
+
+
+def test_every_page_of_a_host_counts(spark):
+    """A line on nine pages of ten, but on none of those with the smallest
+    digests."""
+    r = random.Random(7)
+    pages = {True: [], False: []}
+    while min(len(pages[True]) - 180, len(pages[False]) - 20) < 0:
+        with_line = r.random() < 0.5
+        page = f"<body><article>{'<p class=k>Read our rules</p>' if with_line else ''}<p>{words(r, 30)} {r.random()}</p></article></body>"
+        if (min(w.page_wrapper(w.parse(page))["p"]) > "4") == with_line:
+            pages[with_line].append(page)
+    rows = [(i, "http://h/", p) for i, p in enumerate(pages[True][:180] + pages[False][:20])]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = w.main_text(table).collect()
+    assert len(got) == 200 and all(x.text and "Read our rules" not in x.text for x in got)
