@@ -5,10 +5,10 @@ before every run of ``\\u2581``: no piece of a word-based model spans such a
 place (if one does, the whole text is one unit).  Each distinct unit is encoded
 once per worker and kept.
 
-*Viterbi.*  Units of equal length advance together: for every end position and
-piece length the substrings' rolling hashes probe the sorted hashes of the
-pieces, and the highest sum of scores over the lengths is kept with its
-backpointer (the length) and its last piece.
+*Viterbi.*  Units of similar length advance together: for every piece length
+the rolling hashes of all substrings probe the sorted hashes of the pieces; then,
+end position by end position, the highest sum of scores over the lengths is kept
+with its backpointer (the length) and its last piece.
 
 *Unigram models* are just that.  *BPE models* need one thing more: the ids of
 their merge order are not those of the best score.  But a segmentation is the
@@ -151,6 +151,25 @@ class Encoder:
                 scores[i - 1] = rank(parts[i - 1] + parts[i], none)
         return parts
 
+    def _stay(self, a: str, b: str) -> bool:
+        """``merge(a + b) == [a, b]`` for two strings that merge to themselves:
+        no merge joins them before all others are done, or then."""
+        parts, rank, none = list(a + b), self.rank.get, -np.inf
+        scores = [rank(x + y, none) for x, y in zip(parts, parts[1:])]
+        at = len(a) - 1
+        while (best := max(scores)) > none:
+            i = scores.index(best)
+            if i == at:
+                return False
+            at -= i < at
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                scores[i - 1] = rank(parts[i - 1] + parts[i], none)
+        return True
+
     def _string(self, i: int) -> str:
         return self.model.pieces[i] if i < self.size else chr(i - self.size)
 
@@ -166,8 +185,7 @@ class Encoder:
                 ok = fresh.get(k)
                 if ok is None:
                     a, b = divmod(k, self.size + 0x110000)
-                    a, b = self._string(a), self._string(b)
-                    ok = fresh[k] = self.merge(a + b) == [a, b]
+                    ok = fresh[k] = self._stay(self._string(a), self._string(b))
                 recent.append(ok)
             out[new] = recent
             if len(fresh) > 1000 + len(self.pairs) // 8:
@@ -186,35 +204,62 @@ class Encoder:
 
     # --- Viterbi ---
 
+    def _hits(self, prefix: np.ndarray, sizes: np.ndarray, k: int, power: np.uint64, lo: int, hi: int) -> tuple[np.ndarray, ...]:
+        """Rows, ids and scores of the pieces of length ``k`` that end at ``lo``
+        to ``hi - 1`` in the units, by end, and where those of each end begin."""
+        first = max(lo, k)
+        key = (prefix[first:hi] - prefix[first - k : max(hi - k, 0)] * power).ravel()
+        cell = np.flatnonzero(self.marks[key & np.uint64((1 << 20) - 1)])
+        key = key[cell]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = (self.keys[at] == key) & (self.lengths[at] == k)
+        end, rows = np.divmod(cell[hit], prefix.shape[1])
+        end += first
+        inside = end <= sizes[rows]
+        end, rows, at = end[inside], rows[inside], at[hit][inside]
+        return rows, self.ids[at], self.scores[at], np.searchsorted(end, np.arange(lo, hi + 1))
+
     def _batch(self, units: list[str]) -> list[np.ndarray]:
-        """Ids of units of one length; ids past the vocabulary are characters
-        without a piece."""
-        n, m = len(units[0]), len(units)
-        chars = np.frombuffer("".join(units).encode("utf-32-le"), dtype="<u4").reshape(m, n).astype(np.uint64)
+        """Ids of units, given from the shortest to the longest; ids past the
+        vocabulary are characters without a piece."""
+        n, m = len(units[-1]), len(units)
+        sizes = np.array([len(u) for u in units])
+        chars = np.zeros((m, n), dtype=np.uint64)
+        chars[np.arange(n) < sizes[:, None]] = np.frombuffer("".join(units).encode("utf-32-le"), dtype="<u4")
+        chars = np.ascontiguousarray(chars.T)
         prefix = np.zeros((n + 1, m), dtype=np.uint64)
         for i in range(n):
-            prefix[i + 1] = prefix[i] * _BASE + chars[:, i] + np.uint64(1)
+            prefix[i + 1] = prefix[i] * _BASE + chars[i] + np.uint64(1)
         best = np.full((n + 1, m), -np.inf)
         best[0] = 0
         last = np.full((n + 1, m), -1, dtype=np.int64)
         back = np.zeros((n + 1, m), dtype=np.int32)
         powers = np.cumprod(np.full(self.longest, _BASE), dtype=np.uint64)
         bpe = self.model.kind == BPE
-        every = np.arange(m)
+        shortest = np.searchsorted(sizes, np.arange(n + 1)).tolist()
+        step = max(1, BATCH_CELLS // m)
         for i in range(1, n + 1):
+            lo = i - (i - 1) % step
+            if i == lo:
+                hi = min(lo + step, n + 1)
+                hits = [self._hits(prefix, sizes, k, powers[k - 1], lo, hi) for k in range(1, self.longest + 1)]
+                # every character is a piece or unknown
+                single, single_score = self.size + chars[lo - 1 : hi - 1].astype(np.int64), np.full((hi - lo, m), self.unknown_score)
+                rows, piece, score, begin = hits[0]
+                end = np.repeat(np.arange(hi - lo), np.diff(begin))
+                single[end, rows], single_score[end, rows] = piece, score
             for k in range(1, min(self.longest, i) + 1):
-                key = prefix[i] - prefix[i - k] * powers[k - 1]
-                rows = every if k == 1 else np.flatnonzero(self.marks[key & np.uint64((1 << 20) - 1)])
-                key = key[rows]
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                hit = (self.keys[at] == key) & (self.lengths[at] == k)
-                piece, score = self.ids[at], self.scores[at]
                 if k == 1:
-                    piece = np.where(hit, piece, self.size + chars[:, i - 1].astype(np.int64))
-                    score = np.where(hit, score, self.unknown_score)
-                    hit = np.ones(m, dtype=bool)
+                    rows = np.arange(shortest[i], m)
+                    piece, score = single[i - lo, shortest[i] :], single_score[i - lo, shortest[i] :]
+                else:
+                    rows, piece, score, begin = hits[k - 1]
+                    here = slice(begin[i - lo], begin[i - lo + 1])
+                    if here.start == here.stop:
+                        continue
+                    rows, piece, score = rows[here], piece[here], score[here]
                 total = best[i - k, rows] + score
-                keep = np.flatnonzero(hit & (total > best[i, rows]))
+                keep = np.flatnonzero(total > best[i, rows])
                 if bpe and i > k and len(keep):
                     keep = keep[self._apart(last[i - k, rows[keep]], piece[keep])]
                 rows = rows[keep]
@@ -222,7 +267,7 @@ class Encoder:
                 last[i, rows], back[i, rows] = piece[keep], k
         # all paths back at once, written from the right of each row
         ids = np.zeros((m, n), dtype="<u4")
-        at, begin, live = np.full(m, n), np.full(m, n), every
+        at, begin, live = sizes.copy(), np.full(m, n), np.arange(m)
         while len(live):
             begin[live] -= 1
             ids[live, begin[live]] = last[at[live], live]
@@ -230,21 +275,32 @@ class Encoder:
             live = live[at[live] > 0]
         return [row[b:] for row, b in zip(ids, begin.tolist())]
 
+    def _batches(self, units: set[str]) -> Iterator[list[str]]:
+        """The units by length, those together of which the longest has at most
+        twice the shortest's characters and some."""
+        part: list[str] = []
+        for u in sorted(units, key=len):
+            if part and ((len(part) + 1) * len(u) > BATCH_CELLS or len(u) > 2 * len(part[0]) + 8):
+                yield part
+                part = []
+            part.append(u)
+        if part:
+            yield part
+
     def _learn(self, units: set[str]) -> None:
         if len(self.units) + len(units) > KNOWN_UNITS:
             self.units.clear()
-        by_length: dict[int, list[str]] = {}
-        for u in units:
-            by_length.setdefault(len(u), []).append(u)
         m = self.model
-        for n, same in by_length.items():
-            step = max(1, BATCH_CELLS // n)
-            for lo in range(0, len(same), step):
-                part = same[lo : lo + step]
-                for u, path in zip(part, self._batch(part)):
-                    if path.max() < self.size:
-                        self.units[u] = path.tobytes()
-                        continue
+        for part in self._batches(units):
+            paths = self._batch(part)
+            ends = np.cumsum([len(x) for x in paths])
+            flat = np.concatenate(paths)
+            odd = np.logical_or.reduceat(flat >= self.size, np.append(0, ends[:-1])).tolist()
+            raw, lo = flat.tobytes(), 0
+            for u, path, hi, unknown in zip(part, paths, (4 * ends).tolist(), odd):
+                if not unknown:
+                    self.units[u] = raw[lo:hi]
+                else:
                     ids: list[int] = []
                     for p in path.tolist():
                         if p < self.size:
@@ -254,8 +310,11 @@ class Encoder:
                         elif not ids or ids[-1] != m.unknown:
                             ids.append(m.unknown)
                     self.units[u] = np.array(ids, dtype="<u4").tobytes()
+                lo = hi
 
     def _units(self, text: str) -> list[str]:
+        if self.model.prefix and not self.whole and SPACE not in text and "" not in (parts := text.split(" ")):
+            return [SPACE + x for x in parts]
         if self.model.squeeze:
             text = " ".join(x for x in text.split(" ") if x)
         if not text:
@@ -276,14 +335,15 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         units = [self._units(t) for t in texts]
-        new = {u for x in units for u in x if u not in self.units}
+        used = set().union(*units)
+        new = used.difference(self.units)
         if new:
             held = len(self.units)
             self._learn(new)
             if len(self.units) < held + len(new):  # began anew: learn the others again
-                self._learn({u for x in units for u in x if u not in self.units})
-        known = self.units
-        return [b"".join([known[u] for u in x]) for x in units]
+                self._learn(used.difference(self.units))
+        known = self.units.__getitem__
+        return [b"".join(map(known, x)) for x in units]
 
     def decode(self, ids: bytes) -> str:
         raw = self.raw_pieces
@@ -316,7 +376,7 @@ def _encoder(data: bytes) -> Encoder:
     return _LOADED[key]
 
 
-def _parts(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _parts(texts: list[str], limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
     lo = size = 0
     for i, t in enumerate(texts):
         if size and size + len(t) > limit:

@@ -133,3 +133,29 @@ def test_tables(make_docs, odd_rows, data):
     assert len(got) == len(odd_rows) and all(r.exact for r in got)
     assert {r.n_pieces for r in got if r.doc_id in (1, 2)} == {0}
     assert viterbi.encode(make_docs([]), path).count() == 0 and viterbi.round_trip(make_docs([]), path).count() == 0
+
+
+def test_units_of_all_lengths_advance_together(data, monkeypatch):
+    units = {u for t in TEXTS + noise(200, 3) + ["".join(random.Random(4).choices("aeimnrst", k=700))] for u in t.split()}
+    for model in (data, as_unigram(data)):
+        encoder = viterbi.Encoder(model)
+        alone = {u: encoder._batch([u])[0].tolist() for u in units}
+        parts = list(encoder._batches(units))
+        assert sorted(u for p in parts for u in p) == sorted(units) and len(parts) < len({len(u) for u in units})
+        for part in parts:
+            assert [x.tolist() for x in encoder._batch(part)] == [alone[u] for u in part]
+        # a batch's arrays stay bounded
+        monkeypatch.setattr(viterbi, "BATCH_CELLS", 100)
+        small = list(encoder._batches(units))
+        assert all(len(p) == 1 or len(p) * len(p[-1]) <= 100 for p in small)
+        assert [x.tolist() for p in small for x in encoder._batch(p)] == [alone[u] for p in small for u in p]
+        monkeypatch.undo()
+
+
+def test_pairs_are_told_as_by_the_merge_loop(data):
+    encoder = viterbi.Encoder(data)
+    r = random.Random(5)
+    pieces = r.sample([encoder.model.pieces[i] for i in encoder.ids.tolist()], 300) + list("aetß日")
+    pairs = [(a, b) for a in pieces[::3] for b in pieces[::2]]
+    got = [encoder._stay(a, b) for a, b in pairs]
+    assert got == [encoder.merge(a + b) == [a, b] for a, b in pairs] and {*got} == {True, False}
