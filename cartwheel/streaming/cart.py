@@ -1,7 +1,7 @@
 """RA2 as a continuous state: the current cart of every session.
 
     readStream.json(landing) -> cart events -> withWatermark(event_time)
-      -> groupBy(session).transformWithState(CartState)   [update mode]
+      -> groupBy(slot).transformWithState(CartState)      [update mode]
       -> foreachBatch: one put of the changed cart rows per micro-batch
 
 The state of a session is a map from product to its newest cart event (by
@@ -12,9 +12,17 @@ newest event changed; the newest put of a (session, product) is its cart row.
 A session without events for ``idle`` of event time is closed: a timer removes
 its state and emits its rows with ``closed``.  Events later than the watermark are
 dropped, so a closed session can only begin anew.  The state lives in RocksDB,
-one entry a (session, product); hot sessions are many small entries, and a
-batch's events of a session are reduced to one per product before the state is
-touched.
+one entry a (session, product), with the newest event time seen for it; hot
+sessions are many small entries, and a batch's events are reduced to one per
+product of a session before the state is touched.
+
+Every call to the state is a message from the Python worker to the executor, and
+so is the start of every group.  Sessions are therefore dealt to ``SLOTS`` slots:
+a group is a slot, an entry is written with one message, and entries are read all
+at once where the batch has many of the slot's, else one by one.  A slot has one
+timer, no later than the earliest end of its sessions, that goes through the slot
+when it fires.  ``SLOTS`` is part of a stream's state and must not change under a
+checkpoint.
 """
 
 from __future__ import annotations
@@ -32,8 +40,11 @@ from cartwheel.sources.events import typed_events
 from cartwheel.streaming.trending import query_id, stream_settings
 
 CART_ROWS = "session_id string, product_id string, quantity double, price double, closed boolean"
-_ENTRY = "quantity double, price double, ingest_time string, event_id string"
+_ENTRY = "quantity double, price double, ingest_time string, event_id string, at long"
 IDLE, DELAY = "30 days", "7 days"
+SLOTS = 4096
+#: So many entries of a slot are read through for one that is wanted.
+READ_THROUGH = 8
 
 
 def cart_events(raw: DataFrame) -> DataFrame:
@@ -50,43 +61,77 @@ def cart_events(raw: DataFrame) -> DataFrame:
     ).where(F.col("event_time").isNotNull())
 
 
+def _newer(a: tuple, b: tuple) -> tuple:
+    """The newer of two values of an entry, ``a`` if neither is, with the newer
+    event time."""
+    return (*(b if a[2:4] < b[2:4] else a)[:4], max(a[4], b[4]))
+
+
 class CartState(StatefulProcessor):
-    """State and timer of one session."""
+    """State and timer of a slot of sessions."""
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.items = handle.getMapState("items", "product_id string", _ENTRY)
-        self.timer = handle.getValueState("timer", "at long")
+        self.items = handle.getMapState("items", "session_id string, product_id string", _ENTRY)
+        # the timer and the number of entries
+        self.slot = handle.getValueState("slot", "at long, entries long")
+
+    def _held(self, wanted: dict, entries: int) -> dict[tuple, tuple]:
+        if entries <= READ_THROUGH * len(wanted):
+            pairs = self.items.iterator() if entries else ()
+            return {k: tuple(v) for k, v in ((tuple(key), value) for key, value in pairs) if k in wanted}
+        return {k: tuple(self.items.getValue(k)) for k in wanted if self.items.containsKey(k)}
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        newest: dict[str, Row] = {}
-        latest = 0
+        newest: dict[tuple, tuple] = {}
+        latest: dict[str, int] = {}
         for r in rows:
-            latest = max(latest, int(r.event_time.timestamp() * 1000))
-            old = newest.get(r.product_id)
-            if old is None or (old.ingest_time, old.event_id) < (r.ingest_time, r.event_id):
-                newest[r.product_id] = r
-        for product, r in newest.items():
-            held = self.items.getValue((product,)) if self.items.containsKey((product,)) else None
-            # an entry is (quantity, price, ingest_time, event_id)
-            if held is None or (held[2], held[3]) < (r.ingest_time, r.event_id):
-                self.items.updateValue((product,), (r.quantity, r.price, r.ingest_time, r.event_id))
-                yield Row(session_id=key[0], product_id=product, quantity=r.quantity, price=r.price, closed=False)
-        at = self.timer.get()[0] if self.timer.exists() else None
-        if latest and (at is None or latest + self.idle_ms > at):
-            if at is not None:
-                self.handle.deleteTimer(at)
-            self.timer.update((latest + self.idle_ms,))
-            self.handle.registerTimer(latest + self.idle_ms)
+            at = int(r.event_time.timestamp() * 1000)
+            entry = (r.session_id, r.product_id)
+            value = (r.quantity, r.price, r.ingest_time, r.event_id, at)
+            newest[entry] = _newer(newest[entry], value) if entry in newest else value
+            latest[r.session_id] = max(latest.get(r.session_id, at), at)
+        if not newest:
+            return
+        timer, entries = self.slot.get() if self.slot.exists() else (None, 0)
+        held = self._held(newest, entries)
+        for entry, value in newest.items():
+            before = held.get(entry)
+            after = value if before is None else _newer(before, value)
+            if after != before:
+                self.items.updateValue(entry, after)
+            if before is None or after[2:4] != before[2:4]:
+                yield Row(session_id=entry[0], product_id=entry[1], quantity=after[0], price=after[1], closed=False)
+        # no session that has these events ends before
+        end = min(latest.values()) + self.idle_ms
+        if timer is None or end < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(end)
+            timer = end
+        self.slot.update((timer, entries + len(newest) - len(held)))
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        for product, entry in list(self.items.iterator()):
-            yield Row(session_id=key[0], product_id=product[0], quantity=entry[0], price=entry[1], closed=True)
-        self.items.clear()
-        self.timer.clear()
+        now = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
+        ends: dict[str, int] = {}
+        entries = 0
+        for entry, value in self.items.iterator():
+            ends[entry[0]] = max(ends.get(entry[0], value[4] + self.idle_ms), value[4] + self.idle_ms)
+            entries += 1
+        live = [end for end in ends.values() if end > now]
+        if len(live) < len(ends):
+            for entry, value in [(tuple(k), v) for k, v in self.items.iterator() if ends[k[0]] <= now]:
+                self.items.removeKey(entry)
+                entries -= 1
+                yield Row(session_id=entry[0], product_id=entry[1], quantity=value[0], price=value[1], closed=True)
+        if live:
+            self.handle.registerTimer(min(live))
+            self.slot.update((min(live), entries))
+        else:
+            self.slot.clear()
 
     def close(self) -> None:
         pass
@@ -98,7 +143,8 @@ def cart_changes(events: DataFrame, idle: str = IDLE, delay: str = DELAY) -> Dat
     idle_ms = spark.sql(f"SELECT unix_millis(TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {idle})").first()[0]
     return (
         events.withWatermark("event_time", delay)
-        .groupBy("session_id")
+        .withColumn("slot", F.pmod(F.xxhash64("session_id"), F.lit(SLOTS)))
+        .groupBy("slot")
         .transformWithState(
             statefulProcessor=CartState(int(idle_ms)), outputStructType=CART_ROWS, outputMode="Update", timeMode="EventTime"
         )

@@ -2,9 +2,13 @@
 
 import json
 import random
+from datetime import datetime
+
+from pyspark.sql import Row
 
 from cartwheel import operators as op
 from cartwheel.sources.events import read_events
+from cartwheel.streaming import cart
 from cartwheel.streaming.cart import cart_events, current_carts, start_cart
 
 
@@ -77,3 +81,90 @@ def test_an_idle_session_is_closed_by_its_timer(spark, tmp_path, lines_writer):
     lines_writer(folder, [event(9, "old", "q", 120, 5.0)], "part-9.json")
     run(spark, tmp_path, **options)
     assert carts(spark, tmp_path) == [("new", "p", 1.0, 3.0), ("old", "q", 1.0, 5.0)]
+
+
+class Maps:
+    """A stand-in for state, which counts the calls."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def _call(self, result=None):
+        self.calls += 1
+        return result
+
+    def containsKey(self, key):
+        return self._call(key in self.held)
+
+    def getValue(self, key):
+        return self._call(self.held[key])
+
+    def updateValue(self, key, value):
+        self._call(self.held.__setitem__(key, value))
+
+    def exists(self):
+        return self.containsKey("value")
+
+    def get(self):
+        return self.getValue("value")
+
+    def update(self, value):
+        self.updateValue("value", value)
+
+    def registerTimer(self, at):
+        self.updateValue(at, None)
+
+    deleteTimer = containsKey
+
+    def iterator(self):
+        return iter(list(self._call(self.held).items()))
+
+    def getMapState(self, name, *schemas):
+        self.held[name] = Maps()
+        return self.held[name]
+
+    getValueState = getMapState
+
+
+def test_an_entry_costs_one_call():
+    state, handle = cart.CartState(1000), Maps()
+    state.init(handle)
+
+    def batch(begin, end, price):
+        at = datetime(2026, 1, 1, hour=price)
+        rows = [
+            Row(session_id=f"s{i}", product_id="p", quantity=1, price=price, ingest_time=f"t{price}", event_id="e", event_time=at)
+            for i in range(begin, end)
+        ]
+        before = handle.calls + sum(x.calls for x in handle.held.values() if x)
+        out = [(r.session_id, r.price) for r in state.handleInputRows((1,), iter(rows), None)]
+        return out, handle.calls + sum(x.calls for x in handle.held.values() if x) - before
+
+    out, calls = batch(0, 500, 2)
+    assert len(out) == 500 and calls <= 500 + 6
+    out, calls = batch(400, 600, 1)  # older ones change nothing
+    assert sorted(out) == [(f"s{i}", 1) for i in range(500, 600)] and calls <= 100 + 6
+    out, calls = batch(7, 9, 3)  # few of many entries are not read through
+    assert out == [("s7", 3), ("s8", 3)] and calls <= 3 * 2 + 6 and state.slot.held["value"][1] == 600
+
+
+def test_sessions_of_one_slot_are_closed_apart(spark, tmp_path, lines_writer, monkeypatch):
+    monkeypatch.setattr(cart, "SLOTS", 1)
+    folder = str(tmp_path / "in")
+    options = {"delay": "20 minutes", "idle": "30 minutes"}
+    files = [
+        [("a", 0, "p"), ("b", 5, "p"), ("b", 5, "q"), ("c", 20, "p")],
+        [("b", 3, "r"), ("a", 12, "q"), ("d", 20, "p")],
+        [("e", 60, "p")],  # ends b (35), not a (42)
+        [("e", 64, "q")],  # ends a
+        [("e", 80, "p")],  # ends c and d (50)
+        [("a", 81, "z")],
+    ]
+    closed = []
+    for n, rows in enumerate(files):
+        lines_writer(folder, [event(10 * n + i, s, p, m, float(n)) for i, (s, m, p) in enumerate(rows)], f"part-{n}.json")
+        run(spark, tmp_path, **options)
+        out = spark.read.parquet(str(tmp_path / "out")).where("closed").collect()
+        closed.append("".join(sorted(r.session_id for r in out)))
+    assert closed == ["", "", "bbb", "aabbb", "aabbbcd", "aabbbcd"]
+    assert [x[:2] for x in carts(spark, tmp_path)] == [("a", "z"), ("e", "p"), ("e", "q")]
