@@ -7,7 +7,7 @@ are aggregations; the only per-row Python is the exact JSON test
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.parsing import inspect_json
@@ -133,7 +133,11 @@ def growth_report(samples: DataFrame, ts: str = "sample_ts") -> DataFrame:
     the un-partitioned ordering window runs over that small series only.
     """
     w = Window.orderBy(F.col(ts))
-    prev = F.lag("sink_rows").over(w)
+    return growth_states(samples, F.lag("sink_rows").over(w), ts)
+
+
+def growth_states(samples: DataFrame, prev: Column, ts: str = "sample_ts") -> DataFrame:
+    """``growth_report`` of samples whose previous sink count is ``prev``."""
     state = (
         F.when(prev.isNull(), F.lit("first sample"))
         .when(F.col("sink_rows") > prev, F.lit("growing"))

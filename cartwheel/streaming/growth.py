@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from cartwheel.functions.parsing import is_blank
-from cartwheel.operators.reconcile import growth_report
+from cartwheel.operators.reconcile import growth_states
 from cartwheel.streaming.trending import stream_settings
 
 SAMPLES = "sample_ts timestamp_ntz, source_rows bigint, sink_rows bigint"
@@ -122,5 +122,6 @@ class GrowthStream:
             listener.ended.wait(30)
         finally:
             self.spark.streams.removeListener(listener)
-        rows = [(at, source_rows, n) for at, n in listener.samples]
-        return growth_report(self.spark.createDataFrame(rows, SAMPLES))
+        samples = sorted(listener.samples, key=lambda x: x[0])
+        rows = [(at, source_rows, n, prev) for (at, n), prev in zip(samples, [None, *(n for _, n in samples)])]
+        return growth_states(self.spark.createDataFrame(rows, f"{SAMPLES}, prev bigint"), F.col("prev"))
